@@ -83,8 +83,13 @@ def partition_count(df: DataFrame, keys: list[str], output: str = "n") -> DataFr
     return lookup_join(df, counts, {k: k for k in keys}, [output], null_safe=True)
 
 
-def sorted_by(df: DataFrame, order: list[Column]) -> DataFrame:
-    return df.orderBy(*order)
+def sorted_by(df: DataFrame, order: dict[str, str]) -> DataFrame:
+    """Rows in a total order: ``{column: asc or desc}``, ties by the remaining columns.
+
+    The remaining columns also let Spark cut a frequent sort value into several ranges.
+    """
+    columns = [F.desc(c) if way == "desc" else F.asc(c) for c, way in order.items()]
+    return df.orderBy(*columns, *[F.asc(c) for c in df.columns if c not in order])
 
 
 def top_values(df: DataFrame, column: str, k: int = 10) -> DataFrame:

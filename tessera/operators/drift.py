@@ -4,19 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.columns import as_time
 
-# Drift log entries, one per entity.
-DRIFT_LOG = (
-    "EntityId int, DriftType string, AddedColumns array<string>, RemovedColumns array<string>, "
-    "TypeChanges array<struct<column:string,source_type:string,target_type:string>>, "
-    "DetectedTime timestamp_ntz"
-)
-
 # Conversions that lose nothing, narrow to wide.
 WIDER = {
     "tinyint": {"smallint", "int", "bigint", "double"},
@@ -139,54 +132,49 @@ def detect(source_columns: DataFrame, target_columns: DataFrame) -> DataFrame:
     )
 
 
-def classify(changes: DataFrame) -> DataFrame:
-    """One row per entity with drift: kind and counts of changed columns."""
-    counts = {
-        name: F.count_if(F.col("change") == change)
-        for name, change in (("Added", "ADDED"), ("Removed", "REMOVED"), ("Retyped", "RETYPED"))
-    }
-    kinds = sum((F.col(c) > 0).cast("int") for c in counts)
-    kind = (
-        F.when(F.col("__new"), "NEW_TABLE")
+def _kind(new_table: Column, added: Column, removed: Column, retyped: Column) -> Column:
+    """Drift kind from the numbers of changed columns."""
+    kinds = sum((n > 0).cast("int") for n in (added, removed, retyped))
+    return (
+        F.when(new_table, "NEW_TABLE")
         .when(kinds > 1, "MIXED")
-        .when(F.col("Added") > 0, "ADDED_COLUMNS")
-        .when(F.col("Removed") > 0, "REMOVED_COLUMNS")
+        .when(added > 0, "ADDED_COLUMNS")
+        .when(removed > 0, "REMOVED_COLUMNS")
         .otherwise("TYPE_CHANGES")
     )
-    return (
-        changes.groupBy("EntityId")
-        .agg(F.bool_or("new_table").alias("__new"), *[e.alias(n) for n, e in counts.items()])
-        .select("EntityId", kind.alias("DriftType"), *counts)
-    )
+
+
+def classify(changes: DataFrame) -> DataFrame:
+    """One row per entity with drift: kind and counts of changed columns."""
+    names = {"Added": "ADDED", "Removed": "REMOVED", "Retyped": "RETYPED"}
+    counts = [F.count_if(F.col("change") == change).alias(name) for name, change in names.items()]
+    found = changes.groupBy("EntityId").agg(F.bool_or("new_table").alias("__new"), *counts)
+    kind = _kind(*[F.col(c) for c in ("__new", *names)])
+    return found.select("EntityId", kind.alias("DriftType"), *names)
 
 
 def scan_entities(source_columns: DataFrame, target_columns: DataFrame, as_of) -> DataFrame:
-    """Drift log entries of all entities in one job."""
+    """Drift log entries of all entities in one job; the lists are as long as a table is wide."""
     changes = detect(source_columns, target_columns)
 
-    def names(change: str):
-        return F.sort_array(F.collect_list(F.when(F.col("change") == change, F.col("column"))))
+    def listed(change: str, value: Column) -> Column:
+        return F.sort_array(F.collect_list(F.when(F.col("change") == change, value)))
 
-    retyped = F.when(
-        F.col("change") == "RETYPED",
-        F.struct(F.col("column"), F.col("source_type"), F.col("target_type")),
-    )
+    types = F.struct("column", "source_type", "target_type")
     lists = changes.groupBy("EntityId").agg(
-        names("ADDED").alias("AddedColumns"),
-        names("REMOVED").alias("RemovedColumns"),
-        F.sort_array(F.collect_list(retyped)).alias("TypeChanges"),
+        F.bool_or("new_table").alias("__new"),
+        listed("ADDED", F.col("column")).alias("AddedColumns"),
+        listed("REMOVED", F.col("column")).alias("RemovedColumns"),
+        listed("RETYPED", types).alias("TypeChanges"),
     )
-    return (
-        classify(changes)
-        .join(lists, "EntityId")
-        .select(
-            "EntityId",
-            "DriftType",
-            "AddedColumns",
-            "RemovedColumns",
-            "TypeChanges",
-            as_time(as_of).alias("DetectedTime"),
-        )
+    sizes = [F.size(c) for c in ("AddedColumns", "RemovedColumns", "TypeChanges")]
+    return lists.select(
+        "EntityId",
+        _kind(F.col("__new"), *sizes).alias("DriftType"),
+        "AddedColumns",
+        "RemovedColumns",
+        "TypeChanges",
+        as_time(as_of).alias("DetectedTime"),
     )
 
 

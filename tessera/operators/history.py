@@ -43,7 +43,11 @@ def merge_into(
     if version and writer and version.batches.get(writer[0], -1) >= writer[1]:
         return {"current": 0, "closed": 0}
     current = read_current(spark, layout)
-    merged = scd.apply(current, batch, keys, tracked, as_of, order, names)
+    rows = scd.prepare(batch, keys, order, names)
+    if current is None:
+        merged = scd.initial(rows, as_of, names)
+    else:
+        merged = scd.merge_current(current, rows, keys, tracked, as_of, names)
     is_current = F.col(names.is_current)
     seen = Observation()
     directory = new_directory(layout)

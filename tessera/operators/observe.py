@@ -133,14 +133,23 @@ def gold_build_times(gold_runs: DataFrame, as_of) -> DataFrame:
     )
 
 
+def _rates(results: DataFrame, *by) -> DataFrame:
+    """Sum of failure rates, rows and failures per rule, before the rules are joined."""
+    return results.groupBy("RuleId", *by).agg(
+        F.sum("FailureRate").alias("__sum"),
+        F.count("FailureRate").alias("__n"),
+        F.count_if(~F.col("Passed")).alias("__failures"),
+    )
+
+
 def quality_trend(results: DataFrame, rules: DataFrame, as_of) -> DataFrame:
     """Average failure rate and critical failures per entity and day over seven days."""
     described = rules.select("RuleId", "EntityId", "Severity")
-    joined = recent(results, "EvaluatedTime", "7 days", as_of).join(described, "RuleId")
-    critical = (F.col("Severity") == "CRITICAL") & ~F.col("Passed")
-    return joined.groupBy("EntityId", day_of("EvaluatedTime").alias("Day")).agg(
-        F.avg("FailureRate").alias("AvgFailureRate"),
-        F.count_if(critical).alias("CriticalFailures"),
+    daily = _rates(recent(results, "EvaluatedTime", "7 days", as_of), day_of("EvaluatedTime").alias("Day"))
+    critical = F.when(F.col("Severity") == "CRITICAL", F.col("__failures")).otherwise(0)
+    return daily.join(described, "RuleId").groupBy("EntityId", "Day").agg(
+        F.try_divide(F.sum("__sum"), F.sum("__n")).alias("AvgFailureRate"),
+        F.sum(critical).alias("CriticalFailures"),
     )
 
 
@@ -187,10 +196,10 @@ def quality_score(results: DataFrame, rules: DataFrame, as_of) -> DataFrame:
     """100 minus the average failure rate, per rule name."""
     names = rules.select("RuleId", "RuleName")
     return (
-        recent(results, "EvaluatedTime", "24 hours", as_of)
+        _rates(recent(results, "EvaluatedTime", "24 hours", as_of))
         .join(names, "RuleId")
         .groupBy("RuleName")
-        .agg(F.avg("FailureRate").alias("AvgFailureRate"))
+        .agg(F.try_divide(F.sum("__sum"), F.sum("__n")).alias("AvgFailureRate"))
         .withColumn("QualityScore", F.round(F.lit(100) - F.col("AvgFailureRate"), 2))
     )
 

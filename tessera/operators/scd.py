@@ -117,18 +117,47 @@ def merge_current(
     tracked: list[str],
     as_of,
     names: Names = DEFAULT,
+    broadcast_batch: bool | None = None,
 ) -> DataFrame:
     """Current rows after the batch: kept, closed and new versions.
 
-    A batch that can be broadcast leaves the current rows where they are. A larger one is joined once
-    by key, and each pair of rows yields one or two versions.
+    A small batch against a large history is broadcast, so the current rows stay where they are.
+    Otherwise both are joined once by key, and each pair of rows yields one or two versions.
+    ``broadcast_batch`` overrides the choice, for tests.
     """
-    columns = history.columns
-    if fits_broadcast(batch):
-        changed = detect_changes(history, batch, keys, tracked, names)
-        kept = expire(history, changed, keys, as_of, names)
-        return kept.unionByName(initial(changed, as_of, names), allowMissingColumns=True).select(*columns)
-    return _merge_by_full_join(history, batch, keys, tracked, as_of, names)
+    if broadcast_batch is None:
+        broadcast_batch = fits_broadcast(batch) and not fits_broadcast(history)
+    merge = _merge_by_broadcast if broadcast_batch else _merge_by_full_join
+    return merge(history, batch, keys, tracked, as_of, names)
+
+
+def _merge_by_broadcast(
+    history: DataFrame,
+    batch: DataFrame,
+    keys: list[str],
+    tracked: list[str],
+    as_of,
+    names: Names,
+) -> DataFrame:
+    compared = _compared(tracked, batch)
+    delivered = F.broadcast(
+        batch.select(
+            *[F.col(k).alias(f"__k_{k}") for k in keys],
+            *[F.col(c).alias(f"__t_{c}") for c in compared],
+            F.lit(True).alias("__present"),
+        )
+    )
+    current = history.where(F.col(names.is_current))
+    joined = current.join(delivered, all_of([current[k] == delivered[f"__k_{k}"] for k in keys]), "left")
+    close = F.col("__present").isNotNull() & any_of([differs(F.col(c), F.col(f"__t_{c}")) for c in compared])
+    kept = joined.withColumns(
+        {
+            names.valid_to: F.when(close, as_time(as_of)).otherwise(F.col(names.valid_to)),
+            names.is_current: ~close,
+        }
+    ).select(*history.columns)
+    opened = initial(detect_changes(history, batch, keys, tracked, names), as_of, names)
+    return kept.unionByName(opened, allowMissingColumns=True).select(*history.columns)
 
 
 def _merge_by_full_join(

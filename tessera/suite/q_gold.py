@@ -40,7 +40,7 @@ _AUDIT = f"TIMESTAMP '{AS_OF}' AS _gold_load_timestamp, 'run-1' AS _gold_run_id"
 _FACT = f"""
     SELECT l.OrderID, l.LineNumber::BIGINT AS LineNumber, l.PartID, l.UnitPrice, l.Quantity, l.Discount, l.ShipDate,
            p.PartName, p.Brand, p.Size::BIGINT AS Size, p.IsCurrent,
-           round(l.UnitPrice * l.Quantity - l.Discount, 4) AS LineTotal,
+           l.UnitPrice * l.Quantity - l.Discount AS LineTotal,
            year(l.ShipDate)::BIGINT AS ShipDateYear, month(l.ShipDate)::BIGINT AS ShipDateMonth,
            day(l.ShipDate)::BIGINT AS ShipDateDay, quarter(l.ShipDate)::BIGINT AS ShipDateQuarter,
            {_AUDIT}, 'fact_lines' AS _gold_model_name
@@ -63,8 +63,7 @@ def gold_dimension(spark, sf_dir):
 
 @query("gold_fact", sql(_FACT, "order_lines", "parts"))
 def gold_fact(spark, sf_dir):
-    fact = gold.fact(_sources(spark, sf_dir), FACT, "run-1", AS_OF)
-    return fact.withColumn("LineTotal", F.round("LineTotal", 4))
+    return gold.fact(_sources(spark, sf_dir), FACT, "run-1", AS_OF)
 
 
 @query("gold_aggregate", sql(_AGG, "order_lines", "parts"))
@@ -237,13 +236,13 @@ def win_prior_year(spark, sf_dir):
 @query("sort_priority", "SELECT o_orderpriority, o_orderkey FROM orders ORDER BY o_orderpriority, o_orderkey")
 def sort_priority(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey")
-    return aggregates.sorted_by(rows, [F.col("o_orderpriority").asc(), F.col("o_orderkey").asc()])
+    return aggregates.sorted_by(rows, {"o_orderpriority": "asc", "o_orderkey": "asc"})
 
 
 @query("sort_desc_metric", "SELECT o_custkey, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_custkey ORDER BY total DESC, o_custkey")
 def sort_desc_metric(spark, sf_dir):
     totals = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
-    return aggregates.sorted_by(totals, [F.desc("total"), F.col("o_custkey").asc()])
+    return aggregates.sorted_by(totals, {"total": "desc"})
 
 
 @query("topk_values", "SELECT p_name, count(*) AS \"count\" FROM part GROUP BY p_name ORDER BY 2 DESC, 1 LIMIT 10")

@@ -44,12 +44,13 @@ def rt_ingest_txn(spark, sf_dir):
 
 @query(
     "rt_clean_iot",
-    sql("SELECT DeviceId, Timestamp, round(TemperatureCelsius, 6) AS TemperatureCelsius, IsAnomaly FROM iot", "iot"),
+    sql("SELECT DeviceId, Timestamp, TemperatureCelsius, IsAnomaly FROM iot", "iot"),
 )
 def rt_clean_iot(spark, sf_dir):
     rows = events.clean_iot(inputs.readings(spark, sf_dir, inputs.stream(spark, sf_dir, "events")))
-    celsius = F.round("TemperatureCelsius", 6).alias("TemperatureCelsius")
-    return landed(spark, rows, "IoTDevicesCleaned").select("DeviceId", "Timestamp", celsius, "IsAnomaly")
+    return landed(spark, rows, "IoTDevicesCleaned").select(
+        "DeviceId", "Timestamp", "TemperatureCelsius", "IsAnomaly"
+    )
 
 
 @query("rt_clean_web", sql("SELECT EventId, Timestamp, HourOfDay, IsBounce FROM web", "web"))

@@ -136,17 +136,15 @@ def json_flatten(spark, sf_dir):
 @query(
     "expr_calculated_columns",
     sql(
-        """SELECT OrderID, LineNumber::BIGINT AS LineNumber, PartID, round(UnitPrice * Quantity - Discount, 4) AS OrderTotal,
-                  round(UnitPrice * Quantity, 4) AS Gross FROM order_lines""",
+        """SELECT OrderID, LineNumber::BIGINT AS LineNumber, PartID, UnitPrice * Quantity - Discount AS OrderTotal,
+                  UnitPrice * Quantity AS Gross FROM order_lines""",
         "order_lines",
     ),
 )
 def expr_calculated_columns(spark, sf_dir):
     computed = {"OrderTotal": "UnitPrice * Quantity - Discount", "Gross": "UnitPrice * Quantity"}
     rows = standardize.calculated_columns(inputs.order_lines(spark, sf_dir), computed)
-    return rows.select(
-        "OrderID", "LineNumber", "PartID", F.round("OrderTotal", 4).alias("OrderTotal"), F.round("Gross", 4).alias("Gross")
-    )
+    return rows.select("OrderID", "LineNumber", "PartID", "OrderTotal", "Gross")
 
 
 @query(
@@ -185,13 +183,11 @@ def map_rename_iot(spark, sf_dir):
 
 @query(
     "iot_clean",
-    sql("SELECT DeviceId, Timestamp, Temperature, round(TemperatureCelsius, 6) AS TemperatureCelsius, IsAnomaly FROM iot", "iot"),
+    sql("SELECT DeviceId, Timestamp, Temperature, TemperatureCelsius, IsAnomaly FROM iot", "iot"),
 )
 def iot_clean(spark, sf_dir):
     rows = events.clean_iot(inputs.readings(spark, sf_dir))
-    return rows.select(
-        "DeviceId", "Timestamp", "Temperature", F.round("TemperatureCelsius", 6).alias("TemperatureCelsius"), "IsAnomaly"
-    )
+    return rows.select("DeviceId", "Timestamp", "Temperature", "TemperatureCelsius", "IsAnomaly")
 
 
 @query("web_clean", sql("SELECT EventId, Timestamp, PageUrl, DurationMs, HourOfDay, IsBounce FROM web", "web"))
