@@ -99,27 +99,30 @@ def register(spark: SparkSession, layout: Layout, name: str) -> None:
         spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{version.dirs[0]}'")
 
 
-def fingerprint(df: DataFrame, table: str) -> DataFrame:
-    """One row: table, row count and an order-free checksum of all rows."""
+def fingerprint(df: DataFrame, table: str, side: str) -> DataFrame:
+    """One row: table, side, row count and an order-free checksum of all rows."""
     checksum = F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)"))
     return df.agg(F.count(F.lit(1)).alias("rows"), checksum.alias("checksum")).select(
-        F.lit(table).alias("table_name"), "rows", "checksum"
+        F.lit(table).alias("table_name"), F.lit(side).alias("side"), "rows", "checksum"
     )
 
 
 def backup(spark: SparkSession, tables: list[Layout], backup_base: str) -> DataFrame:
     """Copy tables to a backup base where not there yet, and compare each copy with its source."""
-    checks = []
+    sides = []
     for source in tables:
         copy = source.sibling(base=backup_base)
         if current_version(spark, copy) is None:
             overwrite(read_table(spark, source), copy)
-        left = fingerprint(read_table(spark, source), source.table)
-        right = fingerprint(read_table(spark, copy), source.table).toDF("table_name", "copied", "sum_copied")
-        same = (F.col("rows") == F.col("copied")) & F.col("checksum").eqNullSafe(F.col("sum_copied"))
-        checks.append(
-            left.join(right, "table_name").select(
-                "table_name", F.col("copied").alias("rows"), same.alias("matches")
-            )
-        )
-    return reduce(DataFrame.unionByName, checks)
+        sides.append(fingerprint(read_table(spark, source), source.table, "source"))
+        sides.append(fingerprint(read_table(spark, copy), source.table, "copy"))
+    state = F.struct("rows", "checksum")
+
+    def of(side: str) -> Column:
+        return F.max(F.when(F.col("side") == side, state))
+
+    compared = reduce(DataFrame.unionByName, sides).groupBy("table_name").agg(
+        of("source").alias("source"), of("copy").alias("copy")
+    )
+    same = F.col("source").eqNullSafe(F.col("copy"))
+    return compared.select("table_name", F.col("copy.rows").alias("rows"), same.alias("matches"))

@@ -60,9 +60,8 @@ def text_documents(spark: SparkSession, path: str, separator: str | None = None)
     One file is one document; with ``separator`` a file holds many documents, which avoids one small
     file per document.
     """
-    reader = spark.read
-    reader = reader.option("lineSep", separator) if separator else reader.option("wholetext", "true")
-    return reader.text(path).select(
+    rows = spark.read.text(path, lineSep=separator) if separator else spark.read.text(path, wholetext=True)
+    return rows.select(
         F.col("_metadata.file_path").alias("path"),
         "value",
         F.col("value").alias("extracted_text"),
@@ -146,7 +145,7 @@ def api_records(pages: DataFrame, record: str | T.StructType, column: str = "val
 
 def api_pages(spark: SparkSession, path: str, record: str | T.StructType) -> DataFrame:
     """Records of page files, one page per file."""
-    return api_records(spark.read.option("wholetext", "true").text(path), record)
+    return api_records(spark.read.text(path, wholetext=True), record)
 
 
 def query_lookup(spark: SparkSession, query: str) -> DataFrame:

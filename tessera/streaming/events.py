@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import percent
-from tessera.operators.aggregates import most_frequent
 
 WATERMARK = "10 minutes"
 
@@ -137,21 +136,24 @@ def user_behavior(df: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """Sessions, views, durations, bounces and pages per user and hour.
 
     ``TopPage`` is the last page by name; batch results add ``MostViewedPage``, the most frequent one.
+    In batch, views are counted per page first, so page names are compared once per page and hour.
     """
     metrics = {
         "SessionCount": _distinct(df, "SessionId"),
         "PageViews": F.count(F.lit(1)),
         "AvgSessionDuration": F.avg("DurationMs").cast("long"),
         "BounceRate": F.avg(F.col("IsBounce").cast("int")) * F.lit(100.0),
-        "TopPage": F.max("PageUrl"),
     }
-    base = windowed(df, "1 hour", "UserId", metrics, "Hour", watermark)
     if df.isStreaming:
-        return base
+        return windowed(df, "1 hour", "UserId", {**metrics, "TopPage": F.max("PageUrl")}, "Hour", watermark)
+    base = windowed(df, "1 hour", "UserId", metrics, "Hour")
     hour = F.window("Timestamp", "1 hour")["start"].cast("timestamp_ntz")
-    pages = df.withColumn("Hour", hour).select("UserId", "Hour", "PageUrl")
-    viewed = most_frequent(pages, "PageUrl", ["UserId", "Hour"], "MostViewedPage")
-    return base.join(viewed, ["UserId", "Hour"])
+    views = df.groupBy("UserId", hour.alias("Hour"), "PageUrl").agg(F.count(F.lit(1)).alias("n"))
+    most = F.min(F.struct((-F.col("n")).alias("order"), F.col("PageUrl").alias("page")))
+    pages = views.groupBy("UserId", "Hour").agg(F.max("PageUrl").alias("TopPage"), most.alias("most"))
+    return base.join(pages, ["UserId", "Hour"]).select(
+        *base.columns, "TopPage", F.col("most.page").alias("MostViewedPage")
+    )
 
 
 def merchant_rollup(metrics: DataFrame) -> DataFrame:
