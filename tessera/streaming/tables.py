@@ -81,3 +81,9 @@ def scd2_table(
             history.merge_into(rows, layout, keys, tracked, as_of, order, writer=(checkpoint, number))
 
     return _start(changes, apply, checkpoint, "append", available_now)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows a query dropped as later than its watermark, from the progress it still remembers."""
+    operators = [o for p in query.recentProgress for o in p["stateOperators"]]
+    return sum(o["numRowsDroppedByWatermark"] for o in operators)

@@ -61,7 +61,7 @@ def gold_dimension(spark, sf_dir):
     return gold.dimension(_sources(spark, sf_dir), DIM, "run-1", AS_OF)
 
 
-@query("gold_fact", sql(_FACT, "order_lines", "parts"))
+@query("gold_fact", sql(_FACT, "order_lines", "parts"), with_nulls=("Size",), as_text=("IsCurrent",))
 def gold_fact(spark, sf_dir):
     return gold.fact(_sources(spark, sf_dir), FACT, "run-1", AS_OF)
 

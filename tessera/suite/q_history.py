@@ -79,17 +79,17 @@ def _next(spark, sf_dir):
     return inputs.customers_next(spark, sf_dir).select("CustomerID", *TRACKED)
 
 
-@query("scd2_initial", sql(_FIRST, "customers"))
+@query("scd2_initial", sql(_FIRST, "customers"), with_nulls=("NationKey",), as_text=("ValidTo",))
 def scd2_initial(spark, sf_dir):
     return scd.initial(inputs.customers(spark, sf_dir).select("CustomerID", *TRACKED), LOAD_1)
 
 
-@query("scd2_detect_changes", sql(_CHANGED, "customers_next"))
+@query("scd2_detect_changes", sql(_CHANGED, "customers_next"), with_nulls=("NationKey",))
 def scd2_detect_changes(spark, sf_dir):
     return scd.detect_changes(_first(spark, sf_dir), _next(spark, sf_dir), KEYS, TRACKED)
 
 
-@query("scd2_expire", sql(_EXPIRED, "customers_next"))
+@query("scd2_expire", sql(_EXPIRED, "customers_next"), with_nulls=("NationKey",), as_text=("ValidTo",))
 def scd2_expire(spark, sf_dir):
     history = _first(spark, sf_dir)
     changed = scd.detect_changes(history, _next(spark, sf_dir), KEYS, TRACKED)
@@ -99,6 +99,7 @@ def scd2_expire(spark, sf_dir):
 @query(
     "scd2_apply",
     sql(f"{_EXPIRED} UNION ALL SELECT *, TIMESTAMP '{LOAD_2}', {_OPEN}, TRUE FROM ({_CHANGED})", "customers_next"),
+    with_nulls=("NationKey",), as_text=("ValidTo",),
 )
 def scd2_apply(spark, sf_dir):
     return scd.apply(_first(spark, sf_dir), _next(spark, sf_dir), KEYS, TRACKED, LOAD_2)
@@ -225,7 +226,7 @@ def join_left(spark, sf_dir):
     return joins.join(*_orders_and_customers(spark, sf_dir), "o_custkey", "left")
 
 
-@query("join_using_alias", sql("SELECT CustomerID, Segment, NationKey FROM customers_next", "customers_next"))
+@query("join_using_alias", sql("SELECT CustomerID, Segment, NationKey FROM customers_next", "customers_next"), with_nulls=("NationKey",))
 def join_using_alias(spark, sf_dir):
     return joins.join_source_side(_next(spark, sf_dir), _first(spark, sf_dir), KEYS)
 
@@ -328,6 +329,7 @@ def join_run_history(spark, sf_dir):
            FROM customers c LEFT JOIN customers_next n USING (CustomerID)""",
         "customers_next",
     ),
+    with_nulls=("NationKey",),
 )
 def join_merge_update(spark, sf_dir):
     target = inputs.customers(spark, sf_dir).select("CustomerID", *TRACKED)

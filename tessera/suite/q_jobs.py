@@ -231,6 +231,7 @@ MEDALLION_MODELS = [
                   UNION ALL SELECT 'gold', 'run-1-fact_orders', 'run-1', 'fact_orders', 'SUCCEEDED', NULL, ok, NULL FROM o)
        SELECT RunKind, RunId, ParentRunId, Name, 'end' AS EventType, Status, RowsRead, RowsWritten, RowsRejected FROM e
        UNION ALL SELECT RunKind, RunId, ParentRunId, Name, 'start', 'RUNNING', NULL, NULL, NULL FROM e""",
+    with_nulls=("RowsRead", "RowsWritten", "RowsRejected"),
 )
 def job_medallion(spark, sf_dir):
     path = scratch(spark, "orders")

@@ -76,6 +76,7 @@ def ctl_entities_to_process(spark, sf_dir):
            FROM runs""",
         "runs",
     ),
+    with_nulls=("RowsRead", "RowsWritten", "RowsRejected"),
 )
 def ctl_run_fold(spark, sf_dir):
     return observe.fold_runs(inputs.run_events(spark, sf_dir))

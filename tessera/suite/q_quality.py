@@ -14,6 +14,7 @@ EMAIL = "^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$"
 @query(
     "dq_row_not_null",
     sql("SELECT CustomerID, NationKey, NationKey IS NOT NULL AS _dq_NationKey_not_null FROM customers", "customers"),
+    with_nulls=("NationKey",),
 )
 def dq_row_not_null(spark, sf_dir):
     return quality.not_null(inputs.customers(spark, sf_dir).select("CustomerID", "NationKey"), "NationKey")

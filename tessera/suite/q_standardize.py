@@ -71,13 +71,14 @@ def std_null_defaults(spark, sf_dir):
 
 @query(
     "std_safe_cast",
-    """SELECT event_id, try_cast(split_part(event_type, 'c', 1) AS BIGINT) AS as_int, value AS as_double,
+    """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_id END AS as_int, value AS as_double,
               date_trunc('day', ts)::TIMESTAMP AS as_date FROM events""",
+    with_nulls=("as_int",),
 )
 def std_safe_cast(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(
         "event_id",
-        F.split_part("event_type", F.lit("c"), F.lit(1)).alias("as_int"),
+        F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string")).otherwise(F.col("event_type")).alias("as_int"),
         F.col("value").cast("string").alias("as_double"),
         F.date_format("ts", "yyyy-MM-dd").alias("as_date"),
     )
@@ -231,6 +232,6 @@ def secure_rows(spark, sf_dir):
     return standardize.secure_rows(inputs.orders(spark, sf_dir), "Status = 'Completed'")
 
 
-@query("secure_columns", sql("SELECT CustomerID, CustomerName, NationKey, Balance, Segment FROM customers", "customers"))
+@query("secure_columns", sql("SELECT CustomerID, CustomerName, NationKey, Balance, Segment FROM customers", "customers"), with_nulls=("NationKey",))
 def secure_columns(spark, sf_dir):
     return standardize.secure_columns(inputs.customers(spark, sf_dir), ["Email", "Phone"])

@@ -119,3 +119,28 @@ def test_high_value_uses_the_converted_amount(spark):
         "b": (950.0, False),
         "c": (1100.0, True),
     }
+
+
+def test_late_rows_are_dropped_and_counted(spark, base, tmp_path):
+    """The second file holds a row of an hour that the first file's watermark has closed."""
+    schema = "TransactionId string, Timestamp timestamp_ntz, MerchantId string, AmountUSD decimal(18,4)"
+
+    def land(name, data):
+        df = spark.createDataFrame(data, "TransactionId string, t string, MerchantId string, a double")
+        df.select("TransactionId", F.col("t").cast("timestamp_ntz").alias("Timestamp"), "MerchantId", F.col("a").cast("decimal(18,4)").alias("AmountUSD")).coalesce(1).write.parquet(f"{tmp_path}/in/{name}")
+
+    def run():
+        source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*")
+        query = tables.append_table(events.transaction_summary(source), bronze(base, "late"), f"{base}/checkpoint")
+        query.awaitTermination()
+        return tables.late_rows(query)
+
+    land("1", [("a", "2024-01-01 00:10:00", "m", 1.0), ("b", "2024-01-01 05:00:00", "m", 2.0)])
+    assert run() == 0
+    land("2", [("c", "2024-01-01 00:20:00", "m", 4.0), ("d", "2024-01-01 09:00:00", "m", 8.0)])
+    assert run() == 1
+    found = read_table(spark, bronze(base, "late")).select("Timestamp", "TransactionCount")
+    assert [(str(r[0]), r[1]) for r in found.orderBy("Timestamp").collect()] == [
+        ("2024-01-01 00:00:00", 1),
+        ("2024-01-01 05:00:00", 1),
+    ]
