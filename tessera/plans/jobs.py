@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.config import Entity, Model, Rule, Transformation
@@ -32,7 +32,9 @@ from tessera.layout import (
 from tessera.operators import audit, drift, history, maintain, profile, quality, sinks
 from tessera.operators import gold as models
 from tessera.operators import silver as transforms
+from tessera.plans.sizing import size_shuffles
 from tessera.sources import readers
+from tessera.streaming.tables import append_table
 
 # --- bronze ----------------------------------------------------------------------------------------
 
@@ -113,8 +115,6 @@ def load_stream(
     spark: SparkSession, entity: Entity, stream: DataFrame, base: str, run_id: str, as_of, checkpoint: str
 ) -> LoadResult:
     """STREAMING load: everything that has arrived is appended, then the query stops."""
-    from tessera.streaming.tables import append_table
-
     layout = target_of(base, entity)
     before = read_table(spark, layout).count() if table_exists(spark, layout) else 0
     tagged = audit.bronze(
@@ -160,6 +160,7 @@ def job_quality(
 ) -> DataFrame:
     """Evaluate rules, keep the results, split good from bad rows in one write, and report."""
     df = read_table(spark, bronze(base, table))
+    size_shuffles(df, *(references or {}).values())
     results = spark.createDataFrame(
         quality.evaluate(df, rules, references).collect(),  # one row per rule
         quality.evaluate(df.limit(0), [], {}).schema,
@@ -187,8 +188,6 @@ def job_quality(
 
 def _split(checked: DataFrame, layout: Layout) -> tuple[str, str, dict]:
     """Good and bad rows written side by side in one job."""
-    from pyspark.sql import Observation
-
     clean = F.size("_dq_failed_rules") == 0
     seen = Observation()
     directory = new_directory(layout)
@@ -215,6 +214,7 @@ def transform_table(
 ) -> tuple[int, int]:
     """Run one transformation and write its result; returns rows in the source and rows written."""
     df = read_table(spark, source)
+    size_shuffles(df)
     read = df.count()
     if read == 0:
         return 0, 0
@@ -290,6 +290,7 @@ def build_all(spark: SparkSession, configured: list[Model], base: str, run_id: s
                 )
                 for name in model.sources
             }
+            size_shuffles(*sources.values())
             rows = sinks.overwrite(models.build(sources, model, run_id, as_of), gold(base, model.name))
             results.append((model.name, model.kind, "SUCCEEDED", rows, None))
         except Exception as e:  # recorded; the other models go on
@@ -326,6 +327,7 @@ def job_profile(
     written = []
     for layout in tables:
         df = read_table(spark, layout)
+        size_shuffles(df)
         found = profile.sampled(df, sample_size) if sample_size else profile.basic(df)
         rows = profile.stamped(found.drop("table_rows"), layout.layer, layout.schema, layout.table, as_of)
         written.append((layout.table, sinks.append(rows, target)[sinks.ROWS]))

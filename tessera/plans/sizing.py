@@ -1,0 +1,31 @@
+"""Shuffle sizes that follow the data."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from tessera.plans.lookup import estimated_bytes
+
+PARTITION_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 20_000
+
+_SETTING = "spark.sql.shuffle.partitions"
+
+
+def wanted_partitions(total_bytes: int) -> int:
+    """Partitions of about ``PARTITION_BYTES`` each, within bounds the shuffle service can hold."""
+    return max(1, min(MOST_PARTITIONS, -(-total_bytes // PARTITION_BYTES)))
+
+
+def size_shuffles(*inputs: DataFrame) -> int:
+    """Raise the session's shuffle partitions where the inputs need more; never lower them.
+
+    The estimate comes from file sizes and costs no job. Adaptive execution joins partitions that
+    turn out small, so a generous number is safe, while too few would spill.
+    """
+    spark = inputs[0].sparkSession
+    present = int(spark.conf.get(_SETTING))
+    wanted = wanted_partitions(sum(estimated_bytes(df) for df in inputs))
+    if wanted > present:
+        spark.conf.set(_SETTING, str(wanted))
+    return max(wanted, present)
