@@ -46,11 +46,21 @@ def capacity(metrics: DataFrame) -> DataFrame:
     )
 
 
-def _entries(
-    rows: DataFrame, rule: str, severity: str, key: str, time: str, value: Column
-) -> DataFrame:
+# Name and severity of each rule.
+RULES = {
+    "high_value": ("High Value Transaction Alert", "High"),
+    "fraud": ("Fraud Detection", "Critical"),
+    "device": ("IoT Device Anomaly", "Medium"),
+    "pipeline": ("Pipeline Failure", "Critical"),
+    "quality": ("Data Quality Drop", "High"),
+    "capacity": ("Capacity Throttling", "Warning"),
+}
+
+
+def _entries(rows: DataFrame, rule: str, key: str, time: str, value: Column) -> DataFrame:
+    name, severity = RULES[rule]
     return rows.select(
-        F.lit(rule).alias("RuleName"),
+        F.lit(name).alias("RuleName"),
         F.lit(severity).alias("Severity"),
         F.col(key).cast("string").alias("EntityKey"),
         F.col(time).cast("timestamp_ntz").alias("EventTime"),
@@ -68,54 +78,14 @@ def feed(
     device_limit: int = DEVICE_ANOMALIES,
 ) -> DataFrame:
     """All alert conditions as one table: rule, severity, key, time, value."""
+    amount, failed = F.col("AmountUSD"), pipeline_failed(pipeline_runs, as_of)
+    found = device(device_summary, device_limit)
     parts = [
-        _entries(
-            high_value(transactions),
-            "High Value Transaction Alert",
-            "High",
-            "TransactionId",
-            "Timestamp",
-            F.col("AmountUSD"),
-        ),
-        _entries(
-            fraud(transactions),
-            "Fraud Detection",
-            "Critical",
-            "TransactionId",
-            "Timestamp",
-            F.col("AmountUSD"),
-        ),
-        _entries(
-            device(device_summary, device_limit),
-            "IoT Device Anomaly",
-            "Medium",
-            "DeviceId",
-            "Timestamp",
-            F.col("AnomalyCount"),
-        ),
-        _entries(
-            pipeline_failed(pipeline_runs, as_of),
-            "Pipeline Failure",
-            "Critical",
-            "RunId",
-            "StartTime",
-            F.lit(1),
-        ),
-        _entries(
-            quality_drop(results),
-            "Data Quality Drop",
-            "High",
-            "RuleId",
-            "EvaluatedTime",
-            F.col("FailureRate"),
-        ),
-        _entries(
-            capacity(metrics),
-            "Capacity Throttling",
-            "Warning",
-            "MetricName",
-            "TimeGenerated",
-            F.col("Maximum"),
-        ),
+        _entries(high_value(transactions), "high_value", "TransactionId", "Timestamp", amount),
+        _entries(fraud(transactions), "fraud", "TransactionId", "Timestamp", amount),
+        _entries(found, "device", "DeviceId", "Timestamp", F.col("AnomalyCount")),
+        _entries(failed, "pipeline", "RunId", "StartTime", F.lit(1)),
+        _entries(quality_drop(results), "quality", "RuleId", "EvaluatedTime", F.col("FailureRate")),
+        _entries(capacity(metrics), "capacity", "MetricName", "TimeGenerated", F.col("Maximum")),
     ]
     return reduce(DataFrame.unionByName, parts)

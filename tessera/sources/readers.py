@@ -154,7 +154,7 @@ def query_lookup(spark: SparkSession, query: str) -> DataFrame:
     return result.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("json"))
 
 
-# Source types by name prefix, for entities that do not state their type.
+# Source types by name prefix, for entities that do not state their type.
 PREFIXES = {
     "SQL": ("azsql", "sql", "postgres", "mysql"),
     "API": ("api", "rest"),

@@ -1,5 +1,9 @@
-"""Run queries against their SQL from the command line: ``check_queries.py [sf_dir] [key ...]``."""
+"""Run queries against their SQL from the command line: ``check_queries.py [sf_dir] [key ...]``.
 
+``CHECK_BROADCAST=-1`` turns automatic broadcasts off, so every lookup takes its large-table plan.
+"""
+
+import os
 import sys
 import time
 from pathlib import Path
@@ -15,6 +19,8 @@ def main(sf_dir: str, keys: list[str]) -> int:
     settings = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
     spark = build_session("check", "local[8]", **settings)
     spark.sparkContext.setLogLevel("OFF")
+    if "CHECK_BROADCAST" in os.environ:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", os.environ["CHECK_BROADCAST"])
     con = connect(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()
     failed = 0

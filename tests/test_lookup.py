@@ -1,5 +1,6 @@
 """Lookups: the split plan for large tables gives what the plain join gives, hot keys included."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.config import Rule
@@ -14,7 +15,9 @@ def skewed(spark, n=3000):
     return spark.range(n).select(key.cast("long").alias("k"), (F.col("id") % 7).alias("v"))
 
 
-def test_split_lookup_equals_plain_join(spark):
+@pytest.mark.parametrize("hot", [1, 3, 10_000])
+def test_split_lookup_equals_plain_join(spark, monkeypatch, hot):
+    monkeypatch.setattr(lookup, "MAX_HOT", hot)
     left = skewed(spark)
     right = spark.range(0, 500, 2).select(F.col("id").cast("int").alias("key"), (F.col("id") * 10).alias("x"))
     for how in ("left", "inner"):
@@ -67,7 +70,9 @@ def test_mark_known_and_repeated_in_both_plans(spark):
         assert rows(repeated) == rows(spark.createDataFrame([(1, False), (2, True), (2, True), (None, True), (None, True)], "a int, f boolean"))
 
 
-def test_quality_plans_agree(spark):
+@pytest.mark.parametrize("hot", [2, 10_000])
+def test_quality_plans_agree(spark, monkeypatch, hot):
+    monkeypatch.setattr(lookup, "MAX_HOT", hot)
     rules = [
         Rule(1, "unique", "UNIQUE", "k"),
         Rule(2, "known", "REF_INTEGRITY", "k", ref_table="r", ref_column="r"),
