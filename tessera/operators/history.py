@@ -20,7 +20,10 @@ def read_current(spark: SparkSession, layout: Layout) -> DataFrame | None:
     version = current_version(spark, layout)
     if version is None:
         return None
-    return spark.read.schema(version.schema).parquet(*[d for d in version.dirs if _is_current_dir(d)])
+    dirs = [d for d in version.dirs if _is_current_dir(d)]
+    if not dirs:
+        return spark.createDataFrame([], version.schema)
+    return spark.read.schema(version.schema).parquet(*dirs)
 
 
 def merge_into(

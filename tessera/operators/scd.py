@@ -84,7 +84,7 @@ def detect_changes(
     if fits_broadcast(batch):
         wanted = batch.select(*[F.col(k).alias(f"__w_{k}") for k in keys])
         touches = all_of([F.col(f"__k_{k}") == F.col(f"__w_{k}") for k in keys])
-        current = current.join(F.broadcast(wanted), touches, "left_semi")
+        current = current.join(wanted, touches, "left_semi")
     joined = batch.join(current, all_of([batch[k] == current[f"__k_{k}"] for k in keys]), "left")
     changed = any_of([differs(F.col(c), F.col(f"__t_{c}")) for c in compared])
     return joined.where(F.col("__present").isNull() | changed).select(*batch.columns)
@@ -121,7 +121,8 @@ def merge_current(
 ) -> DataFrame:
     """Current rows after the batch: kept, closed and new versions.
 
-    A small batch against a large history is broadcast, so the current rows stay where they are.
+    A small batch against a large history is under Spark's broadcast limit, so the current rows stay
+    where they are.
     Otherwise both are joined once by key, and each pair of rows yields one or two versions.
     ``broadcast_batch`` overrides the choice, for tests.
     """
@@ -140,12 +141,10 @@ def _merge_by_broadcast(
     names: Names,
 ) -> DataFrame:
     compared = _compared(tracked, batch)
-    delivered = F.broadcast(
-        batch.select(
-            *[F.col(k).alias(f"__k_{k}") for k in keys],
-            *[F.col(c).alias(f"__t_{c}") for c in compared],
-            F.lit(True).alias("__present"),
-        )
+    delivered = batch.select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys],
+        *[F.col(c).alias(f"__t_{c}") for c in compared],
+        F.lit(True).alias("__present"),
     )
     current = history.where(F.col(names.is_current))
     joined = current.join(delivered, all_of([current[k] == delivered[f"__k_{k}"] for k in keys]), "left")

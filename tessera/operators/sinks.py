@@ -68,22 +68,28 @@ def rewrite(
     layout: Layout,
     transform: Callable[[DataFrame], DataFrame],
     rows_per_file: int | None = None,
+    only: list[str] | None = None,
+    drop: list[str] = (),
 ) -> int:
-    """Rewrite a table through ``transform`` as a new version; returns the rows written.
+    """Rewrite data directories through ``transform`` as a new version; returns the rows written.
 
-    Partition folders stay apart, and the numbers of applied batches stay known.
+    ``only`` names the directories to rewrite, by default all; ``drop`` those to leave out. All others
+    are taken over as they are. Partition folders stay apart, and the numbers of applied batches stay
+    known.
     """
     version = current_version(spark, layout)
+    chosen = [d for d in version.dirs if only is None or d in only]
+    kept = [d for d in version.dirs if d not in chosen and d not in drop]
     groups: dict[str, list[str]] = {}
-    for path in version.dirs:
+    for path in chosen:
         tail = path.rsplit("/", 1)[-1]
         groups.setdefault(f"/{tail}" if "=" in tail else "", []).append(path)
-    directory, rows = new_directory(layout), 0
+    directory, rows, written = new_directory(layout), 0, []
     for part, dirs in groups.items():
         df = transform(spark.read.schema(version.schema).parquet(*dirs))
         rows += write_directory(df, directory + part, rows_per_file=rows_per_file)[ROWS]
-    dirs = tuple(directory + part for part in groups)
-    commit(spark, layout, Version(dirs, version.schema, version.batches))
+        written.append(directory + part)
+    commit(spark, layout, Version((*kept, *written), version.schema, version.batches))
     return rows
 
 

@@ -368,6 +368,8 @@ def job_drift(
     return spark.createDataFrame(results, schema)
 
 
+# A table counts as optimized when its small files were merged.
+_OPTIMIZE = {"COMPACTED": "OPTIMIZED"}
 MAINTENANCE = "table_name string, optimize string, compact string, cleanup string, removed long"
 
 
@@ -378,7 +380,7 @@ def maintain_table(
     try:
         if files > max_files:
             compacted = maintain.compact(spark, layout, dry_run=dry_run)["status"]
-            optimize = "DRY_RUN" if dry_run else "OPTIMIZED"
+            optimize = _OPTIMIZE.get(compacted, compacted)
         cleanup = maintain.retention(spark, layout, days, as_of, dry_run=dry_run)
         return layout.table, optimize, compacted, cleanup["status"], cleanup["removed"]
     except Exception:  # recorded; the other tables go on
@@ -427,7 +429,7 @@ def job_storage_review(
         removed = 0
         if size["num_files"] > max_files:
             compacted = maintain.compact(spark, layout, dry_run=dry_run)["status"]
-            optimize = "DRY_RUN" if dry_run else "OPTIMIZED"
+            optimize = _OPTIMIZE.get(compacted, compacted)
         if action_days is not None:
             result = maintain.retention(spark, layout, action_days, as_of, dry_run=dry_run)
             cleanup, removed = result["status"], result["removed"]

@@ -56,7 +56,7 @@ _NUMBERS = {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"}
 )
 def profile_numeric(spark, sf_dir):
     """With the median's accuracy above the number of values at test size, so it is exact there."""
-    return profile.numeric(table(spark, sf_dir, "customer"), 1_000_000)
+    return profile.numeric(table(spark, sf_dir, "customer"), 100_000)
 
 
 _TEXTS = {"text": "string", "lang": "string", "source": "string"}

@@ -53,11 +53,23 @@ def test_compaction_merges_files_and_keeps_rows(spark, base):
     before = rows(read_table(spark, layout))
     assert maintain.compact(spark, layout, dry_run=True)["status"] == "DRY_RUN"
     assert len(current_version(spark, layout).dirs) == 3
-    assert maintain.compact(spark, layout, 100) == {"status": "COMPACTED", "target_files": 3, "rows": 300}
+    assert maintain.compact(spark, layout, 100) == {"status": "COMPACTED", "directories": 3, "rows": 300}
     stats = maintain.table_stats(spark, [layout]).first()
     assert stats["num_files"] <= 6 and rows(read_table(spark, layout)) == before
     maintain.compact(spark, layout)
     assert maintain.table_stats(spark, [layout]).first()["num_files"] == 1
+    assert maintain.compact(spark, layout)["status"] == "SKIPPED"
+
+
+def test_compaction_leaves_large_files_alone(spark, base):
+    layout = bronze(base, "t")
+    sinks.append(spark.range(300_000).select(F.col("id").alias("a"), F.sha2(F.col("id").cast("string"), 512).alias("b")).coalesce(1), layout)
+    large = current_version(spark, layout).dirs[0]
+    for i in range(2):
+        sinks.append(spark.range(10).select(F.col("id").alias("a"), F.lit("x").alias("b")).repartition(2), layout)
+    assert maintain.compact(spark, layout, min_file_mb=5)["rows"] == 20
+    dirs = current_version(spark, layout).dirs
+    assert len(dirs) == 2 and large in dirs and read_table(spark, layout).count() == 300_020
 
 
 def test_cluster_sorts_and_keeps_copies(spark, base):
@@ -87,6 +99,20 @@ def test_retention(spark, base):
     assert maintain.retention(spark, other, 90, "2024-04-14")["status"] == "SKIPPED"
 
 
+def test_retention_rewrites_mixed_directories_only(spark, base):
+    layout = bronze(base, "t")
+    for times in (["2024-01-01", "2024-01-02"], ["2024-01-03", "2024-03-01"], ["2024-03-02", "2024-03-03"]):
+        df = spark.createDataFrame([(t,) for t in times], "t string")
+        sinks.append(df.select(F.col("t").cast("timestamp_ntz").alias("_bronze_ingestion_timestamp")), layout)
+    old, mixed, young = current_version(spark, layout).dirs
+    assert maintain.retention(spark, layout, 90, "2024-04-14")["removed"] == 3
+    dirs = current_version(spark, layout).dirs
+    assert young in dirs and old not in dirs and mixed not in dirs and len(dirs) == 2
+    assert read_table(spark, layout).count() == 3
+    assert maintain.retention(spark, layout, 1, "2024-04-14")["removed"] == 3
+    assert read_table(spark, layout).count() == 0
+
+
 def test_backup_detects_a_difference(spark, base):
     layout = gold(base, "t")
     sinks.overwrite(spark.range(5).toDF("a"), layout)
