@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import scratch
 
@@ -58,3 +59,14 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+
+
+def extended(df: DataFrame, ddl: str, drop: str | None = None) -> tuple[list[str], T.StructType]:
+    """Names of the columns of ``df`` that stay, and the schema with the columns of ``ddl`` after them.
+
+    A column of the table that has the name of a new one gives way to it.
+    """
+    new = T.StructType.fromDDL(ddl).fields
+    names = {f.name for f in new} | {drop}
+    stay = [f for f in df.schema.fields if f.name not in names]
+    return [f.name for f in stay], T.StructType(stay + new)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import quality
+from tessera.llm import pii, quality, secret_scan
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,7 +18,17 @@ def query(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return make
 
 
+@query
+def op2_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs, keep_text=False).select("doc_id", *quality.MEASURES, "base_failed", "kept", "quality")
+
+
+@query
+def op9_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
