@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import pii, quality, secret_scan
+from tessera.llm import packing, pii, quality, secret_scan, token_files
 from tessera.llm.common import table
+from tessera.llm.tokens import tokenizer_path
+from tessera.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +26,19 @@ def op2_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op3_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "llm-planes")
+    token_files.write(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"), end=2)
+    read = token_files.read(spark, path)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op5_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end=1)
+
+
 @query
 def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
