@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import packing, pii, quality, secret_scan, token_files
+from tessera.llm import html_text, packing, pii, quality, secret_scan, token_files
 from tessera.llm.common import table
 from tessera.llm.tokens import tokenizer_path
 from tessera.session import scratch
@@ -34,6 +34,11 @@ def op3_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op4_block_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 @query
 def op5_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end=1)
