@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import html_text, packing, pii, quality, secret_scan, token_files
+from tessera.llm import decontaminate, html_text, packing, pii, quality, secret_scan, token_files
 from tessera.llm.common import table
 from tessera.llm.tokens import tokenizer_path
 from tessera.session import scratch
@@ -50,6 +50,14 @@ def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, keep_text=False).select("doc_id", *quality.MEASURES, "base_failed", "kept", "quality")
 
 
+@query
+def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op7_positional_index"] = decontaminate.ORACLE
+
+
 @query
 def op9_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
