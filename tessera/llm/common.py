@@ -35,7 +35,7 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 48 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 12 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about ``most_bytes`` at most, or one row."""
     for batch in batches:
         lengths = np.diff(_offsets(batch.column(column)))
@@ -58,7 +58,11 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions ``starts[i] .. starts[i] + lengths[i]`` of all i, one after the other."""
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+    shift = starts - (ends - lengths)
+    kind = np.int32 if max(total, int(np.abs(shift).max(initial=0)), int(starts.max(initial=0))) < 2**30 else np.int64
+    out = np.repeat(shift.astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def extended(df: DataFrame, ddl: str, drop: str | None = None) -> tuple[list[str], T.StructType]:

@@ -16,10 +16,15 @@ import pyarrow.compute as pc
 
 from tessera.llm.common import _offsets, ragged
 
-#: RE2 pattern: white-space characters side by side, or the character that separates pieces below.
-_WHOLE = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]{2}|\x01"
+#: RE2 pattern: white-space characters side by side.
+_WHOLE = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]{2}"
+#: Pieces that are one word for every tokenizer, and those that are a word and a run of marks.
+_LETTERS = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+_LETTERS_AND_MARKS = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]+$"
 #: Distinct pieces encoded in one call; longer strings spare calls, shorter ones keep caches warm.
 _GROUP = 100
+#: Strings handed to the library at once.
+_CALL = 200
 
 
 def tokenizer_path(name: str) -> str:
@@ -39,34 +44,51 @@ class Encoder:
         self.lower = lower
         vocab = self.tokenizer.get_vocab()
         self.size = max(vocab.values()) + 1
-        #: Byte-level ids that begin with a space start a piece; other tokenizers get a separator.
-        self.starts = np.zeros(self.size, bool)
-        self.separator = self._ids(["\x01"])[0] if lower else None
-        if not lower:
-            self.starts[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
+        #: Ids that begin with a space, in byte-level tokenizers, and ids that end a word, in the others.
+        self.starts, self.ends = np.zeros(self.size, bool), np.zeros(self.size, bool)
+        self.starts[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [np.array(x, np.uint32) for x in self._ids(texts)]
+        found = []
+        for i in range(0, len(texts), _CALL):  # the library's results are many times larger than the ids
+            found += [np.array(x, np.uint32) for x in self._ids(texts[i : i + _CALL])]
         return np.array([len(x) for x in found], np.int64), np.concatenate(found) if found else np.empty(0, np.uint32)
 
+    def _joined(self, pieces: list[str], per_piece: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of pieces that all give ``per_piece`` words with a word-end mark."""
+        groups = [" ".join(pieces[i : i + _GROUP]) for i in range(0, len(pieces), _GROUP)]
+        _, ids = self._flat(groups)
+        return np.diff(np.flatnonzero(self.ends[ids])[per_piece - 1 :: per_piece], prepend=-1), ids
+
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and ids of `` piece`` for each non-empty piece; each holds no space."""
-        if self.lower:
-            groups = [" \x01 ".join(pieces[i : i + _GROUP]) + " \x01" for i in range(0, len(pieces), _GROUP)]
-            _, ids = self._flat(groups)
-            ends = np.isin(ids, self.separator)
-            lengths = np.diff(np.flatnonzero(ends), prepend=-1) - 1
-            ids = ids[~ends]
-        else:
+        if not self.lower:
             groups = [" " + " ".join(pieces[i : i + _GROUP]) for i in range(0, len(pieces), _GROUP)]
             _, ids = self._flat(groups)
             lengths = np.diff(np.flatnonzero(self.starts[ids]), append=len(ids))
-        if len(lengths) != len(pieces) or lengths.sum() != len(ids):
-            return self._flat([" " + p for p in pieces])
-        return lengths, ids
+            if len(lengths) != len(pieces):
+                return self._flat([" " + p for p in pieces])
+            return lengths, ids
+        column = pa.array(pieces, pa.large_string())
+        kinds = np.zeros(len(pieces), np.int8)
+        for kind, pattern in ((1, _LETTERS), (2, _LETTERS_AND_MARKS)):
+            kinds[pc.match_substring_regex(column, pattern).to_numpy(zero_copy_only=False)] = kind
+        lengths, begins = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        parts, total = [], 0
+        for kind in (0, 1, 2):
+            at = np.flatnonzero(kinds == kind)
+            some = [pieces[i] for i in at.tolist()]
+            found, ids = self._joined(some, kind) if kind else self._flat(some)
+            if len(found) != len(some) or found.sum() != len(ids):
+                found, ids = self._flat(some)
+            lengths[at], begins[at] = found, total + np.cumsum(found) - found
+            parts.append(ids)
+            total += len(ids)
+        return lengths, np.concatenate(parts)[ragged(begins, lengths)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, and all ids one after the other; null is empty."""
