@@ -35,7 +35,7 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 6 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that ``column`` holds about ``most_bytes`` at most, or one row."""
     for batch in batches:
         lengths = np.diff(_offsets(batch.column(column)))

@@ -8,6 +8,7 @@ which two white-space characters meet take the whole-text call.
 
 from __future__ import annotations
 
+import os
 from functools import lru_cache
 
 import numpy as np
@@ -23,6 +24,8 @@ _LETTERS = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 _LETTERS_AND_MARKS = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\[-`{-~]+$"
 #: Distinct pieces encoded in one call; longer strings spare calls, shorter ones keep caches warm.
 _GROUP = 100
+#: Most pieces that a worker keeps from slice to slice.
+_KEPT = 200_000
 #: Strings handed to the library at once.
 _CALL = 200
 
@@ -37,11 +40,15 @@ class Encoder:
     """Encodes columns of texts. ``lower`` says that the tokenizer folds case, so A-Z may be folded first."""
 
     def __init__(self, path: str, lower: bool):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; threads cost memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.lower = lower
+        self.known = pa.array([], pa.large_string())
+        self.known_begins, self.known_lengths = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.known_ids = np.empty(0, np.uint32)
         vocab = self.tokenizer.get_vocab()
         self.size = max(vocab.values()) + 1
         #: Ids that begin with a space, in byte-level tokenizers, and ids that end a word, in the others.
@@ -90,6 +97,38 @@ class Encoder:
             total += len(ids)
         return lengths, np.concatenate(parts)[ragged(begins, lengths)]
 
+    def _dictionary(self, words: pa.Array, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of each distinct piece begin, how many they are, and the ids.
+
+        Pieces that were met twice in a slice are kept for the next ones, up to ``_KEPT``.
+        """
+        at = pc.index_in(words, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        pieces = words.take(pa.array(new)).to_pylist()
+        filled = np.array([bool(p) for p in pieces], bool)
+        new_lengths = np.zeros(len(new), np.int64)
+        new_lengths[filled], new_ids = self._pieces([p for p in pieces if p])
+        if not filled.all():  # the space at an end of a text
+            k = int(np.flatnonzero(~filled)[0])
+            space = self._flat([" "])[1]
+            before = int(new_lengths[:k].sum())
+            new_lengths[k] = len(space)
+            new_ids = np.concatenate([new_ids[:before], space, new_ids[before:]])
+        new_begins = np.cumsum(new_lengths) - new_lengths
+        lengths, begins = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        lengths[new], begins[new] = new_lengths, len(self.known_ids) + new_begins
+        old = np.flatnonzero(at >= 0)
+        lengths[old], begins[old] = self.known_lengths[at[old]], self.known_begins[at[old]]
+        ids = np.concatenate([self.known_ids, new_ids])
+        room = _KEPT - len(self.known)
+        if room > 0:
+            often = np.flatnonzero(np.bincount(codes, minlength=len(words))[new] > 1)[:room]
+            self.known = pa.concat_arrays([self.known, words.take(pa.array(new[often]))])
+            self.known_begins = np.concatenate([self.known_begins, len(self.known_ids) + np.cumsum(new_lengths[often]) - new_lengths[often]])
+            self.known_lengths = np.concatenate([self.known_lengths, new_lengths[often]])
+            self.known_ids = np.concatenate([self.known_ids, new_ids[ragged(new_begins[often], new_lengths[often])]])
+        return begins, lengths, ids
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, and all ids one after the other; null is empty."""
         texts = pc.fill_null(texts, "").cast(pa.large_string())
@@ -103,25 +142,19 @@ class Encoder:
         coded = split.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
         codes = coded.indices.to_numpy().astype(np.int64)
         bounds -= bounds[0]
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary
+        begins, lengths, ids = self._dictionary(words, codes)
         # Parts: 0..V-1 the pieces with a space before, then the first piece of each text, then whole texts.
-        filled = [i for i, w in enumerate(words) if w]
-        lengths = np.zeros(len(words), np.int64)
-        lengths[filled], ids = self._pieces([words[i] for i in filled])
-        if "" in words:  # a space at a text's begin or end
-            lengths[words.index("")] = len(space := self._flat([" "])[1])
-            at = words.index("")
-            before = int(lengths[:at].sum())
-            ids = np.concatenate([ids[:before], space, ids[before:]])
-        firsts, first_ids = self._flat([words[c] for c in codes[bounds[:-1]]])
+        heads = words.take(pa.array(codes[bounds[:-1]])).to_pylist()
+        firsts, first_ids = self._flat(heads)
         wholes, whole_ids = self._flat(texts.filter(pa.array(whole)).to_pylist())
         v, at_whole = len(words), np.flatnonzero(whole)
         parts = codes.copy()
         parts[bounds[:-1]] = v + np.arange(n)
         parts[bounds[at_whole]] = v + n + np.arange(len(at_whole))
         sizes = np.concatenate([lengths, firsts, wholes])
-        begins = np.cumsum(sizes) - sizes
-        out = np.concatenate([ids, first_ids, whole_ids])[ragged(begins[parts], sizes[parts])]
+        more = len(ids) + np.cumsum(sizes[v:]) - sizes[v:]
+        out = np.concatenate([ids, first_ids, whole_ids])[ragged(np.concatenate([begins, more])[parts], sizes[parts])]
         ends = np.concatenate([[0], np.cumsum(sizes[parts])])
         return np.diff(ends[bounds]), out
 
