@@ -74,12 +74,23 @@ def index(docs: DataFrame, anchors: DataFrame, window: int = WINDOW) -> DataFram
 
 def phrase_hits(postings: DataFrame, anchors: DataFrame) -> DataFrame:
     """doc_id, text_hash, item_id, start, length of every occurrence of a window."""
+    at = F.greatest(F.lit(1), F.col("start") - F.col("begin") + 1)
     found = (
         postings.where("around IS NOT NULL")
         .withColumnRenamed("term", "term1")
         .join(anchors, "term1")
         .withColumn("start", F.col("pos") - F.col("offset1"))
         .where(F.col("start") >= 0)
+        .select(  # the arrays stay behind, what is shuffled is narrow
+            "doc_id",
+            "text_hash",
+            "item_id",
+            "start",
+            F.size("words").alias("length"),
+            "term2",
+            (F.col("start") + F.col("offset2")).alias("pos2"),
+            (F.slice("around", at, F.size("words")) == F.col("words")).alias("whole"),
+        )
     )
     other = postings.select(
         F.col("term").alias("o_term"), F.col("doc_id").alias("o_doc"), F.col("text_hash").alias("o_hash"), F.col("pos").alias("o_pos")
@@ -88,15 +99,11 @@ def phrase_hits(postings: DataFrame, anchors: DataFrame) -> DataFrame:
         F.col("doc_id").eqNullSafe(F.col("o_doc"))
         & (F.col("text_hash") == F.col("o_hash"))
         & (F.col("term2") == F.col("o_term"))
-        & (F.col("start") + F.col("offset2") == F.col("o_pos"))
+        & (F.col("pos2") == F.col("o_pos"))
     )
     both = found.where("term2 IS NOT NULL").join(other, same, "left_semi")
     single = found.where("term2 IS NULL")
-    at = F.greatest(F.lit(1), F.col("start") - F.col("begin") + 1)
-    exact = F.slice("around", at, F.size("words")) == F.col("words")
-    return both.unionByName(single).where(exact).select(
-        "doc_id", "text_hash", "item_id", "start", F.size("words").alias("length")
-    )
+    return both.unionByName(single).where("whole").select("doc_id", "text_hash", "item_id", "start", "length")
 
 
 def near_hits(postings: DataFrame, anchors: DataFrame, slack: int = 3) -> DataFrame:
