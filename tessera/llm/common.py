@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +50,14 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 6 <
             yield batch.slice(begin)
 
 
+def own_texts(texts: pa.Array) -> pa.Array:
+    """The texts, null as empty, copied out of whatever larger array they are a slice of.
+
+    Some string kernels misread arrays whose first offset is not zero.
+    """
+    return pc.fill_null(texts, "").cast(pa.large_string()).take(pa.array(np.arange(len(texts))))
+
+
 def _offsets(array: pa.Array) -> np.ndarray:
     kind = np.int64 if pa.types.is_large_string(array.type) or pa.types.is_large_binary(array.type) else np.int32
     return np.frombuffer(array.buffers()[1], kind)[array.offset : array.offset + len(array) + 1]

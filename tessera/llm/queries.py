@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, html_text, packing, pii, quality, secret_scan, token_files
+from tessera.llm import decontaminate, html_text, near_dups, packing, pii, quality, secret_scan, token_files
 from tessera.llm.common import table
 from tessera.llm.tokens import tokenizer_path
 from tessera.session import scratch
@@ -61,3 +61,11 @@ ORACLES["op7_positional_index"] = decontaminate.ORACLE
 @query
 def op9_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op10_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.link(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_odd_sketches"] = near_dups.ORACLE

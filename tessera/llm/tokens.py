@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tessera.llm.common import _offsets, ragged
+from tessera.llm.common import _offsets, own_texts, ragged
 
 #: RE2 pattern: white-space characters side by side.
 _WHOLE = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]{2}"
@@ -131,7 +131,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, and all ids one after the other; null is empty."""
-        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        texts = own_texts(texts)
         n = len(texts)
         if not n:
             return np.empty(0, np.int64), np.empty(0, np.uint32)
