@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, html_text, near_dups, packing, pii, quality, secret_scan, token_files
+from tessera.llm import decontaminate, html_text, line_dedup, near_dups, packing, pii, quality, secret_scan, token_files
 from tessera.llm.common import table
 from tessera.llm.tokens import tokenizer_path
 from tessera.session import scratch
@@ -21,6 +21,15 @@ def query(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return make
 
 
+@query
+def op1_repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove(docs).drop("text")
+
+
+ORACLES["op1_repeated_runs"] = line_dedup.ORACLE
+
+
 @query
 def op2_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))
