@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,17 +38,29 @@ def text_or_empty(column: str = "text") -> Column:
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, most_bytes: int = 6 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that ``column`` holds about ``most_bytes`` at most, or one row."""
+    """The batches cut so that ``column`` holds about ``most_bytes`` at most, or one row.
+
+    Between slices the worker gives free memory back, since idle workers stay beside busy ones.
+    """
     for batch in batches:
         lengths = np.diff(_offsets(batch.column(column)))
         begin, held = 0, 0
         for i, n in enumerate(lengths.tolist()):
             if held and held + n > most_bytes:
                 yield batch.slice(begin, i - begin)
+                _give_back()
                 begin, held = i, 0
             held += n
         if begin < batch.num_rows:
             yield batch.slice(begin)
+            _give_back()
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
 
 
 def own_texts(texts: pa.Array) -> pa.Array:

@@ -75,7 +75,7 @@ def pieces(docs: DataFrame, tokenizer: str, end: int, lower: bool = True, length
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, enc, row = TaskContext.get().partitionId(), encoder(tokenizer, lower), 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4 << 20):
             lengths, ids = with_end(*enc.encode(batch.column("text")), end)
             cuts = -(-lengths // length)
             doc = np.repeat(np.arange(len(lengths)), cuts)

@@ -91,7 +91,7 @@ def write(
             names = [f.split()[0] for f in CHUNK_SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=names)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 4 << 20):
             lengths, ids = with_end(*enc.encode(batch.column("text")), end)
             doc_ids = batch.column("id").to_pylist()
             ends = np.cumsum(lengths)
