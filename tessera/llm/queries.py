@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, html_text, line_dedup, near_dups, packing, pii, quality, secret_scan, token_files
+from tessera.llm import decontaminate, html_text, line_dedup, lm_score, near_dups, packing, pii, quality, secret_scan, token_files
 from tessera.llm.common import table
 from tessera.llm.tokens import tokenizer_path
 from tessera.session import scratch
@@ -67,6 +67,11 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op7_positional_index"] = decontaminate.ORACLE
 
 
+@query
+def op8_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 @query
 def op9_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
