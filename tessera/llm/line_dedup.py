@@ -144,6 +144,7 @@ def remove(docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id
     """
     copies = written(later_copies(docs, min_words, id_column, text), "copies")
     copies = copies.select(F.col("doc").alias("c_doc"), F.col("hash").alias("c_hash"), F.col("places").alias("__places"))
+    copies = copies.hint("merge")  # one plan at every size: texts are dealt out by key, nothing is broadcast
     keyed = _keyed(docs, id_column, text)
     joined = keyed.join(copies, (F.col(_DOC) == F.col("c_doc")) & (F.col(_HASH) == F.col("c_hash")), "left")
     kept, schema = extended(docs, "n_lines long, n_removed long, n_runs long, removed string")
