@@ -117,10 +117,20 @@ def near_hits(postings: DataFrame, anchors: DataFrame, slack: int = 3) -> DataFr
     return one.join(other, same).where(off.between(-slack, slack) & (off != 0)).select("doc_id", "text_hash", "item_id").distinct()
 
 
+def find(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """All hits of the items' windows: build the index, then look the windows up."""
+    anchors = written(anchored(docs, windows_of(items, window)), "anchors")
+    return phrase_hits(written(index(docs, anchors, window), "postings"), anchors)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id and text_hash of the documents with a hit."""
+    return find(docs, items, window).select("doc_id", "text_hash").distinct()
+
+
 def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated."""
-    anchors = written(anchored(docs, windows_of(items, window)), "anchors")
-    hits = phrase_hits(written(index(docs, anchors, window), "postings"), anchors)
+    hits = find(docs, items, window)
     per_start = hits.groupBy("doc_id", "text_hash", "start").agg(
         F.max("length").alias("length"), F.collect_set(F.col("item_id").cast("string")).alias("items")
     )
