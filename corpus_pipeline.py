@@ -42,10 +42,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    hits = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    keyed = docs.withColumn("__text_hash", F.xxhash64("text"))
-    same = keyed["doc_id"].eqNullSafe(hits["doc_id"]) & (keyed["__text_hash"] == hits["text_hash"])
-    return keyed.join(hits.hint("merge"), same, "left_anti").select(*docs.columns)
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,13 +2,13 @@
 
 An item is cut into windows of consecutive words. The corpus frequency of every word of the items decides
 the two rarest words of each window. The index is a written table of postings (term, document, position)
-of these rare words over all documents; postings of a window's rarest word also carry the few words around
-them. A window is looked up by joining the list of its rarest word with the list of its second rarest at
-the position that their offsets ask for, and the words around the hit confirm the whole phrase. Windows
-with a word that the corpus lacks are left out at once.
+of these rare words over all documents. A window is looked up by joining the list of its rarest word with
+the list of its second rarest at the position that their offsets ask for. What is left, gathered per
+document, meets the text once, where the whole phrase is compared. Windows with a word that the corpus
+lacks are left out at once.
 
-Only DataFrame functions are used. Tables of the items are joined without hints, so Spark broadcasts them
-where they are small and shuffles them otherwise; documents' texts are never shuffled.
+Only DataFrame functions are used. Word lists of the items are broadcast after their bytes were summed up
+and found few; beyond that they are joined by a shuffle.
 
 Null text has no words; an item without words has no window and is never found. Documents are told apart
 by id and a hash of their text, so repeated rows get the same result each and null ids work. Other columns
@@ -24,6 +24,8 @@ from pyspark.sql.window import Window
 from tessera.llm.common import text_or_empty, written
 
 WINDOW = 10
+#: Word lists are broadcast up to this size.
+BROADCAST_BYTES = 32 << 20
 #: Words are runs of digits, letters a-z and everything beyond ASCII, after folding A-Z.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -43,10 +45,16 @@ def windows_of(items: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
+def bounded(terms: DataFrame) -> DataFrame:
+    """A written table with a column ``term``: to be broadcast if its bytes, summed up, are few enough."""
+    size = terms.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
+    return F.broadcast(terms) if size <= BROADCAST_BYTES else terms
+
+
 def anchored(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """Windows whose words all occur, with term and offset of their rarest (1) and second rarest (2) word."""
-    terms = windows.select(F.explode("words").alias("term"))
-    corpus = docs.select(F.explode(words_of()).alias("term")).join(terms.distinct(), "term", "left_semi")
+    vocabulary = bounded(written(windows.select(F.explode("words").alias("term")).distinct(), "vocabulary"))
+    corpus = docs.select(F.explode(words_of()).alias("term")).join(vocabulary, "term", "left_semi")
     counts = written(corpus.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "terms")
     placed = windows.select("item_id", "at", "words", F.posexplode("words").alias("offset", "term"))
     each = Window.partitionBy("item_id", "at", "words")
@@ -59,107 +67,102 @@ def anchored(docs: DataFrame, windows: DataFrame) -> DataFrame:
     )
 
 
-def index(docs: DataFrame, anchors: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Postings of the anchors' terms: term, doc_id, text_hash, pos, and around rarest ones the words from ``begin``."""
-    first = anchors.select(F.col("term1").alias("term"), F.lit(1).alias("is_first"))
-    second = anchors.select(F.col("term2").alias("term"), F.lit(0).alias("is_first")).where("term IS NOT NULL")
-    terms = first.union(second).groupBy("term").agg(F.max("is_first").alias("is_first"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of().alias("w"))
-    begin = F.greatest(F.lit(0), F.col("pos") - (window - 1))
-    around = F.slice("w", begin + 1, 2 * window - 1)
-    return rows.select("*", F.posexplode("w").alias("pos", "term")).join(terms, "term").select(
-        "term", "doc_id", "text_hash", "pos", begin.alias("begin"), F.when(F.col("is_first") == 1, around).alias("around")
-    )
+def index(docs: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Postings of the anchors' terms: term, doc_id, text_hash, pos."""
+    terms = anchors.select(F.explode(F.array("term1", "term2")).alias("term")).where("term IS NOT NULL").distinct()
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(words_of()).alias("pos", "term"))
+    return rows.join(bounded(written(terms, "anchor-terms")), "term", "left_semi").select("term", "doc_id", "text_hash", "pos")
+
+
+def _other(postings: DataFrame) -> DataFrame:
+    names = {"term": "o_term", "doc_id": "o_doc", "text_hash": "o_hash", "pos": "o_pos"}
+    return postings.select(*[F.col(c).alias(n) for c, n in names.items()])
 
 
-def phrase_hits(postings: DataFrame, anchors: DataFrame) -> DataFrame:
-    """doc_id, text_hash, item_id, start, length of every occurrence of a window."""
-    at = F.greatest(F.lit(1), F.col("start") - F.col("begin") + 1)
+def _same_document() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("o_doc")) & (F.col("text_hash") == F.col("o_hash")) & (F.col("term2") == F.col("o_term"))
+
+
+def candidates(postings: DataFrame, anchors: DataFrame) -> DataFrame:
+    """doc_id, text_hash, item_id, at, start where the two rarest words of a window stand as in the window."""
     found = (
-        postings.where("around IS NOT NULL")
-        .withColumnRenamed("term", "term1")
-        .join(anchors, "term1")
+        postings.withColumnRenamed("term", "term1")
+        .join(anchors.drop("words"), "term1")
         .withColumn("start", F.col("pos") - F.col("offset1"))
-        .where(F.col("start") >= 0)
-        .select(  # the arrays stay behind, what is shuffled is narrow
-            "doc_id",
-            "text_hash",
-            "item_id",
-            "start",
-            F.size("words").alias("length"),
-            "term2",
-            (F.col("start") + F.col("offset2")).alias("pos2"),
-            (F.slice("around", at, F.size("words")) == F.col("words")).alias("whole"),
-        )
-    )
-    other = postings.select(
-        F.col("term").alias("o_term"), F.col("doc_id").alias("o_doc"), F.col("text_hash").alias("o_hash"), F.col("pos").alias("o_pos")
+        .where("start >= 0")
+        .select("doc_id", "text_hash", "item_id", "at", "start", "term2", (F.col("start") + F.col("offset2")).alias("pos2"))
     )
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("o_doc"))
-        & (F.col("text_hash") == F.col("o_hash"))
-        & (F.col("term2") == F.col("o_term"))
-        & (F.col("pos2") == F.col("o_pos"))
+    both = found.where("term2 IS NOT NULL").join(
+        _other(postings), _same_document() & (F.col("pos2") == F.col("o_pos")), "left_semi"
     )
-    both = found.where("term2 IS NOT NULL").join(other, same, "left_semi")
-    single = found.where("term2 IS NULL")
-    return both.unionByName(single).where("whole").select("doc_id", "text_hash", "item_id", "start", "length")
+    return both.unionByName(found.where("term2 IS NULL")).select("doc_id", "text_hash", "item_id", "at", "start")
 
 
 def near_hits(postings: DataFrame, anchors: DataFrame, slack: int = 3) -> DataFrame:
     """Proximity matches: the two rarest words stand at most ``slack`` words off their distance, not exactly at it."""
-    one = postings.where("around IS NOT NULL").withColumnRenamed("term", "term1").join(anchors, "term1")
-    other = postings.select(
-        F.col("term").alias("o_term"), F.col("doc_id").alias("o_doc"), F.col("text_hash").alias("o_hash"), F.col("pos").alias("o_pos")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("o_doc")) & (F.col("text_hash") == F.col("o_hash")) & (F.col("term2") == F.col("o_term"))
+    one = postings.withColumnRenamed("term", "term1").join(anchors.drop("words"), "term1")
     off = F.col("o_pos") - F.col("pos") - (F.col("offset2") - F.col("offset1"))
-    return one.join(other, same).where(off.between(-slack, slack) & (off != 0)).select("doc_id", "text_hash", "item_id").distinct()
+    return one.join(_other(postings), _same_document()).where(off.between(-slack, slack) & (off != 0)).select(
+        "doc_id", "text_hash", "item_id"
+    ).distinct()
+
+
+HITS, N_WORDS = "__hits", "__n_words"
 
 
 def find(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """All hits of the items' windows: build the index, then look the windows up."""
+    """``docs`` with the number of words and the confirmed hits of each row: item_id, start, length.
+
+    Candidates are gathered per document and meet its text in one join, where the whole phrase is compared.
+    """
     anchors = written(anchored(docs, windows_of(items, window)), "anchors")
-    return phrase_hits(written(index(docs, anchors, window), "postings"), anchors)
+    postings = written(index(docs, anchors), "postings")
+    phrases = anchors.select("item_id", "at", "words")
+    per_doc = candidates(postings, anchors).join(phrases, ["item_id", "at"]).groupBy(
+        F.col("doc_id").alias("c_doc"), F.col("text_hash").alias("c_hash")
+    ).agg(F.collect_list(F.struct("item_id", "start", "words")).alias("__candidates"))
+    same = F.col("doc_id").eqNullSafe(F.col("c_doc")) & (F.xxhash64("text") == F.col("c_hash"))
+    joined = docs.join(per_doc.hint("merge"), same, "left").withColumn("__words", words_of())
+
+    def exact(c: Column) -> Column:
+        return F.slice("__words", c["start"] + 1, F.size(c["words"])) == c["words"]
+
+    hits = F.transform(
+        F.filter("__candidates", exact), lambda c: F.struct(c["item_id"], c["start"], F.size(c["words"]).alias("length"))
+    )
+    return joined.select(*docs.columns, F.size("__words").cast("long").alias(N_WORDS), hits.alias(HITS))
 
 
-def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id and text_hash of the documents with a hit."""
-    return find(docs, items, window).select("doc_id", "text_hash").distinct()
+def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents without any hit."""
+    return find(docs, items, window).where(F.coalesce(F.size(HITS), F.lit(0)) <= 0).select(*docs.columns)
 
 
 def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated."""
-    hits = find(docs, items, window)
-    per_start = hits.groupBy("doc_id", "text_hash", "start").agg(
-        F.max("length").alias("length"), F.collect_set(F.col("item_id").cast("string")).alias("items")
-    )
-    runs = F.sort_array(F.collect_list(F.struct("start", "length")))
 
     def widen(acc: Column, run: Column) -> Column:
         stop = run["start"] + run["length"]
         more = F.greatest(F.lit(0), stop - F.greatest(acc["stop"], run["start"]))
         return F.struct(F.greatest(acc["stop"], stop).alias("stop"), (acc["n"] + more).alias("n"))
 
+    found = find(docs.select("doc_id", "text"), items, window)
+    runs = F.sort_array(F.transform(HITS, lambda h: F.struct(h["start"], h["length"])))
     start = F.struct(F.lit(0).alias("stop"), F.lit(0).alias("n"))
-    per_doc = per_start.groupBy("doc_id", "text_hash").agg(
-        runs.alias("runs"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
-    ).select(
-        F.col("doc_id").alias("h_doc"),
-        F.col("text_hash").alias("h_hash"),
-        F.aggregate("runs", start, widen)["n"].cast("long").alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+    item_ids = F.sort_array(F.array_distinct(F.transform(HITS, lambda h: h["item_id"].cast("string"))))
+    counted = found.select(
+        "doc_id",
+        F.col(N_WORDS).alias("n_words"),
+        F.coalesce(F.aggregate(runs, start, widen)["n"], F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce(item_ids, F.array().cast("array<string>")).alias("items"),
     )
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words_of()).cast("long").alias("n_words"))
-    same = F.col("doc_id").eqNullSafe(F.col("h_doc")) & (F.col("text_hash") == F.col("h_hash"))
-    return rows.join(per_doc, same, "left").select(
+    return counted.select(
         "doc_id",
         "n_words",
-        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
-        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
     )
 
 
