@@ -7,7 +7,7 @@
    two odd sketches estimates the similarity; pairs far below the limit end there (the margin is more than
    five standard deviations), the others are confirmed by intersecting the full sets.
 4. Confirmed links give components by label propagation. Buckets whose members are still in several
-   components get further rounds: pivots, chosen by hash with a share that grows eightfold per round, are
+   components get further rounds: pivots, chosen by hash with a share that grows fourfold per round, are
    paired with the members of other components until all were pivots or one component is left. No link
    between bucket members is lost, and members that are already connected are never compared again.
 
@@ -238,10 +238,13 @@ def link(docs: DataFrame) -> DataFrame:
     nodes = known.withColumnRenamed("doc_id", "node").join(classes, ["key1", "key2", "node"], "left_semi")
 
     members = nodes.select("node", F.explode("bands").alias("bucket"))
+    sums = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"sum{k}") for k in (1, 2)]
     buckets = members.groupBy("bucket").agg(
-        F.min("node").alias("center"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size")
+        F.min("node").alias("center"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size"), *sums
     ).where("center <> last")
-    shared = written(members.join(buckets.drop("last"), "bucket"), "members")
+    # Close documents share most of their buckets; of buckets with the same members one is enough.
+    one = buckets.groupBy("center", "last", "size", "sum1", "sum2").agg(F.min("bucket").alias("bucket"))
+    shared = written(members.join(one.select("bucket", "center", "size"), "bucket"), "members")
     in_pairs = written(shared.select("node").distinct(), "in-pairs")
     sketches = written(nodes.select("node", "sketch").join(in_pairs, "node", "left_semi"), "sketches")
     texts = docs.select("doc_id", "text").join(in_pairs.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
@@ -252,14 +255,15 @@ def link(docs: DataFrame) -> DataFrame:
     )
     links = written(confirmed(tested, sketches, sets), "links")
     labels = components(links)
-    share = 16.0
+    share = 2.0
     while True:
         placed = shared.select("bucket", "node", "size").join(labels, "node", "left").withColumn(
             "label", F.coalesce("label", "node")
         )
         torn = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         open_members = placed.join(torn.select("bucket"), "bucket", "left_semi")
-        chance = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 20)) / float(1 << 20)
+        # By node alone, so that a pivot of one bucket is one of its other buckets too and pairs coincide.
+        chance = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / float(1 << 20)
         pivots = open_members.where(chance * F.col("size") < share).select(
             "bucket", F.col("node").alias("p"), F.col("label").alias("p_label")
         )
@@ -273,7 +277,7 @@ def link(docs: DataFrame) -> DataFrame:
             labels = components(links, labels)
         elif not open_members.where(F.col("size") > share).limit(1).count():
             break
-        share *= 8
+        share *= 4
     of_node = classes.join(labels, "node", "left").select("key1", "key2", F.coalesce("label", "node").alias("component_id"))
     rows = signed.select("doc_id", "n_shingles", "key1", "key2")
     joined = rows.join(of_node, ["key1", "key2"], "left")
