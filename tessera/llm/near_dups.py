@@ -5,11 +5,13 @@
 2. Documents with equal sets form one class and go on as its smallest id, so copies never meet in pairs.
 3. In every band bucket each member is paired with the smallest one. The population count of the XOR of
    two odd sketches estimates the similarity; pairs far below the limit end there (the margin is more than
-   five standard deviations), the others are confirmed by intersecting the full sets.
+   five standard deviations). So do pairs whose parity maps of the whole sets differ in more bits than sets
+   of that similarity can. The others are confirmed by intersecting the full sets.
 4. Confirmed links give components by label propagation. Buckets whose members are still in several
-   components get further rounds: pivots, chosen by hash with a share that grows fourfold per round, are
-   paired with the members of other components until all were pivots or one component is left. No link
-   between bucket members is lost, and members that are already connected are never compared again.
+   components are compared in full, in blocks: a task gets two blocks of members with their sketches, tests
+   members of different components against each other in numpy, and passes on only pairs that withstand both
+   tests, to be confirmed. A large bucket is many pairs of blocks, no group reaches one task, and no link
+   between bucket members is lost.
 
 Two sets at the limit of 0.75 share no bucket with a probability of 5e-6. Row by row: null or blank text
 has an empty set and is linked with nothing. Rows with equal ids count as one document; a null id is
@@ -19,6 +21,8 @@ linked with nothing and kept. Empty tables give empty results; other columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +41,9 @@ SKETCH_BITS = 512
 LIMIT = 75
 #: XOR bits beyond which a pair is not confirmed on its sets: expected at a similarity of 0.45.
 MOST_XOR = 108
+#: Bits of the parity map of a whole set, and members in a block of a bucket.
+WHOLE_BITS = 1024
+BLOCK = 512
 
 _MASK = (1 << 64) - 1
 
@@ -122,13 +129,25 @@ def odd_sketches(samples: np.ndarray) -> np.ndarray:
     return out
 
 
+def whole_maps(sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """One row of 64-bit words for each non-empty set; bit b is the parity of the elements that fall on b.
+
+    Two maps differ in at most as many bits as the sets differ in elements.
+    """
+    filled = int((sizes > 0).sum())
+    row = np.repeat(np.arange(filled), sizes[sizes > 0])
+    place = (_mixed(values + _BASE) % np.uint64(WHOLE_BITS)).astype(np.int64)
+    odd = (np.bincount(row * WHOLE_BITS + place, minlength=filled * WHOLE_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.uint64).reshape(filled, WHOLE_BITS // 64)
+
+
 def estimated_similarity(xor_bits: float) -> float:
     """Similarity that the XOR count of two sketches points to."""
     rest = max(1e-9, 1 - 2 * xor_bits / SKETCH_BITS)
     return max(0.0, 1 + SKETCH_BITS / (4 * SAMPLES) * float(np.log(rest)))
 
 
-_SIGNATURE = "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>, sketch array<long>"
+_SIGNATURE = "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>, sketch array<long>, whole array<long>"
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -157,6 +176,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     pa.array(keys[:, 1]),
                     lists(np.ascontiguousarray(band_keys(samples))),
                     lists(odd_sketches(samples)),
+                    lists(whole_maps(sizes, values)),
                 ],
                 names=[f.split()[0] for f in _SIGNATURE.split(", ")],
             )
@@ -179,28 +199,103 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(make, "node long, shingles array<long>")
 
 
-def xor_bits(a: str, b: str) -> Column:
-    """Population count of the XOR of two sketch columns."""
-    words = [F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(SKETCH_BITS // 64)]
-    total = words[0]
-    for w in words[1:]:
-        total = total + w
-    return total
+def xor_bits(a: str, b: str, bits: int) -> Column:
+    """Population count of the XOR of two bit maps in array columns."""
+    return reduce(add, [F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(bits // 64)])
 
 
-def confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the limit; sketches sort out hopeless ones before."""
+_MAPS = ["n_shingles", "sketch", "whole"]
 
-    def attach(rows: DataFrame, table: DataFrame, column: str, side: str) -> DataFrame:
-        return rows.join(table.select(F.col("node").alias(side), F.col(column).alias(f"{column}_{side}")), side)
 
-    likely = attach(attach(pairs, sketches, "sketch", "a"), sketches, "sketch", "b").where(
-        xor_bits("sketch_a", "sketch_b") <= MOST_XOR
-    )
-    both = attach(attach(likely.select("a", "b"), sets, "shingles", "a"), sets, "shingles", "b")
+def likely(pairs: DataFrame, maps: DataFrame) -> DataFrame:
+    """The pairs (a, b) that withstand both tests on bit maps."""
+    for side in ("a", "b"):
+        own = maps.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in _MAPS])
+        pairs = pairs.join(own, side)
+    total = F.col("n_shingles_a") + F.col("n_shingles_b")
+    close = xor_bits("sketch_a", "sketch_b", SKETCH_BITS) <= MOST_XOR
+    possible = (100 + LIMIT) * xor_bits("whole_a", "whole_b", WHOLE_BITS) <= (100 - LIMIT) * total
+    return pairs.where(close & possible).select("a", "b")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the limit."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"shingles_{side}")), side)
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
     union = F.size("shingles_a") + F.size("shingles_b") - common
-    return both.where(100 * common >= LIMIT * union).select("a", "b").distinct()
+    return pairs.where(100 * common >= LIMIT * union).select("a", "b").distinct()
+
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, width)
+
+
+def _compare(node: np.ndarray, label: np.ndarray, own: np.ndarray, n: np.ndarray, sketch: np.ndarray, whole: np.ndarray):
+    """Pairs of one group of rows: different labels, different blocks if there are two, both tests passed."""
+    found = []
+    two = own[0] != own[-1] if len(own) else False
+    for i in range(len(node) - 1):
+        other = np.flatnonzero((label[i + 1 :] != label[i]) & ((own[i + 1 :] != own[i]) | (not two))) + i + 1
+        if len(other):
+            bits = np.bitwise_count(whole[other] ^ whole[i]).sum(1, dtype=np.int64)
+            other = other[(100 + LIMIT) * bits <= (100 - LIMIT) * (n[other] + n[i])]
+        if len(other):
+            other = other[np.bitwise_count(sketch[other] ^ sketch[i]).sum(1, dtype=np.int64) <= MOST_XOR]
+            found += [(min(node[i], x), max(node[i], x)) for x in node[other].tolist()]
+    return found
+
+
+def block_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of one bucket in different components that withstand both tests.
+
+    ``members`` holds bucket, node, label, size (of the bucket), and the node's maps.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    )
+    key = ["bucket", "low", "high"]
+    rows = dealt.select(
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "label", *_MAPS
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def groups(table: pa.Table, last: bool):
+            keys = np.stack([table.column(c).to_numpy() for c in key])
+            edges = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1, [table.num_rows]])
+            end = len(edges) - 1 if last else len(edges) - 2
+            found: list[tuple[int, int]] = []
+            if end > 0:
+                part = table.slice(0, int(edges[end])).combine_chunks()
+                node, label, own, n = (part.column(c).to_numpy() for c in ("node", "label", "own", "n_shingles"))
+                sketch = _matrix(part.column("sketch").combine_chunks(), SKETCH_BITS // 64)
+                whole = _matrix(part.column("whole").combine_chunks(), WHOLE_BITS // 64)
+                for b, e in zip(edges[:end].tolist(), edges[1 : end + 1].tolist()):
+                    found += _compare(node[b:e], label[b:e], own[b:e], n[b:e], sketch[b:e], whole[b:e])
+            return found, table.slice(int(edges[end]))
+
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = [pa.Table.from_batches([batch])] if rest is None else [rest, pa.Table.from_batches([batch])]
+            found, rest = groups(pa.concat_tables(held), False)
+            if found:
+                yield _pairs(found)
+        if rest is not None and rest.num_rows:
+            found, _ = groups(rest, True)
+            if found:
+                yield _pairs(found)
+
+    return rows.repartition(*key).sortWithinPartitions(*key, "own").mapInArrow(compare, "a long, b long")
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    both = np.unique(np.array(found, np.int64), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
 
 def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -246,38 +341,21 @@ def link(docs: DataFrame) -> DataFrame:
     one = buckets.groupBy("center", "last", "size", "sum1", "sum2").agg(F.min("bucket").alias("bucket"))
     shared = written(members.join(one.select("bucket", "center", "size"), "bucket"), "members")
     in_pairs = written(shared.select("node").distinct(), "in-pairs")
-    sketches = written(nodes.select("node", "sketch").join(in_pairs, "node", "left_semi"), "sketches")
-    texts = docs.select("doc_id", "text").join(in_pairs.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    maps = written(nodes.select("node", *_MAPS).join(in_pairs, "node", "left_semi"), "maps")
+    texts = docs.select("doc_id", "text").join(
+        in_pairs.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left_semi"
+    )  # one plan at every size
     sets = written(full_sets(texts), "sets")
 
-    tested = written(
-        shared.where("center <> node").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), "pairs"
-    )
-    links = written(confirmed(tested, sketches, sets), "links")
+    star = shared.where("center <> node").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+    links = written(confirmed(likely(star, maps), sets), "links")
     labels = components(links)
-    share = 2.0
-    while True:
-        placed = shared.select("bucket", "node", "size").join(labels, "node", "left").withColumn(
-            "label", F.coalesce("label", "node")
-        )
-        torn = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        open_members = placed.join(torn.select("bucket"), "bucket", "left_semi")
-        # By node alone, so that a pivot of one bucket is one of its other buckets too and pairs coincide.
-        chance = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / float(1 << 20)
-        pivots = open_members.where(chance * F.col("size") < share).select(
-            "bucket", F.col("node").alias("p"), F.col("label").alias("p_label")
-        )
-        met = open_members.join(pivots, "bucket").where("label <> p_label")
-        fresh = met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        fresh = written(fresh.join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = written(confirmed(fresh, sketches, sets), "links")
-        tested = tested.union(fresh)
-        if more.limit(1).count():
-            links = links.union(more)
-            labels = components(links, labels)
-        elif not open_members.where(F.col("size") > share).limit(1).count():
-            break
-        share *= 4
+    placed = shared.select("bucket", "node", "size").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    torn = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    still_open = placed.join(torn.select("bucket"), "bucket", "left_semi").join(maps, "node")
+    more = written(confirmed(block_pairs(still_open).distinct(), sets), "links")
+    if more.limit(1).count():
+        labels = components(links.union(more), labels)
     of_node = classes.join(labels, "node", "left").select("key1", "key2", F.coalesce("label", "node").alias("component_id"))
     rows = signed.select("doc_id", "n_shingles", "key1", "key2")
     joined = rows.join(of_node, ["key1", "key2"], "left")
