@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.config import Rule
 from tessera.functions.columns import EMAIL_PATTERN, all_of, as_time
-from tessera.plans.lookup import fits_broadcast, mark_known, mark_repeated
+from tessera.plans.lookup import common_type, fits_broadcast, mark_known, mark_repeated
 
 # --- row flags -------------------------------------------------------------------------------------
 
@@ -204,8 +204,9 @@ def _reference_counts(df: DataFrame, rule: Rule, reference: DataFrame) -> DataFr
 
     Rows are counted per key first, so the join with the reference sees every key once.
     """
-    known = reference.select(F.col(rule.ref_column).alias("__known")).distinct()
-    per_key = df.groupBy(F.col(rule.column).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
+    kind = common_type(df.sparkSession, df.schema[rule.column].dataType, reference.schema[rule.ref_column].dataType)
+    known = reference.select(F.col(rule.ref_column).cast(kind).alias("__known")).distinct()
+    per_key = df.groupBy(F.col(rule.column).cast(kind).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
     matched = per_key.join(known, F.col("__key") == F.col("__known"), "left")
     missing = F.when(F.col("__known").isNull(), F.col("__n")).otherwise(0)
     return matched.agg(

@@ -1,24 +1,36 @@
 """Lookups: attach the columns of a table with at most one row per key.
 
-A small lookup table is broadcast by Spark itself, because its estimated size is under the broadcast
-limit; the large side is then not shuffled and skew does not matter. Beyond that limit the rows of the
-heaviest keys are split off. Their lookup rows are at most ``MAX_HOT``, so they can be broadcast
-whatever the data size, and only the remaining, thinner keys go through a shuffle. Which keys count
-as heavy comes from a bounded sketch and decides speed only: both branches together hold every row
-exactly once whatever the sketch says.
+There is one plan at every size: a single join of the rows with the lookup table, both keys cast to their
+common wider type. Spark broadcasts the lookup table where its estimated size is under the limit. Beyond
+that the rows are shuffled by key, and rows of the heaviest keys are spread over several salts, with
+their lookup rows repeated once per salt. The heaviest keys come from a bounded sketch and are collected
+once, as at most ``MAX_HOT`` hashes; they decide how rows are spread and nothing else.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_HOT = 10_000
 SKETCH_ITEMS = 100_000
+#: Parts that the rows of a heavy key are spread over.
+SALTS = 32
 
-_HASH = "__key_hash"
+_HASH, _SALT = "__key_hash", "__salt"
+
+
+def common_type(spark: SparkSession, a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that both can be cast to without loss: text with anything is text, else Spark's wider type."""
+    if a == b:
+        return a
+    if isinstance(a, T.StringType) or isinstance(b, T.StringType):
+        return T.StringType()
+    nothing = [F.lit(None).cast(t) for t in (a, b)]
+    return spark.range(0).select(F.coalesce(*nothing).alias("x")).schema["x"].dataType
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -37,15 +49,11 @@ def fits_broadcast(df: DataFrame) -> bool:
     return estimated_bytes(df) <= broadcast_limit(df)
 
 
-def heavy_keys(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Hashes of the most frequent keys: at most ``MAX_HOT`` rows, found in one bounded aggregate."""
+def heavy_keys(df: DataFrame, keys: list[Column]) -> list[int]:
+    """Hashes of the most frequent keys, at most ``MAX_HOT``, from one bounded aggregate."""
     sketch = F.expr(f"approx_top_k({_HASH}, {MAX_HOT}, {SKETCH_ITEMS})").alias("top")
-    return (
-        df.select(F.xxhash64(*columns).alias(_HASH))
-        .agg(sketch)
-        .select(F.inline("top"))
-        .select(F.col("item").alias(_HASH))
-    )
+    found = df.select(F.xxhash64(*keys).alias(_HASH)).agg(sketch).select(F.inline("top")).where("count > 1")
+    return [r["item"] for r in found.select("item").collect()]
 
 
 def _all_of(conditions: list[Column]) -> Column:
@@ -63,38 +71,37 @@ def lookup_join(
 ) -> DataFrame:
     """Left rows with the ``payload`` columns of their ``right`` row.
 
-    ``keys`` maps left columns to right columns; ``right`` holds at most one row per key. ``how`` is
-    ``left`` or ``inner``. ``null_safe`` lets null keys meet. ``always_split`` takes the large-table
-    plan whatever the size, for tests.
+    ``keys`` maps left columns to right columns; ``right`` holds at most one row per key, in the common
+    type of both sides. ``how`` is ``left`` or ``inner``. ``null_safe`` lets null keys meet.
+    ``always_split`` spreads heavy keys whatever the size, for tests.
     """
+    spark = left.sparkSession
     names = {name: f"__lookup_{i}" for i, name in enumerate(keys)}
-    types = {f.name: f.dataType for f in left.schema.fields}
-    right = right.select(
-        *[F.col(keys[name]).try_cast(types[name]).alias(names[name]) for name in keys],
-        *payload,
-    )
-
-    def attach(rows: DataFrame, table: DataFrame) -> DataFrame:
-        pairs = [
-            rows[name].eqNullSafe(table[names[name]]) if null_safe else rows[name] == table[names[name]]
-            for name in keys
-        ]
-        return rows.join(table, _all_of(pairs), how).select(
-            *[rows[c] for c in left.columns], *[table[c] for c in payload]
-        )
-
-    if not always_split and fits_broadcast(right):
-        return attach(left, right)
-
-    hot = F.broadcast(heavy_keys(left, list(keys)))
-    left_hashed = left.withColumn(_HASH, F.xxhash64(*keys))
-    right_hashed = right.withColumn(_HASH, F.xxhash64(*names.values()))
-    thick = attach(
-        left_hashed.join(hot, _HASH, "left_semi"),
-        F.broadcast(right_hashed.join(hot, _HASH, "left_semi")),
+    kinds = {
+        name: common_type(spark, left.schema[name].dataType, right.schema[other].dataType) for name, other in keys.items()
+    }
+    ours = [F.col(f"`{name}`").cast(kind) for name, kind in kinds.items()]
+    table = right.select(
+        *[F.col(f"`{other}`").cast(kinds[name]).alias(names[name]) for name, other in keys.items()], *payload
     )
-    thin = attach(left_hashed.join(hot, _HASH, "left_anti"), right)
-    return thick.unionByName(thin)
+    pairs = [(a.eqNullSafe if null_safe else a.__eq__)(F.col(n)) for a, n in zip(ours, names.values())]
+    rows = left
+    if always_split or not fits_broadcast(table):
+        hot = heavy_keys(left, ours)
+        if hot:
+            heavy = F.xxhash64(*ours).isin(hot)
+            spread = F.when(heavy, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(left)]), F.lit(SALTS)))
+            rows = left.withColumn(_SALT, F.coalesce(spread, F.lit(0)).cast("int"))
+            places = F.when(F.xxhash64(*names.values()).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1)))
+            table = table.withColumn("__at", F.explode(F.coalesce(places, F.array(F.lit(0)))))
+            pairs.append(F.col(_SALT) == F.col("__at"))
+    joined = rows.join(table, _all_of(pairs), how)
+    return joined.select(*[f"`{c}`" for c in left.columns], *[f"`{c}`" for c in payload])
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns that can be hashed: all but those that hold maps."""
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
 
 
 def mark_known(
@@ -105,16 +112,20 @@ def mark_known(
     flag: str,
     always_split: bool = False,
 ) -> DataFrame:
-    """Boolean ``flag``: the value is not null and occurs in the reference column."""
+    """Boolean ``flag``: the value is not null and occurs in the reference column.
+
+    Values are compared in their common type, and made distinct in it.
+    """
+    kind = common_type(df.sparkSession, df.schema[column].dataType, reference.schema[reference_column].dataType)
     known = (
-        reference.select(F.col(reference_column).alias("__known"))
+        reference.select(F.col(f"`{reference_column}`").cast(kind).alias("__known"))
         .where(F.col("__known").isNotNull())
         .distinct()
         .withColumn(flag, F.lit(True))
     )
     base = df.drop(flag)
     joined = lookup_join(base, known, {column: "__known"}, [flag], always_split=always_split)
-    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return joined.withColumn(flag, F.coalesce(F.col(f"`{flag}`"), F.lit(False)))
 
 
 def mark_repeated(
