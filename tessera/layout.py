@@ -1,21 +1,31 @@
 """Table addresses and versions.
 
-A table is a folder of data directories plus one small pointer file that names the directories of the
-current version and the schema. Readers follow the pointer, so a rewrite never touches the files being
-read, an append shows up in one step, and no footers are opened to merge schemas. One writer per
-table is assumed; old versions stay until removed by the operator of the lake.
+A table is a folder of data directories plus numbered version files, each naming the directories of its
+version and the schema. Readers take the highest number, so a rewrite never touches the files being read,
+an append shows up in one step, and no footers are opened to merge schemas. A commit creates the next
+number and fails if that exists; the change is then made again on the version that came between, so
+writers of one table, in this or another program, lose nothing of each other. Data directories of old
+versions stay until removed by the operator of the lake.
 """
 
 from __future__ import annotations
 
 import json
+import threading
 import uuid
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-POINTER = "_current.json"
+VERSIONS = "_versions"
+#: Version files kept beside the current one.
+KEPT_VERSIONS = 20
+#: Times that a commit is tried again on a newer version.
+TRIES = 50
+
+_local_commits = threading.Lock()
 
 
 @dataclass(frozen=True)
@@ -53,11 +63,12 @@ def quarantine(base: str, table: str) -> Layout:
 
 @dataclass(frozen=True)
 class Version:
-    """What the pointer file says: data directories, schema and the batch ids already applied."""
+    """What a version file says: data directories, schema and the batch ids already applied."""
 
     dirs: tuple[str, ...]
     schema: StructType
     batches: dict[str, int] = field(default_factory=dict)
+    number: int = 0
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -73,19 +84,31 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(target) and fs.getFileStatus(target).isDirectory()
 
 
+def _numbers(spark: SparkSession, layout: Layout) -> list[int]:
+    folder = f"{layout.path}/{VERSIONS}"
+    fs, target = _file_system(spark, folder), _hadoop_path(spark, folder)
+    names = [f.getPath().getName() for f in fs.listStatus(target)] if fs.exists(target) else []
+    return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+
+def _version_file(layout: Layout, number: int) -> str:
+    return f"{layout.path}/{VERSIONS}/{number:012d}.json"
+
+
 def current_version(spark: SparkSession, layout: Layout) -> Version | None:
-    """The committed version, or None where the table does not exist."""
-    pointer = f"{layout.path}/{POINTER}"
-    fs, target = _file_system(spark, pointer), _hadoop_path(spark, pointer)
-    if not fs.exists(target):
+    """The newest version, or None where the table does not exist."""
+    numbers = _numbers(spark, layout)
+    if not numbers:
         return None
-    stream = fs.open(target)
+    path = _version_file(layout, numbers[-1])
+    stream = _file_system(spark, path).open(_hadoop_path(spark, path))
     try:
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
     state = json.loads(text)
-    return Version(tuple(state["dirs"]), StructType.fromJson(state["schema"]), state.get("batches", {}))
+    schema = StructType.fromJson(state["schema"])
+    return Version(tuple(state["dirs"]), schema, state.get("batches", {}), numbers[-1])
 
 
 def table_exists(spark: SparkSession, layout: Layout) -> bool:
@@ -96,24 +119,45 @@ def new_directory(layout: Layout) -> str:
     return f"{layout.path}/data-{uuid.uuid4().hex}"
 
 
-def commit(spark: SparkSession, layout: Layout, version: Version) -> None:
-    """Switch the pointer to ``version``: write a new file, then rename it over the old one."""
-    pointer = f"{layout.path}/{POINTER}"
-    draft = f"{layout.path}/_{uuid.uuid4().hex}.tmp"
-    text = json.dumps(
-        {"dirs": list(version.dirs), "schema": version.schema.jsonValue(), "batches": version.batches}
-    )
-    out = _file_system(spark, draft).create(_hadoop_path(spark, draft), True)
+def _create(spark: SparkSession, layout: Layout, version: Version, number: int) -> bool:
+    """Write the version file ``number``; False where another writer has made it.
+
+    A draft is renamed to its final name without overwriting, so a reader never sees half a file. Local
+    file systems check and rename in two steps, hence the lock between threads.
+    """
+    final = _version_file(layout, number)
+    draft = f"{layout.path}/{VERSIONS}/_{uuid.uuid4().hex}.tmp"
+    text = json.dumps({"dirs": list(version.dirs), "schema": version.schema.jsonValue(), "batches": version.batches})
+    fs = _file_system(spark, draft)
+    out = fs.create(_hadoop_path(spark, draft), True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    qualified = _file_system(spark, pointer).makeQualified(_hadoop_path(spark, pointer))
-    context = hadoop.FileContext.getFileContext(qualified.toUri(), spark._jsc.hadoopConfiguration())
-    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
-    options[0] = hadoop.Options.Rename.OVERWRITE
-    context.rename(_hadoop_path(spark, draft), _hadoop_path(spark, pointer), options)
+    with _local_commits:
+        made = not fs.exists(_hadoop_path(spark, final)) and fs.rename(_hadoop_path(spark, draft), _hadoop_path(spark, final))
+    if not made:
+        fs.delete(_hadoop_path(spark, draft), False)
+    return made
+
+
+def commit(spark: SparkSession, layout: Layout, change: Callable[[Version | None], Version | None]) -> Version | None:
+    """Apply ``change`` to the newest version and make the result the next one; None changes nothing.
+
+    If another writer was first, the change is made again on what that one left.
+    """
+    for _ in range(TRIES):
+        present = current_version(spark, layout)
+        wanted = change(present)
+        if wanted is None:
+            return present
+        number = present.number + 1 if present else 1
+        if _create(spark, layout, wanted, number):
+            for old in _numbers(spark, layout)[: -KEPT_VERSIONS - 1]:
+                path = _version_file(layout, old)
+                _file_system(spark, path).delete(_hadoop_path(spark, path), False)
+            return replace(wanted, number=number)
+    raise RuntimeError(f"{layout.path}: other writers were first {TRIES} times")
 
 
 def read_table(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -63,8 +63,14 @@ def merge_into(
         .parquet(directory)
     )
     counts = seen.get
-    kept = [d for d in version.dirs if not _is_current_dir(d)] if version else []
     added = [f"{directory}/{_PART}={p}" for p in ("closed", "current") if counts[p] > 0]
-    batches = {**(version.batches if version else {}), **(dict([writer]) if writer else {})}
-    commit(spark, layout, Version((*kept, *added), merged.schema, batches))
+
+    def change(present: Version | None) -> Version:
+        if (present.number if present else 0) != (version.number if version else 0):
+            raise RuntimeError(f"{layout.path}: another merge came between; merge again")
+        kept = [d for d in present.dirs if not _is_current_dir(d)] if present else []
+        batches = {**(present.batches if present else {}), **(dict([writer]) if writer else {})}
+        return Version((*kept, *added), merged.schema, batches)
+
+    commit(spark, layout, change)
     return counts

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera.layout import Layout, Version, commit, current_version, new_directory, read_table
 from tessera.operators import drift
@@ -34,7 +35,7 @@ def overwrite(df: DataFrame, layout: Layout, rows_per_file: int | None = None) -
     """Replace data and schema; returns the rows written."""
     directory = new_directory(layout)
     observed = write_directory(df, directory, rows_per_file=rows_per_file)
-    commit(df.sparkSession, layout, Version((directory,), df.schema))
+    commit(df.sparkSession, layout, lambda _: Version((directory,), df.schema))
     return observed[ROWS]
 
 
@@ -58,11 +59,26 @@ def append(
     observed = write_directory(drift.conform(df, schema), directory, metrics)
     if observed[ROWS] == 0 and version is not None:
         return observed
-    batches = {**(version.batches if version else {}), **(dict([batch]) if batch else {})}
-    commit(spark, layout, Version((*(version.dirs if version else ()), directory), schema, batches))
+    add_directory(spark, layout, directory, df.schema, batch)
     return observed
 
 
+def add_directory(
+    spark: SparkSession, layout: Layout, directory: str, schema: StructType, batch: tuple[str, int] | None = None
+) -> None:
+    """Make a written directory part of the table, on whatever version is the newest then."""
+
+    def change(present: Version | None) -> Version | None:
+        if present is None:
+            return Version((directory,), schema, dict([batch]) if batch else {})
+        if batch and present.batches.get(batch[0], -1) >= batch[1]:
+            return None
+        merged = drift.merged_schema(schema, present.schema)
+        return Version((*present.dirs, directory), merged, {**present.batches, **(dict([batch]) if batch else {})})
+
+    commit(spark, layout, change)
+
+
 def rewrite(
     spark: SparkSession,
     layout: Layout,
@@ -79,7 +95,6 @@ def rewrite(
     """
     version = current_version(spark, layout)
     chosen = [d for d in version.dirs if only is None or d in only]
-    kept = [d for d in version.dirs if d not in chosen and d not in drop]
     groups: dict[str, list[str]] = {}
     for path in chosen:
         tail = path.rsplit("/", 1)[-1]
@@ -89,20 +104,50 @@ def rewrite(
         df = transform(spark.read.schema(version.schema).parquet(*dirs))
         rows += write_directory(df, directory + part, rows_per_file=rows_per_file)[ROWS]
         written.append(directory + part)
-    commit(spark, layout, Version((*kept, *written), version.schema, version.batches))
+    replaced = {*chosen, *drop}
+
+    def change(present: Version | None) -> Version:
+        if present is None or not replaced <= set(present.dirs):
+            raise RuntimeError(f"{layout.path}: rewritten by another writer meanwhile")
+        kept = [d for d in present.dirs if d not in replaced]
+        return Version((*kept, *written), present.schema, present.batches)
+
+    commit(spark, layout, change)
     return rows
 
 
 def register(spark: SparkSession, layout: Layout, name: str) -> None:
-    """Catalog table over the current version, created if absent and moved to the version otherwise."""
+    """Catalog entry over the current version, created if absent and moved to the version otherwise.
+
+    A table of one directory becomes an external table, any other a view over its directories.
+    """
     version = current_version(spark, layout)
-    if version is None or len(version.dirs) != 1:
-        raise ValueError(f"{layout.path}: only a table of one directory can be registered")
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version.dirs[0]}'")
-        spark.catalog.refreshTable(name)
-    else:
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{version.dirs[0]}'")
+    if version is None:
+        raise FileNotFoundError(f"no table at {layout.path}")
+    kind = spark.catalog.getTable(name).tableType if spark.catalog.tableExists(name) else None
+    if len(version.dirs) == 1:
+        if kind == "VIEW":
+            spark.sql(f"DROP VIEW {name}")
+        if kind in (None, "VIEW"):
+            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{version.dirs[0]}'")
+        else:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{version.dirs[0]}'")
+            spark.catalog.refreshTable(name)
+        return
+    if kind not in (None, "VIEW"):
+        spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    parts = [_select_all(version.schema, spark.read.parquet(d).columns, d) for d in version.dirs]
+    parts = parts or [_select_all(version.schema, [], None)]
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {' UNION ALL '.join(parts)}")
+
+
+def _select_all(schema: StructType, present: list[str], directory: str | None) -> str:
+    """The columns of a schema from one directory, null where it lacks one; no rows without a directory."""
+    columns = [
+        f"CAST({f'`{f.name}`' if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in schema.fields
+    ]
+    return f"SELECT {', '.join(columns)} " + (f"FROM parquet.`{directory}`" if directory else "WHERE FALSE")
 
 
 def fingerprint(df: DataFrame, table: str, side: str) -> DataFrame:

@@ -103,7 +103,7 @@ def load_entity(
         directory = new_directory(layout)
         observed = sinks.write_directory(checked, directory, metrics)
         if observed[sinks.ROWS]:
-            commit(spark, layout, Version((directory,), checked.schema))
+            commit(spark, layout, lambda _: Version((directory,), checked.schema))
     else:
         observed = sinks.append(checked, layout, metrics)
     count = observed[sinks.ROWS]
@@ -171,16 +171,8 @@ def job_quality(
     checked = quality.failed_rules(df, rules, references)
     good, bad, counts = _split(checked, checked_layout(base, table))
     if counts["bad"]:
-        target = quarantine(base, table)
-        version = current_version(spark, target)
-        kept = version.dirs if version else ()
-        schema = drift.merged_schema(checked.schema, version.schema) if version else checked.schema
-        commit(spark, target, Version((*kept, bad), schema))
-    commit(
-        spark,
-        checked_layout(base, table),
-        Version((good,) if counts["good"] else (), df.schema),
-    )
+        sinks.add_directory(spark, quarantine(base, table), bad, checked.schema)
+    commit(spark, checked_layout(base, table), lambda _: Version((good,) if counts["good"] else (), df.schema))
     return quality.status(results).select(
         F.lit(table).alias("table_name"), "*", F.lit(counts["bad"]).cast("long").alias("quarantine_count")
     )

@@ -170,3 +170,56 @@ def test_landed_columns_types(spark):
     df = spark.createDataFrame([(1, '{"a":1,"b":null,"c":"x"}'), (1, '{"a":1.5,"b":null,"d":[1]}'), (2, '{"a":true}')], "e int, j string")
     found = {(r["EntityId"], r["column"]): r["type"] for r in drift.landed_columns(df, "e", "j").collect()}
     assert found == {(1, "a"): "double", (1, "b"): None, (1, "c"): "string", (1, "d"): "array", (2, "a"): "boolean"}
+
+
+def test_parallel_appends_lose_nothing(spark, base):
+    from concurrent.futures import ThreadPoolExecutor
+
+    layout = bronze(base, "shared")
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda i: sinks.append(spark.range(i, i + 1), layout), range(8)))
+    assert rows(read_table(spark, layout)) == [(i,) for i in range(8)]
+    assert current_version(spark, layout).number == 8
+
+
+def test_rewrite_keeps_what_was_appended_meanwhile(spark, base):
+    layout = bronze(base, "busy")
+    sinks.append(spark.range(2), layout)
+
+    def transform(df):
+        sinks.append(spark.range(2, 3), layout)
+        return df
+
+    sinks.rewrite(spark, layout, transform)
+    assert rows(read_table(spark, layout)) == [(0,), (1,), (2,)]
+
+
+def test_appended_and_empty_tables_are_registered(spark, base):
+    layout = bronze(base, "named")
+    sinks.append(spark.range(1), layout)
+    sinks.register(spark, layout, "named_rows")
+    sinks.append(spark.createDataFrame([(5, "x")], "id long, extra string"), layout)
+    sinks.register(spark, layout, "named_rows")
+    assert rows(spark.table("named_rows")) == [(0, None), (5, "x")]
+    sinks.rewrite(spark, layout, lambda df: df.coalesce(1))
+    sinks.register(spark, layout, "named_rows")
+    assert spark.table("named_rows").count() == 2
+    spark.sql("DROP TABLE named_rows")
+
+
+def test_upkeep_of_a_table_without_rows(spark, base):
+    from tessera.plans import jobs
+
+    layout = bronze(base, "gone")
+    old = spark.sql("SELECT 1L AS id, TIMESTAMP_NTZ '2020-01-01' AS _bronze_ingestion_timestamp")
+    sinks.append(old, layout)
+    first = jobs.job_maintenance(spark, [layout], 30, "2024-01-01 00:00:00").first()
+    assert (first.cleanup, first.removed) == ("CLEANED", 1)
+    again = jobs.job_maintenance(spark, [layout], 30, "2024-01-01 00:00:00").first()
+    assert (again.cleanup, again.removed) == ("CLEANED", 0)
+    assert maintain.table_stats(spark, [layout]).first()["num_files"] == 0
+    assert jobs.job_storage_review(spark, base, ["bronze"], "cleanup", 30, "2024-01-01 00:00:00").count() == 1
+    assert read_table(spark, layout).count() == 0
+    sinks.register(spark, layout, "gone_rows")
+    assert spark.table("gone_rows").count() == 0
+    spark.sql("DROP VIEW gone_rows")
