@@ -168,3 +168,30 @@ def read_table(spark: SparkSession, layout: Layout) -> DataFrame:
     if not version.dirs:
         return spark.createDataFrame([], version.schema)
     return spark.read.schema(version.schema).parquet(*version.dirs)
+
+
+SEEN = "seen:"
+
+
+def unseen(spark: SparkSession, source: Layout, target: Layout) -> tuple[DataFrame, dict[str, int], bool]:
+    """Rows of the source's directories that the target has not taken yet.
+
+    Returns the rows, the marks to store with the target's next version, and whether the target starts
+    anew: that is so where a directory it took is gone from the source, replaced or rewritten.
+    """
+    version = current_version(spark, source)
+    if version is None:
+        raise FileNotFoundError(f"no table at {source.path}")
+    marks = {f"{SEEN}{d.removeprefix(source.path)}": d for d in version.dirs}
+    done = current_version(spark, target)
+    taken = {b for b in done.batches if b.startswith(SEEN)} if done else set()
+    anew = not taken <= set(marks)
+    fresh = [d for mark, d in marks.items() if anew or mark not in taken]
+    rows = spark.read.schema(version.schema).parquet(*fresh) if fresh else spark.createDataFrame([], version.schema)
+    return rows, dict.fromkeys(marks, 1), anew
+
+
+def marked(version: Version, marks: dict[str, int]) -> Version:
+    """The version with these marks of taken directories in place of earlier ones."""
+    others = {b: n for b, n in version.batches.items() if not b.startswith(SEEN)}
+    return replace(version, batches={**others, **marks})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.layout import Layout, Version, commit, current_version, new_directory
+from tessera.layout import Layout, Version, commit, current_version, marked, new_directory
 from tessera.operators import scd
 
 _PART = "__part"
@@ -35,11 +35,12 @@ def merge_into(
     order: list[Column] | None = None,
     names: scd.Names = scd.DEFAULT,
     writer: tuple[str, int] | None = None,
+    marks: dict[str, int] | None = None,
 ) -> dict[str, int]:
     """Merge a batch into the stored history in one write and one pointer switch.
 
     Returns the numbers of current and newly closed rows. ``writer`` is a (name, batch number) pair;
-    a number already applied is skipped.
+    a number already applied is skipped. ``marks`` name the directories of the source taken so far.
     """
     spark = batch.sparkSession
     version = current_version(spark, layout)
@@ -70,7 +71,8 @@ def merge_into(
             raise RuntimeError(f"{layout.path}: another merge came between; merge again")
         kept = [d for d in present.dirs if not _is_current_dir(d)] if present else []
         batches = {**(present.batches if present else {}), **(dict([writer]) if writer else {})}
-        return Version((*kept, *added), merged.schema, batches)
+        version_ = Version((*kept, *added), merged.schema, batches)
+        return marked(version_, marks) if marks else version_
 
     commit(spark, layout, change)
     return counts

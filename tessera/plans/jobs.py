@@ -11,11 +11,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.config import Entity, Model, Rule, Transformation
-from tessera.functions.columns import watermark_text
+from tessera.functions.columns import as_time, watermark_text
 from tessera.layout import (
     Layout,
     Version,
@@ -28,11 +28,12 @@ from tessera.layout import (
     read_table,
     silver,
     table_exists,
+    marked,
+    unseen,
 )
 from tessera.operators import audit, drift, history, maintain, profile, quality, sinks
 from tessera.operators import gold as models
 from tessera.operators import silver as transforms
-from tessera.plans.sizing import size_shuffles
 from tessera.sources import readers
 from tessera.streaming.tables import append_table
 
@@ -116,13 +117,13 @@ def load_stream(
 ) -> LoadResult:
     """STREAMING load: everything that has arrived is appended, then the query stops."""
     layout = target_of(base, entity)
-    before = read_table(spark, layout).count() if table_exists(spark, layout) else 0
+    counts: list[int] = []
     tagged = audit.bronze(
         stream, entity.source_name, entity.name, "STREAMING", None, run_id,
         f"{run_id}-{entity.entity_id}", as_of,
     )
-    append_table(tagged, layout, checkpoint).awaitTermination()
-    count = read_table(spark, layout).count() - before
+    append_table(tagged, layout, checkpoint, on_rows=counts.append).awaitTermination()
+    count = sum(counts)
     return LoadResult(entity.entity_id, entity.name, "SUCCEEDED", count, count, None)
 
 
@@ -159,8 +160,15 @@ def job_quality(
     references: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Evaluate rules, keep the results, split good from bad rows in one write, and report."""
-    df = read_table(spark, bronze(base, table))
-    size_shuffles(df, *(references or {}).values())
+    """Evaluate rules on what arrived since the last run, keep the results, split good from bad rows.
+
+    Only directories of the bronze table that no run has checked are read. Good rows are appended to the
+    checked table, bad ones with ``SourceTable`` and ``QuarantineTime`` to the quarantine, in one write; a
+    repeated run finds nothing new and adds nothing. Where the bronze table was replaced or rewritten,
+    the checked table is too, and of its rows those of this run go to the quarantine.
+    """
+    target = checked_layout(base, table)
+    df, marks, anew = unseen(spark, bronze(base, table), target)
     results = spark.createDataFrame(
         quality.evaluate(df, rules, references).collect(),  # one row per rule
         quality.evaluate(df.limit(0), [], {}).schema,
@@ -168,24 +176,38 @@ def job_quality(
     sinks.append(
         quality.results_table(results, f"{run_id}-{table}", as_of), Layout(base, "system", "dq", "results")
     )
-    checked = quality.failed_rules(df, rules, references)
-    good, bad, counts = _split(checked, checked_layout(base, table))
+    checked = quality.failed_rules(df, rules, references).withColumns(
+        {"SourceTable": F.lit(f"bronze.{table}"), "QuarantineTime": as_time(as_of)}
+    )
+    known = F.lit(False)
+    if anew and "_bronze_run_id" in df.columns:
+        known = F.coalesce(F.col("_bronze_run_id") != run_id, F.lit(False))
+    good, bad, counts = _split(checked, target, known)
     if counts["bad"]:
         sinks.add_directory(spark, quarantine(base, table), bad, checked.schema)
-    commit(spark, checked_layout(base, table), lambda _: Version((good,) if counts["good"] else (), df.schema))
+
+    def change(present: Version | None) -> Version:
+        added = (good,) if counts["good"] else ()
+        if present is None or anew:
+            return marked(Version(added, df.schema), marks)
+        schema = drift.merged_schema(df.schema, present.schema)
+        return marked(Version((*present.dirs, *added), schema, present.batches), marks)
+
+    commit(spark, target, change)
     return quality.status(results).select(
         F.lit(table).alias("table_name"), "*", F.lit(counts["bad"]).cast("long").alias("quarantine_count")
     )
 
 
-def _split(checked: DataFrame, layout: Layout) -> tuple[str, str, dict]:
-    """Good and bad rows written side by side in one job."""
+def _split(checked: DataFrame, layout: Layout, known: Column) -> tuple[str, str, dict]:
+    """Good and bad rows written side by side in one job; bad ones that are ``known`` stay apart, uncounted."""
     clean = F.size("_dq_failed_rules") == 0
+    bad = ~clean & ~known
     seen = Observation()
     directory = new_directory(layout)
     (
-        checked.withColumn("__part", F.when(clean, "good").otherwise("bad"))
-        .observe(seen, F.count_if(clean).alias("good"), F.count_if(~clean).alias("bad"))
+        checked.withColumn("__part", F.when(clean, "good").when(bad, "bad").otherwise("known"))
+        .observe(seen, F.count_if(clean).alias("good"), F.count_if(bad).alias("bad"))
         .write.partitionBy("__part")
         .parquet(directory)
     )
@@ -204,13 +226,16 @@ def transform_table(
     run_id: str,
     as_of,
 ) -> tuple[int, int]:
-    """Run one transformation and write its result; returns rows in the source and rows written."""
-    df = read_table(spark, source)
-    size_shuffles(df)
-    read = df.count()
-    if read == 0:
-        return 0, 0
+    """Run one transformation and write its result; returns the rows read and written.
+
+    A history merges the rows that arrived since its last merge. Other results depend on all rows, as a
+    latest row per key does, and are made anew.
+    """
     if transformation.kind == "SCD2":
+        df, marks, _ = unseen(spark, source, target)
+        read = df.count()
+        if read == 0:
+            return 0, 0
         order = [F.col(transforms.INGESTED).desc()] if transforms.INGESTED in df.columns else []
         counts = history.merge_into(
             df,
@@ -220,8 +245,13 @@ def transform_table(
             as_of,
             order,
             transforms.scd_names(transformation.logic),
+            marks=marks,
         )
         return read, counts["current"] + counts["closed"]
+    df = read_table(spark, source)
+    read = df.count()
+    if read == 0:
+        return 0, 0
     entity_run = f"{run_id}-{transformation.entity_id}"
     result = transforms.dispatch(df, transformation, references, run_id, entity_run, as_of)
     return read, sinks.overwrite(result, target)
@@ -282,7 +312,6 @@ def build_all(spark: SparkSession, configured: list[Model], base: str, run_id: s
                 )
                 for name in model.sources
             }
-            size_shuffles(*sources.values())
             rows = sinks.overwrite(models.build(sources, model, run_id, as_of), gold(base, model.name))
             results.append((model.name, model.kind, "SUCCEEDED", rows, None))
         except Exception as e:  # recorded; the other models go on
@@ -319,7 +348,6 @@ def job_profile(
     written = []
     for layout in tables:
         df = read_table(spark, layout)
-        size_shuffles(df)
         found = profile.sampled(df, sample_size) if sample_size else profile.basic(df)
         rows = profile.stamped(found.drop("table_rows"), layout.layer, layout.schema, layout.table, as_of)
         written.append((layout.table, sinks.append(rows, target)[sinks.ROWS]))

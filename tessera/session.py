@@ -21,11 +21,19 @@ SETTINGS = {
     ),
 }
 
+#: Shuffles start with many partitions, whatever the table; adaptive execution joins those that stay small.
+FIRST_PARTITIONS = "2000"
+
 _local_roots: dict[str, str] = {}
 
 
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
-    """A session with the settings the operators are written for; extra settings win."""
+    """A session with the settings the operators are written for; extra settings win.
+
+    Without a number of shuffle partitions, shuffles start with ``FIRST_PARTITIONS``.
+    """
+    if "spark.sql.shuffle.partitions" not in settings:
+        settings = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": FIRST_PARTITIONS, **settings}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

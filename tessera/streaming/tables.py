@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,12 +22,18 @@ def _start(stream: DataFrame, apply, checkpoint: str, mode: str, available_now:
 
 
 def append_table(
-    stream: DataFrame, layout: Layout, checkpoint: str, available_now: bool = True
+    stream: DataFrame,
+    layout: Layout,
+    checkpoint: str,
+    available_now: bool = True,
+    on_rows: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
-    """Rows of a stream appended to a table, each batch once."""
+    """Rows of a stream appended to a table, each batch once; ``on_rows`` is told the rows of each."""
 
     def apply(rows: DataFrame, number: int) -> None:
-        sinks.append(rows, layout, batch=(checkpoint, number))
+        observed = sinks.append(rows, layout, batch=(checkpoint, number))
+        if on_rows is not None:
+            on_rows(observed[sinks.ROWS])
 
     return _start(stream, apply, checkpoint, "append", available_now)
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.layout import is_directory
-from tessera.plans.sizing import size_shuffles
 
 # Run times used by the queries: one inside the order dates, one inside the event times.
 AS_OF = "2001-07-15 00:00:00"
@@ -22,7 +21,6 @@ LOAD_2 = "2024-02-01 00:00:00"
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, with shuffles sized for it."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    size_shuffles(df)
     return df
 
 

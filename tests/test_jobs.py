@@ -107,3 +107,36 @@ def test_maintenance_and_review(spark, base):
     report = jobs.job_maintenance(spark, maintain.list_tables(spark, base), 90, "2024-02-01", max_files=3, parallelism=2)
     assert rows(report.select("table_name", "compact")) == [("many", "COMPACTED"), ("one", "SKIPPED")]
     assert tuple(maintain.run_summary(report).first()) == ("SUCCEEDED", 2, 1, 1, 0)
+
+
+def test_quality_and_history_take_what_arrived_since(spark, base, tmp_path):
+    path = str(tmp_path / "people")
+    deliver(spark, path, [(i, "a" if i % 2 else None, "x", "2024-01-01") for i in range(10)])
+    first = jobs.job_medallion(spark, [entity(path, "1900-01-01")], RULES, STEPS, MODELS[:1], base, "run-1", "2024-02-01")
+    deliver(spark, path, [(i, "a" if i % 2 else None, "x", "2024-01-05") for i in range(10, 14)])
+    second = jobs.job_medallion(spark, [entity(path, "2024-01-01 00:00:00.000")], RULES, STEPS, MODELS[:1], base, "run-2", "2024-03-01")
+    for events, wanted in ((first, (10, 5, 5)), (second, (4, 2, 2))):
+        end = events.where("EventType = 'end' AND RunKind = 'entity'").first()
+        assert (end["RowsRead"], end["RowsWritten"], end["RowsRejected"]) == wanted
+    bad = read_table(spark, quarantine(base, "people"))
+    assert sorted(r.id for r in bad.collect()) == list(range(0, 14, 2))
+    assert {r["SourceTable"] for r in bad.collect()} == {"bronze.people"}
+    assert bad.select("QuarantineTime").distinct().count() == 2
+    checked = read_table(spark, jobs.checked_layout(base, "people"))
+    assert sorted(r.id for r in checked.collect()) == list(range(1, 14, 2)) and "QuarantineTime" not in checked.columns
+    again = jobs.job_quality(spark, "people", RULES[1], base, "run-2", "2024-03-01").first()
+    assert again["quarantine_count"] == 0
+    assert read_table(spark, quarantine(base, "people")).count() == 7
+    assert read_table(spark, jobs.checked_layout(base, "people")).count() == 7
+
+
+def test_parallel_entities_keep_all_results(spark, base, tmp_path):
+    entities, rules = [], {}
+    for i in range(8):
+        path = str(tmp_path / f"people{i}")
+        deliver(spark, path, [(1, "a", "x", "2024-01-01")])
+        entities.append(Entity(i, f"people{i}.parquet", "adls-people", "FILE", path))
+        rules[i] = [Rule(i, "named", "NOT_NULL", "name", "ERROR", True)]
+    events = jobs.job_medallion(spark, entities, rules, {}, [], base, "run-1", "2024-02-01", parallelism=8)
+    assert events.where("Status = 'FAILED'").count() == 0
+    assert rows(read_table(spark, Layout(base, "system", "dq", "results")).select("RuleId")) == [(i,) for i in range(8)]

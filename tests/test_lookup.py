@@ -118,17 +118,3 @@ def test_broadcast_limit_reads_sizes(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
         assert lookup.broadcast_limit(df) == expected
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
-def test_shuffles_grow_with_the_data_and_never_shrink(spark, small, monkeypatch):
-    from tessera.plans import sizing
-
-    assert sizing.wanted_partitions(1) == 1
-    assert sizing.wanted_partitions(10 * sizing.PARTITION_BYTES + 1) == 11
-    assert sizing.wanted_partitions(10**15) == sizing.MOST_PARTITIONS
-    df = spark.read.parquet(f"{small}/lineitem.parquet")
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    assert sizing.size_shuffles(df) == int(before)
-    monkeypatch.setattr(sizing, "PARTITION_BYTES", 1024)
-    assert sizing.size_shuffles(df) == int(spark.conf.get("spark.sql.shuffle.partitions")) > int(before)
-    spark.conf.set("spark.sql.shuffle.partitions", before)
