@@ -249,3 +249,50 @@ def job_medallion(spark, sf_dir):
         parallelism=2,
     )
     return report.drop("WatermarkAfter", "ErrorMessage")
+
+
+@query(
+    "job_medallion_incremental",
+    """WITH d AS (SELECT CASE WHEN o_orderdate <= TIMESTAMP '1996-01-01' THEN 'run-1' ELSE 'run-2' END AS RunId, o_orderkey,
+                         o_totalprice BETWEEN 1000 AND 400000 AS ok FROM orders)
+       SELECT 'event' AS Part, RunId, count(*) AS Rows, count(*) FILTER (ok) AS Good, count(*) FILTER (NOT ok) AS Bad,
+              NULL::BIGINT AS Keys FROM d GROUP BY RunId
+       UNION ALL SELECT 'checked', RunId, count(*), count(*), 0, sum(o_orderkey)::BIGINT FROM d WHERE ok GROUP BY RunId
+       UNION ALL SELECT 'quarantine', RunId, count(*), 0, count(*), sum(o_orderkey)::BIGINT FROM d WHERE NOT ok GROUP BY RunId
+       UNION ALL SELECT 'history', 'run-2', count(*), count(*), 0, sum(o_orderkey)::BIGINT FROM d WHERE ok""",
+    with_nulls=("Keys",),
+)
+def job_medallion_incremental(spark, sf_dir):
+    """Two deliveries of orders; the second run reads, checks and merges the second delivery only, and is repeated."""
+    base, path = scratch(spark, "lake"), scratch(spark, "orders")
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+    early = F.col("o_orderdate") <= F.lit("1996-01-01").cast("timestamp_ntz")
+    steps = {2: [(Transformation(3, 2, "SCD2", {"scd2_columns": ["o_totalprice"]}, ("o_orderkey",)), "orders_scd2")]}
+    mark, events = "1900-01-01", []
+    for run, rows in (("run-1", orders.where(early)), ("run-2", orders.where(~early))):
+        rows.write.mode("append").parquet(path)
+        entity = Entity(
+            2, "orders.parquet", "adls-orders", "FILE", path, load_type="INCREMENTAL",
+            watermark_column="o_orderdate", last_watermark=mark,
+        )
+        report = jobs.job_medallion(spark, [entity], MEDALLION_RULES, steps, [], base, run, AS_OF)
+        end = report.where("EventType = 'end' AND RunKind = 'entity'").first()
+        mark = end["WatermarkAfter"]
+        events.append(("event", run, end["RowsRead"], end["RowsWritten"], end["RowsRejected"], None))
+    jobs.job_quality(spark, "orders", MEDALLION_RULES[2], base, "run-2", AS_OF)  # a repetition adds nothing
+
+    def stored(part, layout, run, good):
+        n = F.count(F.lit(1))
+        counts = [n, n if good else F.lit(0), F.lit(0) if good else n, F.sum("o_orderkey")]
+        return read_table(spark, layout).groupBy(F.lit(part), run).agg(*[c.cast("long").alias(f"c{i}") for i, c in enumerate(counts)])
+
+    names = ["Part", "RunId", "Rows", "Good", "Bad", "Keys"]
+    found = spark.createDataFrame(events, "Part string, RunId string, Rows long, Good long, Bad long, Keys long")
+    run = F.col("_bronze_run_id")
+    for part, layout, by, good in (
+        ("checked", jobs.checked_layout(base, "orders"), run, True),
+        ("quarantine", jobs.quarantine(base, "orders"), run, False),
+        ("history", silver(base, "orders_scd2"), F.lit("run-2"), True),
+    ):
+        found = found.unionByName(stored(part, layout, by, good).toDF(*names))
+    return found
