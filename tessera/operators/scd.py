@@ -10,9 +10,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from tessera.functions.columns import OPEN_END, all_of, any_of, as_time, differs
-from tessera.operators import dedup
+from tessera.operators import dedup, drift
 from tessera.plans.lookup import fits_broadcast
 
 
@@ -124,14 +126,27 @@ def merge_current(
     A small batch against a large history is under Spark's broadcast limit, so the current rows stay
     where they are.
     Otherwise both are joined once by key, and each pair of rows yields one or two versions.
-    ``broadcast_batch`` overrides the choice, for tests.
+    ``broadcast_batch`` overrides the choice, for tests. Whatever the plan, both sides first take the merged
+    schema: the wider of two types, and columns that only one side has.
     """
+    history, batch = _one_schema(history, batch, names)
     if broadcast_batch is None:
         broadcast_batch = fits_broadcast(batch) and not fits_broadcast(history)
     merge = _merge_by_broadcast if broadcast_batch else _merge_by_full_join
     return merge(history, batch, keys, tracked, as_of, names)
 
 
+def _one_schema(history: DataFrame, batch: DataFrame, names: Names) -> tuple[DataFrame, DataFrame]:
+    """The history in the merged schema, and the batch's own columns in its types."""
+    schema = drift.merged_schema(batch.drop(*names.all).schema, history.schema)
+    kinds = {f.name: f.dataType for f in schema.fields}
+    data = [f for f in schema.fields if f.name not in names.all]
+    ends = [f for f in schema.fields if f.name in names.all]
+    return drift.conform(history, StructType(data + ends)), batch.select(
+        *[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in batch.columns if c not in names.all]
+    )
+
+
 def _merge_by_broadcast(
     history: DataFrame,
     batch: DataFrame,
@@ -231,7 +246,45 @@ def apply(
     if history is None:
         return initial(rows, as_of, names)
     merged = merge_current(history, rows, keys, tracked, as_of, names)
-    return closed_rows(history, names).unionByName(merged)
+    return drift.conform(closed_rows(history, names), merged.schema).unionByName(merged)
+
+
+def from_changes(
+    changes: DataFrame,
+    keys: list[str],
+    tracked: list[str],
+    time: str,
+    position: list[Column] | None = None,
+    deleted: Column | None = None,
+    names: Names = DEFAULT,
+) -> DataFrame:
+    """The type-2 history that a log of changes describes, whatever order the log is in.
+
+    Versions open at their own change time. Of several changes of a key at one time the last by
+    ``position`` counts; a change that repeats the tracked columns opens no version. ``deleted`` is true
+    for changes that end a key: its version closes then, and a later change opens a new one. Changes
+    without key or time are left out.
+    """
+    gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
+    usable = all_of([F.col(k).isNotNull() for k in [*keys, time]])
+    rows = changes.withColumn("__gone", gone).where(usable).withColumn(time, F.col(time).cast("timestamp_ntz"))
+    one = dedup.latest(rows, [*keys, time], position or [])
+    by_time = Window.partitionBy(*keys).orderBy(time)
+    state = F.struct("__gone", *[F.when(~F.col("__gone"), F.col(c)).alias(c) for c in tracked])
+    before = F.lag(state).over(by_time)
+    steps = one.withColumn("__step", before.isNull() | ~state.eqNullSafe(before)).where("__step")
+    return (
+        steps.withColumn("__next", F.lead(time).over(by_time))
+        .where(~F.col("__gone"))
+        .withColumns(
+            {
+                names.valid_from: F.col(time),
+                names.valid_to: F.coalesce("__next", as_time(OPEN_END)),
+                names.is_current: F.col("__next").isNull(),
+            }
+        )
+        .drop("__gone", "__step", "__next")
+    )
 
 
 def merge_update(

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.layout import Layout, read_table
-from tessera.operators import dedup, history, sinks
+from tessera.operators import dedup, scd, sinks
 
 BATCH = "_batch_id"
 
@@ -68,27 +68,33 @@ def fold_upserts(spark: SparkSession, layout: Layout, keys: list[str]) -> int:
     return sinks.rewrite(spark, layout, lambda rows: latest_upserts(rows, keys))
 
 
-def scd2_table(
-    changes: DataFrame,
+def change_table(
+    changes: DataFrame, layout: Layout, checkpoint: str, available_now: bool = True
+) -> StreamingQuery:
+    """Change records appended to their log, each batch once; ``read_history`` gives the history.
+
+    The log holds every change as it came, so the history is the same however the stream was cut into
+    batches, late changes included.
+    """
+    return append_table(changes, layout, checkpoint, available_now)
+
+
+def read_history(
+    spark: SparkSession,
     layout: Layout,
     keys: list[str],
     tracked: list[str],
     time: str,
-    checkpoint: str,
-    available_now: bool = True,
-) -> StreamingQuery:
-    """Change records merged into a type-2 history, one merge per batch.
+    position: list[Column] | None = None,
+    deleted: Column | None = None,
+) -> DataFrame:
+    """The type-2 history of a change log as it stands."""
+    return scd.from_changes(read_table(spark, layout), keys, tracked, time, position, deleted)
 
-    The newest change per key in a batch counts; its versions open at the batch's latest change time.
-    """
-
-    def apply(rows: DataFrame, number: int) -> None:
-        as_of = rows.agg(F.max(F.col(time).cast("timestamp_ntz"))).first()[0]
-        if as_of is not None:
-            order = [F.col(time).desc()]
-            history.merge_into(rows, layout, keys, tracked, as_of, order, writer=(checkpoint, number))
 
-    return _start(changes, apply, checkpoint, "append", available_now)
+def fold_history(spark: SparkSession, layout: Layout, target: Layout, keys: list[str], tracked: list[str], time: str, **how) -> int:
+    """Write the history of a change log to its own table; returns the versions written."""
+    return sinks.overwrite(read_history(spark, layout, keys, tracked, time, **how), target)
 
 
 def late_rows(query: StreamingQuery) -> int:

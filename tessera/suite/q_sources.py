@@ -210,25 +210,33 @@ def landed(spark, stream, name):
 
 @query(
     "src_stream_cdc",
-    """SELECT o_custkey, o_orderpriority, o_orderdate, m.as_of AS ValidFrom, TRUE AS IsCurrent
-       FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
-                                          ORDER BY o_orderdate DESC, o_orderkey, o_orderpriority) AS rn
-             FROM orders),
-            (SELECT max(o_orderdate) AS as_of FROM orders) AS m
-       WHERE rn = 1""",
+    """WITH c AS (SELECT o_custkey, o_orderpriority, o_orderdate, o_orderstatus = 'P' AS gone FROM orders
+                  QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1),
+            s AS (SELECT *, CASE WHEN gone THEN '-' ELSE o_orderpriority END AS state FROM c),
+            k AS (SELECT *, lag(state) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS before FROM s
+                  QUALIFY before IS NULL OR before <> state),
+            v AS (SELECT *, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS next FROM k)
+       SELECT o_custkey, o_orderpriority, o_orderdate, o_orderdate AS ValidFrom,
+              strftime(coalesce(next, TIMESTAMP '9999-12-31 23:59:59'), '%Y-%m-%d %H:%M:%S') AS ValidUntil, next IS NULL AS IsCurrent
+       FROM v WHERE NOT gone""",
 )
 def src_stream_cdc(spark, sf_dir):
-    """Orders as changes of their customer, merged into a type-2 history by the stream."""
-    changes = inputs.stream(spark, sf_dir, "orders").select(
-        "o_custkey", "o_orderkey", "o_orderpriority", "o_orderdate"
-    )
+    """Orders as changes of their customer, in several files without order, one file per micro-batch."""
+    path = scratch(spark, "changes")
+    columns = ["o_custkey", "o_orderkey", "o_orderpriority", "o_orderdate", "o_orderstatus"]
+    orders = table(spark, sf_dir, "orders").select(*columns)
+    orders.repartition(5, "o_orderkey").write.parquet(path)
+    changes = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(path)
     layout = bronze(scratch(spark, "lake"), "customer_changes")
-    tables.scd2_table(
-        changes, layout, ["o_custkey"], ["o_orderpriority"], "o_orderdate", scratch(spark, "checkpoint")
-    ).awaitTermination()
-    return read_table(spark, layout).select(
-        "o_custkey", "o_orderpriority", "o_orderdate", "ValidFrom", "IsCurrent"
-    )
+    tables.change_table(changes, layout, scratch(spark, "checkpoint")).awaitTermination()
+    history = tables.read_history(
+        spark, layout, ["o_custkey"], ["o_orderpriority"], "o_orderdate",
+        [F.col("o_orderkey").desc()], F.col("o_orderstatus") == "P",
+    )
+    return history.select(
+        "o_custkey", "o_orderpriority", "o_orderdate", "ValidFrom",
+        F.date_format("ValidTo", "yyyy-MM-dd HH:mm:ss").alias("ValidUntil"), "IsCurrent",
+    )
 
 
 @query(

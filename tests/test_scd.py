@@ -112,3 +112,25 @@ def test_merge_update(spark):
     found = scd.merge_update(target, source, ["id"], "NOT (source.city <=> target.city)", {"city": F.col("source.city")})
     assert {r["id"]: r["city"] for r in found.collect()} == {1: "x", 2: "y", 3: None, 4: "w"}
     assert {r["id"]: r["name"] for r in found.collect()}[1] == "a"
+
+
+def test_both_merge_plans_keep_types_and_new_columns(spark):
+    history = scd.initial(spark.createDataFrame([(1, "a")], "k int, v string"), "2024-01-01")
+    batch = spark.createDataFrame([(2**40, "b", "new"), (1, "c", None)], "k long, v string, extra string")
+    results = [scd.merge_current(history, batch, ["k"], ["v"], "2024-02-01", broadcast_batch=b) for b in (True, False)]
+    assert results[0].schema.simpleString() == results[1].schema.simpleString()
+    assert "k:bigint" in results[0].schema.simpleString() and "extra:string" in results[0].schema.simpleString()
+    assert rows(results[0]) == rows(results[1])
+    assert results[0].where("extra = 'new' AND IsCurrent").count() == 1
+
+
+def test_changes_give_one_history_however_they_are_ordered(spark):
+    log = [("k", "a", "2024-01-01", 1, "I"), ("k", "b", "2024-01-02", 2, "U"), ("k", "b", "2024-01-03", 3, "U"),
+           ("k", "a", "2024-01-03", 4, "U"), ("k", "a", "2024-01-05", 5, "D"), ("k", "a", "2024-01-07", 6, "I"),
+           (None, "x", "2024-01-01", 7, "I")]
+    want = [("a", 1, 2, False), ("b", 2, 3, False), ("a", 3, 5, False), ("a", 7, None, True)]
+    for order in (log, log[::-1]):
+        df = spark.createDataFrame(order, "id string, v string, t string, n int, op string")
+        found = scd.from_changes(df, ["id"], ["v"], "t", [F.col("n").desc()], F.col("op") == "D")
+        days = found.orderBy("ValidFrom").select("v", F.day("ValidFrom"), F.when(~F.col("IsCurrent"), F.day("ValidTo")), "IsCurrent")
+        assert [tuple(r) for r in days.collect()] == want
