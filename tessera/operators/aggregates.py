@@ -98,10 +98,11 @@ def top_values(df: DataFrame, column: str, k: int = 10) -> DataFrame:
     return counts.orderBy(F.desc("count"), column).limit(k)
 
 
-def sample_fraction(df: DataFrame, size: int, seed: int = 42, total: int | None = None) -> DataFrame:
-    """Bernoulli sample of about ``size`` rows without replacement.
+def sample_fraction(df: DataFrame, fraction: float, keys: list[str]) -> DataFrame:
+    """The rows whose key falls into the given share of all digests.
 
-    ``total`` saves the count when the caller knows it.
+    The choice depends on the key alone, so it is the same in every run, engine and cut of the data, and
+    rows of one key stay together.
     """
-    total = df.count() if total is None else total
-    return df.sample(False, min(1.0, size / max(total, 1)), seed)
+    digest = F.substring(F.md5(F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in keys]).cast("binary")), 1, 8)
+    return df if fraction >= 1 else df.where(digest < f"{int(max(fraction, 0) * 2**32):08x}")

@@ -17,12 +17,20 @@ QUALITY_FAILURE_RATE = 5
 CAPACITY_LIMIT = 95
 
 
+def _is_high_value() -> Column:
+    return F.col("AmountUSD") > HIGH_VALUE_USD
+
+
+def _is_fraud() -> Column:
+    return (F.col("Status") == "Fraud") & (F.col("AmountUSD") > FRAUD_USD)
+
+
 def high_value(transactions: DataFrame) -> DataFrame:
-    return transactions.where(F.col("AmountUSD") > HIGH_VALUE_USD)
+    return transactions.where(_is_high_value())
 
 
 def fraud(transactions: DataFrame) -> DataFrame:
-    return transactions.where((F.col("Status") == "Fraud") & (F.col("AmountUSD") > FRAUD_USD))
+    return transactions.where(_is_fraud())
 
 
 def device(summary: DataFrame, limit: int = DEVICE_ANOMALIES) -> DataFrame:
@@ -68,6 +76,18 @@ def _entries(rows: DataFrame, rule: str, key: str, time: str, value: Column) ->
     )
 
 
+def _amount_entries(transactions: DataFrame) -> DataFrame:
+    """Entries of both rules on single transactions, from one scan: a row gives one entry per rule it meets."""
+    tests = {"high_value": _is_high_value(), "fraud": _is_fraud()}
+    met = F.array_compact(F.array(*[F.when(test, F.struct(*map(F.lit, RULES[rule]))) for rule, test in tests.items()]))
+    return transactions.where(_is_high_value() | _is_fraud()).select(
+        F.inline(met).alias("RuleName", "Severity"),
+        F.col("TransactionId").cast("string").alias("EntityKey"),
+        F.col("Timestamp").cast("timestamp_ntz").alias("EventTime"),
+        F.col("AmountUSD").cast("double").alias("Value"),
+    )
+
+
 def feed(
     transactions: DataFrame,
     device_summary: DataFrame,
@@ -78,11 +98,10 @@ def feed(
     device_limit: int = DEVICE_ANOMALIES,
 ) -> DataFrame:
     """All alert conditions as one table: rule, severity, key, time, value."""
-    amount, failed = F.col("AmountUSD"), pipeline_failed(pipeline_runs, as_of)
+    failed = pipeline_failed(pipeline_runs, as_of)
     found = device(device_summary, device_limit)
     parts = [
-        _entries(high_value(transactions), "high_value", "TransactionId", "Timestamp", amount),
-        _entries(fraud(transactions), "fraud", "TransactionId", "Timestamp", amount),
+        _amount_entries(transactions),
         _entries(found, "device", "DeviceId", "Timestamp", F.col("AnomalyCount")),
         _entries(failed, "pipeline", "RunId", "StartTime", F.lit(1)),
         _entries(quality_drop(results), "quality", "RuleId", "EvaluatedTime", F.col("FailureRate")),

@@ -14,8 +14,20 @@ from tessera.operators.aggregates import sample_fraction
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def _is_atomic(data_type: T.DataType) -> bool:
-    return not isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+#: Text from this length on is counted by its digest.
+LONG_TEXT = 64
+
+
+def _countable(f: T.StructField) -> Column:
+    """The value itself, or a digest of 256 bits for long text and nested values, so that shuffled rows stay short."""
+    value = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, T.StringType):
+        return F.when(F.length(value) < LONG_TEXT, F.concat(F.lit("="), value)).otherwise(F.sha2(value, 256))
+    if isinstance(f.dataType, T.MapType):
+        value = F.sort_array(F.map_entries(value))
+    if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.when(value.isNotNull(), F.sha2(F.to_json(F.struct(value.alias("v"))), 256))
+    return value
 
 
 def _fields(df: DataFrame, kinds) -> list[T.StructField]:
@@ -52,7 +64,7 @@ def _share(part: str) -> Column:
 
 def _value_counts(df: DataFrame, f: T.StructField) -> DataFrame:
     """Rows, nulls and distinct values of one column, from the number of rows per value."""
-    value = F.col(f"`{f.name}`")
+    value = _countable(f)
     nulls = F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0))
     per_value = df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
     return per_value.agg(
@@ -72,7 +84,10 @@ def basic(df: DataFrame) -> DataFrame:
     Each column is read and counted by value on its own, all in one job: the scans together read the
     table once, rows stay one value wide, and a frequent value is summed inside the tasks.
     """
-    parts = [_value_counts(df, f) for f in df.schema.fields if _is_atomic(f.dataType)]
+    parts = [_value_counts(df, f) for f in df.schema.fields]
+    if not parts:
+        nothing = "column_name string, column_type string, total_rows long, null_count long, distinct_count long"
+        parts = [df.sparkSession.createDataFrame([], nothing)]
     return reduce(DataFrame.unionByName, parts).select(
         "column_name",
         "column_type",
@@ -132,22 +147,25 @@ def top_values(df: DataFrame, k: int = 10) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k).drop("rank")
 
 
-def sampled(df: DataFrame, sample_size: int = 100_000, seed: int = 42) -> DataFrame:
-    """Basic profile of a sample where the table is larger than ``sample_size``.
+def sampled(df: DataFrame, fraction: float, keys: list[str]) -> DataFrame:
+    """Basic profile of a sample by key, see ``sample_fraction``.
 
     Percentages are of the sampled rows; ``table_rows`` is the full count.
     """
-    total = df.count()
-    rows = df if total <= sample_size else sample_fraction(df, sample_size, seed, total)
-    return basic(rows).withColumn("table_rows", F.lit(total))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return basic(sample_fraction(df, fraction, keys)).withColumn("table_rows", total)
 
 
-def full(df: DataFrame) -> DataFrame:
-    """Basic profile with the statistics of each type, one row per column."""
+def full(df: DataFrame, k: int = 10) -> DataFrame:
+    """Basic profile with the statistics of each type and the most frequent texts, one row per column."""
     result = basic(df)
     for part, kinds in ((numeric, T.NumericType), (strings, T.StringType), (datetimes, _TIMES)):
         if _fields(df, kinds):
             result = result.join(part(df).drop("column_type"), "column_name", "left")
+    if _fields(df, T.StringType):
+        ranked = F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("n"), "value")))
+        top = F.to_json(F.transform(ranked, lambda x: F.struct(x["value"].alias("value"), (-x["n"]).alias("count"))))
+        result = result.join(top_values(df, k).groupBy("column_name").agg(top.alias("top_values")), "column_name", "left")
     return result
 
 

@@ -341,14 +341,14 @@ def job_gold(spark: SparkSession, configured: list[Model], base: str, run_id: st
 
 
 def job_profile(
-    spark: SparkSession, tables: list[Layout], base: str, as_of, sample_size: int | None = None
+    spark: SparkSession, tables: list[Layout], base: str, as_of, sample: tuple[float, list[str]] | None = None
 ) -> DataFrame:
-    """Profile tables and append the rows to the profile table; returns this run's rows."""
+    """Profile tables in full, or a share of their rows by key, and append the rows to the profile table."""
     target = Layout(base, "system", "profiles", "data_profiles")
     written = []
     for layout in tables:
         df = read_table(spark, layout)
-        found = profile.sampled(df, sample_size) if sample_size else profile.basic(df)
+        found = profile.sampled(df, *sample) if sample else profile.full(df)
         rows = profile.stamped(found.drop("table_rows"), layout.layer, layout.schema, layout.table, as_of)
         written.append((layout.table, sinks.append(rows, target)[sinks.ROWS]))
     return spark.createDataFrame(written, "table_name string, columns_profiled long")

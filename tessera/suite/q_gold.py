@@ -264,6 +264,11 @@ def topk_failing(spark, sf_dir):
     return observe.top_failing(inputs.entity_runs(spark, sf_dir))
 
 
-@query("sample_fraction")
+@query(
+    "sample_fraction",
+    """SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_quantity, l_extendedprice FROM lineitem
+       WHERE substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8) < '19999999'""",
+)
 def sample_fraction(spark, sf_dir):
-    return aggregates.sample_fraction(table(spark, sf_dir, "lineitem"), 10_000)
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    return aggregates.sample_fraction(rows, 0.1, ["l_orderkey", "l_linenumber"])

@@ -92,6 +92,25 @@ def profile_top_values(spark, sf_dir):
     return profile.top_values(table(spark, sf_dir, "part"))
 
 
-@query("profile_sampled")
+_LINES = ["l_orderkey", "l_linenumber"]
+_QUARTER = "substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8) < '40000000'"
+
+
+@query(
+    "profile_sampled",
+    _per_column(
+        _SPARK_TYPES["lineitem"],
+        _BASIC + ", (SELECT count(*) FROM lineitem) AS table_rows",
+        f"(SELECT * FROM lineitem WHERE {_QUARTER})",
+    ),
+)
 def profile_sampled(spark, sf_dir):
-    return profile.sampled(table(spark, sf_dir, "lineitem"), 10_000)
+    return profile.sampled(table(spark, sf_dir, "lineitem"), 0.25, _LINES)
+
+
+@query(
+    "profile_basic_nested",
+    _per_column({"vec_id": "bigint", "embedding": "array<float>", "label": "int"}, _BASIC, "embeddings"),
+)
+def profile_basic_nested(spark, sf_dir):
+    return profile.basic(table(spark, sf_dir, "embeddings"))

@@ -60,16 +60,20 @@ def sink_quarantine(spark, sf_dir):
     return rows.select("CustomerID", F.array_join("_dq_failed_rules", ",").alias("failed_rules"))
 
 
+_ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
 @query(
     "sink_profile",
-    """SELECT TIMESTAMP '2001-07-15' AS profile_timestamp, 'orders' AS "table", 'o_custkey' AS column_name,
-              count(*) AS total_rows, count(DISTINCT o_custkey) AS distinct_count FROM orders
-       UNION ALL SELECT TIMESTAMP '2001-07-15', 'orders', 'o_orderstatus', count(*),
-              count(DISTINCT o_orderstatus) FROM orders""",
+    " UNION ALL ".join(
+        f"""SELECT TIMESTAMP '2001-07-15' AS profile_timestamp, 'orders' AS "table", '{c}' AS column_name,
+                   count(*) AS total_rows, count(DISTINCT {c}) AS distinct_count FROM orders"""
+        for c in _ORDERS
+    ),
 )
 def sink_profile(spark, sf_dir):
     layout = Layout(scratch(spark, "lake"), "system", "profiles", "data_profiles")
-    found = profile.basic(table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus"))
+    found = profile.basic(table(spark, sf_dir, "orders"))
     sinks.append(profile.stamped(found, "bronze", "raw", "orders", inputs.AS_OF), layout)
     return read_table(spark, layout).select(
         "profile_timestamp", "table", "column_name", "total_rows", "distinct_count"

@@ -86,10 +86,10 @@ def test_most_frequent_and_counts(spark):
 
 def test_sample_is_a_repeatable_subset(spark):
     df = spark.range(10_000)
-    one, two = (aggregates.sample_fraction(df, 1_000, 7) for _ in range(2))
+    one, two = (aggregates.sample_fraction(d, 0.1, ["id"]) for d in (df, df.repartition(7)))
     assert rows(one) == rows(two) and 800 < one.count() < 1200
     assert one.dropDuplicates().count() == one.count() == one.join(df, "id", "left_semi").count()
-    assert aggregates.sample_fraction(df, 20_000).count() == 10_000
+    assert aggregates.sample_fraction(df, 2, ["id"]).count() == 10_000
 
 
 def test_sorted_is_total_and_spread(spark):
@@ -135,11 +135,22 @@ def test_profile_keeps_zero_and_counts_nulls(spark):
 
 def test_sampled_profile_uses_the_sampled_rows(spark):
     df = spark.range(5_000).select(F.col("id"), F.lit(None).cast("string").alias("n"))
-    found = {r["column_name"]: r for r in profile.sampled(df, 500, 3).collect()}
+    found = {r["column_name"]: r for r in profile.sampled(df, 0.1, ["id"]).collect()}
     assert found["n"]["null_pct"] == 100.0 and found["id"]["distinct_pct"] == 100.0
     assert 350 < found["id"]["total_rows"] < 650 and found["id"]["table_rows"] == 5_000
 
 
+def test_profile_covers_every_kind_of_column(spark):
+    df = spark.sql(
+        "SELECT array(1, 2) AS a, map('k', 1) AS m, struct(1 AS x) AS s, repeat('t', 500) AS t UNION ALL "
+        "SELECT array(1, 2), map('k', 2), NULL, repeat('t', 501)"
+    )
+    found = {r["column_name"]: (r["null_count"], r["distinct_count"]) for r in profile.basic(df).collect()}
+    assert found == {"a": (0, 1), "m": (0, 2), "s": (1, 1), "t": (0, 2)}
+    assert profile.basic(df.select()).count() == 0
+    assert "top_values" in profile.full(df).columns
+
+
 def test_run_fold_and_durations(spark):
     def event(kind, at, status, read=None, error=None, after=None):
         return ("pipeline", "r", None, "p", kind, datetime.fromisoformat(at), status, read, None, None, None, after, error)
