@@ -107,7 +107,7 @@ def id_counts(counts: DataFrame, tokenizer: str) -> dict[int, int]:
         enc = encoder(tokenizer, True)
         total = np.zeros(enc.size, np.int64)
         for batch in slices(batches, "word", 1 << 20):
-            lengths, ids = enc.encode(batch.column("word"))
+            lengths, ids = enc.encode_pieces(batch.column("word").to_pylist())
             total += np.bincount(ids, np.repeat(batch.column("n").to_numpy(), lengths), enc.size).astype(np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
@@ -375,7 +375,7 @@ def score(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str
             rare_words = pa.ListArray.from_arrays(
                 pa.array(rare_ends.astype(np.int32)), words.take(pa.array(codes[rare])).cast(pa.string())
             )
-            begins, lengths, ids = enc._dictionary(words, codes)
+            begins, lengths, ids = enc.encode_dictionary(words, codes)
             sizes = lengths[codes]
             stream = ids[ragged(begins[codes], sizes)]
             n_ids = np.bincount(doc, sizes, len(per_text)).astype(np.int64)

@@ -71,7 +71,7 @@ class Encoder:
         _, ids = self._flat(groups)
         return np.diff(np.flatnonzero(self.ends[ids])[per_piece - 1 :: per_piece], prepend=-1), ids
 
-    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and ids of `` piece`` for each non-empty piece; each holds no space."""
         if not self.lower:
             groups = [" " + " ".join(pieces[i : i + _GROUP]) for i in range(0, len(pieces), _GROUP)]
@@ -97,7 +97,7 @@ class Encoder:
             total += len(ids)
         return lengths, np.concatenate(parts)[ragged(begins, lengths)]
 
-    def _dictionary(self, words: pa.Array, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def encode_dictionary(self, words: pa.Array, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where the ids of each distinct piece begin, how many they are, and the ids.
 
         Pieces that were met twice in a slice are kept for the next ones, up to ``_KEPT``.
@@ -107,7 +107,7 @@ class Encoder:
         pieces = words.take(pa.array(new)).to_pylist()
         filled = np.array([bool(p) for p in pieces], bool)
         new_lengths = np.zeros(len(new), np.int64)
-        new_lengths[filled], new_ids = self._pieces([p for p in pieces if p])
+        new_lengths[filled], new_ids = self.encode_pieces([p for p in pieces if p])
         if not filled.all():  # the space at an end of a text
             k = int(np.flatnonzero(~filled)[0])
             space = self._flat([" "])[1]
@@ -143,15 +143,17 @@ class Encoder:
         codes = coded.indices.to_numpy().astype(np.int64)
         bounds -= bounds[0]
         words = coded.dictionary
-        begins, lengths, ids = self._dictionary(words, codes)
+        begins, lengths, ids = self.encode_dictionary(words, codes)
         # Parts: 0..V-1 the pieces with a space before, then the first piece of each text, then whole texts.
-        heads = words.take(pa.array(codes[bounds[:-1]])).to_pylist()
+        # Where white space is dropped, a first piece is like any other.
+        heads = [] if self.lower else words.take(pa.array(codes[bounds[:-1]])).to_pylist()
         firsts, first_ids = self._flat(heads)
         wholes, whole_ids = self._flat(texts.filter(pa.array(whole)).to_pylist())
         v, at_whole = len(words), np.flatnonzero(whole)
         parts = codes.copy()
-        parts[bounds[:-1]] = v + np.arange(n)
-        parts[bounds[at_whole]] = v + n + np.arange(len(at_whole))
+        if not self.lower:
+            parts[bounds[:-1]] = v + np.arange(n)
+        parts[bounds[at_whole]] = v + len(firsts) + np.arange(len(at_whole))
         sizes = np.concatenate([lengths, firsts, wholes])
         more = len(ids) + np.cumsum(sizes[v:]) - sizes[v:]
         out = np.concatenate([ids, first_ids, whole_ids])[ragged(np.concatenate([begins, more])[parts], sizes[parts])]
