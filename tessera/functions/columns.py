@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from datetime import datetime
 from functools import reduce
 
@@ -78,3 +80,31 @@ def watermark_text(value: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(value, WATERMARK_FORMAT)
     return value.cast("string")
+
+
+_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_$]*(?:\.[A-Za-z_][A-Za-z0-9_$]*){0,3}")
+_ARITHMETIC = re.compile(r"(?:[A-Za-z_][A-Za-z0-9_]*|`[^`;]+`|[0-9]+(?:\.[0-9]+)?|[-+*/%()]|\s)+")
+#: A call, or two operands side by side, as in a statement.
+_CALL = re.compile(r"[A-Za-z_][A-Za-z0-9_]*\s*\(|[A-Za-z0-9_`)]\s+[A-Za-z0-9_`(]")
+
+
+def checked_name(name: str) -> str:
+    """A table or column name that can stand in generated SQL: letters, digits, _ and $, with up to three dots."""
+    if not _NAME.fullmatch(name or ""):
+        raise ValueError(f"not a table or column name: {name!r}")
+    return name
+
+
+def checked_clause(clause: str) -> str:
+    """A filter clause of one expression: no statement end and no comment outside of quoted text."""
+    outside = re.sub(r"'(?:[^']|'')*'", "", clause)
+    if re.search(r";|--|/\*|'", outside):
+        raise ValueError(f"not a filter clause: {clause!r}")
+    return clause
+
+
+def checked_arithmetic(text: str) -> str:
+    """An expression of column names, numbers, arithmetic signs and parentheses."""
+    if not _ARITHMETIC.fullmatch(text) or _CALL.search(text):
+        raise ValueError(f"not arithmetic over columns: {text!r}")
+    return text

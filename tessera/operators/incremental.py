@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.columns import NUMBER_WATERMARKS, TIME_WATERMARKS, watermark_text
+from tessera.functions.columns import NUMBER_WATERMARKS, TIME_WATERMARKS, checked_clause, watermark_text
 
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -49,7 +49,7 @@ def filter_with_clause(
     kind: str = "datetime",
 ) -> DataFrame:
     """Source filter and watermark together, either alone, or neither."""
-    filtered = df.where(F.expr(clause)) if clause else df
+    filtered = df.where(F.expr(checked_clause(clause))) if clause else df
     return filter_above(filtered, column, value, kind)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.columns import as_time, span
+from tessera.functions.columns import as_time, checked_arithmetic, span
 
 
 def case(df: DataFrame, column: str, kind: str = "lower") -> DataFrame:
@@ -126,7 +126,7 @@ def json_flatten(df: DataFrame, column: str, schema: str | T.StructType | None =
 
 def calculated_columns(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
     """Computed columns from SQL arithmetic over existing columns; an unknown column is an error."""
-    return df.withColumns({name: F.expr(text) for name, text in expressions.items()})
+    return df.withColumns({name: F.expr(checked_arithmetic(text)) for name, text in expressions.items()})
 
 
 _PARTS = {"Year": F.year, "Month": F.month, "Day": F.dayofmonth, "Quarter": F.quarter}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.config import Entity
-from tessera.functions.columns import NUMBER_WATERMARKS
+from tessera.functions.columns import NUMBER_WATERMARKS, checked_clause, checked_name
 from tessera.layout import Layout, read_table
 from tessera.operators import incremental
 
@@ -90,11 +90,40 @@ def jdbc_query(
     kind: str = "datetime",
 ) -> str:
     """Sub-select with source filter and watermark, evaluated by the database."""
-    tests = [f"({clause})"] if clause else []
+    tests = [f"({checked_clause(clause)})"] if clause else []
     if column and value not in (None, ""):
         bound = str(int(value)) if kind.lower() in NUMBER_WATERMARKS else "'" + value.replace("'", "''") + "'"
-        tests.append(f"{column} > {bound}")
-    return f"SELECT * FROM {table}" + (f" WHERE {' AND '.join(tests)}" if tests else "")
+        tests.append(f"{checked_name(column)} > {bound}")
+    return f"SELECT * FROM {checked_name(table)}" + (f" WHERE {' AND '.join(tests)}" if tests else "")
+
+
+def cdc_query(table: str, after_lsn: str | None, clause: str | None = None, column: str = "__$start_lsn") -> str:
+    """Sub-select of a change table after a log position, compared as binary by the database."""
+    tests = [f"({checked_clause(clause)})"] if clause else []
+    if after_lsn:
+        if not re.fullmatch(r"[0-9a-fA-F]+", after_lsn):
+            raise ValueError(f"not a hexadecimal log position: {after_lsn}")
+        tests.append(f"{checked_name(column)} > 0x{after_lsn.rjust(20, '0')}")
+    return f"SELECT * FROM {checked_name(table)}" + (f" WHERE {' AND '.join(tests)}" if tests else "")
+
+
+def document_query(epoch: int | str | None, clause: str | None = None, column: str = "_ts") -> str:
+    """Store query for documents changed after an epoch second; without one, for all documents."""
+    tests = [f"({checked_clause(clause)})"] if clause else []
+    if epoch not in (None, ""):
+        tests.append(f"c.{checked_name(column)} > {int(epoch)}")
+    return "SELECT * FROM c" + (f" WHERE {' AND '.join(tests)}" if tests else "")
+
+
+PARTITION_OPTIONS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
+def partition_of(options: dict[str, str]) -> tuple[str, str, str, int] | None:
+    """The range partitioning that an entity's options name, taken out of them; None without all four."""
+    values = [options.pop(name, None) for name in PARTITION_OPTIONS]
+    if None in values:
+        return None
+    return checked_name(values[0]), str(values[1]), str(values[2]), int(values[3])
 
 
 def jdbc(
@@ -122,10 +151,19 @@ def since_epoch(df: DataFrame, epoch: int | str | None, column: str = "_ts") ->
 
 
 def document_store(
-    spark: SparkSession, format: str, options: dict[str, str], epoch: int | str | None = None
+    spark: SparkSession,
+    format: str,
+    options: dict[str, str],
+    epoch: int | str | None = None,
+    clause: str | None = None,
 ) -> DataFrame:
-    """Document-store read through its Spark connector, changed documents only."""
-    return since_epoch(spark.read.format(format).options(**options).load(), epoch)
+    """Document-store read through its Spark connector.
+
+    Position and filter are part of the store's query; without a position all documents are read.
+    """
+    options = {"spark.cosmos.read.customQuery": document_query(epoch, clause), **options}
+    rows = spark.read.format(format).options(**options).load()
+    return rows if epoch in (None, "") else since_epoch(rows, epoch)
 
 
 def api_records(pages: DataFrame, record: str | T.StructType, column: str = "value") -> DataFrame:
@@ -184,14 +222,16 @@ def read_entity(spark: SparkSession, entity: Entity) -> DataFrame:
     elif kind == "FILE":
         rows = file(spark, entity.location, entity.name, schema)
     elif kind == "COSMOS":
-        return document_store(spark, options.pop("format", "cosmos.oltp"), options, entity.last_watermark)
+        epoch = None if entity.load_type == "FULL" else entity.last_watermark or 0
+        return document_store(spark, options.pop("format", "cosmos.oltp"), options, epoch, entity.filter_clause)
     elif entity.load_type == "CDC":
-        return cdc_changes(jdbc(spark, entity.location, f"SELECT * FROM {entity.table}", options), entity.last_watermark)
+        query = cdc_query(entity.table, entity.last_watermark, entity.filter_clause)
+        return jdbc(spark, entity.location, query, options, partition_of(options))
     else:
         query = jdbc_query(
             entity.table, entity.filter_clause, entity.watermark_column, value, entity.watermark_type
         )
-        return jdbc(spark, entity.location, query, options)
+        return jdbc(spark, entity.location, query, options, partition_of(options))
     if entity.load_type == "CDC":
         return cdc_changes(rows, entity.last_watermark)
     return incremental.filter_with_clause(

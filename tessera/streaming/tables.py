@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tessera.functions.columns import all_of
 from tessera.layout import Layout, read_table
 from tessera.operators import dedup, scd, sinks
 
@@ -54,6 +55,45 @@ def upsert_table(
     return _start(rollup, apply, checkpoint, "update", available_now)
 
 
+def rollup_table(
+    cleaned: DataFrame,
+    kept: Layout,
+    target: Layout,
+    rollup: Callable[[DataFrame], DataFrame],
+    keys: list[str],
+    window: str,
+    checkpoint: str,
+    width: str = "1 hour",
+    time: str = "Timestamp",
+    touched: Callable[[DataFrame], DataFrame] | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """A windowed rollup kept exactly, whatever order rows arrive in.
+
+    Each batch appends its cleaned rows to ``kept``, finds the keys and windows that they touch, computes
+    these again from all kept rows with the batch function, and upserts them into ``target``. So late
+    rows count, distinct counts are exact, and the stream has every column that the batch form has.
+    ``keys`` are the rollup's keys, its ``window`` column among them. ``touched`` gives the touched keys of
+    new rows where the rollup itself leaves some out, as an alert with a limit does.
+    """
+
+    def apply(rows: DataFrame, number: int) -> None:
+        batch = (checkpoint, number)
+        sinks.append(rows, kept, batch=batch)
+        hit = (touched or rollup)(rows).select(*keys).distinct()
+        low, high = hit.agg(F.min(window), F.max(window)).first()
+        if low is None:
+            return
+        near = F.col(time) < F.lit(high) + F.expr(f"INTERVAL {width}")
+        again = rollup(read_table(rows.sparkSession, kept).where((F.col(time) >= F.lit(low)) & near))
+        named = hit.select(*[F.col(k).alias(f"__{k}") for k in keys])
+        same = all_of([F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+        changed = again.join(named, same, "left_semi").withColumn(BATCH, F.lit(number).cast("long"))
+        sinks.append(changed, target, batch=batch)
+
+    return _start(cleaned, apply, checkpoint, "append", available_now)
+
+
 def latest_upserts(rows: DataFrame, keys: list[str]) -> DataFrame:
     return dedup.latest(rows, keys, [F.col(BATCH).desc()], [])
 

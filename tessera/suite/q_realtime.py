@@ -8,7 +8,7 @@ from tessera.streaming import events, tables
 from tessera.suite import inputs
 from tessera.suite.inputs import sql
 from tessera.suite.q_sources import landed, transaction_json
-from tessera.suite.registry import query
+from tessera.suite.registry import ORACLES, query
 
 
 def _json(df, mapping, time="yyyy-MM-dd'T'HH:mm:ss.SSSSSS"):
@@ -218,3 +218,65 @@ def rt_upsert_rollup(spark, sf_dir):
     layout, keys = bronze(scratch(spark, "lake"), "TransactionsSummary"), ["MerchantId", "Timestamp"]
     tables.upsert_table(rollup, layout, scratch(spark, "checkpoint")).awaitTermination()
     return tables.read_upserted(spark, layout, keys)
+
+
+# The rollups and windowed alerts once more as streams: the events lie in five files without order, each file is a
+# batch of its own, and the tables must end up as the batch results.
+
+
+def _scattered(spark, sf_dir):
+    path = scratch(spark, "events")
+    rows = inputs.table(spark, sf_dir, "events")
+    rows.repartition(5, "event_id").write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _kept(spark, sf_dir, make, clean, rollup, keys, window, **how):
+    base = scratch(spark, "lake")
+    rows = clean(make(spark, sf_dir, _scattered(spark, sf_dir)))
+    target = bronze(base, "rollup")
+    tables.rollup_table(rows, bronze(base, "cleaned"), target, rollup, keys, window, scratch(spark, "checkpoint"), **how).awaitTermination()
+    return tables.read_upserted(spark, target, keys)
+
+
+@query("rt_txn_summary_stream", ORACLES["rt_txn_summary"])
+def rt_txn_summary_stream(spark, sf_dir):
+    keys = ["MerchantId", "Timestamp"]
+    return _kept(spark, sf_dir, inputs.transactions, events.clean_transactions, events.transaction_summary, keys, "Timestamp")
+
+
+@query("rt_iot_summary_stream", ORACLES["rt_iot_summary"])
+def rt_iot_summary_stream(spark, sf_dir):
+    keys = ["DeviceId", "Timestamp"]
+    rows = _kept(spark, sf_dir, inputs.readings, events.clean_iot, events.device_summary, keys, "Timestamp", width="5 minutes")
+    return _rounded(rows, AvgTemperature=6)
+
+
+@query("rt_merchant_metrics_stream", ORACLES["rt_merchant_metrics"])
+def rt_merchant_metrics_stream(spark, sf_dir):
+    keys = ["MerchantId", "Hour"]
+    rows = _kept(spark, sf_dir, inputs.transactions, events.clean_transactions, events.merchant_metrics, keys, "Hour")
+    return _rounded(rows, FraudRate=6)
+
+
+@query("rt_user_behavior_stream", ORACLES["rt_user_behavior"])
+def rt_user_behavior_stream(spark, sf_dir):
+    keys = ["UserId", "Hour"]
+    rows = _kept(spark, sf_dir, inputs.web_events, events.clean_web, events.user_behavior, keys, "Hour")
+    return _rounded(rows, BounceRate=6)
+
+
+@query("rt_alert_fraud_stream", ORACLES["rt_alert_fraud"])
+def rt_alert_fraud_stream(spark, sf_dir):
+    return _kept(
+        spark, sf_dir, inputs.transactions, events.clean_transactions, lambda r: events.fraud_alert(r, 1),
+        ["MerchantId", "Timestamp"], "Timestamp", width="5 minutes", touched=lambda r: events.fraud_alert(r, 0),
+    )
+
+
+@query("rt_alert_device_stream", ORACLES["rt_alert_device"])
+def rt_alert_device_stream(spark, sf_dir):
+    return _kept(
+        spark, sf_dir, inputs.readings, events.clean_iot, lambda r: events.device_alert(r, 0),
+        ["DeviceId", "Timestamp"], "Timestamp", width="5 minutes",
+    )
