@@ -25,6 +25,25 @@ class Entity:
     drift_strategy: str = "merge"
     options: dict[str, str] = field(default_factory=dict)
 
+    @staticmethod
+    def from_row(row: Any, locations: dict[str, str] | None = None) -> "Entity":
+        """A row of ``observe.entities_to_process``; ``locations`` resolves connection references."""
+        reference = row["ConnectionStringRef"]
+        names = [n for n in (row["SourceSchema"], row["TargetTableName"]) if n]
+        return Entity(
+            row["EntityId"],
+            row["EntityName"],
+            row["SourceName"],
+            row["SourceType"] or "",
+            (locations or {}).get(reference, reference or ""),
+            ".".join(names),
+            row["LoadType"] or "FULL",
+            row["WatermarkColumn"],
+            row["WatermarkDataType"] or "datetime",
+            row["LastWatermark"],
+            row["SourceFilterClause"],
+        )
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -83,6 +102,8 @@ class Model:
         def parsed(name: str, empty: Any) -> Any:
             return json.loads(row[name]) if row[name] else empty
 
+        present = row.asDict() if hasattr(row, "asDict") else row
+        joins = json.loads(present.get("JoinConfigs") or "{}")
         return Model(
             row["ModelName"],
             row["ModelType"],
@@ -91,4 +112,5 @@ class Model:
             parsed("CalculatedColumns", {}),
             tuple(parsed("DependencyModels", [])),
             row["Priority"],
+            {name: (how.get("column"), how.get("type") or "left") for name, how in joins.items()},
         )

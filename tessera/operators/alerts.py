@@ -97,7 +97,7 @@ def feed(
     as_of,
     device_limit: int = DEVICE_ANOMALIES,
 ) -> DataFrame:
-    """All alert conditions as one table: rule, severity, key, time, value."""
+    """All alert conditions as one table: rule, severity, key, time, value, and the status of a new alert."""
     failed = pipeline_failed(pipeline_runs, as_of)
     found = device(device_summary, device_limit)
     parts = [
@@ -107,4 +107,4 @@ def feed(
         _entries(quality_drop(results), "quality", "RuleId", "EvaluatedTime", F.col("FailureRate")),
         _entries(capacity(metrics), "capacity", "MetricName", "TimeGenerated", F.col("Maximum")),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).withColumn("Status", F.lit("Active"))

@@ -75,6 +75,18 @@ def fold_runs(events: DataFrame) -> DataFrame:
     )
 
 
+def entity_runs(runs: DataFrame) -> DataFrame:
+    """Folded runs of entities in the shape of the entity run table; the run id ends in the entity id."""
+    return runs.where("RunKind = 'entity'").select(
+        F.regexp_extract("RunId", r"-([0-9]+)$", 1).cast("int").alias("EntityId"),
+        F.col("RunId").alias("EntityRunId"),
+        F.col("ParentRunId").alias("PipelineRunId"),
+        F.col("Name").alias("EntityName"),
+        "Status", "StartTime", "EndTime", "RowsRead", "RowsWritten", "RowsRejected",
+        "WatermarkBefore", "WatermarkAfter", "ErrorMessage",
+    )
+
+
 def with_duration(runs: DataFrame, as_of) -> DataFrame:
     """Runs with their duration in seconds; open runs are measured to ``as_of``."""
     end = F.coalesce(F.col("EndTime"), as_time(as_of))

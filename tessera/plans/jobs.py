@@ -6,9 +6,11 @@ entity or model is recorded and does not stop the others; ``parallelism`` runs t
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
+from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -468,11 +470,16 @@ def job_storage_review(
 
 
 RUN_EVENTS = (
-    "RunKind string, RunId string, ParentRunId string, Name string, EventType string, Status string, "
-    "RowsRead long, RowsWritten long, RowsRejected long, WatermarkAfter string, ErrorMessage string"
+    "RunKind string, RunId string, ParentRunId string, Name string, EventType string, EventTime timestamp_ntz, Status string, "
+    "RowsRead long, RowsWritten long, RowsRejected long, WatermarkBefore string, WatermarkAfter string, ErrorMessage string"
 )
 
 
+def run_events_layout(base: str) -> Layout:
+    """The table that every run adds its events to."""
+    return Layout(base, "system", "runs", "run_events")
+
+
 def run_entity(
     spark: SparkSession,
     entity: Entity,
@@ -516,32 +523,43 @@ def job_medallion(
     references: dict[str, DataFrame] | None = None,
     parallelism: int = 1,
 ) -> DataFrame:
-    """Bronze, quality and silver per entity, then gold. Returns the run events."""
+    """Bronze, quality and silver per entity, then gold. Returns the run events and adds them to their table.
+
+    The run starts at ``as_of``; later events are later by the time that passed.
+    """
+    began = time.monotonic()
+    first = datetime.fromisoformat(str(as_of))
+
+    def now() -> datetime:
+        return first + timedelta(seconds=time.monotonic() - began)
+
+    def start(kind: str, number: str, name: str, before: str | None = None) -> tuple:
+        parent = None if kind == "pipeline" else run_id
+        return kind, number, parent, name, "start", now(), "RUNNING", None, None, None, before, None, None
+
+    def end(begun: tuple, status: str, read=None, written=None, rejected=None, after=None, error=None) -> tuple:
+        return (*begun[:4], "end", now(), status, read, written, rejected, begun[10], after, error)
 
     def run(entity: Entity) -> list[tuple]:
-        number = f"{run_id}-{entity.entity_id}"
-        head = ("entity", number, run_id, entity.name)
-        start = (*head, "start", "RUNNING", None, None, None, None, None)
+        begun = start("entity", f"{run_id}-{entity.entity_id}", entity.name, entity.last_watermark)
         try:
             r = run_entity(
                 spark, entity, rules.get(entity.entity_id, []), steps.get(entity.entity_id, []),
                 base, run_id, as_of, references or {},
             )
             rejected = r.rows_read - r.rows_written
-            end = (r.status, r.rows_read, r.rows_written, rejected, r.watermark_after, None)
+            return [begun, end(begun, r.status, r.rows_read, r.rows_written, rejected, r.watermark_after)]
         except Exception as e:  # recorded; the other entities go on
-            end = ("FAILED", None, None, None, entity.last_watermark, str(e))
-        return [start, (*head, "end", *end)]
+            return [begun, end(begun, "FAILED", after=entity.last_watermark, error=str(e))]
 
+    whole = start("pipeline", run_id, "medallion")
     events = [e for pair in _each(entities, run, parallelism) for e in pair]
     for r in build_all(spark, configured, base, run_id, as_of).collect():  # one row per model
-        head = ("gold", f"{run_id}-{r['model_name']}", run_id, r["model_name"])
-        events.append((*head, "start", "RUNNING", None, None, None, None, None))
-        events.append((*head, "end", r["status"], None, r["rows_written"], None, None, r["error"]))
-    failed = sum(e[5] == "FAILED" for e in events)
-    done = sum(e[5] == "SUCCEEDED" for e in events)
+        begun = start("gold", f"{run_id}-{r['model_name']}", r["model_name"])
+        events += [begun, end(begun, r["status"], written=r["rows_written"], error=r["error"])]
+    failed = sum(e[6] == "FAILED" for e in events)
+    done = sum(e[6] == "SUCCEEDED" for e in events)
     status = "SUCCEEDED" if not failed else "PARTIAL" if done else "FAILED"
-    head = ("pipeline", run_id, None, "medallion")
-    events.insert(0, (*head, "start", "RUNNING", None, None, None, None, None))
-    events.append((*head, "end", status, None, None, None, None, None))
-    return spark.createDataFrame(events, RUN_EVENTS)
+    report = spark.createDataFrame([whole, *events, end(whole, status)], RUN_EVENTS)
+    sinks.append(report, run_events_layout(base))
+    return report

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera.config import Entity, Model, Rule, Transformation
 from tessera.layout import Layout, bronze, gold, read_table, silver
-from tessera.operators import sinks
+from tessera.operators import observe, sinks
 from tessera.plans import jobs
 from tessera.session import scratch
 from tessera.suite import inputs
@@ -248,7 +248,7 @@ def job_medallion(spark, sf_dir):
         AS_OF,
         parallelism=2,
     )
-    return report.drop("WatermarkAfter", "ErrorMessage")
+    return report.drop("EventTime", "WatermarkBefore", "WatermarkAfter", "ErrorMessage")
 
 
 @query(
@@ -296,3 +296,35 @@ def job_medallion_incremental(spark, sf_dir):
     ):
         found = found.unionByName(stored(part, layout, by, good).toDF(*names))
     return found
+
+
+@query(
+    "job_medallion_controlled",
+    """WITH o AS (SELECT count(*) AS n, count(*) FILTER (o_totalprice BETWEEN 1000 AND 400000) AS ok,
+                         strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S.%g') AS mark FROM orders)
+       SELECT 'run-1' AS RunId, 'orders.parquet' AS EntityName, 'SUCCEEDED' AS Status, n AS RowsRead, ok AS RowsWritten,
+              '1900-01-01' AS WatermarkBefore, mark AS WatermarkAfter FROM o
+       UNION ALL SELECT 'run-2', 'orders.parquet', 'SUCCEEDED', 0, 0, mark, mark FROM o""",
+)
+def job_medallion_controlled(spark, sf_dir):
+    """Two runs from control rows: the second takes its entities and watermarks from the kept events of the first."""
+    base = scratch(spark, "lake")
+    sources = spark.createDataFrame(
+        [(1, "adls-orders", "FILE", "orders-ref", "none", True)],
+        "SourceId int, SourceName string, SourceType string, ConnectionStringRef string, AuthenticationType string, IsActive boolean",
+    )
+    entities = spark.createDataFrame(
+        [(2, 1, "orders.parquet", None, "lake", "raw", "orders", "INCREMENTAL", "o_orderdate", "datetime", "1900-01-01", None, 1, 1, True)],
+        "EntityId int, SourceId int, EntityName string, SourceSchema string, TargetLakehouse string, TargetSchema string, "
+        "TargetTableName string, LoadType string, WatermarkColumn string, WatermarkDataType string, WatermarkOffset string, "
+        "SourceFilterClause string, ParallelismDegree int, Priority int, IsActive boolean",
+    )
+    runs = observe.entity_runs(observe.fold_runs(spark.createDataFrame([], jobs.RUN_EVENTS)))
+    for number, run in enumerate(("run-1", "run-2"), 1):
+        rows = observe.entities_to_process(entities, sources, runs).collect()  # one row per entity
+        wanted = [Entity.from_row(r, {"orders-ref": f"{sf_dir}/orders.parquet"}) for r in rows]
+        jobs.job_medallion(spark, wanted, MEDALLION_RULES, {}, [], base, run, f"2001-07-{15 + number} 08:00:00")
+        runs = observe.entity_runs(observe.fold_runs(read_table(spark, jobs.run_events_layout(base))))
+    return runs.select(
+        F.col("PipelineRunId").alias("RunId"), "EntityName", "Status", "RowsRead", "RowsWritten", "WatermarkBefore", "WatermarkAfter"
+    )

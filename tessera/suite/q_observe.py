@@ -382,7 +382,7 @@ def alert_throttling(spark, sf_dir):
 @query(
     "alert_feed",
     sql(
-        f"""SELECT 'High Value Transaction Alert' AS RuleName, 'High' AS Severity, TransactionId AS EntityKey,
+        f"""SELECT *, 'Active' AS Status FROM (SELECT 'High Value Transaction Alert' AS RuleName, 'High' AS Severity, TransactionId AS EntityKey,
                    Timestamp AS EventTime, CAST(AmountUSD AS DOUBLE) AS Value FROM txn WHERE AmountUSD > 10000
             UNION ALL SELECT 'Fraud Detection', 'Critical', TransactionId, Timestamp, CAST(AmountUSD AS DOUBLE)
                       FROM txn WHERE Status = 'Fraud' AND AmountUSD > 5000
@@ -392,7 +392,7 @@ def alert_throttling(spark, sf_dir):
             UNION ALL SELECT 'Data Quality Drop', 'High', CAST(RuleId AS VARCHAR), EvaluatedTime, FailureRate
                       FROM results WHERE FailureRate > 5
             UNION ALL SELECT 'Capacity Throttling', 'Warning', MetricName, TimeGenerated, Maximum FROM capacity
-                      WHERE MetricName = 'CapacityUtilization' AND Maximum > 95""",
+                      WHERE MetricName = 'CapacityUtilization' AND Maximum > 95)""",
         "txn",
         "iot",
         "pipeline_runs",
