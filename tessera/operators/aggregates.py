@@ -73,14 +73,14 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def partition_count(df: DataFrame, keys: list[str], output: str = "n") -> DataFrame:
+def partition_count(df: DataFrame, keys: list[str], output: str = "n", always_split: bool = False) -> DataFrame:
     """Every row with the number of rows sharing its key.
 
     Counts are built with partial sums and looked up, instead of gathering each key in one window
     task.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(output))
-    return lookup_join(df, counts, {k: k for k in keys}, [output], null_safe=True)
+    return lookup_join(df, counts, {k: k for k in keys}, [output], null_safe=True, always_split=always_split)
 
 
 def sorted_by(df: DataFrame, order: dict[str, str]) -> DataFrame:

@@ -34,7 +34,7 @@ def latest(
 
 
 def flag_keys(
-    df: DataFrame, foreign_keys: list[dict], references: dict[str, DataFrame]
+    df: DataFrame, foreign_keys: list[dict], references: dict[str, DataFrame], always_split: bool = False
 ) -> DataFrame:
     """``_fk_valid_<column>`` per configured key: not null and present in the reference table.
 
@@ -49,7 +49,7 @@ def flag_keys(
         if reference is None:
             df = df.withColumn(flag, F.col(column).isNotNull())
         else:
-            df = mark_known(df, column, reference, key.get("ref_column", column), flag)
+            df = mark_known(df, column, reference, key.get("ref_column", column), flag, always_split)
     return df
 
 

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 MAX_HOT = 10_000
 SKETCH_ITEMS = 100_000
+#: A key is heavy if it holds more than one row in so many.
+HOT_SHARE = 2_000
 #: Parts that the rows of a heavy key are spread over.
 SALTS = 32
 
@@ -50,10 +52,11 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def heavy_keys(df: DataFrame, keys: list[Column]) -> list[int]:
-    """Hashes of the most frequent keys, at most ``MAX_HOT``, from one bounded aggregate."""
+    """Hashes of keys that hold more than one row in ``HOT_SHARE``, at most ``MAX_HOT``, from one bounded aggregate."""
     sketch = F.expr(f"approx_top_k({_HASH}, {MAX_HOT}, {SKETCH_ITEMS})").alias("top")
-    found = df.select(F.xxhash64(*keys).alias(_HASH)).agg(sketch).select(F.inline("top")).where("count > 1")
-    return [r["item"] for r in found.select("item").collect()]
+    rows = df.select(F.xxhash64(*keys).alias(_HASH)).agg(sketch, F.count(F.lit(1)).alias("rows"))
+    found = rows.select("rows", F.inline("top")).where(F.col("count") * HOT_SHARE > F.col("rows"))
+    return [r["item"] for r in found.where("count > 1").select("item").collect()]
 
 
 def _all_of(conditions: list[Column]) -> Column:

@@ -10,7 +10,7 @@ from tessera.plans import jobs
 from tessera.session import scratch
 from tessera.suite import inputs
 from tessera.suite.inputs import AS_OF, sql, table
-from tessera.suite.registry import query
+from tessera.suite.registry import ORACLES, query
 
 DIM = Model("dim_parts", "DIMENSION", ("parts",), ("PartID",), priority=1)
 FACT = Model(
@@ -200,9 +200,15 @@ def win_row_number_latest(spark, sf_dir):
 
 
 @query("win_count_partition", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem")
-def win_count_partition(spark, sf_dir):
+def win_count_partition(spark, sf_dir, large=False):
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return aggregates.partition_count(rows, ["l_orderkey", "l_linenumber"])
+    return aggregates.partition_count(rows, ["l_orderkey", "l_linenumber"], always_split=large)
+
+
+@query("win_count_partition_large", ORACLES["win_count_partition"])
+def win_count_partition_large(spark, sf_dir):
+    """With the plan that large tables get, heavy keys salted."""
+    return win_count_partition(spark, sf_dir, True)
 
 
 _DAILY = "SELECT o_orderdate, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM orders GROUP BY o_orderdate"

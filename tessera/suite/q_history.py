@@ -6,7 +6,7 @@ from tessera.config import Transformation
 from tessera.operators import dedup, joins, scd, silver
 from tessera.suite import inputs
 from tessera.suite.inputs import LOAD_1, LOAD_2, sql, table
-from tessera.suite.registry import query
+from tessera.suite.registry import ORACLES, query
 
 KEYS, TRACKED = ["CustomerID"], ["Segment", "NationKey"]
 
@@ -36,14 +36,20 @@ def dedup_latest(spark, sf_dir):
         "few_customers",
     ),
 )
-def fk_flag_silver(spark, sf_dir):
+def fk_flag_silver(spark, sf_dir, large=False):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     keys = [
         {"column": "o_custkey", "ref_table": "customer", "ref_column": "c_custkey"},
         {"column": "o_orderpriority"},
         {"column": "missing", "ref_table": "customer"},
     ]
-    return dedup.flag_keys(rows, keys, {"customer": inputs.few_customers(spark, sf_dir)})
+    return dedup.flag_keys(rows, keys, {"customer": inputs.few_customers(spark, sf_dir)}, large)
+
+
+@query("fk_flag_silver_large", ORACLES["fk_flag_silver"])
+def fk_flag_silver_large(spark, sf_dir):
+    """With the plan that large reference tables get, heavy keys salted."""
+    return fk_flag_silver(spark, sf_dir, True)
 
 
 @query("fk_invalid_keys", sql("SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM few_customers)", "few_customers"))

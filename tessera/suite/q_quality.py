@@ -6,7 +6,7 @@ from tessera.config import Rule
 from tessera.operators import quality
 from tessera.suite import inputs
 from tessera.suite.inputs import AS_OF, sql, table
-from tessera.suite.registry import query
+from tessera.suite.registry import ORACLES, query
 
 EMAIL = "^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$"
 
@@ -26,10 +26,10 @@ def dq_row_not_null(spark, sf_dir):
               count(pair) OVER (PARTITION BY pair) = 1 AS _dq_pair_unique
        FROM (SELECT l_orderkey, l_linenumber, l_orderkey || '-' || l_linenumber AS pair FROM lineitem)""",
 )
-def dq_row_unique(spark, sf_dir):
+def dq_row_unique(spark, sf_dir, large=False):
     pair = F.concat(F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber"))
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", pair.alias("pair"))
-    return quality.unique(rows, "pair")
+    return quality.unique(rows, "pair", large)
 
 
 @query(
@@ -224,9 +224,9 @@ _EVALUATED = """
                  ) AS r(rule_id, rule_name, rule_type, severity, status, failed)"""
 
 
-def _orders_evaluated(spark, sf_dir):
+def _orders_evaluated(spark, sf_dir, large=False):
     references = {"customer": inputs.few_customers(spark, sf_dir)}
-    return quality.evaluate(table(spark, sf_dir, "orders"), ORDER_RULES, references)
+    return quality.evaluate(table(spark, sf_dir, "orders"), ORDER_RULES, references, large)
 
 
 @query("dq_evaluate", sql(_EVALUATED, "few_customers"))
@@ -258,8 +258,8 @@ def dq_status(spark, sf_dir):
         "customers",
     ),
 )
-def dq_quarantine_split(spark, sf_dir):
-    good, bad = quality.quarantine_split(inputs.customers(spark, sf_dir), DIRTY_RULES)
+def dq_quarantine_split(spark, sf_dir, large=False):
+    good, bad = quality.quarantine_split(inputs.customers(spark, sf_dir), DIRTY_RULES, always_split=large)
     kept = good.select("CustomerID", F.lit("good").alias("part"), F.lit("").alias("failed_rules"))
     names = F.array_join("_dq_failed_rules", ",").alias("failed_rules")
     return kept.unionByName(bad.select("CustomerID", F.lit("bad").alias("part"), names))
@@ -276,3 +276,21 @@ def dq_quarantine_split(spark, sf_dir):
 )
 def dq_results_table(spark, sf_dir):
     return quality.results_table(_orders_evaluated(spark, sf_dir), "run-1", AS_OF)
+
+
+# The same with the plan that large tables get, heavy keys salted.
+
+
+@query("dq_row_unique_large", ORACLES["dq_row_unique"])
+def dq_row_unique_large(spark, sf_dir):
+    return dq_row_unique(spark, sf_dir, True)
+
+
+@query("dq_quarantine_split_large", ORACLES["dq_quarantine_split"])
+def dq_quarantine_split_large(spark, sf_dir):
+    return dq_quarantine_split(spark, sf_dir, True)
+
+
+@query("dq_evaluate_large", ORACLES["dq_evaluate"])
+def dq_evaluate_large(spark, sf_dir):
+    return _orders_evaluated(spark, sf_dir, True).drop("column_name", "quarantine")
