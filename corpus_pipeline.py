@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontaminate, line_dedup, near_dups, packing, quality
@@ -16,9 +16,22 @@ from tessera.llm.common import table, written
 from tessera.llm.tokens import tokenizer_path
 
 
+ROW = "__row"
+
+
+def _wrapped(docs: DataFrame) -> DataFrame:
+    """Id and text beside the rest of the row, whose columns then keep their values whatever an operator's are called."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias(ROW), "doc_id", "text")
+
+
+def _unwrapped(columns: list[str]) -> dict[str, Column]:
+    return {c: F.col("text") if c == "text" else F.col(f"{ROW}.`{c}`") for c in columns}
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules' votes keep."""
-    return quality.judge(docs).where("kept").select(*docs.columns)
+    kept = quality.judge(_wrapped(docs)).where("kept")
+    return kept.select(*[e.alias(c) for c, e in _unwrapped(docs.columns).items()])
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,12 +39,12 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     A document that held nothing else stays as an empty one.
     """
-    cleaned = line_dedup.remove(docs)
-    changed = F.col("n_removed") > 0
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        cleaned = cleaned.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return cleaned.select(*docs.columns)
+    cleaned = line_dedup.remove(_wrapped(docs))
+    columns = _unwrapped(docs.columns)
+    if "n_chars" in columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, length).otherwise(columns["n_chars"])
+    return cleaned.select(*[e.alias(c) for c, e in columns.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

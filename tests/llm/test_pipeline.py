@@ -50,6 +50,8 @@ def test_stages_on_odd_rows(spark, small):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         after = written(stage(spark, docs, small), "t")
         assert after.columns == docs.columns
+        kept = {r.doc_id: (r.kept, r.n_words) for r in odd(spark).collect()}
+        assert all((r.kept, r.n_words) == kept[r.doc_id] for r in after.collect())
         stage(spark, docs.where("false"), small).count()
         docs = after
     assert corpus_pipeline.STAGES[-1][1](spark, docs, small).count() > 0
