@@ -112,3 +112,36 @@ def test_date_parts_go_by_type(spark):
     found = standardize.date_parts(df)
     assert found.columns == [*df.columns, "OrderDateYear", "OrderDateMonth", "OrderDateDay", "OrderDateQuarter"]
     assert tuple(found.first())[3:] == (2024, 5, 6, 2)
+
+
+def test_generated_queries_carry_position_and_filter():
+    assert readers.cdc_query("cdc.orders_CT", "1f") == f"SELECT * FROM cdc.orders_CT WHERE __$start_lsn > 0x{'1f'.rjust(20, '0')}"
+    assert readers.cdc_query("t", None, "a = 1") == "SELECT * FROM t WHERE (a = 1)"
+    assert readers.document_query(None) == "SELECT * FROM c"
+    assert readers.document_query("17", "c.kind = 'x;--y'") == "SELECT * FROM c WHERE (c.kind = 'x;--y') AND c._ts > 17"
+    options = {"partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "4", "user": "u"}
+    assert readers.partition_of(options) == ("id", "0", "9", 4) and options == {"user": "u"}
+    assert readers.partition_of({"partitionColumn": "id"}) is None
+
+
+@pytest.mark.parametrize("call", [
+    lambda: readers.jdbc_query("t; DROP TABLE x"),
+    lambda: readers.jdbc_query("t", "1 = 1; DELETE FROM t"),
+    lambda: readers.jdbc_query("t", "a = 'x"),
+    lambda: readers.jdbc_query("t", None, "at OR 1=1", "5", "int"),
+    lambda: readers.cdc_query("t", "0; x"),
+    lambda: readers.document_query("1 OR 1"),
+])
+def test_unchecked_text_is_refused(call):
+    with pytest.raises(ValueError):
+        call()
+
+
+def test_calculated_columns_are_arithmetic(spark):
+    from tessera.operators import standardize
+
+    df = spark.sql("SELECT 2 AS a, 3 AS b")
+    assert standardize.calculated_columns(df, {"c": "(a + b) * 2 - 1"}).first()["c"] == 9
+    for text in ("upper(a)", "a; b", "(SELECT 1)", "a || 'x'"):
+        with pytest.raises(ValueError):
+            standardize.calculated_columns(df, {"c": text})
