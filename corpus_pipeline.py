@@ -39,7 +39,7 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     A document that held nothing else stays as an empty one.
     """
-    cleaned = line_dedup.remove(_wrapped(docs))
+    cleaned = line_dedup.remove(_wrapped(docs), whole=True)
     columns = _unwrapped(docs.columns)
     if "n_chars" in columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)

@@ -10,8 +10,11 @@ the first step.
 A run is worth removing from ``min_words`` words on. For each position that is the shortest window of
 lines with so many words, at most ``min_words`` lines, so doubling ends after six steps whatever the
 length of documents. Two windows are equal when the ranks at their begin and those that cover their end
-are. All windows but the first of their interval, in order of document id and place, are deleted; what
-consecutive windows cover together are the later copies of maximal repeated runs.
+are. All windows but the first of their interval, in order of document id and place, are deleted. That is
+the rule of the comparison SQL; of a longer run it leaves the end that holds too few words after the begin
+of the last window. ``whole`` takes the shortest windows back from each line as well. Every run of
+``min_words`` words ends with one, which begins no later than the last window that fits from its begin, so
+both kinds together cover exactly all runs of so many words that occurred before.
 
 Sorting is by range partitions and ranks are numbers that follow that order, so no task sees all positions
 and the line that a third of all documents hold is summed before it is shuffled. Null text has no lines
@@ -39,7 +42,7 @@ _HAS_WORD = re.compile(r"[^\x20\x09-\x0D]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 _DOC, _HASH = "__line_doc", "__line_hash"
-_LINES = "doc long, hash long, i int, key1 long, key2 long, m int"
+_LINES = "doc long, hash long, i int, key1 long, key2 long, m int, back int"
 
 
 def _keyed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -55,11 +58,11 @@ def shortest_windows(words: np.ndarray, min_words: int) -> np.ndarray:
 
 
 def sequences(docs: DataFrame, min_words: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each line with a word: document, place, 128-bit line hash, lines in its shortest window."""
+    """One row for each line with a word: document, place, 128-bit line hash, lines in its shortest windows on and back."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            counts, keys, places, windows = [], [], [], []
+            counts, keys, places, windows, backs = [], [], [], [], []
             for t in batch.column("text").to_pylist():
                 lines = [x for x in (t or "").split("\n") if _HAS_WORD.search(x)]
                 words = np.array([len(_WORD.findall(x)) for x in lines], np.int64)
@@ -67,6 +70,7 @@ def sequences(docs: DataFrame, min_words: int, id_column: str = "doc_id", text:
                 keys += [xxhash.xxh3_128_digest(x) for x in lines]
                 places.append(np.arange(len(lines), dtype=np.int32))
                 windows.append(shortest_windows(words, min_words).astype(np.int32))
+                backs.append(shortest_windows(words[::-1], min_words)[::-1].astype(np.int32))
             if not keys:
                 continue
             rows = pa.array(np.repeat(np.arange(len(counts)), counts))
@@ -79,6 +83,7 @@ def sequences(docs: DataFrame, min_words: int, id_column: str = "doc_id", text:
                     pa.array(np.ascontiguousarray(pair[:, 0])),
                     pa.array(np.ascontiguousarray(pair[:, 1])),
                     pa.array(np.concatenate(windows)),
+                    pa.array(np.concatenate(backs)),
                 ],
                 names=[f.split()[0] for f in _LINES.split(", ")],
             )
@@ -105,7 +110,7 @@ def suffix_ranks(lines: DataFrame, longest: int) -> list[DataFrame]:
     while 2 ** len(levels) <= longest:
         step, last = 2 ** (len(levels) - 1), levels[-1]
         later = last.select("doc", "hash", (F.col("i") - step).alias("i"), F.col("r").alias("r2"))
-        pairs = last.withColumnRenamed("r", "r1").join(later, ["doc", "hash", "i"])
+        pairs = last.drop("back").withColumnRenamed("r", "r1").join(later, ["doc", "hash", "i"])
         levels.append(ranked(pairs, ["r1", "r2"], f"lines-{len(levels)}"))
     return levels
 
@@ -115,34 +120,50 @@ def _place() -> Column:
     return (F.col("doc").cast("decimal(20,0)") * 1_000_000_000_000).cast("decimal(38,0)") + F.col("i")
 
 
-def later_copies(docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def _copies(windows: DataFrame) -> DataFrame:
+    """The windows (doc, hash, i, m, r_begin, r_end) that occurred before."""
+    same = ["m", "r_begin", "r_end"]
+    windows = windows.withColumn("place", _place())
+    first = windows.groupBy(*same).agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
+    return windows.join(first, same).where("place > first").select("doc", "hash", "i", "m")
+
+
+def later_copies(
+    docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text: str = "text", whole: bool = False
+) -> DataFrame:
     """doc, hash and the places of lines (counting those with a word) inside windows that occurred before."""
     lines = written(sequences(docs, min_words, id_column, text), "sequences")
     levels = suffix_ranks(lines, min_words)
     found = None
     for k, level in enumerate(levels):
         size = 2**k
-        windows = level.where(f"m >= {size} AND m < {2 * size}")
+        end = level.select("doc", "hash", F.col("i").alias("e"), F.col("r").alias("r_end"))
+        windows = level.where(f"m >= {size} AND m < {2 * size}").withColumnRenamed("r", "r_begin")
         if k:
-            end = level.select("doc", "hash", F.col("i").alias("e"), F.col("r").alias("r_end"))
             windows = windows.withColumn("e", F.col("i") + F.col("m") - size).join(end, ["doc", "hash", "e"])
         else:
-            windows = windows.withColumn("r_end", F.col("r"))
-        windows = windows.select("doc", "hash", "i", "m", F.col("r").alias("r_begin"), "r_end").withColumn("place", _place())
-        same = ["m", "r_begin", "r_end"]
-        first = windows.groupBy(*same).agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
-        copies = windows.join(first, same).where("place > first").select("doc", "hash", "i", "m")
+            windows = windows.withColumn("r_end", F.col("r_begin"))
+        copies = _copies(windows.select("doc", "hash", "i", "m", "r_begin", "r_end"))
         found = copies if found is None else found.unionByName(copies)
+        if whole and k:  # windows of one line are the same on and back
+            begin = level.select("doc", "hash", "i", F.col("r").alias("r_begin"))
+            back = levels[0].where(f"back >= {size} AND back < {2 * size}").select(
+                "doc", "hash", (F.col("i") - F.col("back") + 1).alias("i"), F.col("back").alias("m"), (F.col("i") - size + 1).alias("e")
+            )
+            found = found.unionByName(_copies(back.join(begin, ["doc", "hash", "i"]).join(end, ["doc", "hash", "e"])))
     covered = F.explode(F.sequence("i", F.col("i") + F.col("m") - 1))
     return found.select("doc", "hash", covered.alias("i")).groupBy("doc", "hash").agg(F.collect_set("i").alias("places"))
 
 
-def remove(docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def remove(
+    docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text: str = "text", whole: bool = False
+) -> DataFrame:
     """``docs`` without later copies of repeated runs, with n_lines, n_removed, n_runs and removed.
 
+    ``whole`` deletes each run to its end, otherwise the windows of the comparison SQL are deleted.
     ``n_runs`` counts the removed runs and ``removed`` lists the places of the removed lines from 0.
     """
-    copies = written(later_copies(docs, min_words, id_column, text), "copies")
+    copies = written(later_copies(docs, min_words, id_column, text, whole), "copies")
     copies = copies.select(F.col("doc").alias("c_doc"), F.col("hash").alias("c_hash"), F.col("places").alias("__places"))
     copies = copies.hint("merge")  # one plan at every size: texts are dealt out by key, nothing is broadcast
     keyed = _keyed(docs, id_column, text)

@@ -30,6 +30,12 @@ def op1_repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op1_repeated_runs"] = line_dedup.ORACLE
 
 
+@query
+def op1_whole_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.remove(docs, whole=True).drop("text")
+
+
 @query
 def op2_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -56,6 +56,33 @@ def test_repeated_runs_by_brute_force(spark):
         assert x.text == "\n".join(lines)
 
 
+def plain_runs(rows, min_words):
+    """Places of later copies of runs of all lengths by brute force; rows of (doc, text) in order."""
+    seen, gone = set(), defaultdict(set)
+    for doc, text in rows:
+        lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines) + 1):
+                run = tuple(lines[i:j])
+                if len(WORD.findall(" ".join(run))) >= min_words:
+                    if run in seen:
+                        gone[doc] |= set(range(i, j))
+                    seen.add(run)
+    return gone
+
+
+def test_whole_runs_by_brute_force(spark):
+    r = random.Random(4)
+    pool = [" ".join(r.choices("abcdefg", k=r.randint(1, 9))) for _ in range(12)]
+    rows = [(i, "\n".join(r.choices([*pool, "", " ", "fresh " + str(r.random())], k=r.randint(0, 40)))) for i in range(60)]
+    run = [" ".join(f"w{n}x{j}" for j in range(n)) for n in (6, 7, 3, 1)]
+    rows += [(60, "\n".join([*run, "one"])), (61, "\n".join(["two", *run, "three"]))]
+    want = plain_runs(rows, 12)
+    assert want[61] == {1, 2, 3, 4} and want != plain_repeats(rows, 12)
+    got = line_dedup.remove(spark.createDataFrame(rows, "doc_id long, text string"), min_words=12, whole=True).collect()
+    assert {x.doc_id: x.removed for x in got} == {d: ",".join(map(str, sorted(want[d]))) for d, _ in rows}
+
+
 def test_repeated_runs_on_odd_rows(spark):
     rows = line_dedup.remove(odd(spark)).collect()
     by = defaultdict(list)
