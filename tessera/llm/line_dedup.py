@@ -105,8 +105,12 @@ def ranked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def suffix_ranks(lines: DataFrame, longest: int) -> list[DataFrame]:
-    """For k = 0, 1, ...: doc, hash, i, m, r of all positions whose 2 ** k lines occur elsewhere too."""
-    levels = [ranked(lines, ["key1", "key2"], "lines-0")]
+    """For k = 0, 1, ...: doc, hash, i, m, r of all positions whose 2 ** k lines occur elsewhere too.
+
+    Copies of one row become one position here, in the tasks before the shuffle: joins of positions would
+    square their number at each level.
+    """
+    levels = [written(ranked(lines, ["key1", "key2"], "lines-0").distinct(), "positions")]
     while 2 ** len(levels) <= longest:
         step, last = 2 ** (len(levels) - 1), levels[-1]
         later = last.select("doc", "hash", (F.col("i") - step).alias("i"), F.col("r").alias("r2"))

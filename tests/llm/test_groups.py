@@ -83,6 +83,16 @@ def test_whole_runs_by_brute_force(spark):
     assert {x.doc_id: x.removed for x in got} == {d: ",".join(map(str, sorted(want[d]))) for d, _ in rows}
 
 
+def test_equal_rows_are_one_position_at_every_level(spark):
+    text = "\n".join(f"line {i} of many" for i in range(40))
+    docs = spark.createDataFrame([(1, text), (2, text), (2, text), *[(None, text)] * 5], "doc_id long, text string")
+    lines = line_dedup.sequences(docs, 50)
+    assert [x.count() for x in line_dedup.suffix_ranks(lines, 32)] == [3 * (41 - 2**k) for k in range(6)]
+    for whole in (False, True):
+        rows = line_dedup.remove(docs, whole=whole).collect()
+        assert sorted(x.n_removed for x in rows) == [0] + [40] * 7
+
+
 def test_repeated_runs_on_odd_rows(spark):
     rows = line_dedup.remove(odd(spark)).collect()
     by = defaultdict(list)
