@@ -3,7 +3,7 @@
 Both tokenizer kinds cut a text at white space before anything else, so the ids of a text are the ids of
 its space-separated pieces one after the other. A batch therefore encodes each distinct piece once and
 gathers the ids of all rows from that, which gives the ids that encoding the whole text gives. Texts in
-which two white-space characters meet take the whole-text call.
+which two white-space characters meet, and those that hold a special token as text, take the whole-text call.
 """
 
 from __future__ import annotations
@@ -44,8 +44,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.lower = lower
+        #: Texts of special tokens, which the library takes for the tokens themselves.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = pa.array([], pa.large_string())
         self.known_begins, self.known_lengths = np.empty(0, np.int64), np.empty(0, np.int64)
         self.known_ids = np.empty(0, np.uint32)
@@ -136,6 +137,10 @@ class Encoder:
         if not n:
             return np.empty(0, np.int64), np.empty(0, np.uint32)
         whole = pc.match_substring_regex(texts, _WHOLE).to_numpy(zero_copy_only=False)
+        for special in self.special:
+            # Case is folded before the pieces are encoded, so other cases must not reach that either.
+            found = pc.match_substring(texts, special, ignore_case=self.lower)
+            whole = whole | found.to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(whole), "", texts)
         split = pc.split_pattern(pc.ascii_lower(plain) if self.lower else plain, " ")
         bounds = _offsets(split).astype(np.int64)

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from tessera.llm import packing, token_files
 from tessera.llm.tokens import encoder, tokenizer_path
@@ -36,6 +37,17 @@ def test_pieces_give_the_ids_of_the_whole_text(name, texts):
     assert [ids[e - n : e].tolist() for e, n in zip(ends, lengths)] == whole(name, texts)
 
 
+@pytest.mark.parametrize("name", [BYTE, WORD])
+def test_special_tokens_in_text_give_the_ids_of_a_fresh_tokenizer(name):
+    fresh = Tokenizer.from_file(tokenizer_path(name))
+    texts = ["foo <|endoftext|> bar", "a<|startoftext|>b c", "<|ENDOFTEXT|> x", "<|endoftext|>", "plain words", " <|endoftext|> <|endoftext|>"]
+    lengths, ids = encoder(tokenizer_path(name), name == WORD).encode(pa.array(texts))
+    ends = np.cumsum(lengths)
+    got = [ids[e - n : e].tolist() for e, n in zip(ends, lengths)]
+    assert got == [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(got[0]) <= 4
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=300), st.integers(1, 70))
 def test_planes_round_trip(ids, block):
