@@ -36,6 +36,10 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 
+#: A part of a path that looks like words: in one case, capitalised or in humps; digits only after a word or by themselves.
+_HUMPS = r"(?:[A-Z]?[a-z]+|[A-Z]+|(?:[A-Z]?[a-z]{2,})(?:[A-Z][a-z]{2,})+)"
+_SEGMENT = re.compile(rf"(?:{_HUMPS}[0-9]{{0,4}}|[0-9]{{1,8}})?(?:[-_=+]+(?:{_HUMPS}[0-9]{{0,4}}|[0-9]{{1,8}}))*[-_=+]*")
+
 #: Harmless strings, as whole candidates: fixed values.
 ALLOWED = [
     r"[0-9_=+/-]+",
@@ -43,7 +47,6 @@ ALLOWED = [
     r"(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})",
     r"(?i:.*(?:example|sample|dummy|placeholder|lorem|xxxx).*)",
     r"[A-Za-z]+(?:[-_/][A-Za-z]+)+[-_/]?[0-9]{1,8}",
-    r".*/.*/.*/.*/.*",
 ]
 _ALLOWED = re.compile("|".join(f"(?:{a})" for a in ALLOWED))
 
@@ -75,9 +78,18 @@ def class_of(s: str) -> str:
     return "lower" if s.lower() == s or s.upper() == s else "mixed"
 
 
+def is_path(s: str) -> bool:
+    """Five or more parts between slashes, all of words and none a secret by itself.
+
+    The slash is a character of keys too, so their number alone says nothing.
+    """
+    parts = s.split("/")
+    return len(parts) > 4 and all(_SEGMENT.fullmatch(p) for p in parts) and not any(is_secret(p) for p in parts)
+
+
 def is_secret(s: str) -> bool:
-    """Some window reaches the limit of the string's class and no allow-list entry holds the string."""
-    if _ALLOWED.fullmatch(s) or not any(c.isdigit() for c in s):
+    """Some window reaches the limit of the string's class; no allow-list entry holds the string and it is no path."""
+    if _ALLOWED.fullmatch(s) or not any(c.isdigit() for c in s) or is_path(s):
         return False
     limit = LIMITS[class_of(s)]
     return any(h >= limit for h in window_entropies(s))

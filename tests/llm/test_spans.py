@@ -1,7 +1,9 @@
 """Personal data and secrets against plain patterns, and what the methods add."""
 
+import base64
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -80,6 +82,16 @@ def test_high_entropy_strings_are_added_and_harmless_ones_are_not():
     assert base == spans == [("assign", 0, 6 + len(key))]
 
 
+@pytest.mark.parametrize("n", [128, 256, 512])
+def test_slashes_do_not_hide_long_keys(n):
+    r = random.Random(n)
+    for _ in range(300):
+        key = base64.b64encode(r.randbytes(n * 3 // 4)).decode()
+        assert secret_scan.all_spans(f"see {key} here")[1] == [("entropy", 4, 4 + len(key.rstrip("=")) + key.count("="))]
+    for path in ("/usr/local/lib/python3/site-packages/numpy", "data/raw/2024/01/05/part-00012", "src/main/java/OrderService/v2/README"):
+        assert secret_scan.all_spans(f"see {path} here") == ([], [])
+
+
 def test_labelers_and_classifier_accept_what_they_agree_on():
     good = pii.code_of("ssn", (1, -1, 1, -1, 1))
     bad = pii.code_of("ssn", (0, -1, -1, 0, 0))
