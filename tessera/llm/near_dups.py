@@ -325,6 +325,20 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return current
 
 
+def distinct_buckets(members: DataFrame) -> DataFrame:
+    """bucket, center, size of buckets of two nodes or more; of those with the same members only the least.
+
+    Close documents share most of their buckets. The sums of three hashes tell members apart; rows of a
+    repeated id add up in them.
+    """
+    sums = [F.sum(F.xxhash64("node", F.lit(k)).bitwiseAND(F.lit((1 << 31) - 1))).alias(f"sum{k}") for k in (1, 2, 3)]
+    buckets = members.groupBy("bucket").agg(
+        F.min("node").alias("center"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size"), *sums
+    ).where("center <> last")
+    same = buckets.groupBy("center", "last", "size", "sum1", "sum2", "sum3").agg(F.min("bucket").alias("bucket"))
+    return same.select("bucket", "center", "size")
+
+
 def link(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row with columns doc_id and text."""
     signed = written(signatures(docs), "signatures")
@@ -333,13 +347,8 @@ def link(docs: DataFrame) -> DataFrame:
     nodes = known.withColumnRenamed("doc_id", "node").join(classes, ["key1", "key2", "node"], "left_semi")
 
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    sums = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"sum{k}") for k in (1, 2)]
-    buckets = members.groupBy("bucket").agg(
-        F.min("node").alias("center"), F.max("node").alias("last"), F.count(F.lit(1)).alias("size"), *sums
-    ).where("center <> last")
-    # Close documents share most of their buckets; of buckets with the same members one is enough.
-    one = buckets.groupBy("center", "last", "size", "sum1", "sum2").agg(F.min("bucket").alias("bucket"))
-    shared = written(members.join(one.select("bucket", "center", "size"), "bucket"), "members")
+    one = distinct_buckets(members)
+    shared = written(members.join(one, "bucket"), "members")
     in_pairs = written(shared.select("node").distinct(), "in-pairs")
     maps = written(nodes.select("node", *_MAPS).join(in_pairs, "node", "left_semi"), "maps")
     texts = docs.select("doc_id", "text").join(

@@ -169,6 +169,13 @@ def test_odd_sketches_estimate_high_similarities():
     assert near_dups.estimated_similarity(near_dups.MOST_XOR) < 0.46
 
 
+def test_buckets_of_repeated_rows_are_told_apart(spark):
+    buckets = {10: (1, 5, 9), 11: (1, 6, 9), 12: (1, 5, 9), 13: (4, 4, 4)}
+    rows = [(n, b) for b, nodes in buckets.items() for n in nodes] * 2
+    got = near_dups.distinct_buckets(spark.createDataFrame(rows, "node long, bucket long")).collect()
+    assert sorted(tuple(r) for r in got) == [(10, 1, 6), (11, 1, 6)]
+
+
 def test_components_of_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (103, 101)], "a long, b long")
     got = {r.node: r.label for r in near_dups.components(links).collect()}
