@@ -7,9 +7,11 @@ model's probability of its class in context times the id's smoothed share of its
 
 The attention model that predicts classes has one head: token and place embeddings, queries, keys and
 values, and an output layer over the token and what it attends to. It is trained by Adam with gradients
-written out below, on the ``TRAIN_ROWS`` training documents with the least hash of their id; that bound is
-a parameter of the model's fit, like a learning rate, and nothing else is limited. Scoring takes whole
-texts: windows of 32 ids overlap by eight, the last 24 of each are scored, so every id is scored once with
+written out below, on all windows of all training documents. A hash deals the documents to ``ROUNDS``
+rounds. In a round every task starts from the same weights and takes steps over its own windows; the
+weights, averaged by windows seen, begin the next round. Only arrays of the size of the weights leave the
+tasks; their sums are of whole numbers, so the order of tasks makes no difference. Steps grow with the
+input; a corpus too small for ``STEPS`` steps is gone through several times. Scoring takes whole texts: windows of 32 ids overlap by eight, the last 24 of each are scored, so every id is scored once with
 8 to 31 ids before it, in batches with a causal mask.
 
 Words of the broadcast list, the most frequent ones up to ``TOP_WORDS``, are counted in the scoring task;
@@ -41,8 +43,8 @@ OWN_EMBEDDINGS = 4096
 WIDTH = 16
 CONTEXT, STRIDE = 32, 24
 OVERLAP = CONTEXT - STRIDE
-#: Documents that the attention model is fitted on, training steps, windows in a step.
-TRAIN_ROWS, STEPS, BATCH = 400, 400, 256
+#: Least number of training steps, windows in a step, rounds between which weights are averaged.
+STEPS, BATCH, ROUNDS = 400, 256, 6
 RATE = 0.01
 #: Words whose counts are sent to all tasks.
 TOP_WORDS = 200_000
@@ -238,27 +240,99 @@ def gradients(w: dict[str, np.ndarray], slots: np.ndarray, padded: np.ndarray, c
     }
 
 
+class Adam:
+    """Steps on batches of windows; changes the weights of ``model`` in place."""
+
+    def __init__(self, model: Model):
+        self.model, self.steps = model, 0
+        self.first, self.second = ({k: np.zeros_like(v) for k, v in model.weights.items()} for _ in range(2))
+
+    def step(self, x: np.ndarray, t: np.ndarray, rate: float) -> float:
+        model, w = self.model, self.model.weights
+        self.steps += 1
+        loss, grads = gradients(w, model.slot[x], x == model.pad, model.classes[t], t != model.pad)
+        for name, d in grads.items():
+            first, second = self.first[name], self.second[name]
+            first += 0.1 * (d - first)
+            second += 0.01 * (d * d - second)
+            w[name] -= (rate * (first / (1 - 0.9**self.steps)) / (np.sqrt(second / (1 - 0.99**self.steps)) + 1e-8)).astype(np.float32)
+        return float(loss)
+
+
 def fit(model: Model, inputs: np.ndarray, targets: np.ndarray, steps: int = STEPS, seed: int = 11) -> list[float]:
     """Adam on random batches of windows; the loss of each step."""
     if not len(inputs):
         return []
     g = np.random.Generator(np.random.PCG64(seed))
-    w = model.weights
-    first, second = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}
-    losses = []
+    adam, losses = Adam(model), []
     for step in range(1, steps + 1):
         at = g.integers(0, len(inputs), BATCH)
-        x, t = inputs[at], targets[at]
-        loss, grads = gradients(w, model.slot[x], x == model.pad, model.classes[t], t != model.pad)
-        losses.append(float(loss))
-        rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
-        for name, d in grads.items():
-            first[name] += 0.1 * (d - first[name])
-            second[name] += 0.01 * (d * d - second[name])
-            w[name] -= (rate * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+        losses.append(adam.step(inputs[at], targets[at], RATE * min(1.0, 2 * (1 - step / (steps + 1)))))
     return losses
 
 
+def word_ids(enc, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids of each text, and all ids, word by word as they are scored."""
+    words, codes, bounds = word_codes(texts)
+    begins, lengths, ids = enc.encode_dictionary(words, codes)
+    sizes = lengths[codes]
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    return np.bincount(doc, sizes, len(bounds) - 1).astype(np.int64), ids[ragged(begins[codes], sizes)]
+
+
+#: Weights times windows are summed as whole numbers of this unit.
+_UNIT = 2.0**-20
+#: Tasks that add up the weights of all others.
+_ADDERS = 16
+
+
+def fit_all(docs: DataFrame, model: Model, tokenizer: str, passes: int = 1) -> list[int]:
+    """Trains on every row of ``docs`` (doc_id, text), each in one round; the windows seen in each round."""
+    spark, seen = docs.sparkSession, []
+    dealt = docs.withColumn("round", F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)))
+    for k in range(ROUNDS):
+        shared = spark.sparkContext.broadcast(model)
+        rate = RATE * min(1.0, 2 * (1 - (k + 0.5) / ROUNDS))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            start = shared.value
+            own = Model(start.classes, start.log_share, start.slot, {n: v.copy() for n, v in start.weights.items()})
+            adam, enc, n = Adam(own), encoder(tokenizer, True), 0
+            g = np.random.Generator(np.random.PCG64(11))
+            for batch in slices(batches, "text", 1 << 20):
+                inputs, targets, _ = windows(*word_ids(enc, batch.column("text")), own.end, own.pad)
+                order = np.concatenate([g.permutation(len(inputs)) for _ in range(passes)])
+                n += len(order)
+                for at in np.array_split(order, max(1, round(len(order) / BATCH))):
+                    adam.step(inputs[at], targets[at], rate)
+            if n:
+                flat = np.concatenate([v.ravel() for v in own.weights.values()]).astype(np.float64)
+                total = np.rint(flat * n / _UNIT).astype(np.int64).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total])], names=["n", "total"])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n, total = 0, None
+            for batch in batches:
+                for m, part in zip(batch.column("n").to_pylist(), batch.column("total")):
+                    values = np.frombuffer(part.as_buffer(), np.int64)
+                    n, total = n + m, values if total is None else total + values
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.tobytes()])], names=["n", "total"])
+
+        schema = "n long, total binary"
+        parts = dealt.where(F.col("round") == k).select("text").mapInArrow(run, schema)
+        sums = parts.repartition(_ADDERS).mapInArrow(add, schema).collect()
+        shared.unpersist()
+        n = sum(r["n"] for r in sums)
+        seen.append(n // passes)
+        if n:
+            flat = sum(np.frombuffer(r["total"], np.int64) for r in sums) * (_UNIT / n)
+            edges = np.cumsum([v.size for v in model.weights.values()])[:-1]
+            for (name, old), new in zip(list(model.weights.items()), np.split(flat, edges)):
+                model.weights[name] = new.reshape(old.shape).astype(np.float32)
+    return seen
+
+
 class Scorer:
     """Log probabilities with the model's products of embeddings and weights laid out by id."""
 
@@ -318,7 +392,7 @@ class Scorer:
 
 
 def train(docs: DataFrame, counts: DataFrame, n_documents: int, tokenizer: str, text: str = "text") -> Model:
-    """The model: counts of all training words, weights from the bounded sample of documents."""
+    """The model: counts of all training words, weights from all training documents."""
     enc = encoder(tokenizer, True)
     ids = np.zeros(enc.size + 2)
     for i, n in id_counts(counts, tokenizer).items():
@@ -327,12 +401,9 @@ def train(docs: DataFrame, counts: DataFrame, n_documents: int, tokenizer: str,
     classes, share, slot = classify(ids)
     smooth = np.bincount(classes, np.where(np.arange(len(ids)) == len(ids) - 1, 0, ids + 0.1), CLASSES)
     model = Model(classes, share, slot, start_weights(OWN_EMBEDDINGS + CLASSES + 1, CLASSES, smooth / smooth.sum()))
-    chosen = docs.where("train").select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(TRAIN_ROWS)
-    last = chosen.agg(F.max("h").alias("h")).first()["h"]
-    if last is not None:
-        sample = docs.where("train").where(F.xxhash64("doc_id") <= last).select("text").limit(TRAIN_ROWS).toPandas()
-        inputs, targets, _ = windows(*enc.encode(pa.array(sample["text"], pa.string())), model.end, model.pad)
-        fit(model, inputs, targets)
+    if n_documents:
+        n_windows = n_documents + ids[:-1].sum() / STRIDE
+        fit_all(docs.where("train").select("doc_id", "text"), model, tokenizer, int(np.ceil(STEPS * BATCH / n_windows)))
     return model
 
 

@@ -125,3 +125,34 @@ def test_context_beats_counts_on_held_out_text():
     ours = lm.Scorer(model).score(np.array([2_000]), held)[0]
     by_counts = np.log(counts[held] / counts.sum()).sum()
     assert losses[-1] < losses[0] and ours > 0.7 * by_counts
+
+
+def test_training_sees_every_window_of_every_document(spark, monkeypatch):
+    monkeypatch.setattr(lm, "BATCH", 8)
+    r = np.random.Generator(np.random.PCG64(5))
+    follow = r.permutation(20)
+
+    def text(n):
+        at, out = 0, []
+        for _ in range(n):
+            at = int(follow[at]) if r.random() < 0.9 else int(r.integers(0, 20))
+            out.append("abcdefghijklmnopqrst"[at])
+        return " ".join(out)
+
+    rows = [(i, text(60)) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumn("train", lm.F.lit(True))
+    enc = lm.encoder(TOKENIZER, True)
+    lengths, ids = lm.word_ids(enc, pa.array([t for _, t in rows]))
+    counts = np.append(np.bincount(ids, minlength=enc.size), [1000, 0]).astype(float)
+    classes, share, slot = lm.classify(counts)
+    smooth = np.bincount(classes, np.append(counts[:-1] + 0.1, 0), lm.CLASSES)
+    weights = lm.start_weights(lm.OWN_EMBEDDINGS + lm.CLASSES + 1, lm.CLASSES, smooth / smooth.sum())
+    model = lm.Model(classes, share, slot, weights)
+    before = lm.Scorer(model).score(lengths[:50], ids[: lengths[:50].sum()]).sum()
+    seen = lm.fit_all(docs.select("doc_id", "text"), model, TOKENIZER)
+    assert sum(seen) == len(lm.windows(lengths, ids, model.end, model.pad)[0]) and min(seen) > 0
+    after = lm.Scorer(model).score(lengths[:50], ids[: lengths[:50].sum()]).sum()
+    assert after > 0.8 * before
+    twice = lm.Model(classes, share, slot, lm.start_weights(lm.OWN_EMBEDDINGS + lm.CLASSES + 1, lm.CLASSES, smooth / smooth.sum()))
+    lm.fit_all(docs.select("doc_id", "text"), twice, TOKENIZER)
+    assert all((model.weights[k] == twice.weights[k]).all() for k in model.weights)
