@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, html_text, line_dedup, lm_score, near_dups, packing, pii, quality, secret_scan, token_files
+from tessera.llm import decontaminate, html_text, line_dedup, lm_score, near_dups, packing, pii, quality, secret_scan, spelling, token_files
 from tessera.llm.common import table
 from tessera.llm.tokens import tokenizer_path
 from tessera.session import scratch
@@ -89,3 +89,8 @@ def op10_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_odd_sketches"] = near_dups.ORACLE
+
+
+@query
+def op11_sorted_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"), alter_every=31)
