@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, html_text, line_dedup, lm_score, near_dups, packing, piece_codec, pii, quality, secret_scan, spelling, token_files
+from tessera.llm import decontaminate, html_text, line_dedup, lm_score, near_dups, packing, piece_codec, pii, quality, secret_scan, spelling, token_files, whitening
 from tessera.llm.common import table
 from tessera.llm.tokens import tokenizer_path
 from tessera.session import scratch
@@ -102,3 +102,8 @@ def op12_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = piece_codec.decode(piece_codec.encode(docs, path), path)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_jacobi_davidson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components_table(table(spark, sf_dir, "embeddings"))
