@@ -1,31 +1,37 @@
-"""Table addresses and versions.
-
-A table is a folder of data directories plus numbered version files, each naming the directories of its
-version and the schema. Readers take the highest number, so a rewrite never touches the files being read,
-an append shows up in one step, and no footers are opened to merge schemas. A commit creates the next
-number and fails if that exists; the change is then made again on the version that came between, so
-writers of one table, in this or another program, lose nothing of each other. Data directories of old
-versions stay until removed by the operator of the lake.
+"""Lake tables: Spark's own managed Parquet tables, partitioned by load.
+
+A lake is a database of the session's catalog whose location is the lake's base folder; a table in it is named by
+layer, schema and table. Every row belongs to a load - a run, or a batch of a stream - which is a partition, and
+inserts overwrite just the partitions that they bring. So a load that is repeated replaces itself, loads of
+several writers do not touch each other, and a query may read a table while it rewrites some of its
+partitions. Spark commits an insert's files when its job is done and drops the files of dropped partitions.
+
+Lakes that outlive a session need a catalog that does, such as a Hive metastore.
 """
 
 from __future__ import annotations
 
-import json
+import hashlib
+import re
 import threading
-import uuid
-from collections.abc import Callable
-from dataclasses import dataclass, field, replace
+from collections.abc import Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-VERSIONS = "_versions"
-#: Version files kept beside the current one.
-KEPT_VERSIONS = 20
-#: Times that a commit is tried again on a newer version.
-TRIES = 50
+from tessera.operators import drift
 
-_local_commits = threading.Lock()
+#: Partition column of every table: the load that brought a row. Further ones begin with ``OWN``.
+LOAD = "_load"
+OWN = "_lake_"
+#: Name of the observed row count of a write.
+ROWS = "__rows"
+#: Load of tables that are replaced as a whole.
+WHOLE = "whole"
+
+_creation = threading.Lock()
 
 
 @dataclass(frozen=True)
@@ -37,14 +43,32 @@ class Layout:
     schema: str
     table: str
 
+    @property
+    def database(self) -> str:
+        return database(self.base)
+
+    @property
+    def short_name(self) -> str:
+        return "__".join(re.sub(r"\W", "_", part).lower() for part in (self.layer, self.schema, self.table))
+
+    @property
+    def name(self) -> str:
+        """The table's name in the catalog."""
+        return f"{self.database}.{self.short_name}"
+
     @property
     def path(self) -> str:
-        return f"{self.base}/{self.layer}/{self.schema}/{self.table}"
+        """Where Spark keeps the table's files."""
+        return f"{self.base}/{self.short_name}"
 
     def sibling(self, **parts: str) -> "Layout":
         return Layout(**{**self.__dict__, **parts})
 
 
+def database(base: str) -> str:
+    return "lake_" + hashlib.md5(base.encode()).hexdigest()[:16]
+
+
 def bronze(base: str, table: str, schema: str = "raw") -> Layout:
     return Layout(base, "bronze", schema, table)
 
@@ -61,137 +85,168 @@ def quarantine(base: str, table: str) -> Layout:
     return Layout(base, "bronze", "quarantine", f"{table}_quarantine")
 
 
-@dataclass(frozen=True)
-class Version:
-    """What a version file says: data directories, schema and the batch ids already applied."""
+def is_directory(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(target) and fs.getFileStatus(target).isDirectory()
 
-    dirs: tuple[str, ...]
-    schema: StructType
-    batches: dict[str, int] = field(default_factory=dict)
-    number: int = 0
 
+def load_name(*parts: object) -> str:
+    """A load's name from a run, a table, a batch number: letters, digits, dots and dashes."""
+    return re.sub(r"[^A-Za-z0-9.-]+", "-", "-".join(f"{p:012d}" if isinstance(p, int) else str(p) for p in parts))
 
-def _hadoop_path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
 
+# --- reading ---------------------------------------------------------------------------------------
 
-def _file_system(spark: SparkSession, path: str):
-    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
+def table_exists(spark: SparkSession, layout: Layout) -> bool:
+    return spark.catalog.tableExists(layout.name)
 
-def is_directory(spark: SparkSession, path: str) -> bool:
-    fs, target = _file_system(spark, path), _hadoop_path(spark, path)
-    return fs.exists(target) and fs.getFileStatus(target).isDirectory()
 
+def require(spark: SparkSession, layout: Layout) -> None:
+    if not table_exists(spark, layout):
+        raise FileNotFoundError(f"no table {layout.layer}.{layout.schema}.{layout.table} in {layout.base}")
 
-def _numbers(spark: SparkSession, layout: Layout) -> list[int]:
-    folder = f"{layout.path}/{VERSIONS}"
-    fs, target = _file_system(spark, folder), _hadoop_path(spark, folder)
-    names = [f.getPath().getName() for f in fs.listStatus(target)] if fs.exists(target) else []
-    return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
 
+def partition_columns(spark: SparkSession, layout: Layout) -> list[str]:
+    return [c for c in spark.table(layout.name).columns if c == LOAD or c.startswith(OWN)]
 
-def _version_file(layout: Layout, number: int) -> str:
-    return f"{layout.path}/{VERSIONS}/{number:012d}.json"
 
+def read_whole(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The table with its partition columns."""
+    require(spark, layout)
+    return spark.table(layout.name)
 
-def current_version(spark: SparkSession, layout: Layout) -> Version | None:
-    """The newest version, or None where the table does not exist."""
-    numbers = _numbers(spark, layout)
-    if not numbers:
-        return None
-    path = _version_file(layout, numbers[-1])
-    stream = _file_system(spark, path).open(_hadoop_path(spark, path))
-    try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    state = json.loads(text)
-    schema = StructType.fromJson(state["schema"])
-    return Version(tuple(state["dirs"]), schema, state.get("batches", {}), numbers[-1])
 
+def read_table(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The rows of a table; a column that came later is null in earlier rows."""
+    rows = read_whole(spark, layout)
+    return rows.drop(*[c for c in rows.columns if c == LOAD or c.startswith(OWN)])
+
+
+def partitions(spark: SparkSession, layout: Layout) -> list[dict[str, str]]:
+    """The values of the partition columns of every partition."""
+    require(spark, layout)
+    found = spark.sql(f"SHOW PARTITIONS {layout.name}").collect()  # one row per partition
+    return [dict(part.split("=", 1) for part in r["partition"].split("/")) for r in found]
+
+
+def loads(spark: SparkSession, layout: Layout) -> list[str]:
+    """The loads that a table holds rows of, by name; none where there is no table."""
+    if not table_exists(spark, layout):
+        return []
+    return sorted({p[LOAD] for p in partitions(spark, layout)})
 
-def table_exists(spark: SparkSession, layout: Layout) -> bool:
-    return current_version(spark, layout) is not None
 
+def matching(wanted: Iterable[dict[str, str]]) -> Column:
+    """Test for rows of some partitions, which Spark prunes by."""
+    test = F.lit(False)
+    for partition in wanted:
+        same = F.lit(True)
+        for column, value in partition.items():
+            same = same & (F.col(column) == value)
+        test = test | same
+    return test
 
-def new_directory(layout: Layout) -> str:
-    return f"{layout.path}/data-{uuid.uuid4().hex}"
 
+# --- writing ---------------------------------------------------------------------------------------
 
-def _create(spark: SparkSession, layout: Layout, version: Version, number: int) -> bool:
-    """Write the version file ``number``; False where another writer has made it.
 
-    A draft is renamed to its final name without overwriting, so a reader never sees half a file. Local
-    file systems check and rename in two steps, hence the lock between threads.
+def create(
+    spark: SparkSession, layout: Layout, schema: StructType, partitioned: Iterable[str] = (), buckets: tuple[list[str], int] | None = None
+) -> None:
+    """An empty table; ``partitioned`` names columns of the schema to partition by before the load.
+
+    ``buckets`` are columns and a number: files are bucketed and sorted by these, so joins and aggregates by
+    the columns read the table without a shuffle.
     """
-    final = _version_file(layout, number)
-    draft = f"{layout.path}/{VERSIONS}/_{uuid.uuid4().hex}.tmp"
-    text = json.dumps({"dirs": list(version.dirs), "schema": version.schema.jsonValue(), "batches": version.batches})
-    fs = _file_system(spark, draft)
-    out = fs.create(_hadoop_path(spark, draft), True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    with _local_commits:
-        made = not fs.exists(_hadoop_path(spark, final)) and fs.rename(_hadoop_path(spark, draft), _hadoop_path(spark, final))
-    if not made:
-        fs.delete(_hadoop_path(spark, draft), False)
-    return made
-
-
-def commit(spark: SparkSession, layout: Layout, change: Callable[[Version | None], Version | None]) -> Version | None:
-    """Apply ``change`` to the newest version and make the result the next one; None changes nothing.
-
-    If another writer was first, the change is made again on what that one left.
+    partitioned = [*partitioned, LOAD]
+    plain = StructType([StructField(f.name, f.dataType) for f in schema.fields if f.name not in partitioned])
+    split = StructType([StructField(f.name, f.dataType) for f in schema.fields if f.name in partitioned and f.name != LOAD])
+    columns = ", ".join(x for x in (plain.toDDL(), split.toDDL(), f"{LOAD} STRING") if x)
+    names = ", ".join(f"`{c}`" for c in partitioned)
+    by = ", ".join(f"`{c}`" for c in buckets[0]) if buckets else ""
+    bucketed = f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets[1]} BUCKETS" if buckets else ""
+    with _creation:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layout.database} LOCATION '{layout.base}'")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {layout.name} ({columns}) USING parquet "
+            f"OPTIONS ('partitionOverwriteMode' = 'dynamic') PARTITIONED BY ({names}){bucketed}"
+        )
+
+
+def fields(spark: SparkSession, layout: Layout) -> StructType:
+    """The schema without partition columns."""
+    found = spark.table(layout.name).schema.fields
+    return StructType([f for f in found if f.name != LOAD and not f.name.startswith(OWN)])
+
+
+def evolve(spark: SparkSession, layout: Layout, schema: StructType) -> None:
+    """Make room for rows of ``schema``: new columns are added; wider types rewrite the table once, as a
+    Parquet table of the catalog keeps the types it was created with."""
+    with _creation:
+        present = fields(spark, layout)
+        merged = drift.merged_schema(schema, present)
+        types = {f.name: f.dataType for f in merged.fields}
+        wider = [f.name for f in present.fields if types[f.name] != f.dataType]
+        known = {f.name for f in present.fields}
+        new = StructType([StructField(f.name, f.dataType) for f in merged.fields if f.name not in known])
+        if new.fields and not wider:
+            spark.sql(f"ALTER TABLE {layout.name} ADD COLUMNS ({new.toDDL()})")
+    if wider:
+        rows = drift.conform(read_whole(spark, layout), StructType([*merged.fields, *_split_fields(spark, layout)]))
+        replace_table(spark, layout, rows, partition_columns(spark, layout)[:-1])
+
+
+def _split_fields(spark: SparkSession, layout: Layout) -> list[StructField]:
+    found = spark.table(layout.name).schema.fields
+    return [f for f in found if f.name == LOAD or f.name.startswith(OWN)]
+
+
+def replace_table(spark: SparkSession, layout: Layout, rows: DataFrame, partitioned: Iterable[str] = ()) -> int:
+    """Make the table anew from rows that may be read from it, with their loads; used where its columns change.
+
+    The rows go through a scratch folder, which keeps them until the new table is written.
     """
-    for _ in range(TRIES):
-        present = current_version(spark, layout)
-        wanted = change(present)
-        if wanted is None:
-            return present
-        number = present.number + 1 if present else 1
-        if _create(spark, layout, wanted, number):
-            for old in _numbers(spark, layout)[: -KEPT_VERSIONS - 1]:
-                path = _version_file(layout, old)
-                _file_system(spark, path).delete(_hadoop_path(spark, path), False)
-            return replace(wanted, number=number)
-    raise RuntimeError(f"{layout.path}: other writers were first {TRIES} times")
+    from tessera.session import scratch
 
+    path = scratch(spark, "replaced")
+    rows.write.parquet(path)
+    kept = spark.read.schema(rows.schema).parquet(path)
+    spark.sql(f"DROP TABLE {layout.name}")
+    create(spark, layout, kept.schema, partitioned)
+    return insert(kept, layout)[ROWS]
 
-def read_table(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The current version; columns missing in older directories read as null."""
-    version = current_version(spark, layout)
-    if version is None:
-        raise FileNotFoundError(f"no table at {layout.path}")
-    if not version.dirs:
-        return spark.createDataFrame([], version.schema)
-    return spark.read.schema(version.schema).parquet(*version.dirs)
 
+def insert(df: DataFrame, layout: Layout, metrics: dict[str, Column] | None = None) -> dict:
+    """Overwrite the partitions that ``df`` brings; it has the table's columns and its partition columns.
 
-SEEN = "seen:"
+    Returns the observed metrics of the write, the row count among them.
+    """
+    seen = Observation()
+    columns = {ROWS: F.count(F.lit(1)), **(metrics or {})}
+    observed = df.observe(seen, *[e.alias(n) for n, e in columns.items()])
+    names = df.sparkSession.table(layout.name).columns
+    observed.select(*[f"`{c}`" for c in names]).write.mode("overwrite").insertInto(layout.name)
+    return seen.get
 
 
-def unseen(spark: SparkSession, source: Layout, target: Layout) -> tuple[DataFrame, dict[str, int], bool]:
-    """Rows of the source's directories that the target has not taken yet.
+def drop_partitions(spark: SparkSession, layout: Layout, gone: Iterable[dict[str, str]]) -> None:
+    specs = []
+    for partition in gone:
+        specs.append("PARTITION (" + ", ".join(f"`{c}` = '{v}'" for c, v in partition.items()) + ")")
+    if specs:
+        spark.sql(f"ALTER TABLE {layout.name} DROP IF EXISTS {', '.join(specs)}")
 
-    Returns the rows, the marks to store with the target's next version, and whether the target starts
-    anew: that is so where a directory it took is gone from the source, replaced or rewritten.
-    """
-    version = current_version(spark, source)
-    if version is None:
-        raise FileNotFoundError(f"no table at {source.path}")
-    marks = {f"{SEEN}{d.removeprefix(source.path)}": d for d in version.dirs}
-    done = current_version(spark, target)
-    taken = {b for b in done.batches if b.startswith(SEEN)} if done else set()
-    anew = not taken <= set(marks)
-    fresh = [d for mark, d in marks.items() if anew or mark not in taken]
-    rows = spark.read.schema(version.schema).parquet(*fresh) if fresh else spark.createDataFrame([], version.schema)
-    return rows, dict.fromkeys(marks, 1), anew
-
-
-def marked(version: Version, marks: dict[str, int]) -> Version:
-    """The version with these marks of taken directories in place of earlier ones."""
-    others = {b: n for b, n in version.batches.items() if not b.startswith(SEEN)}
-    return replace(version, batches={**others, **marks})
+
+def mark(spark: SparkSession, layout: Layout, key: str, value: object) -> None:
+    """A note kept with the table in the catalog."""
+    spark.sql(f"ALTER TABLE {layout.name} SET TBLPROPERTIES ('tessera.{load_name(key)}' = '{value}')")
+
+
+def marked(spark: SparkSession, layout: Layout, key: str) -> str | None:
+    if not table_exists(spark, layout):
+        return None
+    wanted = f"tessera.{load_name(key)}"
+    found = spark.sql(f"SHOW TBLPROPERTIES {layout.name}").where(F.col("key") == wanted).first()
+    return found["value"] if found else None

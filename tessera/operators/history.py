@@ -2,28 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tessera.layout import Layout, Version, commit, current_version, marked, new_directory
-from tessera.operators import scd
+from tessera import layout as lake
+from tessera.layout import LOAD, WHOLE, Layout, table_exists
+from tessera.operators import drift, scd
 
-_PART = "__part"
+#: Partition column: ``current`` or ``closed``.
+PART = f"{lake.OWN}part"
 
 
-def _is_current_dir(path: str) -> bool:
-    return path.endswith(f"{_PART}=current")
+def is_history(spark: SparkSession, layout: Layout) -> bool:
+    return table_exists(spark, layout) and PART in lake.partition_columns(spark, layout)
 
 
 def read_current(spark: SparkSession, layout: Layout) -> DataFrame | None:
     """Current rows of the stored history, without opening the closed ones."""
-    version = current_version(spark, layout)
-    if version is None:
+    if not table_exists(spark, layout):
         return None
-    dirs = [d for d in version.dirs if _is_current_dir(d)]
-    if not dirs:
-        return spark.createDataFrame([], version.schema)
-    return spark.read.schema(version.schema).parquet(*dirs)
+    return lake.read_whole(spark, layout).where(F.col(PART) == "current").drop(PART, LOAD)
 
 
 def merge_into(
@@ -35,17 +36,18 @@ def merge_into(
     order: list[Column] | None = None,
     names: scd.Names = scd.DEFAULT,
     writer: tuple[str, int] | None = None,
-    marks: dict[str, int] | None = None,
 ) -> dict[str, int]:
-    """Merge a batch into the stored history in one write and one pointer switch.
+    """Merge a batch into the stored history in one insert.
 
-    Returns the numbers of current and newly closed rows. ``writer`` is a (name, batch number) pair;
-    a number already applied is skipped. ``marks`` name the directories of the source taken so far.
+    It overwrites the partition of current rows and adds the closed ones as a load of their own.
+    Returns the numbers of current and newly closed rows. ``writer`` is a (name, batch
+    number) pair; a number already applied is skipped. Merging a batch again changes nothing.
     """
     spark = batch.sparkSession
-    version = current_version(spark, layout)
-    if version and writer and version.batches.get(writer[0], -1) >= writer[1]:
-        return {"current": 0, "closed": 0}
+    if writer:
+        applied = lake.marked(spark, layout, f"batch.{writer[0]}")
+        if applied is not None and int(applied) >= writer[1]:
+            return {"current": 0, "closed": 0}
     current = read_current(spark, layout)
     rows = scd.prepare(batch, keys, order, names)
     if current is None:
@@ -53,26 +55,15 @@ def merge_into(
     else:
         merged = scd.merge_current(current, rows, keys, tracked, as_of, names)
     is_current = F.col(names.is_current)
-    seen = Observation()
-    directory = new_directory(layout)
-    (
-        merged.withColumn(_PART, F.when(is_current, "current").otherwise("closed"))
-        .observe(
-            seen, F.count_if(is_current).alias("current"), F.count_if(~is_current).alias("closed")
-        )
-        .write.partitionBy(_PART)
-        .parquet(directory)
-    )
-    counts = seen.get
-    added = [f"{directory}/{_PART}={p}" for p in ("closed", "current") if counts[p] > 0]
-
-    def change(present: Version | None) -> Version:
-        if (present.number if present else 0) != (version.number if version else 0):
-            raise RuntimeError(f"{layout.path}: another merge came between; merge again")
-        kept = [d for d in present.dirs if not _is_current_dir(d)] if present else []
-        batches = {**(present.batches if present else {}), **(dict([writer]) if writer else {})}
-        version_ = Version((*kept, *added), merged.schema, batches)
-        return marked(version_, marks) if marks else version_
-
-    commit(spark, layout, change)
-    return counts
+    placed = merged.withColumn(PART, F.when(is_current, "current").otherwise("closed"))
+    placed = placed.withColumn(LOAD, F.when(is_current, WHOLE).otherwise(f"closed-{uuid.uuid4().hex}"))
+    if current is None:
+        lake.create(spark, layout, placed.schema, (PART,))
+    else:
+        lake.evolve(spark, layout, merged.schema)
+    shaped = drift.conform(placed, StructType([*lake.fields(spark, layout).fields, *placed.schema[-2:].fields]))
+    counts = {"current": F.count_if(is_current), "closed": F.count_if(~is_current)}
+    found = lake.insert(shaped, layout, counts)
+    if writer:
+        lake.mark(spark, layout, f"batch.{writer[0]}", writer[1])
+    return {name: found[name] for name in counts}

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.config import Rule
 from tessera.functions.columns import EMAIL_PATTERN, all_of, as_time
-from tessera.plans.lookup import common_type, fits_broadcast, mark_known, mark_repeated
+from tessera.operators.key_counts import digest as key_digest
+from tessera.plans.lookup import common_type, fits_broadcast, lookup_join, mark_known, mark_repeated
 
 # --- row flags -------------------------------------------------------------------------------------
 
@@ -269,6 +270,14 @@ def evaluate(
     return _with_rate(reduce(DataFrame.unionByName, parts))
 
 
+def unique_results(spark: SparkSession, found: dict[int, tuple[Rule, int, int]]) -> DataFrame:
+    """Result rows of unique rules from counts of the whole table, (rule, rows, different keys) by rule id."""
+    rows = [
+        (r.rule_id, r.name, r.kind, r.column, r.severity, r.quarantine, "EVALUATED", n, n - keys) for r, n, keys in found.values()
+    ]
+    return _with_rate(spark.createDataFrame(rows, RESULT))
+
+
 def _with_rate(results: DataFrame) -> DataFrame:
     rate = F.coalesce(F.round(F.try_divide(F.col("failed") * 100.0, F.col("total")), 2), F.lit(0.0))
     return results.withColumns({"failure_rate": rate, "passed": F.col("failed") == 0})
@@ -293,10 +302,12 @@ def failed_rules(
     rules: list[Rule],
     references: dict[str, DataFrame] | None = None,
     always_split: bool = False,
+    repeated: dict[str, DataFrame | None] | None = None,
 ) -> DataFrame:
     """Every row with ``_dq_failed_rules``: names of the quarantine-enabled rules it breaks.
 
-    A unique rule is broken by every row of a repeated value.
+    A unique rule is broken by every row of a repeated value. ``repeated`` gives, by column, the digests of
+    repeated keys where ``df`` is only a part of the table; see ``key_counts``.
     """
     references = references or {}
     broken: list[Column] = []
@@ -304,7 +315,15 @@ def failed_rules(
     for i, rule in enumerate(r for r in rules if r.quarantine):
         test = _row_failure(rule)
         marker = f"__rule_{i}"
-        if test is None and rule.kind == "UNIQUE":
+        if test is None and rule.kind == "UNIQUE" and rule.column in (repeated or {}) and repeated[rule.column] is None:
+            test = F.lit(False)
+        elif test is None and rule.kind == "UNIQUE" and rule.column in (repeated or {}):
+            told = repeated[rule.column].withColumn(marker, F.lit(True))
+            kept = df.columns
+            keyed = df.withColumn("__digest", key_digest(rule.column))
+            df = lookup_join(keyed, told, {"__digest": "key"}, [marker], always_split=always_split).select(*[f"`{c}`" for c in kept], marker)
+            test = F.coalesce(F.col(marker), F.lit(False))
+        elif test is None and rule.kind == "UNIQUE":
             df = mark_repeated(df, [rule.column], marker, always_split)
             test = F.col(marker)
         elif test is None and rule.kind == "REF_INTEGRITY" and rule.ref_table in references:

@@ -2,152 +2,119 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessera.layout import Layout, Version, commit, current_version, new_directory, read_table
+from tessera import layout as lake
+from tessera.layout import LOAD, ROWS, WHOLE, Layout, load_name, read_table, table_exists
 from tessera.operators import drift
 
-ROWS = "__rows"
 
+def overwrite(df: DataFrame, layout: Layout, metrics: dict[str, Column] | None = None, load: str = WHOLE, keep_if_empty: bool = False) -> dict:
+    """Replace rows and columns; returns the observed metrics. ``df`` may be read from the table itself.
+
+    The new rows are one load, the partitions of all others are dropped after the write. With
+    ``keep_if_empty`` a frame without rows changes nothing.
+    """
+    spark = df.sparkSession
+    if not table_exists(spark, layout):
+        lake.create(spark, layout, df.schema)
+    elif not _same_columns(df.schema, lake.fields(spark, layout)) or lake.partition_columns(spark, layout) != [LOAD]:
+        rows = df.select("*", F.lit(load).alias(LOAD))
+        if keep_if_empty and rows.isEmpty():
+            return {ROWS: 0, **dict.fromkeys(metrics or {})}
+        observed = df.agg(*[e.alias(n) for n, e in (metrics or {}).items()]).first().asDict() if metrics else {}
+        return {ROWS: lake.replace_table(spark, layout, rows), **observed}
+    observed = lake.insert(df.select("*", F.lit(load).alias(LOAD)), layout, metrics)
+    if observed[ROWS] or not keep_if_empty:
+        gone = [p for p in lake.partitions(spark, layout) if p[LOAD] != load or not observed[ROWS]]
+        lake.drop_partitions(spark, layout, gone)
+    return observed
 
-def write_directory(
-    df: DataFrame,
-    path: str,
-    metrics: dict[str, Column] | None = None,
-    rows_per_file: int | None = None,
-) -> dict:
-    """Write one data directory and return its observed metrics, the row count among them."""
-    seen = Observation()
-    columns = {ROWS: F.count(F.lit(1)), **(metrics or {})}
-    writer = df.observe(seen, *[e.alias(n) for n, e in columns.items()]).write.mode("errorifexists")
-    if rows_per_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
-    writer.parquet(path)
-    return seen.get
-
-
-def overwrite(df: DataFrame, layout: Layout, rows_per_file: int | None = None) -> int:
-    """Replace data and schema; returns the rows written."""
-    directory = new_directory(layout)
-    observed = write_directory(df, directory, rows_per_file=rows_per_file)
-    commit(df.sparkSession, layout, lambda _: Version((directory,), df.schema))
-    return observed[ROWS]
+
+def _same_columns(a: StructType, b: StructType) -> bool:
+    return {f.name: f.dataType.simpleString() for f in a.fields} == {f.name: f.dataType.simpleString() for f in b.fields}
 
 
 def append(
     df: DataFrame,
     layout: Layout,
     metrics: dict[str, Column] | None = None,
+    load: str | None = None,
     batch: tuple[str, int] | None = None,
+    partitioned: tuple[str, ...] = (),
 ) -> dict:
-    """Append rows; new columns join the schema, narrower types are widened.
+    """Add a load; new columns join the table, narrower types are widened. Returns the observed metrics.
 
-    Nothing is committed for an empty frame. ``batch`` is a (writer, number) pair: a number already
-    applied is skipped, which makes repeated streaming batches harmless.
+    A load that the table already has is replaced, so repeated runs and repeated batches of a stream add
+    nothing twice. ``batch`` is a (writer, number) pair that names the load; without a name the load is new.
     """
     spark = df.sparkSession
-    version = current_version(spark, layout)
-    if version and batch and version.batches.get(batch[0], -1) >= batch[1]:
-        return {ROWS: 0}
-    schema = drift.merged_schema(df.schema, version.schema) if version else df.schema
-    directory = new_directory(layout)
-    observed = write_directory(drift.conform(df, schema), directory, metrics)
-    if observed[ROWS] == 0 and version is not None:
-        return observed
-    add_directory(spark, layout, directory, df.schema, batch)
+    name = load_name(*batch) if batch else load_name(load) if load else uuid.uuid4().hex
+    if table_exists(spark, layout):
+        lake.evolve(spark, layout, StructType([f for f in df.schema.fields if f.name not in partitioned]))
+    else:
+        lake.create(spark, layout, df.schema, partitioned)
+    wanted = StructType([*lake.fields(spark, layout).fields, *[f for f in df.schema.fields if f.name in partitioned]])
+    before = [p for p in lake.partitions(spark, layout) if p[LOAD] == name]
+    if before and partitioned:  # one entry per partition
+        metrics = {**(metrics or {}), "__brought": F.collect_set(F.struct(*[F.col(c).cast("string") for c in partitioned]))}
+    observed = lake.insert(drift.conform(df, wanted).withColumn(LOAD, F.lit(name)), layout, metrics)
+    # Partitions that the load had before and has no longer.
+    now = {tuple(r) for r in observed.pop("__brought", [()] if observed[ROWS] else [])}
+    lake.drop_partitions(spark, layout, [p for p in before if tuple(p[c] for c in partitioned) not in now])
     return observed
 
 
-def add_directory(
-    spark: SparkSession, layout: Layout, directory: str, schema: StructType, batch: tuple[str, int] | None = None
-) -> None:
-    """Make a written directory part of the table, on whatever version is the newest then."""
-
-    def change(present: Version | None) -> Version | None:
-        if present is None:
-            return Version((directory,), schema, dict([batch]) if batch else {})
-        if batch and present.batches.get(batch[0], -1) >= batch[1]:
-            return None
-        merged = drift.merged_schema(schema, present.schema)
-        return Version((*present.dirs, directory), merged, {**present.batches, **(dict([batch]) if batch else {})})
-
-    commit(spark, layout, change)
-
-
 def rewrite(
     spark: SparkSession,
     layout: Layout,
     transform: Callable[[DataFrame], DataFrame],
-    rows_per_file: int | None = None,
-    only: list[str] | None = None,
-    drop: list[str] = (),
+    only: list[dict[str, str]] | None = None,
 ) -> int:
-    """Rewrite data directories through ``transform`` as a new version; returns the rows written.
+    """Rewrite partitions through ``transform``, by default all; returns the rows written.
 
-    ``only`` names the directories to rewrite, by default all; ``drop`` those to leave out. All others
-    are taken over as they are. Partition folders stay apart, and the numbers of applied batches stay
-    known.
+    ``transform`` gets and returns rows with their partition columns. Partitions of which it leaves nothing
+    are dropped. All others stay as they are, those added meanwhile included.
     """
-    version = current_version(spark, layout)
-    chosen = [d for d in version.dirs if only is None or d in only]
-    groups: dict[str, list[str]] = {}
-    for path in chosen:
-        tail = path.rsplit("/", 1)[-1]
-        groups.setdefault(f"/{tail}" if "=" in tail else "", []).append(path)
-    directory, rows, written = new_directory(layout), 0, []
-    for part, dirs in groups.items():
-        df = transform(spark.read.schema(version.schema).parquet(*dirs))
-        rows += write_directory(df, directory + part, rows_per_file=rows_per_file)[ROWS]
-        written.append(directory + part)
-    replaced = {*chosen, *drop}
-
-    def change(present: Version | None) -> Version:
-        if present is None or not replaced <= set(present.dirs):
-            raise RuntimeError(f"{layout.path}: rewritten by another writer meanwhile")
-        kept = [d for d in present.dirs if d not in replaced]
-        return Version((*kept, *written), present.schema, present.batches)
-
-    commit(spark, layout, change)
-    return rows
+    chosen = lake.partitions(spark, layout) if only is None else only
+    if not chosen:
+        return 0
+    columns = lake.partition_columns(spark, layout)
+    rows = transform(lake.read_whole(spark, layout).where(lake.matching(chosen)))
+    key = F.struct(*[F.col(c).cast("string") for c in columns])
+    observed = lake.insert(rows, layout, {"left": F.collect_set(key)})  # one entry per partition
+    left = {tuple(k) for k in observed["left"]}
+    lake.drop_partitions(spark, layout, [p for p in chosen if tuple(p[c] for c in columns) not in left])
+    return observed[ROWS]
 
 
-def register(spark: SparkSession, layout: Layout, name: str) -> None:
-    """Catalog entry over the current version, created if absent and moved to the version otherwise.
+def merge_loads(spark: SparkSession, layout: Layout, names: list[str], into: str) -> int:
+    """Put loads together into one new load, for tables of many small ones; returns its rows.
 
-    A table of one directory becomes an external table, any other a view over its directories.
+    The merged loads are over: running them again would add their rows a second time.
     """
-    version = current_version(spark, layout)
-    if version is None:
-        raise FileNotFoundError(f"no table at {layout.path}")
-    kind = spark.catalog.getTable(name).tableType if spark.catalog.tableExists(name) else None
-    if len(version.dirs) == 1:
-        if kind == "VIEW":
-            spark.sql(f"DROP VIEW {name}")
-        if kind in (None, "VIEW"):
-            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{version.dirs[0]}'")
-        else:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{version.dirs[0]}'")
-            spark.catalog.refreshTable(name)
-        return
-    if kind not in (None, "VIEW"):
-        spark.sql(f"DROP TABLE {name}")  # external: the files stay
-    parts = [_select_all(version.schema, spark.read.parquet(d).columns, d) for d in version.dirs]
-    parts = parts or [_select_all(version.schema, [], None)]
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {' UNION ALL '.join(parts)}")
-
-
-def _select_all(schema: StructType, present: list[str], directory: str | None) -> str:
-    """The columns of a schema from one directory, null where it lacks one; no rows without a directory."""
-    columns = [
-        f"CAST({f'`{f.name}`' if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
-        for f in schema.fields
-    ]
-    return f"SELECT {', '.join(columns)} " + (f"FROM parquet.`{directory}`" if directory else "WHERE FALSE")
+    if into in lake.loads(spark, layout):
+        raise ValueError(f"{layout.path}: there is a load {into}")
+    gone = [p for p in lake.partitions(spark, layout) if p[LOAD] in names]
+    if not gone:
+        return 0
+    merged = lake.read_whole(spark, layout).where(lake.matching(gone)).withColumn(LOAD, F.lit(load_name(into)))
+    rows = lake.insert(merged.coalesce(max(1, merged.rdd.getNumPartitions() // len(names))), layout)[ROWS]
+    lake.drop_partitions(spark, layout, gone)
+    return rows
+
+
+def register(spark: SparkSession, layout: Layout, name: str) -> None:
+    """A view of the table's rows under a name of the catalog's current database; made anew where it exists."""
+    lake.require(spark, layout)
+    columns = ", ".join(f"`{f.name}`" for f in lake.fields(spark, layout).fields)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {layout.name}")
 
 
 def fingerprint(df: DataFrame, table: str, side: str) -> DataFrame:
@@ -163,7 +130,7 @@ def backup(spark: SparkSession, tables: list[Layout], backup_base: str) -> DataF
     sides = []
     for source in tables:
         copy = source.sibling(base=backup_base)
-        if current_version(spark, copy) is None:
+        if not table_exists(spark, copy):
             overwrite(read_table(spark, source), copy)
         sides.append(fingerprint(read_table(spark, source), source.table, "source"))
         sides.append(fingerprint(read_table(spark, copy), source.table, "copy"))

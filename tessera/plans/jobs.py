@@ -13,27 +13,15 @@ from dataclasses import asdict, dataclass, replace
 from datetime import datetime, timedelta
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera.config import Entity, Model, Rule, Transformation
 from tessera.functions.columns import as_time, watermark_text
-from tessera.layout import (
-    Layout,
-    Version,
-    bronze,
-    commit,
-    current_version,
-    gold,
-    new_directory,
-    quarantine,
-    read_table,
-    silver,
-    table_exists,
-    marked,
-    unseen,
-)
-from tessera.operators import audit, drift, history, maintain, profile, quality, sinks
+from tessera import layout as lake
+from tessera.layout import LOAD, ROWS, Layout, bronze, gold, load_name, loads, quarantine, read_table, silver, table_exists
+from tessera.operators import audit, drift, history, key_counts, maintain, profile, quality, sinks
 from tessera.operators import gold as models
 from tessera.operators import silver as transforms
 from tessera.sources import readers
@@ -78,8 +66,9 @@ def load_entity(
 ) -> LoadResult:
     """Read, tag, reconcile the schema, write once, advance the watermark.
 
-    FULL replaces the table; every other load type appends what lies above the last position. Row
-    count and next watermark are observed on the write, so the source is read once.
+    FULL replaces the table; every other load type adds what lies above the last position, as the load of
+    this run: a repeated run replaces what it brought. Row count and next watermark are observed on the
+    write, so the source is read once.
     """
     source = readers.read_entity(spark, entity) if rows is None else rows
     column = "__$start_lsn" if entity.load_type == "CDC" else entity.watermark_column
@@ -103,13 +92,10 @@ def load_entity(
     target = read_table(spark, layout) if table_exists(spark, layout) else None
     checked, _ = drift.handle(tagged, target, entity.drift_strategy)
     if entity.load_type == "FULL":
-        directory = new_directory(layout)
-        observed = sinks.write_directory(checked, directory, metrics)
-        if observed[sinks.ROWS]:
-            commit(spark, layout, lambda _: Version((directory,), checked.schema))
+        observed = sinks.overwrite(checked, layout, metrics, load_name(run_id), keep_if_empty=True)
     else:
-        observed = sinks.append(checked, layout, metrics)
-    count = observed[sinks.ROWS]
+        observed = sinks.append(checked, layout, metrics, run_id)
+    count = observed[ROWS]
     after = observed.get("watermark") or entity.last_watermark
     return LoadResult(entity.entity_id, entity.name, "SUCCEEDED", count, count, after)
 
@@ -160,60 +146,101 @@ def job_quality(
     run_id: str,
     as_of,
     references: dict[str, DataFrame] | None = None,
+    redo: Iterable[str] = (),
 ) -> DataFrame:
-    """Evaluate rules, keep the results, split good from bad rows in one write, and report."""
     """Evaluate rules on what arrived since the last run, keep the results, split good from bad rows.
 
-    Only directories of the bronze table that no run has checked are read. Good rows are appended to the
-    checked table, bad ones with ``SourceTable`` and ``QuarantineTime`` to the quarantine, in one write; a
-    repeated run finds nothing new and adds nothing. Where the bronze table was replaced or rewritten,
-    the checked table is too, and of its rows those of this run go to the quarantine.
+    Only loads of the bronze table that are not checked yet, or named by ``redo``, are read. Good rows go to the
+    checked table and bad ones with ``SourceTable`` and ``QuarantineTime`` to the quarantine, each as the load
+    it came with, so repeating a run adds nothing. Loads that the bronze table holds no longer leave the checked
+    table.
+
+    Unique rules hold over all loads: counts of keys are kept per column (``key_counts``). Rows and failures of
+    such a rule are those of the whole table, and earlier rows whose key is repeated by a new load move from
+    the checked table to the quarantine; ``requarantined_count`` tells how many.
     """
-    target = checked_layout(base, table)
-    df, marks, anew = unseen(spark, bronze(base, table), target)
-    results = spark.createDataFrame(
-        quality.evaluate(df, rules, references).collect(),  # one row per rule
-        quality.evaluate(df.limit(0), [], {}).schema,
-    )
+    source, target, rejected = bronze(base, table), checked_layout(base, table), quarantine(base, table)
+    lake.require(spark, source)
+    present, checked_loads = loads(spark, source), loads(spark, target)
+    done = {*checked_loads, *loads(spark, rejected)} - set(redo)
+    fresh = [x for x in present if x not in done]
+    gone = [x for x in checked_loads if x not in present]
+    df = lake.read_whole(spark, source).where(F.col(LOAD).isin(fresh)) if fresh else lake.read_whole(spark, source).limit(0)
+
+    unique = [r for r in rules if r.kind == "UNIQUE"]
+    found = {c: key_counts.deliver(df, c, base, table, present) for c in dict.fromkeys(r.column for r in unique)}
+    counted = {r.rule_id: (r, found[r.column].rows, found[r.column].keys) for r in unique}
+    rest = quality.evaluate(df.drop(LOAD), [r for r in rules if r.kind != "UNIQUE"], references)
+    results = rest.unionByName(quality.unique_results(spark, counted)) if unique else rest
+    results = spark.createDataFrame(results.collect(), results.schema)  # one row per rule
     sinks.append(
-        quality.results_table(results, f"{run_id}-{table}", as_of), Layout(base, "system", "dq", "results")
+        quality.results_table(results, f"{run_id}-{table}", as_of),
+        Layout(base, "system", "dq", "results"),
+        load=load_name(run_id, table),
     )
-    checked = quality.failed_rules(df, rules, references).withColumns(
-        {"SourceTable": F.lit(f"bronze.{table}"), "QuarantineTime": as_time(as_of)}
-    )
-    known = F.lit(False)
-    if anew and "_bronze_run_id" in df.columns:
-        known = F.coalesce(F.col("_bronze_run_id") != run_id, F.lit(False))
-    good, bad, counts = _split(checked, target, known)
-    if counts["bad"]:
-        sinks.add_directory(spark, quarantine(base, table), bad, checked.schema)
-
-    def change(present: Version | None) -> Version:
-        added = (good,) if counts["good"] else ()
-        if present is None or anew:
-            return marked(Version(added, df.schema), marks)
-        schema = drift.merged_schema(df.schema, present.schema)
-        return marked(Version((*present.dirs, *added), schema, present.batches), marks)
-
-    commit(spark, target, change)
+
+    stamp = {"SourceTable": F.lit(f"bronze.{table}"), "QuarantineTime": as_time(as_of)}
+    repeated = {c: f.repeated for c, f in found.items()}
+    checked = quality.failed_rules(df, rules, references, repeated=repeated)
+    clean = F.size("_dq_failed_rules") == 0
+    good, bad = checked.where(clean).drop("_dq_failed_rules"), checked.where(~clean).withColumns(stamp)
+    _make_room(spark, target, good.drop(LOAD), [*gone, *fresh])
+    _make_room(spark, rejected, bad.drop(LOAD), fresh)
+    moved = _requarantine(spark, target, rejected, unique, found, fresh, stamp)
+    _insert(good, target)
+    count = _insert(bad, rejected)
     return quality.status(results).select(
-        F.lit(table).alias("table_name"), "*", F.lit(counts["bad"]).cast("long").alias("quarantine_count")
+        F.lit(table).alias("table_name"),
+        "*",
+        F.lit(count).cast("long").alias("quarantine_count"),
+        F.lit(moved).cast("long").alias("requarantined_count"),
     )
 
 
-def _split(checked: DataFrame, layout: Layout, known: Column) -> tuple[str, str, dict]:
-    """Good and bad rows written side by side in one job; bad ones that are ``known`` stay apart, uncounted."""
-    clean = F.size("_dq_failed_rules") == 0
-    bad = ~clean & ~known
-    seen = Observation()
-    directory = new_directory(layout)
-    (
-        checked.withColumn("__part", F.when(clean, "good").when(bad, "bad").otherwise("known"))
-        .observe(seen, F.count_if(clean).alias("good"), F.count_if(bad).alias("bad"))
-        .write.partitionBy("__part")
-        .parquet(directory)
-    )
-    return f"{directory}/__part=good", f"{directory}/__part=bad", seen.get
+def _make_room(spark: SparkSession, layout: Layout, rows: DataFrame, replaced: list[str]) -> None:
+    """A table with the columns of ``rows`` and without the loads that are replaced."""
+    if not table_exists(spark, layout):
+        lake.create(spark, layout, rows.schema)
+        return
+    lake.evolve(spark, layout, rows.schema)
+    lake.drop_partitions(spark, layout, [p for p in lake.partitions(spark, layout) if p[LOAD] in replaced])
+
+
+def _insert(rows: DataFrame, layout: Layout) -> int:
+    """Rows that bring their loads with them."""
+    spark = rows.sparkSession
+    wanted = StructType([*lake.fields(spark, layout).fields, rows.schema[LOAD]])
+    return lake.insert(drift.conform(rows, wanted), layout)[ROWS]
+
+
+def _requarantine(
+    spark: SparkSession,
+    target: Layout,
+    rejected: Layout,
+    unique: list[Rule],
+    found: dict[str, key_counts.Found],
+    fresh: list[str],
+    stamp: dict[str, Column],
+) -> int:
+    """Move checked rows of earlier loads whose key is repeated now; only the loads that hold such rows are read."""
+    held = set(loads(spark, target)) - set(fresh)
+    hit = sorted(held & {x for r in unique if r.quarantine for x in found[r.column].loads})
+    if not hit:
+        return 0
+    old = lake.read_whole(spark, target).where(F.col(LOAD).isin(hit))
+    marked = quality.failed_rules(old, unique, repeated={c: f.repeated for c, f in found.items()})
+    moved = marked.where(F.size("_dq_failed_rules") > 0).withColumns(stamp)
+    before = lake.read_whole(spark, rejected).where(F.col(LOAD).isin(hit))
+    wanted = lake.read_whole(spark, rejected).schema
+    both = before.withColumn("__moved", F.lit(False)).unionByName(drift.conform(moved, wanted).withColumn("__moved", F.lit(True)))
+    rows = lake.insert(both, rejected, {"moved": F.count_if("__moved")})["moved"]
+
+    def rest(df: DataFrame) -> DataFrame:
+        kept = quality.failed_rules(df, unique, repeated={c: f.repeated for c, f in found.items()})
+        return kept.where(F.size("_dq_failed_rules") == 0).drop("_dq_failed_rules")
+
+    sinks.rewrite(spark, target, rest, [{LOAD: x} for x in hit])
+    return rows
 
 
 # --- silver ----------------------------------------------------------------------------------------
@@ -230,14 +257,16 @@ def transform_table(
 ) -> tuple[int, int]:
     """Run one transformation and write its result; returns the rows read and written.
 
-    A history merges the rows that arrived since its last merge. Other results depend on all rows, as a
-    latest row per key does, and are made anew.
+    A history merges the loads that it has not taken yet, and that of this run. Other results depend on all
+    rows, as a latest row per key does, and are made anew.
     """
     if transformation.kind == "SCD2":
-        df, marks, _ = unseen(spark, source, target)
-        read = df.count()
-        if read == 0:
+        taken = set(taken_loads(spark, target)) - {load_name(run_id)}
+        new = [x for x in loads(spark, source) if x not in taken]
+        if not new:
             return 0, 0
+        df = lake.read_whole(spark, source).where(F.col(LOAD).isin(new)).drop(LOAD)
+        read = df.count()
         order = [F.col(transforms.INGESTED).desc()] if transforms.INGESTED in df.columns else []
         counts = history.merge_into(
             df,
@@ -247,8 +276,9 @@ def transform_table(
             as_of,
             order,
             transforms.scd_names(transformation.logic),
-            marks=marks,
         )
+        taken_rows = spark.createDataFrame([(target.name, x) for x in new], "target string, source_load string")
+        sinks.append(taken_rows.coalesce(1), taken_layout(target.base), load=load_name(target.short_name, run_id))
         return read, counts["current"] + counts["closed"]
     df = read_table(spark, source)
     read = df.count()
@@ -256,7 +286,19 @@ def transform_table(
         return 0, 0
     entity_run = f"{run_id}-{transformation.entity_id}"
     result = transforms.dispatch(df, transformation, references, run_id, entity_run, as_of)
-    return read, sinks.overwrite(result, target)
+    return read, sinks.overwrite(result, target)[ROWS]
+
+
+def taken_layout(base: str) -> Layout:
+    """The loads that each history has merged."""
+    return Layout(base, "system", "loads", "taken")
+
+
+def taken_loads(spark: SparkSession, target: Layout) -> list[str]:
+    if not table_exists(spark, target) or not table_exists(spark, taken_layout(target.base)):
+        return []
+    rows = read_table(spark, taken_layout(target.base)).where(F.col("target") == target.name)
+    return [r["source_load"] for r in rows.select("source_load").distinct().collect()]  # one row per load
 
 
 def job_silver(
@@ -297,10 +339,7 @@ def job_silver(
 
 def _current_only(spark: SparkSession, layout: Layout) -> DataFrame:
     """A silver or gold table; of a stored history only the current rows, as models use no others."""
-    version = current_version(spark, layout)
-    if version and any(d.endswith("__part=current") for d in version.dirs):
-        return history.read_current(spark, layout)
-    return read_table(spark, layout)
+    return history.read_current(spark, layout) if history.is_history(spark, layout) else read_table(spark, layout)
 
 
 def build_all(spark: SparkSession, configured: list[Model], base: str, run_id: str, as_of) -> DataFrame:
@@ -314,7 +353,7 @@ def build_all(spark: SparkSession, configured: list[Model], base: str, run_id: s
                 )
                 for name in model.sources
             }
-            rows = sinks.overwrite(models.build(sources, model, run_id, as_of), gold(base, model.name))
+            rows = sinks.overwrite(models.build(sources, model, run_id, as_of), gold(base, model.name))[ROWS]
             results.append((model.name, model.kind, "SUCCEEDED", rows, None))
         except Exception as e:  # recorded; the other models go on
             results.append((model.name, model.kind, "FAILED", 0, str(e)))
@@ -352,7 +391,7 @@ def job_profile(
         df = read_table(spark, layout)
         found = profile.sampled(df, *sample) if sample else profile.full(df)
         rows = profile.stamped(found.drop("table_rows"), layout.layer, layout.schema, layout.table, as_of)
-        written.append((layout.table, sinks.append(rows, target)[sinks.ROWS]))
+        written.append((layout.table, sinks.append(rows, target, load=load_name(layout.short_name, as_of))[ROWS]))
     return spark.createDataFrame(written, "table_name string, columns_profiled long")
 
 
@@ -380,7 +419,7 @@ def job_drift(
             status = "REJECTED"
         if found.kind:
             log = Layout(base, "system", "drift", "schema_drift_log")
-            sinks.append(drift.log_entry(spark, entity, found, as_of), log)
+            sinks.append(drift.log_entry(spark, entity, found, as_of).coalesce(1), log)
         counts = (len(found.added), len(found.removed), len(found.retyped))
         results.append((entity, layout.table, status, found.kind, *counts))
     schema = (
@@ -496,7 +535,8 @@ def run_entity(
     rejected = 0
     schema = "raw"
     if rules:
-        report = job_quality(spark, table, rules, base, run_id, as_of, references).first()
+        again = (load_name(run_id),) if loaded.rows_read else ()
+        report = job_quality(spark, table, rules, base, run_id, as_of, references, again).first()
         rejected, schema = report["quarantine_count"], "checked"
     for transformation, target in sorted(steps, key=lambda s: s[0].transformation_id):
         transform_table(
@@ -561,5 +601,5 @@ def job_medallion(
     done = sum(e[6] == "SUCCEEDED" for e in events)
     status = "SUCCEEDED" if not failed else "PARTIAL" if done else "FAILED"
     report = spark.createDataFrame([whole, *events, end(whole, status)], RUN_EVENTS)
-    sinks.append(report, run_events_layout(base))
+    sinks.append(report.coalesce(1), run_events_layout(base), load=run_id)
     return report

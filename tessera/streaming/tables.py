@@ -1,4 +1,4 @@
-"""Writing streams to lake tables. Batches are numbered, and a number already applied is skipped."""
+"""Writing streams to lake tables. Every batch is a load, named by stream and number; repeated, it replaces itself."""
 
 from __future__ import annotations
 
@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.functions.columns import all_of
-from tessera.layout import Layout, read_table
+from tessera import layout as lake
+from tessera.layout import LOAD, Layout, read_table, table_exists
 from tessera.operators import dedup, scd, sinks
 
 BATCH = "_batch_id"
+#: Partition column of rows that are kept by day.
+DAY = f"{lake.OWN}day"
 
 
 def _start(stream: DataFrame, apply, checkpoint: str, mode: str, available_now: bool) -> StreamingQuery:
@@ -34,7 +36,7 @@ def append_table(
     def apply(rows: DataFrame, number: int) -> None:
         observed = sinks.append(rows, layout, batch=(checkpoint, number))
         if on_rows is not None:
-            on_rows(observed[sinks.ROWS])
+            on_rows(observed[lake.ROWS])
 
     return _start(stream, apply, checkpoint, "append", available_now)
 
@@ -71,29 +73,54 @@ def rollup_table(
     """A windowed rollup kept exactly, whatever order rows arrive in.
 
     Each batch appends its cleaned rows to ``kept``, finds the keys and windows that they touch, computes
-    these again from all kept rows with the batch function, and upserts them into ``target``. So late
-    rows count, distinct counts are exact, and the stream has every column that the batch form has.
-    ``keys`` are the rollup's keys, its ``window`` column among them. ``touched`` gives the touched keys of
-    new rows where the rollup itself leaves some out, as an alert with a limit does.
+    these again from the kept rows of just those with the batch function, and upserts them into ``target``. So
+    late rows count, distinct counts are exact, and the stream has every column that the batch form has.
+    ``kept`` is partitioned by day: only days that touched windows reach into are read, and of them the rows of
+    touched keys and windows go into the aggregate.
+    ``keys`` are the rollup's keys, its ``window`` column among them, and windows of ``width`` follow each other
+    without overlap. ``touched`` gives the touched keys of new rows where the rollup itself leaves some out,
+    as an alert with a limit does.
     """
+    others = [k for k in keys if k != window]
 
     def apply(rows: DataFrame, number: int) -> None:
         batch = (checkpoint, number)
-        sinks.append(rows, kept, batch=batch)
+        day = F.coalesce(F.to_date(time), F.lit("0001-01-01").cast("date"))
+        sinks.append(rows.withColumn(DAY, day), kept, batch=batch, partitioned=(DAY,))
         hit = (touched or rollup)(rows).select(*keys).distinct()
-        low, high = hit.agg(F.min(window), F.max(window)).first()
-        if low is None:
-            return
-        near = F.col(time) < F.lit(high) + F.expr(f"INTERVAL {width}")
-        again = rollup(read_table(rows.sparkSession, kept).where((F.col(time) >= F.lit(low)) & near))
-        named = hit.select(*[F.col(k).alias(f"__{k}") for k in keys])
-        same = all_of([F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
-        changed = again.join(named, same, "left_semi").withColumn(BATCH, F.lit(number).cast("long"))
-        sinks.append(changed, target, batch=batch)
+        again = touched_rows(rows.sparkSession, kept, hit, others, window, width, time)
+        if again is not None:
+            sinks.append(rollup(again).withColumn(BATCH, F.lit(number).cast("long")), target, batch=batch)
 
     return _start(cleaned, apply, checkpoint, "append", available_now)
 
 
+def touched_rows(
+    spark: SparkSession, kept: Layout, hit: DataFrame, others: list[str], window: str, width: str, time: str
+) -> DataFrame | None:
+    """The kept rows of the keys and windows in ``hit``; None where it is empty.
+
+    The days that the windows reach into are collected, one value per day, and prune the partitions read.
+    """
+    end = F.col(window) + F.expr(f"INTERVAL {width}") - F.expr("INTERVAL 1 MICROSECOND")
+    reached = F.explode(F.sequence(F.to_date(window), F.to_date(end))).alias("day")
+    days = sorted(r["day"] for r in hit.select(window).distinct().select(reached).distinct().collect() if r["day"])
+    if not days:
+        return None
+    rows = read_whole_days(spark, kept, days)
+    named = hit.select(*[F.col(k).alias(f"__{k}") for k in others], F.col(window).alias("__window"))
+    rows = rows.withColumn("__start", F.window(F.col(time), width)["start"].cast("timestamp_ntz"))
+    same = F.col("__start") == F.col("__window").cast("timestamp_ntz")
+    for k in others:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return rows.join(named, same, "left_semi").drop("__start")
+
+
+def read_whole_days(spark: SparkSession, kept: Layout, days: list) -> DataFrame:
+    """The rows of some days of a table that is partitioned by day."""
+    return lake.read_whole(spark, kept).where(F.col(DAY).isin(days)).drop(DAY, LOAD)
+
+
 def latest_upserts(rows: DataFrame, keys: list[str]) -> DataFrame:
     return dedup.latest(rows, keys, [F.col(BATCH).desc()], [])
 
@@ -104,8 +131,11 @@ def read_upserted(spark: SparkSession, layout: Layout, keys: list[str]) -> DataF
 
 
 def fold_upserts(spark: SparkSession, layout: Layout, keys: list[str]) -> int:
-    """Rewrite an upsert table to one row per key, keeping the numbers of the applied batches."""
-    return sinks.rewrite(spark, layout, lambda rows: latest_upserts(rows, keys))
+    """Rewrite an upsert table to one row per key; returns the rows written.
+
+    Rows keep the numbers of their batches, so a batch that is repeated later changes nothing.
+    """
+    return sinks.overwrite(latest_upserts(read_table(spark, layout), keys), layout)[lake.ROWS]
 
 
 def change_table(
@@ -134,7 +164,7 @@ def read_history(
 
 def fold_history(spark: SparkSession, layout: Layout, target: Layout, keys: list[str], tracked: list[str], time: str, **how) -> int:
     """Write the history of a change log to its own table; returns the versions written."""
-    return sinks.overwrite(read_history(spark, layout, keys, tracked, time, **how), target)
+    return sinks.overwrite(read_history(spark, layout, keys, tracked, time, **how), target)[lake.ROWS]
 
 
 def late_rows(query: StreamingQuery) -> int:

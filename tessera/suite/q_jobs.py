@@ -65,7 +65,7 @@ def job_quality(spark, sf_dir):
     def rows(layout):
         return read_table(spark, layout).agg(F.count(F.lit(1))).scalar()
 
-    return report.withColumns(
+    return report.drop("requarantined_count").withColumns(
         {
             "checked_rows": rows(jobs.checked_layout(base, "customers")),
             "quarantine_rows": rows(jobs.quarantine(base, "customers")),
@@ -328,3 +328,34 @@ def job_medallion_controlled(spark, sf_dir):
     return runs.select(
         F.col("PipelineRunId").alias("RunId"), "EntityName", "Status", "RowsRead", "RowsWritten", "WatermarkBefore", "WatermarkAfter"
     )
+
+
+@query(
+    "job_quality_deliveries",
+    """WITH d AS (SELECT 'run-1' AS RunId, o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0
+                  UNION ALL SELECT 'run-2', o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 7 = 1),
+            n AS (SELECT *, count(*) OVER (PARTITION BY o_orderkey) AS held FROM d),
+            c AS (SELECT *, held = 1 AND o_totalprice >= 1000 AS ok FROM n)
+       SELECT CASE WHEN ok THEN 'checked' ELSE 'quarantine' END AS Part, RunId, count(*) AS Rows, sum(o_orderkey)::BIGINT AS Keys
+       FROM c GROUP BY ALL
+       UNION ALL SELECT 'unique rule', RunId, rows, rows - keys FROM (
+            SELECT 'run-1' AS RunId, count(*) AS rows, count(DISTINCT o_orderkey) AS keys FROM d WHERE RunId = 'run-1'
+            UNION ALL SELECT 'run-2', count(*), count(DISTINCT o_orderkey) FROM d)""",
+)
+def job_quality_deliveries(spark, sf_dir):
+    """Keys that come again in a later delivery break a unique rule with all their rows, the earlier ones too."""
+    base = scratch(spark, "lake")
+    rules = [Rule(1, "key once", "UNIQUE", "o_orderkey", "CRITICAL", True), Rule(2, "dear", "RANGE", "o_totalprice", "ERROR", True, 1000)]
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    key = F.col("o_orderkey")
+    for run, test in (("run-1", key % 3 != 0), ("run-2", (key % 3 == 0) | (key % 7 == 1))):
+        sinks.append(orders.where(test).withColumn("RunId", F.lit(run)), bronze(base, "orders"), load=run)
+        jobs.job_quality(spark, "orders", rules, base, run, AS_OF)
+    found = []
+    for part, layout in (("checked", jobs.checked_layout(base, "orders")), ("quarantine", jobs.quarantine(base, "orders"))):
+        counts = read_table(spark, layout).groupBy("RunId").agg(F.count(F.lit(1)).alias("Rows"), F.sum("o_orderkey").alias("Keys"))
+        found.append(counts.select(F.lit(part).alias("Part"), "RunId", "Rows", "Keys"))
+    results = read_table(spark, Layout(base, "system", "dq", "results")).where("RuleId = 1")
+    run = F.regexp_replace("EntityRunId", "-orders$", "").alias("RunId")
+    found.append(results.select(F.lit("unique rule").alias("Part"), run, F.col("TotalRows").alias("Rows"), F.col("FailedRows").alias("Keys")))
+    return found[0].unionByName(found[1]).unionByName(found[2])

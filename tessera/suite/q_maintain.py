@@ -72,6 +72,31 @@ def maint_cluster_rewrite(spark, sf_dir):
     return read_table(spark, layout)
 
 
+@query(
+    "maint_cluster_skip",
+    """SELECT 'curve' AS layout, count(*) AS held, TRUE AS skips_on_first, TRUE AS skips_on_second FROM lineitem
+       UNION ALL SELECT 'sorted', count(*), TRUE, FALSE FROM lineitem""",
+)
+def maint_cluster_skip(spark, sf_dir):
+    """Whether at most half of the files are read for one value of the first, and of the second, clustering column."""
+    base, found = scratch(spark, "lake"), []
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
+    middle = rows.agg(*[F.percentile_approx(c, 0.4).alias(c) for c in ("l_shipdate", "l_partkey")]).first()
+    for name, curve in (("curve", True), ("sorted", False)):
+        layout = bronze(base, f"lineitem_{name}")
+        sinks.overwrite(rows, layout)
+        maintain.cluster_table(spark, layout, ["l_shipdate", "l_partkey"], 16, curve)
+        ranges = maintain.file_ranges(spark, layout, ["l_shipdate", "l_partkey"])
+
+        def skips(c, all_files=ranges):
+            hit = (F.col(f"min_{c}") <= F.lit(middle[c])) & (F.col(f"max_{c}") >= F.lit(middle[c]))
+            return all_files.agg((F.count_if(hit) * 2 <= F.count(F.lit(1)))).scalar()
+
+        held = read_table(spark, layout).agg(F.count(F.lit(1))).scalar()
+        found.append(spark.range(1).select(F.lit(name).alias("layout"), held.alias("held"), skips("l_shipdate").alias("skips_on_first"), skips("l_partkey").alias("skips_on_second")))
+    return found[0].unionByName(found[1])
+
+
 @query(
     "maint_retention",
     sql("SELECT CustomerID, Segment, _bronze_ingestion_timestamp FROM customers_twice WHERE _bronze_ingestion_timestamp >= TIMESTAMP '2024-01-15'", "customers_twice"),

@@ -130,6 +130,54 @@ def test_quality_and_history_take_what_arrived_since(spark, base, tmp_path):
     assert read_table(spark, jobs.checked_layout(base, "people")).count() == 7
 
 
+def test_unique_rules_hold_over_all_deliveries(spark, base):
+    """After every delivery the tables are what one evaluation of the whole table gives; repetitions change nothing."""
+    from tessera.operators import key_counts, quality, sinks
+
+    rules = [Rule(1, "one", "UNIQUE", "id", "CRITICAL"), Rule(2, "named", "NOT_NULL", "name", "ERROR", True)]
+    rules = [Rule(*[getattr(r, f) for f in ("rule_id", "name", "kind", "column", "severity")], True) for r in rules]
+    deliveries = [[(1, "a"), (2, "b"), (3, None), (None, "n")], [(2, "c"), (4, "d"), (5, "e"), (5, "f")], [(6, "g")], [(6, "h"), (2, "i"), (None, "m"), (1, "a")]]
+    raw, gone = bronze(base, "things"), []
+    for i, rows_ in enumerate(deliveries):
+        sinks.append(spark.createDataFrame(rows_, "id long, name string"), raw, load=f"r{i}")
+        for again in range(2):
+            report = jobs.job_quality(spark, "things", rules, base, f"r{i}", f"2024-02-0{i + 1}", redo=(f"r{i}",)).first()
+            whole = read_table(spark, raw)
+            good, bad = quality.quarantine_split(whole, rules)
+            assert rows(read_table(spark, jobs.checked_layout(base, "things"))) == rows(good), (i, again)
+            found = read_table(spark, quarantine(base, "things")).select("id", "name", F.sort_array("_dq_failed_rules"))
+            assert rows(found) == rows(bad.select("id", "name", F.sort_array("_dq_failed_rules"))), (i, again)
+            want = quality.evaluate(whole, rules).where("rule_id = 1").first()
+            kept = read_table(spark, Layout(base, "system", "dq", "results")).where(f"EntityRunId = 'r{i}-things' AND RuleId = 1").collect()
+            assert [(r["TotalRows"], r["FailedRows"]) for r in kept] == [(want["total"], want["failed"])]
+            assert report["status"] == ("SUCCEEDED" if want["failed"] == 0 else "QUARANTINED")
+            gone.append(report["requarantined_count"])
+    assert gone == [0, 0, 1, 0, 0, 0, 3, 0]
+    sinks.overwrite(spark.createDataFrame([(2, "x"), (9, "y")], "id long, name string"), raw, load="r9")
+    jobs.job_quality(spark, "things", rules, base, "r9", "2024-03-01")
+    assert rows(read_table(spark, jobs.checked_layout(base, "things"))) == [(2, "x"), (9, "y")]
+    totals = read_table(spark, key_counts.totals_layout(base, "things"))
+    assert totals.agg(F.sum("rows"), F.sum("keys")).first()[:] == (2, 2)
+
+
+def test_a_delivery_reads_the_buckets_of_its_keys(spark, base, monkeypatch):
+    from tessera import layout as lake
+    from tessera.operators import key_counts, sinks
+
+    monkeypatch.setattr(key_counts, "KEYS_PER_BUCKET", 50)
+    raw = bronze(base, "things")
+    sinks.append(spark.range(1000).toDF("id"), raw, load="a")
+    key_counts.deliver(lake.read_whole(spark, raw), "id", base, "things", ["a"])
+    counts = key_counts.counts_layout(base, "things")
+    assert len(lake.partitions(spark, counts)) == 32
+    before = set(spark.table(counts.name).inputFiles())
+    sinks.append(spark.sql("SELECT 7L AS id UNION ALL SELECT 5000L"), raw, load="b")
+    found = key_counts.deliver(lake.read_whole(spark, raw).where("_load = 'b'"), "id", base, "things", ["a", "b"])
+    assert (found.rows, found.keys, found.loads) == (1002, 1001, ["a"])
+    assert found.repeated.count() == 1
+    assert len(before - set(spark.table(counts.name).inputFiles())) <= 2
+
+
 def test_parallel_entities_keep_all_results(spark, base, tmp_path):
     entities, rules = [], {}
     for i in range(8):

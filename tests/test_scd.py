@@ -5,7 +5,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.layout import current_version, read_table, silver
+from tessera import layout as lake
+from tessera.layout import read_table, silver
 from tessera.operators import history, maintain, scd
 from tests.conftest import rows
 
@@ -92,8 +93,8 @@ def test_stored_history_adds_closed_rows_and_skips_repeats(spark, base):
     third = spark.createDataFrame([(2, "b", "new")], SCHEMA)
     history.merge_into(third, layout, ["id"], ["city"], T3, writer=("w", 2))
     check(read_table(spark, layout))
-    dirs = current_version(spark, layout).dirs
-    assert sum(d.endswith("closed") for d in dirs) == 2 and sum(d.endswith("current") for d in dirs) == 1
+    parts = [p["_lake_part"] for p in lake.partitions(spark, layout)]
+    assert sorted(parts) == ["closed", "closed", "current"]
 
 
 def test_compaction_keeps_the_parts_of_a_history(spark, base):
@@ -104,7 +105,7 @@ def test_compaction_keeps_the_parts_of_a_history(spark, base):
     maintain.compact(spark, layout)
     assert rows(read_table(spark, layout)) == before
     assert history.read_current(spark, layout).count() == 5
-    assert current_version(spark, layout).batches == {"w": 1}
+    assert lake.marked(spark, layout, "batch.w") == "1"
 
 
 def test_merge_update(spark):
