@@ -10,7 +10,8 @@ lacks are left out at once.
 Only DataFrame functions are used. Word lists of the items are broadcast after their bytes were summed up
 and found few; beyond that they are joined by a shuffle.
 
-Null text has no words; an item without words has no window and is never found. Documents are told apart
+Null text has no words; an item without words has no window and is never found. Items without an id count as
+one item, which has no part in the digest of ids. Documents are told apart
 by id and a hash of their text, so repeated rows get the same result each and null ids work. Other columns
 are not read. Empty tables give no hits.
 """
@@ -108,34 +109,47 @@ def near_hits(postings: DataFrame, anchors: DataFrame, slack: int = 3) -> DataFr
 
 
 HITS, N_WORDS = "__hits", "__n_words"
+_ROW = "__row"
 
 
-def find(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with the number of words and the confirmed hits of each row: item_id, start, length.
+def _found(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """Each row of ``docs`` as one struct, so that its columns may have any names, with its hits beside it.
 
     Candidates are gathered per document and meet its text in one join, where the whole phrase is compared.
+    Items without an id are one item; their phrases are told apart by the comparison.
     """
     anchors = written(anchored(docs, windows_of(items, window)), "anchors")
     postings = written(index(docs, anchors), "postings")
-    phrases = anchors.select("item_id", "at", "words")
-    per_doc = candidates(postings, anchors).join(phrases, ["item_id", "at"]).groupBy(
+    phrases = anchors.select(F.col("item_id").alias("p_item"), F.col("at").alias("p_at"), "words")
+    same_window = F.col("item_id").eqNullSafe(F.col("p_item")) & (F.col("at") == F.col("p_at"))
+    per_doc = candidates(postings, anchors).join(phrases, same_window).groupBy(
         F.col("doc_id").alias("c_doc"), F.col("text_hash").alias("c_hash")
-    ).agg(F.collect_list(F.struct("item_id", "start", "words")).alias("__candidates"))
+    ).agg(F.collect_list(F.struct("item_id", "start", "words")).alias("candidates"))
     same = F.col("doc_id").eqNullSafe(F.col("c_doc")) & (F.xxhash64("text") == F.col("c_hash"))
-    joined = docs.join(per_doc.hint("merge"), same, "left").withColumn("__words", words_of())
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(_ROW), "doc_id", "text")
+    joined = rows.join(per_doc.hint("merge"), same, "left").withColumn("word_list", words_of())
 
     def exact(c: Column) -> Column:
-        return F.slice("__words", c["start"] + 1, F.size(c["words"])) == c["words"]
+        return F.slice("word_list", c["start"] + 1, F.size(c["words"])) == c["words"]
 
     hits = F.transform(
-        F.filter("__candidates", exact), lambda c: F.struct(c["item_id"], c["start"], F.size(c["words"]).alias("length"))
+        F.filter("candidates", exact), lambda c: F.struct(c["item_id"], c["start"], F.size(c["words"]).alias("length"))
     )
-    return joined.select(*docs.columns, F.size("__words").cast("long").alias(N_WORDS), hits.alias(HITS))
+    return joined.select(_ROW, F.size("word_list").cast("long").alias(N_WORDS), hits.alias(HITS))
+
+
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"{_ROW}.`{c}`").alias(c) for c in docs.columns]
+
+
+def find(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with the number of words and the confirmed hits of each row: item_id, start, length."""
+    return _found(docs, items, window).select(*_columns(docs), N_WORDS, HITS)
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any hit."""
-    return find(docs, items, window).where(F.coalesce(F.size(HITS), F.lit(0)) <= 0).select(*docs.columns)
+    return _found(docs, items, window).where(F.coalesce(F.size(HITS), F.lit(0)) <= 0).select(*_columns(docs))
 
 
 def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -182,6 +182,18 @@ def test_components_of_long_chains(spark):
     assert all(got[i] == 0 for i in range(41)) and got[103] == got[101] == 100
 
 
+def test_decontamination_with_null_items_and_any_column_names(spark):
+    text = "one two three four five six seven eight nine ten eleven"
+    schema = "doc_id long, text string, __words string, c_doc int, candidates string, __hits int, item_id string, word_list int, __row int"
+    rows = [(1, f"x {text} y", "w", 1, "c", 2, "i", 3, 4), (2, "other words", "w2", 5, "c2", 6, "i2", 7, 8), (3, "a b", None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    items = spark.createDataFrame([(None, text), (None, "a b"), ("k", text)], "item_id string, text string")
+    found = {r.doc_id: r for r in decontaminate.report(docs, items).collect()}
+    assert [(found[i].n_hit, found[i].n_items, found[i].contaminated) for i in (1, 2, 3)] == [(11, 2, True), (0, 0, False), (2, 1, True)]
+    kept = decontaminate.clean(docs, items)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [rows[1]]
+
+
 def test_decontamination_on_odd_rows(spark):
     items = spark.createDataFrame(
         [(1, " ".join(f"p1q{j}" for j in range(12))), (2, None), (3, "..."), (4, "X"), (5, "never seen words"), (6, "straße 日本語")],
