@@ -46,6 +46,8 @@ FACTOR = 10
 MOST = 4000
 #: Words searched together in a task.
 CHUNK = 20_000
+#: Entries of a state that are made at once.
+WIDE = 300_000
 #: Distinct words counted in a task before they are handed on.
 HELD = 400_000
 
@@ -192,50 +194,47 @@ def near_pairs(keys: np.ndarray, words: list[bytes], lo: np.ndarray) -> tuple[np
     if not n or not len(heads):
         empty = np.empty(0, np.int64)
         return empty, empty, empty
-    # The state: searching word, range of the list, the three entries next to the diagonal of the matrix row
-    # of the range's prefix, and the length up to which prefix and word agree.
+    # A state: depth, and per entry the searching word, the range of the list, how far the range's prefix and the
+    # word agree, and the three entries next to the diagonal of the prefix's row. Wide states go on in parts.
     sizes = tails - heads
-    starts = lo[heads]
+    starts = np.repeat(lo[heads], sizes)
     word = ragged(heads, sizes).astype(np.int64)
     begin, end = np.repeat(heads, sizes), np.repeat(tails, sizes)
-    first = np.repeat(starts, sizes)
-    waiting = np.argsort(first, kind="stable")  # lists of longer shared prefixes join at their depth
-    word, begin, end, first = word[waiting], begin[waiting], end[waiting], first[waiting]
-    depths = np.unique(first)
-    joins = {int(d): slice(*np.searchsorted(first, [d, d + 1])) for d in depths}
-    nothing = np.empty(0, np.int64)
-    q, b, e, agree = nothing, nothing, nothing, nothing
-    left, on, right = (np.empty(0, np.int8) for _ in range(3))
-    depth, last = int(depths[0]), int(depths[-1])
-    while len(q) or depth <= last:
-        if depth in joins:
-            s = joins[depth]
-            m = s.stop - s.start
-            q, b, e = np.concatenate([q, word[s]]), np.concatenate([b, begin[s]]), np.concatenate([e, end[s]])
-            agree = np.concatenate([agree, np.full(m, depth, np.int64)])
-            left = np.concatenate([left, np.full(m, 1 if depth else 2, np.int8)])
-            on = np.concatenate([on, np.zeros(m, np.int8)])
-            right = np.concatenate([right, np.where(c.sizes[word[s]] > depth, 1, 2).astype(np.int8)])
-        if not len(q):
-            depth = min(d for d in joins if d > depth)
-            continue
+    states = []
+    for depth in np.unique(starts).tolist():
+        at = starts == depth
+        q = word[at]
+        ahead = np.where(c.sizes[q] > depth, 1, 2).astype(np.int8)
+        row = (np.full(len(q), 1 if depth else 2, np.int8), np.zeros(len(q), np.int8), ahead)
+        states.append((depth, (q, begin[at], end[at], np.full(len(q), depth), *row)))
+    cuts_at: dict[int, np.ndarray] = {}
+    while states:
+        depth, state = states.pop()
         # The first word of a range ends here if it is no longer than the prefix.
+        q, b, e, agree, left, on, right = state
+        if depth not in cuts_at:
+            cuts_at[depth] = np.flatnonzero(c.lcp <= depth)
+        cuts = cuts_at[depth]
+        after = np.searchsorted(cuts, b, side="right")
+        parts = np.searchsorted(cuts, e) - after + 1
+        half = len(q) // 2
+        if half and parts.sum() > WIDE:
+            states += [(depth, tuple(x[:half] for x in state)), (depth, tuple(x[half:] for x in state))]
+            continue
         ends = c.sizes[b] == depth
         off = c.sizes[q[ends]] - depth
         distance = np.select([off == -1, off == 0, off == 1], [left[ends], on[ends], right[ends]], 2)
         hit = distance == 1
         found.append((q[ends][hit], b[ends][hit], agree[ends][hit]))
-        b = b + ends
-        go = e > b
-        q, b, e, agree, left, on, right = (x[go] for x in (q, b, e, agree, left, on, right))
-        # Split ranges where neighbours share no more than the prefix.
-        cuts = np.flatnonzero(c.lcp <= depth)
-        inner = np.searchsorted(cuts, e) - np.searchsorted(cuts, b, side="right")
-        at = np.repeat(np.arange(len(q)), inner + 1)
-        place = ragged(np.searchsorted(cuts, b, side="right") - 1, inner + 1)
+        # Split ranges where neighbours share no more than the prefix. A word that ends here is a part of its own
+        # unless equal words follow, and lists have none.
+        at = np.repeat(np.arange(len(q)), parts)
+        place = ragged(after - 1, parts)
         lower = np.maximum(cuts[place], b[at])
         upper = np.minimum(np.append(cuts, n)[place + 1], e[at])
-        q, b, e, agree, left, on, right = q[at], lower, upper, agree[at], left[at], on[at], right[at]
+        go = c.sizes[lower] > depth
+        at, b, e = at[go], lower[go], upper[go]
+        q, agree, left, on, right = q[at], agree[at], left[at], on[at], right[at]
         # The next row: entries at depth, depth + 1 and depth + 2 of the searching word.
         v = c.letter(b, depth)
         length = c.sizes[q]
@@ -250,8 +249,8 @@ def near_pairs(keys: np.ndarray, words: list[bytes], lo: np.ndarray) -> tuple[np
         left, on, right = (np.minimum(x, 2).astype(np.int8) for x in (new_left, new_on, new_right))
         # Skip ranges that are more than one edit away, and those of nothing but the searching word.
         go = ((left < 2) | (on < 2) | (right < 2)) & ~((b == q) & (e == q + 1))
-        q, b, e, agree, left, on, right = (x[go] for x in (q, b, e, agree, left, on, right))
-        depth += 1
+        if go.any():
+            states.append((depth + 1, tuple(x[go] for x in (q, b, e, agree, left, on, right))))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
