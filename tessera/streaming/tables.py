@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tessera import layout as lake
 from tessera.layout import LOAD, Layout, read_table, table_exists
-from tessera.operators import dedup, scd, sinks
+from tessera.operators import dedup, keyed, scd, sinks
 
 BATCH = "_batch_id"
 #: Partition column of rows that are kept by day.
@@ -167,6 +167,31 @@ def fold_history(spark: SparkSession, layout: Layout, target: Layout, keys: list
     return sinks.overwrite(read_history(spark, layout, keys, tracked, time, **how), target)[lake.ROWS]
 
 
+def change_history(
+    changes: DataFrame,
+    log: Layout,
+    history: Layout,
+    checkpoint: str,
+    keys: list[str],
+    tracked: list[str],
+    time: str,
+    position: list[Column] | None = None,
+    deleted: Column | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Change records appended to their log, and the history of their keys kept up to date, batch by batch.
+
+    A batch reads and rewrites the buckets of its keys only (``keyed.merge_changes``); the history equals
+    ``read_history`` of the whole log after every batch.
+    """
+
+    def apply(rows: DataFrame, number: int) -> None:
+        load = lake.load_name(checkpoint, number)
+        keyed.merge_changes(rows, log, history, load, keys, tracked, time, position, deleted)
+
+    return _start(changes, apply, checkpoint, "append", available_now)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows a query dropped as later than its watermark, from the progress it still remembers."""
     operators = [o for p in query.recentProgress for o in p["stateOperators"]]

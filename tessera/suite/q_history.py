@@ -3,7 +3,10 @@
 from pyspark.sql import functions as F
 
 from tessera.config import Transformation
-from tessera.operators import dedup, joins, scd, silver
+from tessera.layout import gold, read_table
+from tessera.layout import silver as silver_layout
+from tessera.operators import dedup, joins, keyed, scd, silver
+from tessera.session import scratch
 from tessera.suite import inputs
 from tessera.suite.inputs import LOAD_1, LOAD_2, sql, table
 from tessera.suite.registry import ORACLES, query
@@ -26,6 +29,60 @@ def dedup_latest(spark, sf_dir):
     return dedup.latest(rows, ["CustomerID"], [F.col("_bronze_ingestion_timestamp").desc()])
 
 
+# Orders in three deliveries: even keys, then odd ones with some of the even anew, then changes of every seventh.
+DELIVERIES = """(SELECT o_orderkey, o_custkey, o_orderpriority,
+                        CASE WHEN o_orderkey % 7 = 0 THEN 3 WHEN o_orderkey % 10 = 0 OR o_orderkey % 2 = 1 THEN 2 ELSE 1 END AS delivery,
+                        CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1000 WHEN o_orderkey % 10 = 0 THEN o_totalprice * 2
+                             ELSE o_totalprice END AS o_totalprice FROM orders)"""
+
+
+def deliveries(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    twice = F.when(key % 10 == 0, price * 2).otherwise(price)
+    parts = [
+        orders.where(key % 2 == 0),
+        orders.where((key % 2 == 1) | (key % 10 == 0)).withColumn("o_totalprice", twice),
+        orders.where(key % 7 == 0).withColumn("o_totalprice", price + 1000),
+    ]
+    return [rows.withColumn("delivery", F.lit(i)) for i, rows in enumerate(parts, 1)]
+
+
+@query("dedup_latest_deliveries", f"SELECT o_orderkey, o_totalprice, delivery::BIGINT AS delivery FROM {DELIVERIES}")
+def dedup_latest_deliveries(spark, sf_dir):
+    """The latest row per key, kept over three deliveries by touched buckets; each delivery is merged twice."""
+    latest = silver_layout(scratch(spark, "lake"), "orders")
+    for rows in deliveries(spark, sf_dir):
+        for _ in range(2):
+            keyed.merge_latest(rows, latest, ["o_orderkey"], [F.col("delivery").desc()])
+    return read_table(spark, latest).select("o_orderkey", "o_totalprice", "delivery")
+
+
+@query(
+    "gold_aggregate_deliveries",
+    f"""SELECT o_orderpriority, round(sum(o_totalprice), 2) AS "Total", round(avg(o_totalprice), 4) AS "Mean", count(o_orderkey) AS "Orders",
+               count(DISTINCT o_custkey) AS "Customers", min(o_totalprice) AS "Low", max(o_totalprice) AS "High"
+        FROM {DELIVERIES} GROUP BY o_orderpriority""",
+)
+def gold_aggregate_deliveries(spark, sf_dir):
+    """An aggregate that follows the latest rows: what a delivery replaces is taken out of the kept parts."""
+    base = scratch(spark, "lake")
+    latest, sums, values = silver_layout(base, "orders"), gold(base, "sums"), gold(base, "values")
+    grain = ["o_orderpriority"]
+    measures = {
+        "Total": "SUM(o_totalprice)", "Mean": "AVG(o_totalprice)", "Orders": "COUNT(o_orderkey)",
+        "Customers": "COUNT(DISTINCT o_custkey)", "Low": "MIN(o_totalprice)", "High": "MAX(o_totalprice)",
+    }
+    for number, rows in enumerate(deliveries(spark, sf_dir)):
+
+        def follow(came, left, load=f"r{number}"):
+            keyed.follow(came, left, sums, values, load, grain, measures)
+
+        keyed.merge_latest(rows, latest, ["o_orderkey"], [F.col("delivery").desc()], on_change=follow)
+    found = keyed.followed(spark, sums, values, grain, measures)
+    return found.withColumns({"Total": F.round("Total", 2), "Mean": F.round("Mean", 4)})
+
+
 @query(
     "fk_flag_silver",
     sql(

@@ -3,14 +3,14 @@
 from pyspark.sql import functions as F
 
 from tessera.config import Entity
-from tessera.layout import bronze, read_table
+from tessera.layout import bronze, read_table, silver
 from tessera.operators import sinks
 from tessera.session import scratch
 from tessera.sources import readers, streams
 from tessera.streaming import events, tables
 from tessera.suite import inputs
 from tessera.suite.inputs import sql, table
-from tessera.suite.registry import query
+from tessera.suite.registry import ORACLES, query
 
 RECORD_SEPARATOR = "\u0001"
 
@@ -239,6 +239,25 @@ def src_stream_cdc(spark, sf_dir):
     )
 
 
+@query("src_stream_cdc_keyed", ORACLES["src_stream_cdc"])
+def src_stream_cdc_keyed(spark, sf_dir):
+    """The same changes and history, kept by bucket of the key: each batch rewrites the histories of its keys only."""
+    path, base = scratch(spark, "changes"), scratch(spark, "lake")
+    columns = ["o_custkey", "o_orderkey", "o_orderpriority", "o_orderdate", "o_orderstatus"]
+    orders = table(spark, sf_dir, "orders").select(*columns)
+    orders.repartition(3, "o_orderkey").write.parquet(path)
+    changes = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    history = silver(base, "customer_history")
+    tables.change_history(
+        changes, bronze(base, "customer_changes"), history, scratch(spark, "checkpoint"), ["o_custkey"], ["o_orderpriority"],
+        "o_orderdate", [F.col("o_orderkey").desc()], F.col("o_orderstatus") == "P",
+    ).awaitTermination()
+    return read_table(spark, history).select(
+        "o_custkey", "o_orderpriority", "o_orderdate", "ValidFrom",
+        F.date_format("ValidTo", "yyyy-MM-dd HH:mm:ss").alias("ValidUntil"), "IsCurrent",
+    )
+
+
 @query(
     "src_query_lookup",
     """SELECT '{"c_nationkey":' || c_nationkey || ',"n":' || count(*) || '}' AS json
