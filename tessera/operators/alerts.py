@@ -1,12 +1,13 @@
-"""Alert conditions. Each returns the matching rows; delivering them is left to the caller."""
+"""Alert conditions and how long they last. Each returns the matching rows; delivering them is left to the caller."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.columns import as_time
 from tessera.operators.standardize import recent
 
 # The thresholds of the alert rules.
@@ -108,3 +109,44 @@ def feed(
         _entries(capacity(metrics), "capacity", "MetricName", "TimeGenerated", F.col("Maximum")),
     ]
     return reduce(DataFrame.unionByName, parts).withColumn("Status", F.lit("Active"))
+
+
+# --- episodes --------------------------------------------------------------------------------------
+
+EPISODE = ("OpenedAt", "LastAt", "Evaluations")
+
+
+def episodes(
+    met: DataFrame, keys: list[str], time: str, every: str, as_of, known: DataFrame | None = None
+) -> DataFrame:
+    """Conditions that last, as one row from the evaluation that opened them to the one that closed them.
+
+    ``met`` has a row per evaluation at which the condition of a key held; evaluations are ``every`` interval
+    apart, so a longer gap means that one found it not held. ``known`` are episodes from earlier calls: those that
+    new evaluations touch or carry on are joined with them, whatever order evaluations arrive in, and the
+    same evaluation may be given again. ``as_of`` is the time of the last evaluation: an episode closed by then
+    has the time of the first evaluation that did not hold.
+
+    Evaluations of a key are made distinct before they are ordered, so a window orders as many rows as there
+    were evaluations, not events.
+    """
+    step = F.expr(f"INTERVAL {every}")
+    at = F.col(time).cast("timestamp_ntz")
+    spans = met.where(F.col(time).isNotNull()).select(*keys, at.alias("OpenedAt"), at.alias("LastAt"), F.lit(1).cast("long").alias("Evaluations")).distinct()
+    if known is not None:
+        spans = known.select(*keys, *EPISODE).unionByName(spans)
+    by_time = Window.partitionBy(*keys).orderBy("OpenedAt", F.col("LastAt").desc())
+    before = F.max("LastAt").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+    told = spans.withColumns({"__before": before, "__inside": F.coalesce(F.col("LastAt") <= before, F.lit(False))})
+    told = told.withColumn("__opens", F.coalesce((F.col("OpenedAt") > F.col("__before") + step).cast("int"), F.lit(1)))
+    told = told.withColumn("__island", F.sum("__opens").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
+    # An evaluation inside a known episode is one of those it counts already.
+    found = told.groupBy(*keys, "__island").agg(
+        F.min("OpenedAt").alias("OpenedAt"),
+        F.max("LastAt").alias("LastAt"),
+        F.sum(F.when(F.col("__inside"), 0).otherwise(F.col("Evaluations"))).alias("Evaluations"),
+    )
+    end = F.col("LastAt") + step
+    closed = F.when(end <= as_time(as_of), end)
+    state = F.when(closed.isNull(), "Open").otherwise("Closed")
+    return found.select(*keys, *EPISODE, closed.alias("ClosedAt"), state.alias("Status"))

@@ -169,6 +169,101 @@ def full(df: DataFrame, k: int = 10) -> DataFrame:
     return result
 
 
+# --- profiles of growing tables --------------------------------------------------------------------
+
+#: Size of distinct-count sketches, as a power of two: a standard error of 1.04 / sqrt(2^14), 0.8 %.
+HLL_SIZE = 14
+#: Size of quantile sketches: ranks are within some 0.4 %.
+KLL_SIZE = 800
+#: Values that a top-value sketch keeps track of; counts are exact while a column has no more different ones.
+TOP_ITEMS = 10_000
+
+SKETCH = "total_rows", "null_count", "distinct", "min", "max", "mean", "m2", "quantiles", "shortest", "longest", "chars"
+
+
+def sketch(df: DataFrame) -> DataFrame:
+    """One row per column: counts, extremes and moments, and mergeable sketches of distinct values and quantiles.
+
+    Rows of several deliveries together, see ``merged``, give the profile of their rows without reading them
+    again. Columns have the same types whatever the table's are, so all tables fit into one.
+    """
+
+    def only(kinds, make, kind: str):
+        return lambda f: make(F.col(f"`{f.name}`")).cast(kind) if isinstance(f.dataType, kinds) else F.lit(None).cast(kind)
+
+    numbers, texts = T.NumericType, T.StringType
+    stats = {
+        "null_count": lambda f: F.count_if(F.col(f"`{f.name}`").isNull()),
+        "distinct": lambda f: F.hll_sketch_agg(F.when(F.col(f"`{f.name}`").isNotNull(), F.xxhash64(_countable(f))), HLL_SIZE),
+        "min": only(numbers, F.min, "double"),
+        "max": only(numbers, F.max, "double"),
+        "mean": only(numbers, F.avg, "double"),
+        "m2": only(numbers, lambda c: F.var_pop(c) * F.count(c), "double"),
+        "quantiles": only(numbers, lambda c: F.kll_sketch_agg_double(c.cast("double"), KLL_SIZE), "binary"),
+        "shortest": only(texts, lambda c: F.min(F.length(c)), "long"),
+        "longest": only(texts, lambda c: F.max(F.length(c)), "long"),
+        "chars": only(texts, lambda c: F.sum(F.length(c)), "long"),
+    }
+    fields = [f for f in df.schema.fields if not isinstance(f.dataType, T.NullType)]
+    columns = [make(f).alias(f"{i}_{name}") for i, f in enumerate(fields) for name, make in stats.items()]
+    found = _unpivot(df.agg(F.count(F.lit(1)).alias("total_rows"), *columns), fields, list(stats))
+    return found.select("column_name", "column_type", *SKETCH)
+
+
+def top_sketch(df: DataFrame) -> DataFrame:
+    """One row per text column: how often its values occur, for the ``TOP_ITEMS`` most frequent of the delivery at least.
+
+    Values are counted before they are cut, so a column with no more different ones is kept whole.
+    """
+    return top_values(df, TOP_ITEMS)
+
+
+def merged(sketches: DataFrame) -> DataFrame:
+    """The profile of all rows behind kept sketches: exact but for ``distinct_count`` and ``median``."""
+    present = F.col("total_rows") - F.col("null_count")
+    moments = F.collect_list(F.when(F.col("mean").isNotNull(), F.struct(present.cast("double").alias("n"), "mean", "m2")))
+    rows = sketches.groupBy("column_name", "column_type").agg(
+        F.sum("total_rows").alias("total_rows"),
+        F.sum("null_count").alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("distinct_count"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+        moments.alias("moments"),
+        F.kll_merge_agg_double("quantiles").alias("quantiles"),
+        F.min("shortest").alias("min_len"),
+        F.max("longest").alias("max_len"),
+        F.sum("chars").alias("chars"),
+    )
+    n = F.aggregate("moments", F.lit(0.0), lambda a, m: a + m["n"])
+    mean = F.try_divide(F.aggregate("moments", F.lit(0.0), lambda a, m: a + m["n"] * m["mean"]), n)
+    rows = rows.withColumns({"n": n, "mean": mean})
+    spread = F.aggregate("moments", F.lit(0.0), lambda a, m: a + m["m2"] + m["n"] * (m["mean"] - F.col("mean")) ** 2)
+    median = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("quantiles", F.lit(0.5)))
+    return rows.select(
+        "column_name",
+        "column_type",
+        "total_rows",
+        "null_count",
+        _share("null_count").alias("null_pct"),
+        "distinct_count",
+        "min",
+        "max",
+        F.round("mean", 4).alias("mean"),
+        F.round(F.sqrt(F.try_divide(spread, F.col("n") - 1)), 4).alias("stddev"),
+        median.alias("median"),
+        "min_len",
+        "max_len",
+        F.round(F.try_divide(F.col("chars"), F.col("total_rows") - F.col("null_count")), 2).alias("avg_len"),
+    )
+
+
+def merged_top(counts: DataFrame, k: int = 10) -> DataFrame:
+    """The most frequent values over several deliveries' ``top_sketch`` rows."""
+    sums = counts.groupBy("column_name", "value").agg(F.sum("count").alias("count"))
+    window = Window.partitionBy("column_name").orderBy(F.desc("count"), F.col("value"))
+    return sums.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k).drop("rank")
+
+
 def stamped(profile: DataFrame, lakehouse: str, schema: str, table: str, as_of) -> DataFrame:
     """Profile rows as they are kept: with address and run time."""
     return profile.select(

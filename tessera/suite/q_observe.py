@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import alerts, observe
 from tessera.streaming import events
+from tessera.session import scratch
 from tessera.suite import inputs
 from tessera.suite.inputs import AS_OF, EVENT_AS_OF, sql, table
 from tessera.suite.q_realtime import devices, transactions
@@ -410,3 +411,25 @@ def alert_feed(spark, sf_dir):
         AS_OF,
         device_limit=0,
     )
+
+
+_EPISODES = """SELECT * FROM (WITH f AS (SELECT DISTINCT MerchantId, date_trunc('hour', Timestamp) AS hr FROM txn WHERE AmountUSD > 400 AND Timestamp IS NOT NULL),
+        e AS (SELECT *, hr - row_number() OVER (PARTITION BY MerchantId ORDER BY hr) * INTERVAL 1 HOUR AS island FROM f),
+        l AS (SELECT date_trunc('hour', max(Timestamp)) AS last FROM txn),
+        g AS (SELECT MerchantId, min(hr) AS OpenedAt, max(hr) AS LastAt, count(*) AS Evaluations FROM e GROUP BY MerchantId, island)
+   SELECT g.*, CASE WHEN LastAt + INTERVAL 1 HOUR <= last THEN 'Closed' ELSE 'Open' END AS Status FROM g, l)"""
+
+
+@query("alert_episodes", sql(_EPISODES, "txn"))
+def alert_episodes(spark, sf_dir):
+    """Hours in which a merchant had a large amount, as episodes: given in three parts without order, one of them twice."""
+    rows = transactions(spark, sf_dir)
+    last = rows.agg(F.date_trunc("hour", F.max("Timestamp")).cast("timestamp_ntz")).first()[0]
+    met = rows.where("AmountUSD > 400").select("MerchantId", F.date_trunc("hour", "Timestamp").cast("timestamp_ntz").alias("At"))
+    part = F.pmod(F.xxhash64("MerchantId", "At"), F.lit(3))
+    known = None
+    for number in (1, 0, 1, 2):
+        path = scratch(spark, "episodes")
+        alerts.episodes(met.where(part == number), ["MerchantId"], "At", "1 hour", last, known).write.parquet(path)
+        known = spark.read.parquet(path)
+    return known.drop("ClosedAt")

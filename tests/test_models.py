@@ -178,3 +178,35 @@ def test_kpi_thresholds(spark):
         "Failed Entities/Day": (True, False),
         "Capacity Utilization": (None, None),
     }
+
+
+def test_sketched_profile_is_close_and_the_same_for_any_deliveries(spark):
+    from tessera.operators import profile
+
+    df = spark.range(20_000).select(
+        (F.col("id") % 3000).alias("a"), F.when(F.col("id") % 4 > 0, F.col("id") * 1e9 + 0.5).alias("b"),
+        F.concat(F.lit("v"), F.floor(F.sqrt(F.col("id")))).alias("c"), F.lit(None).cast("string").alias("d"), F.array("id").alias("e"),
+    )
+    exact = {r.column_name: r for r in profile.full(df).collect()}
+    for cuts in (1, 5):
+        part = F.pmod(F.xxhash64("a", "c"), F.lit(cuts))
+        kept = [profile.sketch(df.where(part == i)) for i in range(cuts)] + [profile.sketch(df.limit(0))]
+        sketches = kept[0]
+        for k in kept[1:]:
+            sketches = sketches.unionByName(k)
+        found = {r.column_name: r for r in profile.merged(sketches).collect()}
+        assert set(found) == set("abcde")
+        for name, r in found.items():
+            e = exact[name]
+            assert (r.total_rows, r.null_count, r.min_len, r.max_len, r.avg_len) == (20_000, e.null_count, e.min_len, e.max_len, e.avg_len)
+            assert (r.min, r.max) == (e.min, e.max)
+            assert abs(r.distinct_count - e.distinct_count) <= 0.04 * e.distinct_count
+            if e.mean is not None:
+                assert abs(r["mean"] - e["mean"]) <= 1e-9 * abs(e["mean"]) and abs(r.stddev - e.stddev) <= 1e-9 * e.stddev
+                assert abs(r.median - e.median) <= 0.02 * e.max
+        tops = profile.top_sketch(df.where(part == 0))
+        for i in range(1, cuts):
+            tops = tops.unionByName(profile.top_sketch(df.where(part == i)))
+        assert sorted(map(tuple, profile.merged_top(tops, 5).where("column_name = 'c'").collect())) == sorted(
+            map(tuple, profile.top_values(df, 5).where("column_name = 'c'").collect())
+        )

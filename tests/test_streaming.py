@@ -144,3 +144,24 @@ def test_late_rows_are_dropped_and_counted(spark, base, tmp_path):
         ("2024-01-01 00:00:00", 1),
         ("2024-01-01 05:00:00", 1),
     ]
+
+
+def test_lasting_conditions_are_one_episode(spark):
+    from tessera.operators import alerts
+
+    def met(*minutes):
+        data = [("d", f"2024-01-01 {m // 60:02d}:{m % 60:02d}:00") for m in minutes]
+        return spark.createDataFrame(data, "k string, t string").select("k", F.col("t").cast("timestamp_ntz").alias("t"))
+
+    def found(df):
+        return sorted((r.OpenedAt.minute, r.LastAt.minute, r.Evaluations, r.ClosedAt and r.ClosedAt.minute, r.Status) for r in df.collect())
+
+    whole = [(0, 20, 5, 25, "Closed"), (35, 35, 1, 40, "Closed"), (45, 50, 2, None, "Open")]
+    minutes = [0, 5, 10, 15, 20, 35, 45, 50]
+    assert found(alerts.episodes(met(*minutes, 5, 5), ["k"], "t", "5 minutes", "2024-01-01 00:50:00")) == whole
+    known = None
+    for part in ([10, 50], [0, 20, 35], [35, 10], [15, 5, 45], [20]):
+        known = alerts.episodes(met(*part), ["k"], "t", "5 minutes", "2024-01-01 00:50:00", known)
+    assert found(known) == whole
+    later = alerts.episodes(met(), ["k"], "t", "5 minutes", "2024-01-01 00:55:00", known)
+    assert found(later)[2] == (45, 50, 2, 55, "Closed")
