@@ -168,14 +168,18 @@ class Codec:
     def prefix_table(self, letters: str) -> list[str]:
         """The last piece of every prefix of ``letters``; letters without a piece are pieces of their own."""
         last = [""] * (len(letters) + 1)
-        neighbours = self.merges.neighbours
+        known, neighbours = self.merges.answers, self.merges.neighbours
         for end, piece in self.automaton.iter(letters):
             end += 1
             if last[end]:
                 continue
             begin = end - len(piece)
-            before = last[begin] or (letters[begin - 1] if begin else "")
-            if not begin or neighbours(before, piece):
+            if not begin:
+                last[end] = piece
+                continue
+            before = last[begin] or letters[begin - 1]
+            fits = known.get((before, piece))
+            if fits or (fits is None and neighbours(before, piece)):
                 last[end] = piece
         return last
 
