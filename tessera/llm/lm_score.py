@@ -7,11 +7,13 @@ model's probability of its class in context times the id's smoothed share of its
 
 The attention model that predicts classes has one head: token and place embeddings, queries, keys and
 values, and an output layer over the token and what it attends to. It is trained by Adam with gradients
-written out below, on all windows of all training documents. A hash deals the documents to ``ROUNDS``
-rounds. In a round every task starts from the same weights and takes steps over its own windows; the
-weights, averaged by windows seen, begin the next round. Only arrays of the size of the weights leave the
-tasks; their sums are of whole numbers, so the order of tasks makes no difference. Steps grow with the
-input; a corpus too small for ``STEPS`` steps is gone through several times. Scoring takes whole texts: windows of 32 ids overlap by eight, the last 24 of each are scored, so every id is scored once with
+written out below, on all windows of all training documents. A hash deals the documents to ``ROUNDS`` rounds and
+within a round to shards of some ``SHARD_WINDOWS`` windows; their ids are written once. In a round every shard
+starts from the same weights and takes steps over its own windows; the weights, averaged by windows seen,
+begin the next round. Shards follow the number of windows, not files or tasks, so what is learnt does not depend
+on how the table lies. Only arrays of the size of the weights leave the tasks; their sums are of whole numbers,
+so the order of tasks makes no difference. Steps grow with the input; a corpus too small for ``STEPS`` steps is
+gone through several times. Scoring takes whole texts: windows of 32 ids overlap by eight, the last 24 of each are scored, so every id is scored once with
 8 to 31 ids before it, in batches with a causal mask.
 
 Words of the broadcast list, the most frequent ones up to ``TOP_WORDS``, are counted in the scoring task;
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import _offsets, own_texts, ragged, slices, written
 from tessera.llm.tokens import encoder
+from tessera.session import scratch
 
 CLASSES = 64
 #: Ids with an embedding of their own; the others share one per class.
@@ -46,7 +49,9 @@ OVERLAP = CONTEXT - STRIDE
 #: Least number of training steps, windows in a step, rounds between which weights are averaged.
 STEPS, BATCH, ROUNDS = 400, 256, 6
 RATE = 0.01
-#: Words whose counts are sent to all tasks.
+#: Windows that a shard of a round has on average, and ids that are gathered before steps over their windows.
+SHARD_WINDOWS, GATHERED = 50_000, 400_000
+#: Words whose counts are sent to all tasks, at most.
 TOP_WORDS = 200_000
 
 
@@ -210,52 +215,70 @@ def forward(w: dict[str, np.ndarray], slots: np.ndarray, padded: np.ndarray) ->
 
 
 def gradients(w: dict[str, np.ndarray], slots: np.ndarray, padded: np.ndarray, classes: np.ndarray, real: np.ndarray):
-    """Mean loss over real targets and its gradient by every weight."""
-    z, h, a, q, k, v, x = forward(w, slots, padded)
-    z = z - z.max(2, keepdims=True)
-    p = np.exp(z)
-    p /= p.sum(2, keepdims=True)
-    b, s = np.nonzero(real)
-    loss = -np.log(p[b, s, classes[b, s]] + 1e-9).mean()
-    dz = p
-    dz[b, s, classes[b, s]] -= 1
-    dz *= real[:, :, None] / np.float32(max(1, len(b)))
-    dh = dz @ w["out"].T
-    do = dh[:, :, WIDTH:]
-    da = do @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(2, keepdims=True))
-    root = np.float32(np.sqrt(WIDTH))
-    dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ do
-    dx = dk @ w["key"].T + dv @ w["value"].T
-    dx[:, OVERLAP:] += dh[:, :, :WIDTH] + dq @ (w["query"].T / root)
-
-    def outer(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        return left.reshape(-1, left.shape[2]).T @ right.reshape(-1, right.shape[2])
-
-    tokens = np.zeros_like(w["tokens"])
-    np.add.at(tokens, slots, dx)
+    """Mean loss over real targets and its gradient by every weight; for ``tokens`` the rows met and their gradients."""
+    n, kind = len(slots), w["tokens"].dtype
+    root = kind.type(np.sqrt(WIDTH))
+    x = w["tokens"][slots] + w["places"]
+    flat, late = x.reshape(-1, WIDTH), np.ascontiguousarray(x[:, OVERLAP:]).reshape(-1, WIDTH)
+    query = w["query"] / root
+    q = (late @ query).reshape(n, STRIDE, WIDTH)
+    k, v = ((flat @ w[name]).reshape(n, CONTEXT, WIDTH) for name in ("key", "value"))
+    a = q @ k.transpose(0, 2, 1)
+    np.exp(np.minimum(a, 30, out=a), out=a)
+    a *= _CAUSAL
+    a *= ~padded[:, None, :]
+    a /= a.sum(2, keepdims=True) + kind.type(1e-9)
+    # The output layer sees real targets only.
+    at = np.flatnonzero(real.ravel())
+    h = np.concatenate([late[at], (a @ v).reshape(-1, WIDTH)[at]], 1)
+    p = h @ w["out"] + w["bias"]
+    p -= p.max(1, keepdims=True)
+    np.exp(p, out=p)
+    p /= p.sum(1, keepdims=True)
+    target = classes.ravel()[at], np.arange(len(at))
+    loss = -np.log(p[target[1], target[0]] + 1e-9).mean() if len(at) else 0.0
+    p[target[1], target[0]] -= 1
+    p /= kind.type(max(1, len(at)))
+    dh = p @ w["out"].T
+    d_late, d_mixed = np.zeros((n * STRIDE, WIDTH), kind), np.zeros((n * STRIDE, WIDTH), kind)
+    d_late[at], d_mixed[at] = dh[:, :WIDTH], dh[:, WIDTH:]
+    d_mixed = d_mixed.reshape(n, STRIDE, WIDTH)
+    ds = d_mixed @ v.transpose(0, 2, 1)
+    ds -= np.einsum("bij,bij->bi", ds, a)[:, :, None]
+    ds *= a
+    dq = (ds @ k).reshape(-1, WIDTH)
+    dk, dv = (ds.transpose(0, 2, 1) @ q).reshape(-1, WIDTH), (a.transpose(0, 2, 1) @ d_mixed).reshape(-1, WIDTH)
+    dx = (dk @ w["key"].T + dv @ w["value"].T).reshape(n, CONTEXT, WIDTH)
+    dx[:, OVERLAP:] += (d_late + dq @ query.T).reshape(n, STRIDE, WIDTH)
+    # Rows of one slot side by side, so that they are added in one sweep.
+    order = np.argsort(slots.ravel().astype(np.uint16), kind="stable")
+    met = slots.ravel()[order]
+    first = np.flatnonzero(np.append(True, met[1:] != met[:-1]))
+    tokens = met[first], np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0)
     return loss, {
-        "tokens": tokens, "places": dx.sum(0), "query": outer(x[:, OVERLAP:], dq) / root, "key": outer(x, dk),
-        "value": outer(x, dv), "out": outer(h, dz), "bias": dz.sum((0, 1)),
+        "tokens": tokens, "places": dx.sum(0), "query": late.T @ dq / root, "key": flat.T @ dk,
+        "value": flat.T @ dv, "out": h.T @ p, "bias": p.sum(0),
     }
 
 
 class Adam:
-    """Steps on batches of windows; changes the weights of ``model`` in place."""
+    """Steps on batches of windows; changes the weights of ``model`` in place, of the embeddings only those met."""
 
     def __init__(self, model: Model):
         self.model, self.steps = model, 0
         self.first, self.second = ({k: np.zeros_like(v) for k, v in model.weights.items()} for _ in range(2))
 
     def step(self, x: np.ndarray, t: np.ndarray, rate: float) -> float:
-        model, w = self.model, self.model.weights
+        model = self.model
         self.steps += 1
-        loss, grads = gradients(w, model.slot[x], x == model.pad, model.classes[t], t != model.pad)
+        loss, grads = gradients(model.weights, model.slot[x], x == model.pad, model.classes[t], t != model.pad)
+        fix, fix2 = 1 - 0.9**self.steps, 1 - 0.99**self.steps
         for name, d in grads.items():
-            first, second = self.first[name], self.second[name]
-            first += 0.1 * (d - first)
-            second += 0.01 * (d * d - second)
-            w[name] -= (rate * (first / (1 - 0.9**self.steps)) / (np.sqrt(second / (1 - 0.99**self.steps)) + 1e-8)).astype(np.float32)
+            at, d = d if name == "tokens" else (slice(None), d)
+            first = self.first[name][at] * np.float32(0.9) + np.float32(0.1) * d
+            second = self.second[name][at] * np.float32(0.99) + np.float32(0.01) * d * d
+            self.first[name][at], self.second[name][at] = first, second
+            model.weights[name][at] -= (rate * (first / fix) / (np.sqrt(second / fix2) + 1e-8)).astype(np.float32)
         return float(loss)
 
 
@@ -286,29 +309,60 @@ _UNIT = 2.0**-20
 _ADDERS = 16
 
 
-def fit_all(docs: DataFrame, model: Model, tokenizer: str, passes: int = 1) -> list[int]:
-    """Trains on every row of ``docs`` (doc_id, text), each in one round; the windows seen in each round."""
+def deal(docs: DataFrame, tokenizer: str, shards: int) -> DataFrame:
+    """round, shard, place, ids of every row of ``docs`` (doc_id, text): ids written once, each round on its own.
+
+    Round, shard and place come from a hash of the row, so they do not depend on how the table lies in files. A
+    shard of a round is in one file, in order.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(tokenizer, True)
+        kind = np.dtype("<u2" if enc.size < 1 << 16 else "<u4")
+        for batch in slices(batches, "text", 1 << 20):
+            lengths, ids = word_ids(enc, batch.column("text"))
+            offsets = np.concatenate([[0], np.cumsum(lengths)]) * kind.itemsize
+            data = pa.Array.from_buffers(
+                pa.binary(), len(lengths), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids.astype(kind).tobytes())]
+            )
+            yield pa.RecordBatch.from_arrays([batch.column("place"), data], names=["place", "ids"])
+
+    coded = docs.select(F.xxhash64("doc_id", "text").alias("place"), "text").mapInArrow(run, "place long, ids binary")
+    dealt = coded.select(
+        F.pmod("place", F.lit(ROUNDS)).cast("int").alias("round"),
+        F.pmod(F.shiftright("place", 16), F.lit(shards)).cast("int").alias("shard"),
+        "place",
+        "ids",
+    )
+    path = scratch(docs.sparkSession, "llm-ids")
+    dealt.repartition("shard").sortWithinPartitions("round", "shard", "place", "ids").write.partitionBy("round").parquet(path)
+    return docs.sparkSession.read.schema("shard int, place long, ids binary, round int").parquet(path)
+
+
+def fit_all(docs: DataFrame, model: Model, tokenizer: str, n_windows: float, passes: int = 1) -> list[int]:
+    """Trains on every row of ``docs`` (doc_id, text), each in one round; the windows seen in each round.
+
+    A round has as many shards as ``n_windows``, the windows of all rows, ask for. Each is trained on by itself
+    from the same weights, which are averaged by windows seen.
+    """
     spark, seen = docs.sparkSession, []
-    dealt = docs.withColumn("round", F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)))
+    dealt = deal(docs, tokenizer, max(1, int(np.ceil(n_windows / (ROUNDS * SHARD_WINDOWS)))))
     for k in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model)
         rate = RATE * min(1.0, 2 * (1 - (k + 0.5) / ROUNDS))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            start = shared.value
-            own = Model(start.classes, start.log_share, start.slot, {n: v.copy() for n, v in start.weights.items()})
-            adam, enc, n = Adam(own), encoder(tokenizer, True), 0
-            g = np.random.Generator(np.random.PCG64(11))
-            for batch in slices(batches, "text", 1 << 20):
-                inputs, targets, _ = windows(*word_ids(enc, batch.column("text")), own.end, own.pad)
-                order = np.concatenate([g.permutation(len(inputs)) for _ in range(passes)])
-                n += len(order)
-                for at in np.array_split(order, max(1, round(len(order) / BATCH))):
-                    adam.step(inputs[at], targets[at], rate)
-            if n:
-                flat = np.concatenate([v.ravel() for v in own.weights.values()]).astype(np.float64)
-                total = np.rint(flat * n / _UNIT).astype(np.int64).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total])], names=["n", "total"])
+            shard: _Shard | None = None
+            kind = np.dtype("<u2" if encoder(tokenizer, True).size < 1 << 16 else "<u4")
+            for batch in batches:
+                for number, data in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist()):
+                    if shard is None or shard.number != number:
+                        if shard is not None:
+                            yield shard.result()
+                        shard = _Shard(shared.value, number, rate, passes, BATCH)
+                    shard.add(np.frombuffer(data, kind))
+            if shard is not None:
+                yield shard.result()
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n, total = 0, None
@@ -320,7 +374,7 @@ def fit_all(docs: DataFrame, model: Model, tokenizer: str, passes: int = 1) -> l
                 yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.tobytes()])], names=["n", "total"])
 
         schema = "n long, total binary"
-        parts = dealt.where(F.col("round") == k).select("text").mapInArrow(run, schema)
+        parts = dealt.where(F.col("round") == k).select("shard", "ids").mapInArrow(run, schema)
         sums = parts.repartition(_ADDERS).mapInArrow(add, schema).collect()
         shared.unpersist()
         n = sum(r["n"] for r in sums)
@@ -333,6 +387,40 @@ def fit_all(docs: DataFrame, model: Model, tokenizer: str, passes: int = 1) -> l
     return seen
 
 
+class _Shard:
+    """Training on one shard in one round. Documents are gathered up to a fixed number of ids, whatever batches they come in."""
+
+    def __init__(self, start: Model, number: int, rate: float, passes: int, batch: int):
+        self.number, self.rate, self.passes, self.batch = number, rate, passes, batch
+        self.model = Model(start.classes, start.log_share, start.slot, {n: v.copy() for n, v in start.weights.items()})
+        self.adam, self.n = Adam(self.model), 0
+        self.order = np.random.Generator(np.random.PCG64([11, number]))
+        self.held: list[np.ndarray] = []
+        self.held_ids = 0
+
+    def add(self, ids: np.ndarray) -> None:
+        self.held.append(ids)
+        self.held_ids += len(ids) + 1
+        if self.held_ids >= GATHERED:
+            self._train()
+
+    def _train(self) -> None:
+        lengths = np.array([len(x) for x in self.held], np.int64)
+        inputs, targets, _ = windows(lengths, np.concatenate(self.held), self.model.end, self.model.pad)
+        order = np.concatenate([self.order.permutation(len(inputs)) for _ in range(self.passes)])
+        self.n += len(order)
+        for at in np.array_split(order, max(1, round(len(order) / self.batch))):
+            self.adam.step(inputs[at], targets[at], self.rate)
+        self.held, self.held_ids = [], 0
+
+    def result(self) -> pa.RecordBatch:
+        if self.held:
+            self._train()
+        flat = np.concatenate([v.ravel() for v in self.model.weights.values()]).astype(np.float64)
+        total = np.rint(flat * self.n / _UNIT).astype(np.int64).tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([self.n]), pa.array([total])], names=["n", "total"])
+
+
 class Scorer:
     """Log probabilities with the model's products of embeddings and weights laid out by id."""
 
@@ -346,7 +434,7 @@ class Scorer:
         self.by_place = [w["places"] @ m for m in tables[:3]]
         self.places, self.low, self.high, self.bias = w["places"], w["out"][:WIDTH], w["out"][WIDTH:], w["bias"]
 
-    def score(self, lengths: np.ndarray, ids: np.ndarray, at_once: int = 1024) -> np.ndarray:
+    def score(self, lengths: np.ndarray, ids: np.ndarray, at_once: int = 256) -> np.ndarray:
         """Natural log probability of each document's ids and its end."""
         m = self.model
         out = np.zeros(len(lengths))
@@ -403,7 +491,8 @@ def train(docs: DataFrame, counts: DataFrame, n_documents: int, tokenizer: str,
     model = Model(classes, share, slot, start_weights(OWN_EMBEDDINGS + CLASSES + 1, CLASSES, smooth / smooth.sum()))
     if n_documents:
         n_windows = n_documents + ids[:-1].sum() / STRIDE
-        fit_all(docs.where("train").select("doc_id", "text"), model, tokenizer, int(np.ceil(STEPS * BATCH / n_windows)))
+        passes = int(np.ceil(STEPS * BATCH / n_windows))
+        fit_all(docs.where("train").select("doc_id", "text"), model, tokenizer, n_windows, passes)
     return model
 
 
@@ -416,13 +505,16 @@ def score(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("word").alias("v")).first()
     ends = rows.where("train").count()
     n_all, distinct = sums["n"] + ends, sums["v"] + (ends > 0)
-    by_count = sorted(((r["n"], r["k"]) for r in counts.groupBy("n").agg(F.count("word").alias("k")).collect()), reverse=True)
-    least, taken = None, 0
-    for n, k in by_count:
-        if taken + k > TOP_WORDS:
+    # Words by powers of two of their counts: at most 64 rows.
+    power = F.floor(F.log2("n")).cast("int").alias("power")
+    by_power = {r["power"]: r["k"] for r in counts.groupBy(power).agg(F.count("word").alias("k")).collect()}
+    least, taken = 1 << 62, 0
+    for p in sorted(by_power, reverse=True):
+        taken += by_power[p]
+        if taken > TOP_WORDS:
             break
-        least, taken = n, taken + k
-    top = counts.where(F.col("n") >= (least if least is not None else 1 << 62)).toPandas()
+        least = 1 << p
+    top = counts.where(F.col("n") >= least).toPandas()
     shared = spark.sparkContext.broadcast(
         (top["word"].tolist(), top["n"].to_numpy(np.int64), train(rows, counts, ends, tokenizer, text))
     )

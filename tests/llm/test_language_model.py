@@ -149,10 +149,41 @@ def test_training_sees_every_window_of_every_document(spark, monkeypatch):
     weights = lm.start_weights(lm.OWN_EMBEDDINGS + lm.CLASSES + 1, lm.CLASSES, smooth / smooth.sum())
     model = lm.Model(classes, share, slot, weights)
     before = lm.Scorer(model).score(lengths[:50], ids[: lengths[:50].sum()]).sum()
-    seen = lm.fit_all(docs.select("doc_id", "text"), model, TOKENIZER)
+    n = len(lm.windows(lengths, ids, model.end, model.pad)[0])
+    seen = lm.fit_all(docs.select("doc_id", "text"), model, TOKENIZER, n)
     assert sum(seen) == len(lm.windows(lengths, ids, model.end, model.pad)[0]) and min(seen) > 0
     after = lm.Scorer(model).score(lengths[:50], ids[: lengths[:50].sum()]).sum()
     assert after > 0.8 * before
     twice = lm.Model(classes, share, slot, lm.start_weights(lm.OWN_EMBEDDINGS + lm.CLASSES + 1, lm.CLASSES, smooth / smooth.sum()))
-    lm.fit_all(docs.select("doc_id", "text"), twice, TOKENIZER)
+    lm.fit_all(docs.select("doc_id", "text"), twice, TOKENIZER, n)
     assert all((model.weights[k] == twice.weights[k]).all() for k in model.weights)
+
+
+def test_what_is_learnt_does_not_depend_on_partitions_and_helps(spark):
+    """The documents of sf0.01 in 1, 4 and 32 partitions and several shards: one model, better than counts on held-out texts."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", (~lm.held_out()).alias("train"))
+    held = [r.text for r in docs.where("NOT train").collect()]
+    counts = lm.word_counts(docs.where("train"))
+    n_train = docs.where("train").count()
+    models = [lm.train(docs.repartition(n), counts, n_train, TOKENIZER) for n in (1, 4, 32)]
+    for other in models[1:]:
+        assert all((models[0].weights[k] == other.weights[k]).all() for k in other.weights)
+    model = models[0]
+    lengths, ids = lm.word_ids(lm.encoder(TOKENIZER, True), pa.array(held))
+    ours = lm.Scorer(model).score(lengths, ids).sum()
+    smooth = np.zeros(len(model.classes) - 1)
+    for i, n in lm.id_counts(counts, TOKENIZER).items():
+        smooth[i] = n
+    smooth[model.end] = n_train
+    smooth += 0.1
+    by_counts = np.log(smooth / smooth.sum())
+    plain = by_counts[ids].sum() + len(held) * by_counts[model.end]
+    assert (ours - plain) / (len(ids) + len(held)) > 0.5
+
+
+def test_shards_follow_windows(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_WINDOWS", 2)
+    docs = spark.range(200).selectExpr("id AS doc_id", "concat('word', id % 7, ' other text ', id) AS text")
+    dealt = {n: sorted(map(tuple, lm.deal(docs.repartition(n), TOKENIZER, 5).collect())) for n in (1, 7)}
+    assert dealt[1] == dealt[7] and {r[0] for r in dealt[1]} == set(range(5)) and {r[3] for r in dealt[1]} == set(range(lm.ROUNDS))
