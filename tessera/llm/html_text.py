@@ -15,6 +15,7 @@ gives an empty result.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -73,6 +74,14 @@ _BAD_NAMES = frozenset(
     """.split()
 )
 _HEAD_NAMES = frozenset("header masthead topbar".split())
+#: Words that say where or what a box is, and leave the rest of a compound name to decide.
+_BOX_NAMES = frozenset(
+    """
+    area article block body bottom box button buttons col column container content desktop div fixed form global group
+    header inner item items left link links list main mobile module outer overlay page panel post posts reader right
+    row section site slot sticky top unit user wrap wrapper
+    """.split()
+)
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -95,6 +104,10 @@ class Block:
     link_parts: list[str] = field(default_factory=list)
     text: str = ""
 
+    def weight(self) -> float:
+        """Length in characters, of which those of ideographs and syllables count for more."""
+        return len(self.text) + 1.5 * sum("\u2e80" <= c for c in self.text)
+
     def link_density(self) -> float:
         return sum(len("".join(unescape(p).split())) for p in self.link_parts) / max(1, len(self.text.replace(" ", "")))
 
@@ -111,9 +124,14 @@ def _excluded(tag: str, attributes: str, in_article: bool) -> bool:
     if _HIDDEN_ATTRIBUTE.search(attributes):
         return True
     for m in _NAMES.finditer(attributes):
-        names = set(re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()))
-        if names & _BAD_NAMES or (names & _HEAD_NAMES and not in_article):
-            return True
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            # Of a compound name every word counts: an article may have a paragraph named "share-price".
+            words = {w for w in re.split(r"[^a-z]+", name) if w}
+            told = words - _BOX_NAMES
+            if told and told <= _BAD_NAMES:
+                return True
+            if words & _HEAD_NAMES and told <= _HEAD_NAMES and not in_article:
+                return True
     return False
 
 
@@ -121,6 +139,7 @@ def blocks(html: str) -> list[Block]:
     """The page's non-empty blocks in order."""
     found: list[Block] = []
     stack: list[tuple[str, bool, int]] = []  # tag, excluded from here on, article number
+    opened: Counter[str] = Counter()  # tags on the stack, so that a closing one without them is passed over at once
     current = Block()
     articles = links = breaks = 0
     at, end = 0, len(html)
@@ -170,15 +189,16 @@ def blocks(html: str) -> list[Block]:
             continue
         block = tag in _BLOCK
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+            while opened[tag]:
+                last = stack.pop()[0]
+                opened[last] -= 1
+                if last == tag:
                     break
         elif tag not in _VOID and not attributes.endswith("/"):
             if block and stack and stack[-1][0] == "p":
-                stack.pop()
+                opened[stack.pop()[0]] -= 1
             if tag in ("li", "dt", "dd", "td", "th", "tr", "option") and stack and stack[-1][0] == tag:
-                stack.pop()
+                opened[stack.pop()[0]] -= 1
             _, excluded, article = stack[-1] if stack else ("", False, 0)
             drop = _excluded(tag, attributes, article > 0)
             if tag in _ARTICLE_TAGS and not article and not (excluded or drop):
@@ -186,6 +206,7 @@ def blocks(html: str) -> list[Block]:
                 article = articles
             if block or drop:
                 stack.append((tag, excluded or drop, article))
+                opened[tag] += 1
             block = block or (drop and not excluded)
         if block or (closing and bool(stack or not current.parts) and current.excluded != (stack[-1][1] if stack else False)):
             close_block()
@@ -195,10 +216,22 @@ def blocks(html: str) -> list[Block]:
     return found
 
 
-def first_pass(block: Block, marked: bool) -> int:
-    """The label a block gets by itself; ``marked`` says that the page marks its article."""
+def known_language(found: list[Block]) -> bool:
+    """Whether the page's longer blocks have stop words; those of other languages say nothing by lacking them."""
+    words = [w for b in found if not b.excluded and b.weight() >= SHORT for w in _WORD.findall(b.text.lower())]
+    return not words or sum(w in STOP_WORDS for w in words) >= STOP_LOW * len(words)
+
+
+def first_pass(block: Block, marked: bool, known: bool = True) -> int:
+    """The label a block gets by itself; ``marked`` says that the page marks its article.
+
+    Where the page's language is not ``known``, length and links decide alone.
+    """
     if block.excluded or (marked and not block.article):
         return BAD
+    if not known:
+        dense = block.link_density() >= LINKS
+        return (UNDECIDED if block.article else BAD) if dense else GOOD if block.weight() >= SHORT else UNDECIDED
     dense = block.link_density() >= LINKS
     if len(block.text) < SHORT:
         return BAD if dense and not block.article else UNDECIDED
@@ -234,10 +267,19 @@ def second_pass(found: list[Block], labels: list[int]) -> list[int]:
 
 
 def main_text(html: str) -> str:
-    """Text of the good blocks, one per line."""
+    """Text of the good blocks, one per line.
+
+    A page that the rules of a known language would leave empty is judged by length and links alone.
+    """
     found = blocks(html)
     marked = any(b.article for b in found)
-    labels = second_pass(found, [first_pass(b, marked) for b in found])
+    labels: list[int] = []
+    for known in (True, False):
+        if known and not known_language(found):
+            continue
+        labels = second_pass(found, [first_pass(b, marked, known) for b in found])
+        if GOOD in labels:
+            break
     return "\n".join(b.text for b, label in zip(found, labels) if label == GOOD)
 
 

@@ -1,8 +1,11 @@
 """Main text of pages."""
 
 import re
+import time
 from html import unescape
 
+import pytest
+
 from tessera.llm import html_text, queries
 
 
@@ -42,3 +45,34 @@ def test_odd_rows(spark):
     got = html_text.extract(spark.createDataFrame(rows, schema)).collect()
     assert sorted(r.n_chars for r in got) == [0, 0, 99_999]
     assert html_text.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+PROSE = {
+    "pt": "O gato preto dorme tranquilamente no telhado vermelho enquanto chove muito forte hoje na cidade.",
+    "pl": "Czarny kot spokojnie śpi na czerwonym dachu, podczas gdy pada bardzo silny deszcz nad miastem.",
+    "ja": "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。薄暗いじめじめした所で泣いていた。",
+    "it": "Il gatto nero dorme tranquillo sul tetto rosso mentre piove molto forte sulla città vecchia stanotte.",
+}
+
+
+@pytest.mark.parametrize("language", PROSE)
+def test_prose_of_other_languages_on_unmarked_pages(language):
+    text = PROSE[language]
+    menu = "<div><a href=a>Menu eins</a> <a href=b>Menu zwei</a></div><div class='site-footer-links'><p>Impressum und mehr</p></div>"
+    page = f"<html><body>{menu}<div><p>{text}</p><p>{text}</p></div><div class=cookie-banner><p>{text} cookies</p></div></body></html>"
+    assert html_text.main_text(page) == f"{text}\n{text}"
+
+
+def test_compound_class_names_drop_what_they_name_only():
+    stay = ["share-price", "search-tips", "product-notice", "login-guide", "ad-hoc", "comment"[:3]]
+    go = ["share-buttons", "comment-list", "newsletter-signup", "ads", "site-footer", "main nav", "reader-comments"]
+    parts = "".join(f'<p class="{c}">The paragraph called {c} is one of those in the article.</p>' for c in [*stay, *go])
+    text = html_text.main_text(f"<article>{parts}</article>")
+    assert text.split("\n") == [f"The paragraph called {c} is one of those in the article." for c in stay]
+
+
+def test_many_tags_without_partners_take_linear_time():
+    began = time.monotonic()
+    html_text.main_text("<div>" * 40_000 + "text" + "</span>" * 40_000)
+    html_text.main_text("<div><p>" * 20_000 + "</div>" * 40_000)
+    assert time.monotonic() - began < 5
