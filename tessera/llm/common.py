@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,6 +34,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Taken:
+    """Places of a text that are taken, as intervals in order that do not touch; asked by halving."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for begin, end in sorted(spans):
+            if self.ends and begin <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(begin)
+                self.ends.append(end)
+
+    def meets(self, begin: int, end: int) -> bool:
+        """Whether a place from ``begin`` up to ``end`` is taken."""
+        i = bisect_left(self.starts, end) - 1
+        return i >= 0 and self.ends[i] > begin
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

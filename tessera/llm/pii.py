@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import extended, slices, written
+from tessera.llm.common import Taken, extended, slices, written
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
 MORE_KINDS = ["phone_local", "ssn", "iban", "email_spoken", "card_short"]
@@ -128,15 +128,12 @@ def more_spans(t: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int,
     """Proposed spans of the looser kinds that touch no fixed span and no earlier proposal."""
     if not _DIGIT.search(t) and "at" not in t:
         return []
-    taken = sorted((b, e) for _, b, e in base)
-    found = []
+    found: list[tuple[str, int, int]] = []
     for kind, pattern in _MORE.items():
         if kind == "email_spoken" and "(at)" not in t and "[at]" not in t:
             continue
-        for m in pattern.finditer(t):
-            if not any(b < m.end() and m.start() < e for b, e in taken):
-                found.append((kind, m.start(), m.end()))
-        taken += [(b, e) for k, b, e in found if k == kind]
+        taken = Taken((b, e) for _, b, e in [*base, *found])
+        found += [(kind, m.start(), m.end()) for m in pattern.finditer(t) if not taken.meets(m.start(), m.end())]
     return found
 
 

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import extended, slices
+from tessera.llm.common import Taken, extended, slices
 
 BASE_KINDS = ["assign", "access", "hex"]
 WINDOW = 20
@@ -43,7 +43,6 @@ _SEGMENT = re.compile(rf"(?:{_HUMPS}[0-9]{{0,4}}|[0-9]{{1,8}})?(?:[-_=+]+(?:{_HU
 #: Harmless strings, as whole candidates: fixed values.
 ALLOWED = [
     r"[0-9_=+/-]+",
-    r"[A-Za-z_=+/-]+",
     r"(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})",
     r"(?i:.*(?:example|sample|dummy|placeholder|lorem|xxxx).*)",
     r"[A-Za-z]+(?:[-_/][A-Za-z]+)+[-_/]?[0-9]{1,8}",
@@ -87,9 +86,24 @@ def is_path(s: str) -> bool:
     return len(parts) > 4 and all(_SEGMENT.fullmatch(p) for p in parts) and not any(is_secret(p) for p in parts)
 
 
+#: Letters per part between changes of case, below which a string of letters in both cases is not made of words.
+WORD_PART = 3.0
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[A-Z]")
+
+
+def is_words(s: str) -> bool:
+    """A string without digits that looks like words: in one case, or in both with parts as long as words have."""
+    if any(c.isdigit() for c in s):
+        return False
+    letters = [c for c in s if c.isalpha()]
+    if not letters or s.lower() == s or s.upper() == s:
+        return True
+    return len(letters) / len(_PARTS.findall(s)) >= WORD_PART
+
+
 def is_secret(s: str) -> bool:
-    """Some window reaches the limit of the string's class; no allow-list entry holds the string and it is no path."""
-    if _ALLOWED.fullmatch(s) or not any(c.isdigit() for c in s) or is_path(s):
+    """Some window reaches the limit of the string's class; no allow-list entry holds the string, it is no path and no words."""
+    if _ALLOWED.fullmatch(s) or is_words(s) or is_path(s):
         return False
     limit = LIMITS[class_of(s)]
     return any(h >= limit for h in window_entropies(s))
@@ -114,10 +128,11 @@ def _order(span: tuple[str, int, int]) -> tuple[int, int]:
 def all_spans(t: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Fixed spans, and fixed spans with the high-entropy strings that touch none of them."""
     base = base_spans(t)
+    taken = Taken((b, e) for _, b, e in base)
     added = [
         ("entropy", m.start(), m.end())
         for m in _CANDIDATE.finditer(t)
-        if not any(b < m.end() and m.start() < e for _, b, e in base) and is_secret(m[0])
+        if not taken.meets(m.start(), m.end()) and is_secret(m[0])
     ]
     return base, sorted(base + added, key=_order) if added else base
 

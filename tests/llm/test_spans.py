@@ -130,3 +130,33 @@ def test_queries_on_documents(spark, small):
     for r in queries.op9_secret_entropy(spark, small).collect():
         base = plain_secrets(texts[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(pii.join_spans(base).encode()).hexdigest()
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    import time
+
+    rng = random.Random(3)
+    keys = " ".join("".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(20_000))
+    mails = " ".join(f"a{i}@b{i}.com {i}-12-34 +49 30 12345{i % 1000:03d}" for i in range(8_000))
+    began = time.monotonic()
+    assert len(secret_scan.all_spans(keys)[0]) == 20_000
+    base = pii.base_spans(mails)
+    assert len(base) >= 16_000 and isinstance(pii.more_spans(mails, base), list)
+    assert time.monotonic() - began < 5
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 8)), max_size=15), st.integers(0, 60), st.integers(1, 8))
+def test_taken_places(spans, begin, size):
+    from tessera.llm.common import Taken
+
+    spans = [(b, b + n) for b, n in spans if n]
+    assert Taken(spans).meets(begin, begin + size) == any(b < begin + size and begin < e for b, e in spans)
+
+
+def test_secrets_of_letters_only():
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    assert sum(secret_scan.is_secret("".join(rng.choice(letters) for _ in range(40))) for _ in range(500)) > 400
+    for words in ("getElementsByClassNameAndThenSome", "InternationalBusinessMachinesCorporation", "averylonglowercasewordthatisfine", "XMLHttpRequestEventTargetFactory"):
+        assert not secret_scan.is_secret(words)
