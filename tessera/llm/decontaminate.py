@@ -113,7 +113,7 @@ _ROW = "__row"
 
 
 def _found(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
-    """Each row of ``docs`` as one struct, so that its columns may have any names, with its hits beside it.
+    """Id, text and, as one struct, so that they may have any names, the other columns of each row, with its hits.
 
     Candidates are gathered per document and meet its text in one join, where the whole phrase is compared.
     Items without an id are one item; their phrases are told apart by the comparison.
@@ -126,7 +126,8 @@ def _found(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
         F.col("doc_id").alias("c_doc"), F.col("text_hash").alias("c_hash")
     ).agg(F.collect_list(F.struct("item_id", "start", "words")).alias("candidates"))
     same = F.col("doc_id").eqNullSafe(F.col("c_doc")) & (F.xxhash64("text") == F.col("c_hash"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(_ROW), "doc_id", "text")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(None).alias("none")]
+    rows = docs.select(F.struct(*others).alias(_ROW), "doc_id", "text")
     joined = rows.join(per_doc.hint("merge"), same, "left").withColumn("word_list", words_of())
 
     def exact(c: Column) -> Column:
@@ -135,11 +136,11 @@ def _found(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     hits = F.transform(
         F.filter("candidates", exact), lambda c: F.struct(c["item_id"], c["start"], F.size(c["words"]).alias("length"))
     )
-    return joined.select(_ROW, F.size("word_list").cast("long").alias(N_WORDS), hits.alias(HITS))
+    return joined.select("doc_id", "text", _ROW, F.size("word_list").cast("long").alias(N_WORDS), hits.alias(HITS))
 
 
 def _columns(docs: DataFrame) -> list[Column]:
-    return [F.col(f"{_ROW}.`{c}`").alias(c) for c in docs.columns]
+    return [F.col(c) if c in ("doc_id", "text") else F.col(f"{_ROW}.`{c}`").alias(c) for c in docs.columns]
 
 
 def find(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
