@@ -335,7 +335,8 @@ def deal(docs: DataFrame, tokenizer: str, shards: int) -> DataFrame:
         "ids",
     )
     path = scratch(docs.sparkSession, "llm-ids")
-    dealt.repartition("shard").sortWithinPartitions("round", "shard", "place", "ids").write.partitionBy("round").parquet(path)
+    # With a number, since shards that were put together in few files would wait for each other in every round.
+    dealt.repartition(3 * shards, "shard").sortWithinPartitions("round", "shard", "place", "ids").write.partitionBy("round").parquet(path)
     return docs.sparkSession.read.schema("shard int, place long, ids binary, round int").parquet(path)
 
 
