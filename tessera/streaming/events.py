@@ -136,24 +136,48 @@ def user_behavior(df: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """Sessions, views, durations, bounces and pages per user and hour.
 
     ``TopPage`` is the last page by name; batch results add ``MostViewedPage``, the most frequent one.
-    In batch, views are counted per page first, so page names are compared once per page and hour.
+    In batch, every row counts once for its page and once for its session, so one scan and one pair of
+    aggregates give views per page and different sessions alike.
     """
-    metrics = {
-        "SessionCount": _distinct(df, "SessionId"),
-        "PageViews": F.count(F.lit(1)),
-        "AvgSessionDuration": F.avg("DurationMs").cast("long"),
-        "BounceRate": F.avg(F.col("IsBounce").cast("int")) * F.lit(100.0),
-    }
     if df.isStreaming:
-        return windowed(df, "1 hour", "UserId", {**metrics, "TopPage": F.max("PageUrl")}, "Hour", watermark)
-    base = windowed(df, "1 hour", "UserId", metrics, "Hour")
+        metrics = {
+            "SessionCount": _distinct(df, "SessionId"),
+            "PageViews": F.count(F.lit(1)),
+            "AvgSessionDuration": F.avg("DurationMs").cast("long"),
+            "BounceRate": F.avg(F.col("IsBounce").cast("int")) * F.lit(100.0),
+            "TopPage": F.max("PageUrl"),
+        }
+        return windowed(df, "1 hour", "UserId", metrics, "Hour", watermark)
     hour = F.window("Timestamp", "1 hour")["start"].cast("timestamp_ntz")
-    views = df.groupBy("UserId", hour.alias("Hour"), "PageUrl").agg(F.count(F.lit(1)).alias("n"))
-    most = F.min(F.struct((-F.col("n")).alias("order"), F.col("PageUrl").alias("page")))
-    pages = views.groupBy("UserId", "Hour").agg(F.max("PageUrl").alias("TopPage"), most.alias("most"))
-    return base.join(pages, ["UserId", "Hour"]).select(
-        *base.columns, "TopPage", F.col("most.page").alias("MostViewedPage")
+    sides = F.inline(
+        F.array(
+            F.struct(F.lit(True).alias("is_page"), F.col("PageUrl").alias("value"), "DurationMs", F.col("IsBounce").cast("int").alias("Bounce")),
+            F.struct(
+                F.lit(False).alias("is_page"), F.col("SessionId").alias("value"), F.lit(None).alias("DurationMs"), F.lit(None).alias("Bounce")
+            ),
+        )
+    )
+    rows = df.where(F.col("UserId").isNotNull()).select("UserId", hour.alias("Hour"), "PageUrl", "SessionId", "DurationMs", "IsBounce")
+    sums = {"Duration": F.sum("DurationMs"), "Durations": F.count("DurationMs"), "Bounce": F.sum("Bounce"), "Bounces": F.count("Bounce")}
+    per_value = rows.select("UserId", "Hour", sides).groupBy("UserId", "Hour", "is_page", "value").agg(
+        F.count(F.lit(1)).alias("n"), *[e.alias(c) for c, e in sums.items()]
     )
+    page = F.col("is_page")
+    most = F.min(F.when(page, F.struct((-F.col("n")).alias("order"), F.col("value").alias("page"))))
+    found = per_value.groupBy("UserId", "Hour").agg(
+        F.count_if(~page & F.col("value").isNotNull()).alias("SessionCount"),
+        F.sum(F.when(page, F.col("n"))).alias("PageViews"),
+        F.try_divide(F.sum("Duration").cast("double"), F.sum("Durations")).cast("long").alias("AvgSessionDuration"),
+        (F.try_divide(F.sum("Bounce").cast("double"), F.sum("Bounces")) * F.lit(100.0)).alias("BounceRate"),
+        F.max(F.when(page, F.col("value"))).alias("TopPage"),
+        most.alias("most"),
+    )
+    return found.select("*", F.col("most.page").alias("MostViewedPage")).drop("most")
+
+
+def user_hours(df: DataFrame) -> DataFrame:
+    """The users and hours that ``user_behavior`` of a batch has rows for."""
+    return windowed(df, "1 hour", "UserId", {"PageViews": F.count(F.lit(1))}, "Hour")
 
 
 def merchant_rollup(metrics: DataFrame) -> DataFrame:

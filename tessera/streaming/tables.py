@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tessera import layout as lake
 from tessera.layout import LOAD, Layout, read_table, table_exists
 from tessera.operators import dedup, keyed, scd, sinks
+from tessera.session import scratch
 
 BATCH = "_batch_id"
 #: Partition column of rows that are kept by day.
@@ -79,7 +80,7 @@ def rollup_table(
     touched keys and windows go into the aggregate.
     ``keys`` are the rollup's keys, its ``window`` column among them, and windows of ``width`` follow each other
     without overlap. ``touched`` gives the touched keys of new rows where the rollup itself leaves some out,
-    as an alert with a limit does.
+    as an alert with a limit does, or where it does more than its keys need.
     """
     others = [k for k in keys if k != window]
 
@@ -87,7 +88,9 @@ def rollup_table(
         batch = (checkpoint, number)
         day = F.coalesce(F.to_date(time), F.lit("0001-01-01").cast("date"))
         sinks.append(rows.withColumn(DAY, day), kept, batch=batch, partitioned=(DAY,))
-        hit = (touched or rollup)(rows).select(*keys).distinct()
+        # From the rows as kept, so that the batch is parsed and cleaned once; looked at twice, so written.
+        brought = lake.read_whole(rows.sparkSession, kept).where(F.col(LOAD) == lake.load_name(*batch)).drop(DAY, LOAD)
+        hit = _written((touched or rollup)(brought).select(*keys).distinct(), "touched")
         again = touched_rows(rows.sparkSession, kept, hit, others, window, width, time)
         if again is not None:
             sinks.append(rollup(again).withColumn(BATCH, F.lit(number).cast("long")), target, batch=batch)
@@ -95,6 +98,12 @@ def rollup_table(
     return _start(cleaned, apply, checkpoint, "append", available_now)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def touched_rows(
     spark: SparkSession, kept: Layout, hit: DataFrame, others: list[str], window: str, width: str, time: str
 ) -> DataFrame | None:

@@ -220,15 +220,15 @@ def rt_upsert_rollup(spark, sf_dir):
     return tables.read_upserted(spark, layout, keys)
 
 
-# The rollups and windowed alerts once more as streams: the events lie in five files without order, each file is a
-# batch of its own, and the tables must end up as the batch results.
+# The rollups and windowed alerts once more as streams: the events come in five batches without order, and the tables
+# must end up as the batch results. A batch is as many files as tasks run at once, as a small file is read by one task.
 
 
 def _scattered(spark, sf_dir):
-    path = scratch(spark, "events")
+    path, files = scratch(spark, "events"), spark.sparkContext.defaultParallelism
     rows = inputs.table(spark, sf_dir, "events")
-    rows.repartition(5, "event_id").write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    rows.repartition(5 * files, "event_id").write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _kept(spark, sf_dir, make, clean, rollup, keys, window, **how):
@@ -262,7 +262,7 @@ def rt_merchant_metrics_stream(spark, sf_dir):
 @query("rt_user_behavior_stream", ORACLES["rt_user_behavior"])
 def rt_user_behavior_stream(spark, sf_dir):
     keys = ["UserId", "Hour"]
-    rows = _kept(spark, sf_dir, inputs.web_events, events.clean_web, events.user_behavior, keys, "Hour")
+    rows = _kept(spark, sf_dir, inputs.web_events, events.clean_web, events.user_behavior, keys, "Hour", touched=events.user_hours)
     return _rounded(rows, BounceRate=6)
 
 

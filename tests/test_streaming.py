@@ -165,3 +165,46 @@ def test_lasting_conditions_are_one_episode(spark):
     assert found(known) == whole
     later = alerts.episodes(met(), ["k"], "t", "5 minutes", "2024-01-01 00:55:00", known)
     assert found(later)[2] == (45, 50, 2, 55, "Closed")
+
+
+def test_rollup_finds_touched_keys_in_the_kept_rows(spark, small, folder, base):
+    """The source is parsed once per batch; keys come from the rows of the batch as they were kept."""
+    source, kept, seen = events.clean_web(inputs.web_events(spark, small, stream(spark, small, folder))), bronze(base, "kept"), []
+
+    def touched(df):
+        files = df.inputFiles()
+        seen.append(bool(files) and all(f"/{kept.short_name}/" in f and f"{lake.LOAD}=" in f for f in files))
+        return events.user_hours(df)
+
+    keys = ["UserId", "Hour"]
+    tables.rollup_table(source, kept, bronze(base, "rollup"), events.user_behavior, keys, "Hour", f"{base}/checkpoint", touched=touched).awaitTermination()
+    assert seen == [True] * 4
+    batch = events.user_behavior(events.clean_web(inputs.web_events(spark, small)))
+    assert rows(tables.read_upserted(spark, bronze(base, "rollup"), keys).select(batch.columns)) == rows(batch)
+
+
+def test_batches_of_scattered_events_are_many_files(spark, small):
+    from tessera.suite.q_realtime import _scattered
+
+    batches = []
+    source = _scattered(spark, small).withColumn("file", F.input_file_name())
+    query = source.writeStream.foreachBatch(lambda df, n: batches.append((df.select("file").distinct().count(), df.count())))
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert len(batches) == 5 and min(n for n, _ in batches) > 1
+    assert sum(n for _, n in batches) == inputs.table(spark, small, "events").count()
+
+
+def test_user_behavior_with_nulls(spark):
+    data = [
+        ("u", "00:10:00", "/b", "s1", 10, True), ("u", "00:20:00", "/b", "s2", None, None), ("u", "00:30:00", "/a", "s1", 5, False),
+        ("u", "01:10:00", None, None, None, None), ("u", "02:00:00", None, "s", 1, None), ("u", "02:00:01", "/c", None, 2, True),
+        (None, "00:10:00", "/a", "s", 1, True), ("v", None, "/a", "s", 1, True),
+    ]
+    df = spark.createDataFrame(data, "UserId string, t string, PageUrl string, SessionId string, DurationMs int, IsBounce boolean")
+    df = df.withColumn("Timestamp", F.to_timestamp_ntz(F.concat(F.lit("2024-01-01 "), "t"), F.lit("yyyy-MM-dd HH:mm:ss")))
+    found = events.user_behavior(df).withColumn("Hour", F.hour("Hour"))
+    assert rows(found) == [
+        ("u", 0, 2, 3, 7, 50.0, "/b", "/b"),
+        ("u", 1, 0, 1, None, None, None, None),
+        ("u", 2, 1, 2, 1, 100.0, "/c", None),
+    ]
