@@ -23,6 +23,8 @@ COLUMN, BUCKET = f"{lake.OWN}column", f"{lake.OWN}bucket"
 #: Keys of the first delivery per bucket; the number of buckets is a power of two and stays.
 KEYS_PER_BUCKET = 4_000_000
 MOST_BUCKETS = 4096
+#: Parts that a bucket is written in, side by side: files per bucket, at most.
+PARTS = 8
 
 
 def digest(column: str) -> Column:
@@ -89,7 +91,8 @@ def deliver(df: DataFrame, column: str, base: str, table: str, present: Iterable
     held = lake.read_whole(spark, counts).where((F.col(COLUMN) == column) & F.col(BUCKET).isin(sorted(hit)))
     old = held.where(~F.col("load").isin([*gone, *fresh]))
     merged = old.select("key", "load", "n", BUCKET).unionByName(new.select("key", "load", "n", BUCKET))
-    lake.insert(merged.repartition(F.col(BUCKET)).withColumns({COLUMN: F.lit(column), LOAD: F.lit("counts")}), counts)
+    part = F.pmod(F.xxhash64("key"), F.lit(PARTS))
+    lake.insert(merged.repartition(F.col(BUCKET), part).withColumns({COLUMN: F.lit(column), LOAD: F.lit("counts")}), counts)
 
     # From here on the counts are read as stored; buckets of gone loads only are dropped below.
     touched = lake.read_whole(spark, counts).where((F.col(COLUMN) == column) & F.col(BUCKET).isin(sorted(hit)))
@@ -111,7 +114,11 @@ def deliver(df: DataFrame, column: str, base: str, table: str, present: Iterable
     sinks.append(spark.createDataFrame(stored, "bucket int, rows long, keys long, source_load string").coalesce(1), totals, load=column)
     lake.drop_partitions(spark, counts, [{COLUMN: column, BUCKET: str(b), LOAD: "counts"} for b in hit - set(sums)])
 
-    repeated = per_key.where(again).select("key", "before") if any(r["repeated"] for r in sums.values()) else None
+    repeated = None
+    if any(r["repeated"] for r in sums.values()):  # written, as every lookup of repeated keys would count all keys again
+        path = scratch(spark, "repeated")
+        per_key.where(again).select("key", "before").write.parquet(path)
+        repeated = spark.read.schema("key string, before long").parquet(path)
     loads = []
     if any(r["moved"] for r in sums.values()):
         before = touched.where(~mine).join(repeated.where("before = 1"), "key", "left_semi").select("load").distinct()

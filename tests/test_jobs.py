@@ -188,3 +188,22 @@ def test_parallel_entities_keep_all_results(spark, base, tmp_path):
     events = jobs.job_medallion(spark, entities, rules, {}, [], base, "run-1", "2024-02-01", parallelism=8)
     assert events.where("Status = 'FAILED'").count() == 0
     assert rows(read_table(spark, Layout(base, "system", "dq", "results")).select("RuleId")) == [(i,) for i in range(8)]
+
+
+def test_repeated_keys_are_counted_once_and_buckets_written_side_by_side(spark, base):
+    from tessera import layout as lake
+    from tessera.operators import key_counts, sinks
+
+    raw = bronze(base, "things")
+    sinks.append(spark.range(1000).select("id"), raw, load="a")
+    sinks.append(spark.range(900, 1100).select("id"), raw, load="b")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for load, present in (("a", ["a"]), ("b", ["a", "b"])):
+            rows_ = lake.read_whole(spark, raw).where(F.col(lake.LOAD) == load)
+            found = key_counts.deliver(rows_, "id", base, "things", present)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert (found.repeated.count(), found.loads, found.rows, found.keys) == (100, ["a"], 1200, 1100)
+    assert "Aggregate" not in found.repeated._jdf.queryExecution().executedPlan().toString()
+    assert len(lake.read_whole(spark, key_counts.counts_layout(base, "things")).inputFiles()) > 1
