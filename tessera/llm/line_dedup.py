@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -125,38 +126,44 @@ def _place() -> Column:
 
 
 def _copies(windows: DataFrame) -> DataFrame:
-    """The windows (doc, hash, i, m, r_begin, r_end) that occurred before."""
-    same = ["m", "r_begin", "r_end"]
+    """The windows (back, doc, hash, i, m, r_begin, r_end) that occurred before, those on and those back each among their own."""
+    same = ["back", "m", "r_begin", "r_end"]
     windows = windows.withColumn("place", _place())
     first = windows.groupBy(*same).agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
-    return windows.join(first, same).where("place > first").select("doc", "hash", "i", "m")
+    return windows.join(first.hint("merge"), same).where("place > first").select("doc", "hash", "i", "m")
 
 
 def later_copies(
     docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text: str = "text", whole: bool = False
 ) -> DataFrame:
-    """doc, hash and the places of lines (counting those with a word) inside windows that occurred before."""
+    """doc, hash and the places of lines (counting those with a word) inside windows that occurred before.
+
+    The windows of all levels go through the same joins, told apart by their level ``k``, and are written before the
+    next step: a plan with joins for each level runs them all at once, which the driver has to hold.
+    """
     lines = written(sequences(docs, min_words, id_column, text), "sequences")
     levels = suffix_ranks(lines, min_words)
-    found = None
-    for k, level in enumerate(levels):
-        size = 2**k
-        end = level.select("doc", "hash", F.col("i").alias("e"), F.col("r").alias("r_end"))
-        windows = level.where(f"m >= {size} AND m < {2 * size}").withColumnRenamed("r", "r_begin")
-        if k:
-            windows = windows.withColumn("e", F.col("i") + F.col("m") - size).join(end, ["doc", "hash", "e"])
-        else:
-            windows = windows.withColumn("r_end", F.col("r_begin"))
-        copies = _copies(windows.select("doc", "hash", "i", "m", "r_begin", "r_end"))
-        found = copies if found is None else found.unionByName(copies)
-        if whole and k:  # windows of one line are the same on and back
-            begin = level.select("doc", "hash", "i", F.col("r").alias("r_begin"))
-            back = levels[0].where(f"back >= {size} AND back < {2 * size}").select(
-                "doc", "hash", (F.col("i") - F.col("back") + 1).alias("i"), F.col("back").alias("m"), (F.col("i") - size + 1).alias("e")
-            )
-            found = found.unionByName(_copies(back.join(begin, ["doc", "hash", "i"]).join(end, ["doc", "hash", "e"])))
+    ranks = reduce(DataFrame.unionByName, [x.select("doc", "hash", "i", "r", F.lit(k).alias("k")) for k, x in enumerate(levels)])
+    end = ranks.select("doc", "hash", "k", F.col("i").alias("e"), F.col("r").alias("r_end")).hint("merge")
+    found = ["back", "doc", "hash", "i", "m", "r_begin", "r_end"]
+    size = F.expr("shiftleft(1, k)")
+    windows = reduce(DataFrame.unionByName, [x.select("doc", "hash", "i", "m", "r", F.lit(k).alias("k")) for k, x in enumerate(levels)])
+    windows = windows.where((F.col("m") >= size) & (F.col("m") < 2 * size)).withColumn("back", F.lit(False)).withColumnRenamed("r", "r_begin")
+    one, more = windows.where("k = 0"), windows.where("k > 0")
+    more = more.withColumn("e", F.col("i") + F.col("m") - size).join(end, ["doc", "hash", "k", "e"])
+    windows = one.withColumn("r_end", F.col("r_begin")).select(*found).unionByName(more.select(*found))
+    if whole:  # windows of one line are the same on and back
+        level = sum([(F.col("back") >= 2**k).cast("int") for k in range(1, len(levels))], F.lit(0))
+        back = levels[0].where(f"back >= 2 AND back < {2 ** len(levels)}").withColumn("k", level)
+        back = back.select(
+            "doc", "hash", "k", (F.col("i") - F.col("back") + 1).alias("i"), F.col("back").alias("m"), (F.col("i") - size + 1).alias("e")
+        )
+        begin = ranks.withColumnRenamed("r", "r_begin").hint("merge")
+        back = back.join(end, ["doc", "hash", "k", "e"]).join(begin, ["doc", "hash", "k", "i"])
+        windows = windows.unionByName(back.withColumn("back", F.lit(True)).select(*found))
+    copies = _copies(written(windows, "windows"))
     covered = F.explode(F.sequence("i", F.col("i") + F.col("m") - 1))
-    return found.select("doc", "hash", covered.alias("i")).groupBy("doc", "hash").agg(F.collect_set("i").alias("places"))
+    return copies.select("doc", "hash", covered.alias("i")).groupBy("doc", "hash").agg(F.collect_set("i").alias("places"))
 
 
 def remove(

@@ -93,6 +93,15 @@ def test_equal_rows_are_one_position_at_every_level(spark):
         assert sorted(x.n_removed for x in rows) == [0] + [40] * 7
 
 
+def test_windows_of_all_levels_share_their_joins(spark):
+    """The plan does not grow with the levels, so the driver holds few stages at a time."""
+    docs = spark.createDataFrame([(i, "\n".join(f"line {j} of many" for j in range(i, 40))) for i in range(4)], "doc_id long, text string")
+    for min_words in (4, 50):
+        found = line_dedup.later_copies(docs, min_words, whole=True)
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+        assert found.count() == 3
+
+
 def test_repeated_runs_on_odd_rows(spark):
     rows = line_dedup.remove(odd(spark)).collect()
     by = defaultdict(list)
