@@ -143,7 +143,8 @@ def later_copies(
     """
     lines = written(sequences(docs, min_words, id_column, text), "sequences")
     levels = suffix_ranks(lines, min_words)
-    ranks = reduce(DataFrame.unionByName, [x.select("doc", "hash", "i", "r", F.lit(k).alias("k")) for k, x in enumerate(levels)])
+    longer = list(enumerate(levels))[1:] or [(0, levels[0])]  # windows of one line are known by one rank
+    ranks = reduce(DataFrame.unionByName, [x.select("doc", "hash", "i", "r", F.lit(k).alias("k")) for k, x in longer])
     end = ranks.select("doc", "hash", "k", F.col("i").alias("e"), F.col("r").alias("r_end")).hint("merge")
     found = ["back", "doc", "hash", "i", "m", "r_begin", "r_end"]
     size = F.expr("shiftleft(1, k)")
