@@ -5,10 +5,12 @@ from which the base score comes, and from those the count of every subword id. T
 classes of about equal mass, frequent ids into classes of their own. The probability of an id is the
 model's probability of its class in context times the id's smoothed share of its class by the counts.
 
+Every text is encoded once; training and scoring read the written ids.
+
 The attention model that predicts classes has one head: token and place embeddings, queries, keys and
 values, and an output layer over the token and what it attends to. It is trained by Adam with gradients
 written out below, on all windows of all training documents. A hash deals the documents to ``ROUNDS`` rounds and
-within a round to shards of some ``SHARD_WINDOWS`` windows; their ids are written once. In a round every shard
+within a round to shards of some ``SHARD_WINDOWS`` windows. In a round every shard
 starts from the same weights and takes steps over its own windows; the weights, averaged by windows seen,
 begin the next round. Shards follow the number of windows, not files or tasks, so what is learnt does not depend
 on how the table lies. Only arrays of the size of the weights leave the tasks; their sums are of whole numbers,
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import prod
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import _offsets, own_texts, ragged, slices, written
+from tessera.llm.common import _offsets, extended, own_texts, ragged, slices, written
 from tessera.llm.tokens import encoder
-from tessera.session import scratch
 
 CLASSES = 64
 #: Ids with an embedding of their own; the others share one per class.
@@ -108,18 +110,24 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def id_counts(counts: DataFrame, tokenizer: str) -> dict[int, int]:
-    """Count of every subword id, from the words that hold it; at most the vocabulary reaches the driver."""
+    """Count of every subword id, from the counts of words (word, n) or the ids of texts (ids); at most the vocabulary reaches the driver."""
+    coded = "ids" in counts.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, True)
         total = np.zeros(enc.size, np.int64)
-        for batch in slices(batches, "word", 1 << 20):
-            lengths, ids = enc.encode_pieces(batch.column("word").to_pylist())
-            total += np.bincount(ids, np.repeat(batch.column("n").to_numpy(), lengths), enc.size).astype(np.int64)
+        if coded:
+            for batch in batches:
+                total += np.bincount(coded_ids(batch.column("ids"), enc)[1], minlength=enc.size)
+        else:
+            for batch in slices(batches, "word", 1 << 20):
+                lengths, ids = enc.encode_pieces(batch.column("word").to_pylist())
+                total += np.bincount(ids, np.repeat(batch.column("n").to_numpy(), lengths), enc.size).astype(np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
-    rows = counts.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    wanted = counts.select("ids") if coded else counts
+    rows = wanted.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     return {r["id"]: r["n"] for r in rows}
 
 
@@ -214,72 +222,162 @@ def forward(w: dict[str, np.ndarray], slots: np.ndarray, padded: np.ndarray) ->
     return h @ w["out"] + w["bias"], h, a, q, k, v, x
 
 
-def gradients(w: dict[str, np.ndarray], slots: np.ndarray, padded: np.ndarray, classes: np.ndarray, real: np.ndarray):
-    """Mean loss over real targets and its gradient by every weight; for ``tokens`` the rows met and their gradients."""
-    n, kind = len(slots), w["tokens"].dtype
-    root = kind.type(np.sqrt(WIDTH))
-    x = w["tokens"][slots] + w["places"]
-    flat, late = x.reshape(-1, WIDTH), np.ascontiguousarray(x[:, OVERLAP:]).reshape(-1, WIDTH)
-    query = w["query"] / root
-    q = (late @ query).reshape(n, STRIDE, WIDTH)
-    k, v = ((flat @ w[name]).reshape(n, CONTEXT, WIDTH) for name in ("key", "value"))
-    a = q @ k.transpose(0, 2, 1)
-    np.exp(np.minimum(a, 30, out=a), out=a)
+class Room:
+    """Arrays that one step after the other works in, by name, as fresh ones cost more than what is done in them."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, shape: tuple[int, ...], kind: np.dtype) -> np.ndarray:
+        size = prod(shape)
+        found = self.held.get(name)
+        if found is None or len(found) < size or found.dtype != kind:
+            found = self.held[name] = np.empty(size, kind)
+        return found[:size].reshape(shape)
+
+
+def _stacked(a: np.ndarray) -> np.ndarray:
+    """The rows of all windows in stacks of eight windows, or one: products of small matrices are the fast ones."""
+    return a.reshape(len(a) if len(a) % 8 else len(a) // 8, -1, a.shape[-1])
+
+
+def _projections(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Query, key and value side by side, queries divided by the root of the width; the output layer over its bias."""
+    root = w["query"].dtype.type(np.sqrt(WIDTH))
+    return np.concatenate([w["query"] / root, w["key"], w["value"]], 1), np.concatenate([w["out"], w["bias"][None]])
+
+
+def _attended(tokens: np.ndarray, places: np.ndarray, qkv: np.ndarray, slots: np.ndarray, first: np.ndarray, room: Room):
+    """Token rows, their queries, keys and values, attention, and what the output layer sees (with a one), by window.
+
+    ``first`` tells the windows that begin a document, whose first OVERLAP places are pads. Pads behind a document are
+    seen by places behind it only, which have no target.
+    """
+    m, kind = len(slots), tokens.dtype
+    x = np.take(tokens, slots, axis=0, out=room("x", (m, CONTEXT, WIDTH), kind), mode="clip")
+    x += places
+    all_three = room("qkv", (m, CONTEXT, 3 * WIDTH), kind)
+    np.matmul(_stacked(x), qkv, out=_stacked(all_three))
+    q, k, v = all_three[:, OVERLAP:, :WIDTH], all_three[:, :, WIDTH : 2 * WIDTH], all_three[:, :, 2 * WIDTH :]
+    turned = room("keys", (m, WIDTH, CONTEXT), kind)
+    np.copyto(turned, k.transpose(0, 2, 1))
+    a = np.matmul(q, turned, out=room("attention", (m, STRIDE, CONTEXT), kind))
+    if a.max() > 30:
+        np.minimum(a, 30, out=a)
+    np.exp(a, out=a)
     a *= _CAUSAL
-    a *= ~padded[:, None, :]
-    a /= a.sum(2, keepdims=True) + kind.type(1e-9)
-    # The output layer sees real targets only.
-    at = np.flatnonzero(real.ravel())
-    h = np.concatenate([late[at], (a @ v).reshape(-1, WIDTH)[at]], 1)
-    p = h @ w["out"] + w["bias"]
-    p -= p.max(1, keepdims=True)
-    np.exp(p, out=p)
-    p /= p.sum(1, keepdims=True)
-    target = classes.ravel()[at], np.arange(len(at))
-    loss = -np.log(p[target[1], target[0]] + 1e-9).mean() if len(at) else 0.0
-    p[target[1], target[0]] -= 1
-    p /= kind.type(max(1, len(at)))
-    dh = p @ w["out"].T
-    d_late, d_mixed = np.zeros((n * STRIDE, WIDTH), kind), np.zeros((n * STRIDE, WIDTH), kind)
-    d_late[at], d_mixed[at] = dh[:, :WIDTH], dh[:, WIDTH:]
-    d_mixed = d_mixed.reshape(n, STRIDE, WIDTH)
-    ds = d_mixed @ v.transpose(0, 2, 1)
-    ds -= np.einsum("bij,bij->bi", ds, a)[:, :, None]
-    ds *= a
-    dq = (ds @ k).reshape(-1, WIDTH)
-    dk, dv = (ds.transpose(0, 2, 1) @ q).reshape(-1, WIDTH), (a.transpose(0, 2, 1) @ d_mixed).reshape(-1, WIDTH)
-    dx = (dk @ w["key"].T + dv @ w["value"].T).reshape(n, CONTEXT, WIDTH)
-    dx[:, OVERLAP:] += (d_late + dq @ query.T).reshape(n, STRIDE, WIDTH)
+    a[first, :, :OVERLAP] = 0
+    sums = a.reshape(-1, CONTEXT) @ np.ones(CONTEXT, kind)
+    sums += kind.type(1e-9)
+    a *= np.reciprocal(sums, out=sums).reshape(m, STRIDE, 1)
+    h = room("h", (m, STRIDE, 2 * WIDTH + 1), kind)
+    h[:, :, :WIDTH] = x[:, OVERLAP:]
+    np.matmul(a, v, out=h[:, :, WIDTH : 2 * WIDTH])
+    h[:, :, 2 * WIDTH] = 1
+    return x, q, k, v, a, h
+
+
+def _logits(h: np.ndarray, out: np.ndarray, room: Room) -> np.ndarray:
+    z = room("z", (len(h), STRIDE, out.shape[1]), h.dtype)
+    np.matmul(_stacked(h), out, out=_stacked(z))
+    if z.max() > 80:
+        np.minimum(z, 80, out=z)
+    return z
+
+
+#: Windows worked on side by side, so that what a step works in stays near the core.
+_NEAR = 64
+
+
+def gradients(
+    w: dict[str, np.ndarray], slots: np.ndarray, padded: np.ndarray, classes: np.ndarray, real: np.ndarray,
+    room: Room | None = None, with_loss: bool = True,
+):
+    """Mean loss over real targets and its gradient by every weight; for ``tokens`` the rows met and their gradients."""
+    room = room or Room()
+    n, kind, n_classes = len(slots), w["tokens"].dtype, w["out"].shape[1]
+    qkv, out = _projections(w)
+    qkv_back, out_back = np.ascontiguousarray(qkv.T), np.ascontiguousarray(w["out"].T)
+    n_real = max(1, np.count_nonzero(real))
+    dx = room("dx", (n, CONTEXT, WIDTH), kind)
+    d_qkv, d_out, loss = np.zeros(qkv.shape, kind), np.zeros(out.shape, kind), 0.0
+    for begin in range(0, n, _NEAR):
+        some = slice(begin, min(n, begin + _NEAR))
+        x, q, k, v, a, h = _attended(w["tokens"], w["places"], qkv, slots[some], padded[some, 0], room)
+        m = len(x)
+        p = _logits(h, out, room)
+        np.exp(p, out=p)
+        sums = p.reshape(-1, n_classes) @ np.ones(n_classes, kind)
+        counted, flat = real[some].ravel(), p.reshape(-1)
+        target = classes[some].ravel() + np.arange(0, m * STRIDE * n_classes, n_classes)
+        if with_loss:
+            loss -= float(np.log(flat[target][counted] / sums[counted] + 1e-9).sum())
+        # Targets beyond a document weigh nothing.
+        share = counted * kind.type(1 / n_real)
+        p *= (share / sums).reshape(m, STRIDE, 1)
+        flat[target] -= share
+        d_out += np.matmul(_stacked(h).transpose(0, 2, 1), _stacked(p)).sum(0)
+        dh = room("dh", (m, STRIDE, 2 * WIDTH), kind)
+        np.matmul(_stacked(p), out_back, out=_stacked(dh))
+        d_mixed = dh[:, :, WIDTH:]
+        turned = room("keys", (m, WIDTH, CONTEXT), kind)
+        np.copyto(turned, v.transpose(0, 2, 1))
+        ds = np.matmul(d_mixed, turned, out=room("ds", (m, STRIDE, CONTEXT), kind))
+        # The mean of a row of ds under its attention is the gradient times what was mixed.
+        ds -= np.einsum("bij,bij->bi", d_mixed, h[:, :, WIDTH : 2 * WIDTH])[:, :, None]
+        ds *= a
+        d = room("d", (m, CONTEXT, 3 * WIDTH), kind)
+        d[:, :OVERLAP, :WIDTH] = 0
+        np.matmul(ds, k, out=d[:, OVERLAP:, :WIDTH])
+        np.matmul(ds.transpose(0, 2, 1), q, out=d[:, :, WIDTH : 2 * WIDTH])
+        np.matmul(a.transpose(0, 2, 1), d_mixed, out=d[:, :, 2 * WIDTH :])
+        np.matmul(_stacked(d), qkv_back, out=_stacked(dx[some]))
+        dx[some, OVERLAP:] += dh[:, :, :WIDTH]
+        d_qkv += np.matmul(_stacked(x).transpose(0, 2, 1), _stacked(d)).sum(0)
     # Rows of one slot side by side, so that they are added in one sweep.
     order = np.argsort(slots.ravel().astype(np.uint16), kind="stable")
     met = slots.ravel()[order]
     first = np.flatnonzero(np.append(True, met[1:] != met[:-1]))
-    tokens = met[first], np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0)
-    return loss, {
-        "tokens": tokens, "places": dx.sum(0), "query": late.T @ dq / root, "key": flat.T @ dk,
-        "value": flat.T @ dv, "out": h.T @ p, "bias": p.sum(0),
+    tokens = met[first], np.add.reduceat(np.take(dx.reshape(-1, WIDTH), order, axis=0), first, axis=0)
+    places = (np.ones(n, kind) @ dx.reshape(n, -1)).reshape(CONTEXT, WIDTH)
+    return loss / n_real, {
+        "tokens": tokens, "places": places, "query": d_qkv[:, :WIDTH] / kind.type(np.sqrt(WIDTH)),
+        "key": d_qkv[:, WIDTH : 2 * WIDTH], "value": d_qkv[:, 2 * WIDTH :], "out": d_out[:-1], "bias": d_out[-1],
     }
 
 
 class Adam:
-    """Steps on batches of windows; changes the weights of ``model`` in place, of the embeddings only those met."""
+    """Steps on batches of windows; changes the weights of ``model``, of the embeddings only those met.
 
-    def __init__(self, model: Model):
-        self.model, self.steps = model, 0
-        self.first, self.second = ({k: np.zeros_like(v) for k, v in model.weights.items()} for _ in range(2))
+    All weights but the embeddings lie one after the other, so that a step changes them at once.
+    """
 
-    def step(self, x: np.ndarray, t: np.ndarray, rate: float) -> float:
+    def __init__(self, model: Model):
+        self.model, self.steps, self.room = model, 0, Room()
+        self.names = [name for name in model.weights if name != "tokens"]
+        small = [model.weights[name] for name in self.names]
+        self.flat = np.concatenate([v.ravel() for v in small])
+        for name, v, part in zip(self.names, small, np.split(self.flat, np.cumsum([v.size for v in small])[:-1])):
+            model.weights[name] = part.reshape(v.shape)
+        tokens = model.weights["tokens"]
+        self.first, self.second = ((np.zeros_like(tokens), np.zeros_like(self.flat)) for _ in range(2))
+
+    def step(self, x: np.ndarray, t: np.ndarray, rate: float, with_loss: bool = True) -> float:
         model = self.model
         self.steps += 1
-        loss, grads = gradients(model.weights, model.slot[x], x == model.pad, model.classes[t], t != model.pad)
+        loss, grads = gradients(
+            model.weights, model.slot[x], x == model.pad, model.classes[t], t != model.pad, self.room, with_loss
+        )
         fix, fix2 = 1 - 0.9**self.steps, 1 - 0.99**self.steps
-        for name, d in grads.items():
-            at, d = d if name == "tokens" else (slice(None), d)
-            first = self.first[name][at] * np.float32(0.9) + np.float32(0.1) * d
-            second = self.second[name][at] * np.float32(0.99) + np.float32(0.01) * d * d
-            self.first[name][at], self.second[name][at] = first, second
-            model.weights[name][at] -= (rate * (first / fix) / (np.sqrt(second / fix2) + 1e-8)).astype(np.float32)
-        return float(loss)
+        met, d_tokens = grads["tokens"]
+        d_flat = np.concatenate([grads[name].ravel() for name in self.names])
+        parts = ((model.weights["tokens"], met, d_tokens), (self.flat, slice(None), d_flat))
+        for (weights, at, d), all_first, all_second in zip(parts, self.first, self.second):
+            first = all_first[at] * np.float32(0.9) + np.float32(0.1) * d
+            second = all_second[at] * np.float32(0.99) + np.float32(0.01) * d * d
+            all_first[at], all_second[at] = first, second
+            weights[at] -= (rate * (first / fix) / (np.sqrt(second / fix2) + 1e-8)).astype(np.float32)
+        return loss
 
 
 def fit(model: Model, inputs: np.ndarray, targets: np.ndarray, steps: int = STEPS, seed: int = 11) -> list[float]:
@@ -309,52 +407,67 @@ _UNIT = 2.0**-20
 _ADDERS = 16
 
 
-def deal(docs: DataFrame, tokenizer: str, shards: int) -> DataFrame:
-    """round, shard, place, ids of every row of ``docs`` (doc_id, text): ids written once, each round on its own.
+def _id_kind(enc) -> np.dtype:
+    return np.dtype("<u2" if enc.size < 1 << 16 else "<u4")
 
-    Round, shard and place come from a hash of the row, so they do not depend on how the table lies in files. A
-    shard of a round is in one file, in order.
-    """
+
+def code(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """``docs`` with the ids of ``text`` and ``place``, a hash of doc_id and text; written, so that each text is encoded once."""
+    stay, schema = extended(docs.withColumn("place", F.xxhash64("doc_id", "text")), "ids binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, True)
-        kind = np.dtype("<u2" if enc.size < 1 << 16 else "<u4")
-        for batch in slices(batches, "text", 1 << 20):
+        kind = _id_kind(enc)
+        for batch in slices(batches, "text", 4 << 20):
             lengths, ids = word_ids(enc, batch.column("text"))
             offsets = np.concatenate([[0], np.cumsum(lengths)]) * kind.itemsize
             data = pa.Array.from_buffers(
                 pa.binary(), len(lengths), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids.astype(kind).tobytes())]
             )
-            yield pa.RecordBatch.from_arrays([batch.column("place"), data], names=["place", "ids"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in stay), data], names=[*stay, "ids"])
 
-    coded = docs.select(F.xxhash64("doc_id", "text").alias("place"), "text").mapInArrow(run, "place long, ids binary")
-    dealt = coded.select(
-        F.pmod("place", F.lit(ROUNDS)).cast("int").alias("round"),
+    return written(docs.withColumn("place", F.xxhash64("doc_id", "text")).mapInArrow(run, schema), "ids")
+
+
+def coded_ids(column: pa.Array, enc) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids of each row of a column that ``code`` made, and all ids."""
+    kind, bounds = _id_kind(enc), _offsets(column)
+    if not len(column):
+        return np.empty(0, np.int64), np.empty(0, kind)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    return np.diff(bounds).astype(np.int64) // kind.itemsize, data.view(kind)
+
+
+def deal(docs: DataFrame, tokenizer: str, shards: int) -> DataFrame:
+    """shard, place, ids, round of every row of ``docs`` (doc_id, text, or as ``code`` gives them).
+
+    Round, shard and place come from a hash of the row, so they do not depend on how the table lies in files.
+    """
+    coded = docs if "ids" in docs.columns else code(docs, tokenizer)
+    return coded.select(
         F.pmod(F.shiftright("place", 16), F.lit(shards)).cast("int").alias("shard"),
         "place",
         "ids",
+        F.pmod("place", F.lit(ROUNDS)).cast("int").alias("round"),
     )
-    path = scratch(docs.sparkSession, "llm-ids")
-    # With a number, since shards that were put together in few files would wait for each other in every round.
-    dealt.repartition(3 * shards, "shard").sortWithinPartitions("round", "shard", "place", "ids").write.partitionBy("round").parquet(path)
-    return docs.sparkSession.read.schema("shard int, place long, ids binary, round int").parquet(path)
 
 
 def fit_all(docs: DataFrame, model: Model, tokenizer: str, n_windows: float, passes: int = 1) -> list[int]:
-    """Trains on every row of ``docs`` (doc_id, text), each in one round; the windows seen in each round.
+    """Trains on every row of ``docs`` (as for ``deal``), each in one round; the windows seen in each round.
 
     A round has as many shards as ``n_windows``, the windows of all rows, ask for. Each is trained on by itself
     from the same weights, which are averaged by windows seen.
     """
     spark, seen = docs.sparkSession, []
-    dealt = deal(docs, tokenizer, max(1, int(np.ceil(n_windows / (ROUNDS * SHARD_WINDOWS)))))
+    shards = max(1, int(np.ceil(n_windows / (ROUNDS * SHARD_WINDOWS))))
+    dealt = deal(docs, tokenizer, shards)
     for k in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model)
         rate = RATE * min(1.0, 2 * (1 - (k + 0.5) / ROUNDS))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shard: _Shard | None = None
-            kind = np.dtype("<u2" if encoder(tokenizer, True).size < 1 << 16 else "<u4")
+            kind = _id_kind(encoder(tokenizer, True))
             for batch in batches:
                 for number, data in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist()):
                     if shard is None or shard.number != number:
@@ -375,7 +488,9 @@ def fit_all(docs: DataFrame, model: Model, tokenizer: str, n_windows: float, pas
                 yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.tobytes()])], names=["n", "total"])
 
         schema = "n long, total binary"
-        parts = dealt.where(F.col("round") == k).select("shard", "ids").mapInArrow(run, schema)
+        # With a number, since shards that were put together in few tasks would wait for each other.
+        mine = dealt.where(F.col("round") == k).drop("round").repartition(3 * shards, "shard")
+        parts = mine.sortWithinPartitions("shard", "place", "ids").select("shard", "ids").mapInArrow(run, schema)
         sums = parts.repartition(_ADDERS).mapInArrow(add, schema).collect()
         shared.unpersist()
         n = sum(r["n"] for r in sums)
@@ -411,7 +526,7 @@ class _Shard:
         order = np.concatenate([self.order.permutation(len(inputs)) for _ in range(self.passes)])
         self.n += len(order)
         for at in np.array_split(order, max(1, round(len(order) / self.batch))):
-            self.adam.step(inputs[at], targets[at], self.rate)
+            self.adam.step(inputs[at], targets[at], self.rate, with_loss=False)
         self.held, self.held_ids = [], 0
 
     def result(self) -> pa.RecordBatch:
@@ -423,26 +538,20 @@ class _Shard:
 
 
 class Scorer:
-    """Log probabilities with the model's products of embeddings and weights laid out by id."""
+    """Log probabilities of whole texts by a model."""
 
     def __init__(self, model: Model):
-        w = model.weights
-        self.model = model
-        self.tokens = w["tokens"][model.slot]
-        root = np.float32(np.sqrt(WIDTH))
-        tables = [w["query"] / root, w["key"], w["value"], w["out"][:WIDTH]]
-        self.by_id = [self.tokens @ m for m in tables[:3]]
-        self.by_place = [w["places"] @ m for m in tables[:3]]
-        self.places, self.low, self.high, self.bias = w["places"], w["out"][:WIDTH], w["out"][WIDTH:], w["bias"]
-
-    def score(self, lengths: np.ndarray, ids: np.ndarray, at_once: int = 256) -> np.ndarray:
+        self.model, self.room = model, Room()
+        self.qkv, self.out = _projections(model.weights)
+
+    def score(self, lengths: np.ndarray, ids: np.ndarray, at_once: int = 2 * _NEAR) -> np.ndarray:
         """Natural log probability of each document's ids and its end."""
         m = self.model
         out = np.zeros(len(lengths))
         edges = np.concatenate([[0], np.cumsum(-(-(lengths + 1) // STRIDE))])
         begin = 0
         while begin < len(lengths):  # some documents at a time, as their windows take many times the ids
-            stop = max(begin + 1, int(np.searchsorted(edges, edges[begin] + 8 * at_once, side="right")) - 1)
+            stop = max(begin + 1, int(np.searchsorted(edges, edges[begin] + 16 * at_once, side="right")) - 1)
             total = np.cumsum(lengths)
             some = ids[total[begin] - lengths[begin] : total[stop - 1]]
             inputs, targets, doc = windows(lengths[begin:stop], some, m.end, m.pad)
@@ -454,34 +563,21 @@ class Scorer:
         return out
 
     def _windows(self, x: np.ndarray, t: np.ndarray) -> np.ndarray:
-        m = self.model
-        late = x[:, OVERLAP:]
-        q = self.by_id[0][late] + self.by_place[0][OVERLAP:]
-        k, v = (self.by_id[j][x] + self.by_place[j] for j in (1, 2))
-        a = q @ k.transpose(0, 2, 1)
-        np.minimum(a, 30, out=a)
-        np.exp(a, out=a)
-        a *= _CAUSAL
-        a[x[:, 0] == m.pad, :, :OVERLAP] = 0
-        o = a @ v
-        o /= a.sum(2, keepdims=True) + np.float32(1e-9)
-        real = t != m.pad
-        e = (self.tokens[late] + self.places[OVERLAP:])[real]
-        z = e @ self.low
-        z += o[real] @ self.high
-        z += self.bias
-        target = t[real]
-        hit = z[np.arange(len(target)), m.classes[target]].astype(np.float64)
-        np.minimum(z, 80, out=z)
+        m, w = self.model, self.model.weights
+        *_, h = _attended(w["tokens"], w["places"], self.qkv, m.slot[x], x[:, 0] == m.pad, self.room)
+        z = _logits(h, self.out, self.room)
+        n_classes = z.shape[2]
+        target = t.ravel()
+        hit = z.reshape(-1)[m.classes[target] + np.arange(0, z.size, n_classes)].astype(np.float64)
         np.exp(z, out=z)
-        value = hit - np.log(z.sum(1, dtype=np.float64)) + m.log_share[target]
-        each = np.zeros(real.shape)
-        each[real] = value
-        return each.sum(1)
+        sums = z.reshape(-1, n_classes) @ np.ones(n_classes, z.dtype)
+        value = hit - np.log(sums.astype(np.float64)) + m.log_share[target]
+        value[target == m.pad] = 0
+        return value.reshape(t.shape).sum(1)
 
 
 def train(docs: DataFrame, counts: DataFrame, n_documents: int, tokenizer: str, text: str = "text") -> Model:
-    """The model: counts of all training words, weights from all training documents."""
+    """The model: counts of all training words (or ids, see ``id_counts``), weights from all training documents."""
     enc = encoder(tokenizer, True)
     ids = np.zeros(enc.size + 2)
     for i, n in id_counts(counts, tokenizer).items():
@@ -493,7 +589,7 @@ def train(docs: DataFrame, counts: DataFrame, n_documents: int, tokenizer: str,
     if n_documents:
         n_windows = n_documents + ids[:-1].sum() / STRIDE
         passes = int(np.ceil(STEPS * BATCH / n_windows))
-        fit_all(docs.where("train").select("doc_id", "text"), model, tokenizer, n_windows, passes)
+        fit_all(docs.where("train"), model, tokenizer, n_windows, passes)
     return model
 
 
@@ -516,8 +612,10 @@ def score(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str
             break
         least = 1 << p
     top = counts.where(F.col("n") >= least).toPandas()
+    coded = code(rows, tokenizer)
+    model = train(coded, coded.where("train"), ends, tokenizer, text)
     shared = spark.sparkContext.broadcast(
-        (top["word"].tolist(), top["n"].to_numpy(np.int64), train(rows, counts, ends, tokenizer, text))
+        (top["word"].tolist(), top["n"].to_numpy(np.int64), model)
     )
     log_all = float(np.log10(n_all + 0.1 * (distinct + 1)))
     end_score = float(np.log10(ends + 0.1)) - log_all
@@ -539,10 +637,7 @@ def score(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str
             rare_words = pa.ListArray.from_arrays(
                 pa.array(rare_ends.astype(np.int32)), words.take(pa.array(codes[rare])).cast(pa.string())
             )
-            begins, lengths, ids = enc.encode_dictionary(words, codes)
-            sizes = lengths[codes]
-            stream = ids[ragged(begins[codes], sizes)]
-            n_ids = np.bincount(doc, sizes, len(per_text)).astype(np.int64)
+            n_ids, stream = coded_ids(batch.column("ids"), enc)
             value = scorer.score(n_ids, stream) / np.log(10)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -561,7 +656,7 @@ def score(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str
 
     kind = docs.schema[id_column].dataType.simpleString()
     first = written(
-        rows.select("doc_id", "text", "held_out").mapInArrow(
+        coded.select("doc_id", "text", "held_out", "ids").mapInArrow(
             run,
             f"row long, doc_id {kind}, held_out boolean, n_tokens long, top_known long, top_score double, score double, rare array<string>",
         ),

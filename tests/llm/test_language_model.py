@@ -187,3 +187,45 @@ def test_shards_follow_windows(spark, monkeypatch):
     docs = spark.range(200).selectExpr("id AS doc_id", "concat('word', id % 7, ' other text ', id) AS text")
     dealt = {n: sorted(map(tuple, lm.deal(docs.repartition(n), TOKENIZER, 5).collect())) for n in (1, 7)}
     assert dealt[1] == dealt[7] and {r[0] for r in dealt[1]} == set(range(5)) and {r[3] for r in dealt[1]} == set(range(lm.ROUNDS))
+
+
+def test_gradients_of_many_windows_are_those_of_their_parts():
+    """More windows than are worked on side by side, in arrays that are used again, against a few windows at a time."""
+    model, g = small_model()
+    w = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    inputs, targets, _ = lm.windows(np.array([700, 3, 0, 1500, 40]), g.integers(0, 28, 2243), model.end, model.pad)
+    args = model.slot[inputs], inputs == model.pad, model.classes[targets], targets != model.pad
+    room = lm.Room()
+    loss, whole = lm.gradients(w, *args, room)
+    sums = {k: 0.0 for k in w}
+    loss_sum, n_real = 0.0, args[3].sum()
+    for i in range(0, len(inputs), 11):
+        part = [a[i : i + 11] for a in args]
+        some_loss, some = lm.gradients(w, *part, room)
+        rows = np.zeros_like(w["tokens"])
+        rows[some["tokens"][0]] = some["tokens"][1]
+        for k in w:
+            sums[k] += (rows if k == "tokens" else some[k]) * part[3].sum() / n_real
+        loss_sum += some_loss * part[3].sum() / n_real
+    rows = np.zeros_like(w["tokens"])
+    rows[whole["tokens"][0]] = whole["tokens"][1]
+    assert len(inputs) > lm._NEAR and loss == pytest.approx(loss_sum)
+    for k in w:
+        assert rows == pytest.approx(sums[k], abs=1e-12) if k == "tokens" else whole[k] == pytest.approx(sums[k], abs=1e-12)
+
+
+def test_texts_are_encoded_once(spark, monkeypatch):
+    """The written ids are those of the texts, and what is learnt and scored follows them, not a second encoding."""
+    monkeypatch.setattr(lm, "STEPS", 5)
+    docs = odd(spark).withColumn("train", ~lm.held_out())
+    coded = lm.code(docs, TOKENIZER).collect()
+    enc = lm.encoder(TOKENIZER, True)
+    assert len(coded) == docs.count()
+    for r in coded:
+        assert np.frombuffer(r.ids, "<u2").tolist() == lm.word_ids(enc, pa.array([r.text], pa.string()))[1].tolist()
+    counts = lm.word_counts(docs)
+    assert lm.id_counts(counts, TOKENIZER) == lm.id_counts(lm.code(docs, TOKENIZER).where("train"), TOKENIZER)
+    code = lm.code
+    monkeypatch.setattr(lm, "code", lambda rows, path: code(rows, path).withColumn("ids", lm.F.lit(bytearray())))
+    got = lm.score(docs.drop("train"), TOKENIZER).collect()
+    assert len({r.n_tokens for r in got}) > 1 and len({r.score for r in got}) == 1
